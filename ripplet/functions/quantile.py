@@ -1,0 +1,29 @@
+"""Exact, spill-safe quantiles per group.
+
+``percentile`` keeps every distinct value of a group in an in-memory map.  For
+groups that can be huge we rank inside a per-group sort (which spills), keep
+only the two order statistics around the quantile position and interpolate
+linearly (numpy's default / DuckDB ``quantile_cont``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(F.col(value))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    ranked = (df.where(F.col(value).isNotNull())
+                .select(*keys, F.col(value).alias("_v"),
+                        (F.row_number().over(w) - 1).alias("_i"), n.alias("_n")))
+    h = (F.col("_n") - 1).cast("double") * F.lit(float(q))
+    lo, hi = F.floor(h), F.ceil(h)
+    picked = ranked.where((F.col("_i") == lo) | (F.col("_i") == hi))
+    agg = picked.groupBy(*keys).agg(
+        F.max(F.when(F.col("_i") == lo, F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_i") == hi, F.col("_v"))).alias("_hi"),
+        F.first("_n").alias("_n"))
+    frac = (F.col("_n") - 1).cast("double") * F.lit(float(q))
+    frac = frac - F.floor(frac)
+    return agg.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("quantile"))
