@@ -1,19 +1,20 @@
-"""Per-series affine scan  s_t = a * s_{t-1} + b_t  (s_{-1} = 0).
+"""Per-series affine scans  s_t = a * s_{t-1} + b_t  (s_{-1} = 0).
 
 Covers EWMA variance (a = lambda), GARCH filtering (a = beta) and the ARMA
-innovation filter (a = -theta) without a Python loop.
+innovation filter (a = -theta) without a Python loop.  Several scans over the
+same series run together and share one exchange.
 
 Two levels, both plain DataFrame operations:
 
 1. rows are cut into blocks of B consecutive positions per series.  Inside a
    block, z_t = a^j * cumsum_{i<=t}(b_i * a^-j_i) with j the offset inside
-   the block; B is chosen per series so that |a|^-B stays below e^600
-   (no overflow), so the in-block cumulative sum is a normal window sum.
-   Partitioning by (series, block) also splits one long, hot series over
-   many tasks.
-2. one row per block (A_k = a^len_k, Z_k = block-final z) is composed in
-   block order with an ``aggregate`` higher-order function per series:
-   c_k = A_k * c_{k-1} + Z_k.  Only ceil(n / B) small structs per series
+   the block; B is chosen per series so that |a|^-B stays below e^600 for
+   every scan (no overflow), so the in-block cumulative sum is a normal
+   window sum.  Partitioning by (series, block) also splits one long, hot
+   series over many tasks.
+2. one row per block (Z_k = block-final z, len_k) is composed in block order
+   with an ``aggregate`` higher-order function per series:
+   c_k = a^len_k * c_{k-1} + Z_k.  Only ceil(n / B) small structs per series
    travel, never the rows themselves.  The carry is joined back on
    (series, block) and s_t = a^(j+1) * c_{k-1} + z_t.
 """
@@ -35,39 +36,62 @@ def block_size(a: Column, max_block: int = MAX_BLOCK) -> Column:
                                                       F.floor(F.lit(_LOG_LIMIT) / la)).cast("int"))))
 
 
-def affine_scan(df: DataFrame, keys: list[str], order: str, a: Column | float, b: Column,
-                out: str = "state", max_block: int = MAX_BLOCK) -> DataFrame:
-    """Append ``out`` = s_t to every row of ``df``.
+def affine_scans(df: DataFrame, keys: list[str], order: str,
+                 scans: list[tuple[Column | float, Column, str]],
+                 max_block: int = MAX_BLOCK) -> DataFrame:
+    """Append one column per scan ``(a, b, out)`` to every row of ``df``.
 
-    ``a`` must be constant within a series (a literal or a per-series column);
-    ``b`` may be any per-row expression (NULL is treated as 0)."""
-    a_col = F.lit(float(a)) if isinstance(a, (int, float)) else a
+    ``a`` must be constant within a series (a literal or a per-series
+    column); ``b`` may be any per-row expression (NULL is treated as 0)."""
+    k = len(scans)
     w_pos = Window.partitionBy(*keys).orderBy(order)
-    base = df.withColumns({"_a": a_col.cast("double"), "_b": F.coalesce(b.cast("double"), F.lit(0.0)),
-                           "_pos": F.row_number().over(w_pos) - 1})
-    base = base.withColumn("_B", block_size(F.col("_a"), max_block))
-    base = base.withColumns({"_blk": F.floor(F.col("_pos") / F.col("_B")),
-                             "_j": F.col("_pos") - F.floor(F.col("_pos") / F.col("_B")) * F.col("_B")})
+    cols = {"_pos": F.row_number().over(w_pos) - 1}
+    for i, (a, b, _) in enumerate(scans):
+        a_col = F.lit(float(a)) if isinstance(a, (int, float)) else a
+        cols[f"_sa{i}"] = a_col.cast("double")
+        cols[f"_sb{i}"] = F.coalesce(b.cast("double"), F.lit(0.0))
+    base = df.withColumns(cols)
+    bsz = F.least(*[block_size(F.col(f"_sa{i}"), max_block) for i in range(k)]) if k > 1 \
+        else block_size(F.col("_sa0"), max_block)
+    base = base.withColumn("_bsz", bsz)
+    base = base.withColumns({"_blk": F.floor(F.col("_pos") / F.col("_bsz")),
+                             "_j": (F.col("_pos") - F.floor(F.col("_pos") / F.col("_bsz")) * F.col("_bsz"))
+                             .cast("double")})
     w_blk = (Window.partitionBy(*keys, "_blk").orderBy("_pos")
              .rowsBetween(Window.unboundedPreceding, 0))
-    scaled = F.col("_b") * F.pow(F.col("_a"), -F.col("_j").cast("double"))
-    base = base.withColumn("_z", F.pow(F.col("_a"), F.col("_j").cast("double")) * F.sum(scaled).over(w_blk))
+    base = base.withColumns({
+        f"_sz{i}": F.pow(F.col(f"_sa{i}"), F.col("_j"))
+        * F.sum(F.col(f"_sb{i}") * F.pow(F.col(f"_sa{i}"), -F.col("_j"))).over(w_blk)
+        for i in range(k)})
 
-    blocks = (base.groupBy(*keys, "_blk")
-                  .agg(F.max_by("_z", "_pos").alias("Z"),
-                       F.count(F.lit(1)).alias("len"),
-                       F.first("_a").alias("a"))
-                  .withColumn("A", F.pow(F.col("a"), F.col("len").cast("double"))))
-    carries = (blocks.groupBy(*keys)
-               .agg(F.array_sort(F.collect_list(F.struct("_blk", "A", "Z"))).alias("bl"))
-               .select(*keys, F.expr(
-                   "aggregate(bl, named_struct('c', CAST(0.0 AS DOUBLE), "
-                   "'out', CAST(array() AS ARRAY<STRUCT<blk: BIGINT, cin: DOUBLE>>)), "
-                   "(acc, x) -> named_struct('c', x.A * acc.c + x.Z, "
-                   "'out', concat(acc.out, array(named_struct('blk', CAST(x._blk AS BIGINT), 'cin', acc.c)))), "
-                   "acc -> acc.out)").alias("cs"))
-               .select(*keys, F.explode("cs").alias("c"))
-               .select(*keys, F.col("c.blk").alias("_blk"), F.col("c.cin").alias("_cin")))
+    blocks = base.groupBy(*keys, "_blk").agg(
+        F.count(F.lit(1)).alias("len"),
+        *[F.max_by(f"_sz{i}", "_pos").alias(f"Z{i}") for i in range(k)],
+        *[F.first(f"_sa{i}").alias(f"a{i}") for i in range(k)])
+    blocks = blocks.select(*keys, F.struct(
+        F.col("_blk").cast("bigint").alias("blk"),
+        *[(F.pow(F.col(f"a{i}"), F.col("len").cast("double"))).alias(f"A{i}") for i in range(k)],
+        *[F.col(f"Z{i}") for i in range(k)]).alias("s"))
+    zero = ", ".join(f"'c{i}', CAST(0.0 AS DOUBLE)" for i in range(k))
+    out_t = ", ".join(f"cin{i}: DOUBLE" for i in range(k))
+    nxt = ", ".join(f"'c{i}', x.A{i} * acc.c{i} + x.Z{i}" for i in range(k))
+    rec = ", ".join(f"'cin{i}', acc.c{i}" for i in range(k))
+    fold = (f"aggregate(bl, named_struct({zero}, 'out', CAST(array() AS ARRAY<STRUCT<blk: BIGINT, {out_t}>>)), "
+            f"(acc, x) -> named_struct({nxt}, 'out', concat(acc.out, array(named_struct('blk', x.blk, {rec})))), "
+            f"acc -> acc.out)")
+    carries = (blocks.groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("bl"))
+               .select(*keys, F.explode(F.expr(fold)).alias("c"))
+               .select(*keys, F.col("c.blk").alias("_blk"),
+                       *[F.col(f"c.cin{i}").alias(f"_cin{i}") for i in range(k)]))
     joined = base.join(carries, on=[*keys, "_blk"], how="left")
-    state = F.pow(F.col("_a"), (F.col("_j") + 1).cast("double")) * F.coalesce(F.col("_cin"), F.lit(0.0)) + F.col("_z")
-    return joined.withColumn(out, state).drop("_a", "_b", "_pos", "_B", "_blk", "_j", "_z", "_cin")
+    outs = {out: F.pow(F.col(f"_sa{i}"), F.col("_j") + 1) * F.coalesce(F.col(f"_cin{i}"), F.lit(0.0))
+            + F.col(f"_sz{i}") for i, (_, _, out) in enumerate(scans)}
+    drop = ["_pos", "_bsz", "_blk", "_j"] + [f"_s{x}{i}" for i in range(k) for x in "abz"] + \
+           [f"_cin{i}" for i in range(k)]
+    return joined.withColumns(outs).drop(*drop)
+
+
+def affine_scan(df: DataFrame, keys: list[str], order: str, a: Column | float, b: Column,
+                out: str = "state", max_block: int = MAX_BLOCK) -> DataFrame:
+    """Single-scan convenience wrapper of :func:`affine_scans`."""
+    return affine_scans(df, keys, order, [(a, b, out)], max_block)

@@ -89,7 +89,11 @@ def kurt_g2(x: Column, w, n: int) -> Column:
 
 
 def build_features(df: DataFrame, symbol: str = "symbol", date: str = "date") -> DataFrame:
-    """C1-C19 on an OHLCV panel ``(symbol, date, open, high, low, close, volume)``."""
+    """C1-C19 on an OHLCV panel ``(symbol, date, open, high, low, close, volume)``.
+
+    Each distinct (input, frame) window aggregate is computed once and the
+    features are projections of them (Catalyst does not share identical
+    window expressions across a projection)."""
     spec = _spec(symbol, date)
     if "log_return" not in df.columns:
         df = add_log_returns(df, symbol=symbol, date=date)
@@ -98,46 +102,71 @@ def build_features(df: DataFrame, symbol: str = "symbol", date: str = "date") ->
 
     r, c, h, lo, v = (F.col(x) for x in ("log_return", "close", "high", "low", "volume"))
     vr = F.col("vol_realized")
-    prev_close = F.lag("close", 1).over(spec)
-    cols: dict[str, Column] = {}
-
-    for k in RET_LAGS:                                        # C3
-        cols[f"ret_lag_{k}"] = F.lag(r, k).over(spec)
-    for n in VOL_WINDOWS:                                      # C4
-        cols[f"vol_{n}"] = _g(F.stddev_samp(r), r, rolling(spec, n), n)
-    cols["vol_d"] = F.lag(vr, 1).over(spec)                    # C5
-    for name, n in (("vol_w", 5), ("vol_m", 22)):              # C6: mean over (t-n, t-1]
+    n22 = MOMENT_WINDOW
+    # Level 1: window aggregates, each once.
+    w1: dict[str, Column] = {"_prev_close": F.lag(c, 1).over(spec),
+                             "volume_lag_1": F.lag(v, 1).over(spec),               # C12
+                             "vol_d": F.lag(vr, 1).over(spec)}                     # C5
+    for k in RET_LAGS:                                                             # C3
+        w1[f"ret_lag_{k}"] = F.lag(r, k).over(spec)
+    r_frames = sorted(set(VOL_WINDOWS) | set(MOMENTUM_WINDOWS) | {n22})
+    for n in r_frames:
+        w1[f"_cr{n}"] = F.count(r).over(rolling(spec, n))
+    for n in VOL_WINDOWS:
+        if n != VOL_REALIZED_WINDOW:
+            w1[f"_sd{n}"] = F.stddev_samp(r).over(rolling(spec, n))
+    for n in MOMENTUM_WINDOWS:
+        w1[f"_sm{n}"] = F.sum(r).over(rolling(spec, n))
+    w1["_sk"] = F.skewness(r).over(rolling(spec, n22))
+    w1["_ku"] = F.kurtosis(r).over(rolling(spec, n22))
+    for name, n in (("w", 5), ("m", 22)):                                          # C6: (t-n, t-1]
         wf = spec.rowsBetween(-n, -1)
-        cols[name] = _g(F.avg(vr), vr, wf, n)
-    for n in MOMENTUM_WINDOWS:                                 # C7
-        cols[f"momentum_{n}"] = _g(F.sum(r), r, rolling(spec, n), n)
-    cols["range_hl"] = F.try_divide(h - lo, c)                 # C8
-    tr = F.when(prev_close.isNotNull() & h.isNotNull() & lo.isNotNull(),  # C9 (T2 guard)
-                F.try_divide(F.greatest(h - lo, F.abs(h - prev_close), F.abs(lo - prev_close)), c))
-    cols["true_range"] = tr
-    logv = F.when(v > 0, F.ln(v))                              # C11
-    cols["log_volume"] = logv
-    cols["volume_lag_1"] = F.lag(v, 1).over(spec)              # C12
+        w1[f"_cv{name}"] = F.count(vr).over(wf)
+        w1[f"_av{name}"] = F.avg(vr).over(wf)
+    for n in SMA_WINDOWS:
+        w1[f"_cc{n}"] = F.count(c).over(rolling(spec, n))
+        w1[f"_ac{n}"] = F.avg(c).over(rolling(spec, n))
     w20 = rolling(spec, VOLUME_RATIO_WINDOW)
-    cols["volume_ratio"] = F.try_divide(v, _g(F.avg(v), v, w20, VOLUME_RATIO_WINDOW))  # C14
-    for n in SMA_WINDOWS:                                      # C15, C16
-        sma = _g(F.avg(c), c, rolling(spec, n), n)
-        cols[f"sma_{n}"] = sma
-        cols[f"px_dist_sma_{n}"] = F.try_divide(c - sma, sma)
-    w22 = rolling(spec, MOMENT_WINDOW)
-    cols["skew_22"] = skew_g1(r, w22, MOMENT_WINDOW)           # C17
-    cols["kurt_22"] = kurt_g2(r, w22, MOMENT_WINDOW)           # C18
-    cols["dow"] = F.weekday(F.col(date)).cast("int")           # C19 (Monday = 0)
-    cols["month"] = F.month(F.col(date)).cast("int")
+    w1["_cvol"] = F.count(v).over(w20)
+    w1["_avol"] = F.avg(v).over(w20)
+    out = df.withColumns(w1)
 
-    out = df.withColumns(cols)
-    # Second level: rolling means of derived columns.
+    # Projections with the min_periods guards.
+    g = lambda cnt, n, val: F.when(F.col(cnt) == n, val)
+    pc = F.col("_prev_close")
+    cols: dict[str, Column] = {}
+    for n in VOL_WINDOWS:                                                          # C4
+        cols[f"vol_{n}"] = vr if n == VOL_REALIZED_WINDOW else g(f"_cr{n}", n, F.col(f"_sd{n}"))
+    cols["vol_w"] = g("_cvw", 5, F.col("_avw"))
+    cols["vol_m"] = g("_cvm", 22, F.col("_avm"))
+    for n in MOMENTUM_WINDOWS:                                                     # C7
+        cols[f"momentum_{n}"] = g(f"_cr{n}", n, F.col(f"_sm{n}"))
+    cols["range_hl"] = F.try_divide(h - lo, c)                                     # C8
+    cols["true_range"] = F.when(pc.isNotNull() & h.isNotNull() & lo.isNotNull(),   # C9 (T2 guard)
+                                F.try_divide(F.greatest(h - lo, F.abs(h - pc), F.abs(lo - pc)), c))
+    cols["log_volume"] = F.when(v > 0, F.ln(v))                                    # C11
+    cols["volume_ratio"] = F.try_divide(v, g("_cvol", VOLUME_RATIO_WINDOW, F.col("_avol")))  # C14
+    for n in SMA_WINDOWS:                                                          # C15
+        cols[f"sma_{n}"] = g(f"_cc{n}", n, F.col(f"_ac{n}"))
+    cols["skew_22"] = g(f"_cr{n22}", n22, F.col("_sk") * F.lit((n22 * (n22 - 1)) ** 0.5 / (n22 - 2)))  # C17
+    cols["kurt_22"] = g(f"_cr{n22}", n22, (F.col("_ku") * F.lit(float(n22 + 1)) + F.lit(6.0))        # C18
+                        * F.lit((n22 - 1) / ((n22 - 2) * (n22 - 3))))
+    cols["dow"] = F.weekday(F.col(date)).cast("int")                               # C19 (Monday = 0)
+    cols["month"] = F.month(F.col(date)).cast("int")
+    out = out.withColumns(cols)
+    out = out.withColumns({f"px_dist_sma_{n}": F.try_divide(c - F.col(f"sma_{n}"), F.col(f"sma_{n}"))
+                           for n in SMA_WINDOWS})                                  # C16
+    # Level 2: rolling means of derived columns.
+    tr, lv = F.col("true_range"), F.col("log_volume")
     out = out.withColumns({
-        "atr_14": _g(F.avg("true_range"), F.col("true_range"), rolling(spec, ATR_WINDOW), ATR_WINDOW),
-        "log_volume_ma_10": _g(F.avg("log_volume"), F.col("log_volume"),
-                               rolling(spec, LOG_VOLUME_MA_WINDOW), LOG_VOLUME_MA_WINDOW),
+        "_ctr": F.count(tr).over(rolling(spec, ATR_WINDOW)),
+        "_atr": F.avg(tr).over(rolling(spec, ATR_WINDOW)),
+        "_clv": F.count(lv).over(rolling(spec, LOG_VOLUME_MA_WINDOW)),
+        "_alv": F.avg(lv).over(rolling(spec, LOG_VOLUME_MA_WINDOW)),
     })
-    return out
+    out = out.withColumns({"atr_14": g("_ctr", ATR_WINDOW, F.col("_atr")),
+                           "log_volume_ma_10": g("_clv", LOG_VOLUME_MA_WINDOW, F.col("_alv"))})
+    return out.drop(*[x for x in out.columns if x.startswith("_")])
 
 
 def feature_columns(df: DataFrame) -> list[str]:

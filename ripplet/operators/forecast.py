@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.functions.scan import affine_scan
+from ripplet.functions.scan import affine_scans
 
 KEYS = ["symbol", "date", "split"]
 
@@ -20,84 +20,139 @@ def _long(df: DataFrame, model: str, pred: Column, y: str = "target_vol") -> Dat
                      pred.cast("double").alias("y_pred"))
 
 
-def naive(panel: DataFrame) -> DataFrame:
+def _sym():
+    """Whole-series frame, same partitioning as the panel windows."""
+    return Window.partitionBy("symbol")
+
+
+def _ord():
+    return Window.partitionBy("symbol").orderBy("date")
+
+
+def naive_col() -> Column:
     """Persistence, pred = vol_realized_t."""
-    return _long(panel, "naive", F.col("vol_realized"))
+    return F.col("vol_realized")
 
 
-def rolling_mean(panel: DataFrame, window: int = 22) -> DataFrame:
+def rolling_mean_col(window: int = 22) -> Column:
     """Mean of the last ``window`` vol_realized values (min_periods = 1)."""
-    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-(window - 1), 0)
-    return _long(panel, f"rolling_mean_{window}", F.avg("vol_realized").over(w))
+    return F.avg("vol_realized").over(_ord().rowsBetween(-(window - 1), 0))
 
 
-def ewma(panel: DataFrame, lam: float = 0.94, warm_up: int = 60, strict: bool = False) -> DataFrame:
-    """RiskMetrics EWMA variance, pred = sqrt(sigma2_t).
+def ewma_scan(lam: float = 0.94, warm_up: int = 60, out: str = "_ewma_s2"):
+    """E3 as an affine-scan spec (a, b, out) over the panel with ``_pos``.
 
     sigma2_0 = population variance of returns at positions 1..warm_up;
-    sigma2_t = lam * sigma2_{t-1} + (1 - lam) * r_t^2 (missing r -> 0).
-    ``strict`` emits NULL for positions <= warm_up (T12: the start value
-    looks ahead inside the warm-up)."""
-    w = Window.partitionBy("symbol").orderBy("date")
-    df = panel.withColumn("_pos", F.row_number().over(w) - 1)
-    var0 = (df.where((F.col("_pos") >= 1) & (F.col("_pos") <= warm_up))
-              .groupBy("symbol").agg(F.var_pop("log_return").alias("_var0")))
-    df = df.join(F.broadcast(var0), "symbol", "left")  # one row per symbol
+    sigma2_t = lam * sigma2_{t-1} + (1 - lam) * r_t^2 (missing r -> 0)."""
     r = F.coalesce(F.col("log_return"), F.lit(0.0))
-    b = F.when(F.col("_pos") == 0, F.col("_var0")).otherwise(F.lit(1.0 - lam) * r * r)
-    df = affine_scan(df, ["symbol"], "date", lam, b, out="_s2")
-    pred = F.sqrt(F.col("_s2"))
-    if strict:
-        pred = F.when(F.col("_pos") > warm_up, pred)
-    return _long(df, "ewma_094" if lam == 0.94 else f"ewma_{lam}", pred)
+    var0 = F.var_pop(F.when(F.col("_pos").between(1, warm_up), F.col("log_return"))).over(_sym())
+    b = F.when(F.col("_pos") == 0, var0).otherwise(F.lit(1.0 - lam) * r * r)
+    return (lam, b, out)
 
 
-def garch_filter(panel: DataFrame, params: DataFrame | None = None, alpha: float = 0.08,
-                 beta: float = 0.90, scale: float = 100.0, model: str = "garch_11") -> DataFrame:
-    """GARCH(1,1) filter with fixed parameters, correct alignment.
+def garch_scan(alpha: float = 0.08, beta: float = 0.90, scale: float = 100.0,
+               params: tuple[str, str, str] | None = None, out: str = "_garch_s2"):
+    """E8 as an affine-scan spec: at row t, s_t = sigma2_{t+1} =
+    omega + alpha * eps_t^2 + beta * sigma2_t with eps = scale * r (missing -> 0).
 
-    At row t: sigma2_{t+1} = omega + alpha * eps_t^2 + beta * sigma2_t with
-    eps = scale * r (missing -> 0); pred_t = sqrt(sigma2_{t+1}) / scale.
-    ``params`` is a (symbol, omega, alpha, beta) table (e.g. from E7);
-    without it omega is set by variance targeting on the train rows:
-    omega = mean(eps^2 | train) * (1 - alpha - beta), sigma2_0 = mean(eps^2 | train)."""
+    Without ``params`` (column names of omega, alpha, beta) omega comes from
+    variance targeting on the train rows: omega = v0 * (1 - alpha - beta) with
+    v0 = mean(eps^2 | train), which is also sigma2_0."""
     eps = F.coalesce(F.col("log_return"), F.lit(0.0)) * F.lit(scale)
-    v = (panel.where(F.col("split") == "train").groupBy("symbol")
-              .agg(F.avg(eps * eps).alias("_v0")))
+    v0 = F.avg(F.when(F.col("split") == "train", eps * eps)).over(_sym())
     if params is None:
-        v = v.withColumns({"_omega": F.col("_v0") * F.lit(1.0 - alpha - beta),
-                           "_alpha": F.lit(alpha), "_beta": F.lit(beta)})
+        om, al, be = v0 * F.lit(1.0 - alpha - beta), F.lit(alpha), F.lit(beta)
     else:
-        v = v.join(params.select("symbol", F.col("omega").alias("_omega"),
-                                 F.col("alpha").alias("_alpha"), F.col("beta").alias("_beta")), "symbol")
-    w = Window.partitionBy("symbol").orderBy("date")
-    df = (panel.join(F.broadcast(v), "symbol", "left")
-               .withColumn("_pos", F.row_number().over(w) - 1))
-    b = F.col("_omega") + F.col("_alpha") * eps * eps
-    b = F.when(F.col("_pos") == 0, b + F.col("_beta") * F.col("_v0")).otherwise(b)
-    df = affine_scan(df, ["symbol"], "date", F.col("_beta"), b, out="_s2")
-    return _long(df, model, F.sqrt(F.col("_s2")) / F.lit(scale))
-
-
-def har_coefficients(panel: DataFrame, components=("vol_d", "vol_w", "vol_m"),
-                     y: str = "target_vol") -> DataFrame:
-    """E9 fit: per-symbol OLS of y on three regressors over train rows.
-
-    Sufficient statistics (means, population covariances) come from one
-    aggregation; the centred 3x3 system is solved by Cramer's rule as column
-    expressions: b = S^-1 s, intercept = ybar - b . xbar."""
+        om, al, be = (F.col(c) for c in params)
+    b = om + al * eps * eps
+    b = F.when(F.col("_pos") == 0, b + be * v0).otherwise(b)
+    return (be, b, out)
+
+
+def har_col(components=("vol_d", "vol_w", "vol_m"), y: str = "target_vol") -> Column:
+    """HAR-RV prediction from per-symbol OLS on train rows, clipped at 0.
+
+    Sufficient statistics (means, population covariances over train rows
+    with all regressors known) are whole-series window aggregates; the
+    centred 3x3 system is solved by Cramer's rule as column expressions."""
     x = list(components)
-    tr = panel.where((F.col("split") == "train") & F.col(y).isNotNull())
+    ok = (F.col("split") == "train") & F.col(y).isNotNull()
     for c in x:
-        tr = tr.where(F.col(c).isNotNull())
-    aggs = [F.avg(y).alias("my")] + [F.avg(c).alias(f"m{i}") for i, c in enumerate(x)]
-    for i in range(3):
-        aggs.append(F.covar_pop(x[i], y).alias(f"s{i}"))
+        ok = ok & F.col(c).isNotNull()
+    m = lambda c: F.when(ok, F.col(c))
+    st = {"my": F.avg(m(y)).over(_sym())}
+    for i, c in enumerate(x):
+        st[f"m{i}"] = F.avg(m(c)).over(_sym())
+        st[f"s{i}"] = F.covar_pop(m(c), m(y)).over(_sym())
         for j in range(i, 3):
-            aggs.append(F.covar_pop(x[i], x[j]).alias(f"S{i}{j}"))
-    st = tr.groupBy("symbol").agg(*aggs)
-    return st.select("symbol", *[F.expr(e).alias(n) for n, e in har_solution_sql().items()],
-                     *[F.col(f"m{i}").alias(f"mean_{c}") for i, c in enumerate(x)])
+            st[f"S{i}{j}"] = F.covar_pop(m(c), m(x[j])).over(_sym())
+    return st
+
+
+def add_forecasts(panel: DataFrame, lam: float = 0.94, alpha: float = 0.08, beta: float = 0.90,
+                  scale: float = 100.0) -> DataFrame:
+    """All SQL-exact forecasters as columns of the panel (one pass, one
+    exchange on symbol for the windows plus one for the shared scans)."""
+    df = panel.withColumn("_pos", F.row_number().over(_ord()) - 1)
+    har = har_col()
+    df = df.withColumns({f"_h_{k}": v for k, v in har.items()})
+    df = affine_scans(df, ["symbol"], "date",
+                      [ewma_scan(lam), garch_scan(alpha, beta, scale)])
+    sol = har_solution_sql(prefix="_h_")
+    pred = F.expr(sol["b0"])
+    for i, c in enumerate(("vol_d", "vol_w", "vol_m")):
+        pred = pred + F.expr(sol[f"b{i + 1}"]) * F.coalesce(F.col(c), F.col(f"_h_m{i}"))
+    df = df.withColumns({
+        "naive": naive_col(),
+        "rolling_mean_22": rolling_mean_col(22),
+        "ewma_094": F.sqrt("_ewma_s2"),
+        "har_rv": clip0(pred),
+        "garch_11": F.sqrt("_garch_s2") / F.lit(scale),
+    })
+    return df.drop("_pos", "_ewma_s2", "_garch_s2", *[f"_h_{k}" for k in har])
+
+
+MODELS = ("naive", "rolling_mean_22", "ewma_094", "har_rv", "garch_11")
+
+
+def to_long(wide: DataFrame, models=MODELS, y: str = "target_vol") -> DataFrame:
+    """Wide forecast columns -> long (symbol, date, split, model, y_true, y_pred)."""
+    base = wide.select(*KEYS, F.col(y).alias("y_true"), *[F.col(m).cast("double") for m in models])
+    return (base.unpivot([*KEYS, "y_true"], list(models), "model", "y_pred")
+                .select(*KEYS, "model", "y_true", "y_pred"))
+
+
+def naive(panel: DataFrame) -> DataFrame:
+    return _long(panel, "naive", naive_col())
+
+
+def rolling_mean(panel: DataFrame, window: int = 22) -> DataFrame:
+    return _long(panel, f"rolling_mean_{window}", rolling_mean_col(window))
+
+
+def ewma(panel: DataFrame, lam: float = 0.94, warm_up: int = 60, strict: bool = False) -> DataFrame:
+    """E3 alone; ``strict`` emits NULL for positions <= warm_up."""
+    df = panel.withColumn("_pos", F.row_number().over(_ord()) - 1)
+    df = affine_scans(df, ["symbol"], "date", [ewma_scan(lam, warm_up)])
+    pred = F.sqrt("_ewma_s2")
+    if strict:
+        pred = F.when(F.col("_pos") > warm_up, pred)
+    return _long(df, "ewma_094" if lam == 0.94 else f"ewma_{lam}", pred)
+
+
+def garch_filter(panel: DataFrame, alpha: float = 0.08, beta: float = 0.90, scale: float = 100.0,
+                 params: DataFrame | None = None, model: str = "garch_11") -> DataFrame:
+    """E8 alone; ``params`` = (symbol, omega, alpha, beta) table from E7
+    (one row per symbol, broadcast)."""
+    df = panel.withColumn("_pos", F.row_number().over(_ord()) - 1)
+    cols = None
+    if params is not None:
+        df = df.join(F.broadcast(params.select("symbol", F.col("omega").alias("_om"),
+                                               F.col("alpha").alias("_al"), F.col("beta").alias("_be"))),
+                     "symbol")
+        cols = ("_om", "_al", "_be")
+    df = affine_scans(df, ["symbol"], "date", [garch_scan(alpha, beta, scale, cols)])
+    return _long(df, model, F.sqrt("_garch_s2") / F.lit(scale))
 
 
 def har_solution_sql(prefix: str = "") -> dict[str, str]:
@@ -121,14 +176,8 @@ def har_solution_sql(prefix: str = "") -> dict[str, str]:
     return out
 
 
-def har_rv(panel: DataFrame, components=("vol_d", "vol_w", "vol_m")) -> DataFrame:
-    """HAR-RV prediction, NULL regressors <- train means, clipped at 0."""
-    coef = har_coefficients(panel, components)
-    df = panel.join(F.broadcast(coef), "symbol", "left")  # one row per symbol
-    pred = F.col("b0")
-    for i, c in enumerate(components):
-        pred = pred + F.col(f"b{i + 1}") * F.coalesce(F.col(c), F.col(f"mean_{c}"))
-    return _long(df, "har_rv", clip0(pred))
+def har_rv(panel: DataFrame) -> DataFrame:
+    return to_long(add_forecasts(panel), ["har_rv"])
 
 
 def clip0(c: Column) -> Column:
@@ -155,5 +204,4 @@ def cumulative_abs_error(preds: DataFrame) -> DataFrame:
 
 def all_benchmarks(panel: DataFrame) -> DataFrame:
     """The SQL-exact forecaster family in one long table."""
-    return (naive(panel).unionByName(rolling_mean(panel)).unionByName(ewma(panel))
-            .unionByName(har_rv(panel)).unionByName(garch_filter(panel)))
+    return to_long(add_forecasts(panel))

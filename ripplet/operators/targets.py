@@ -55,10 +55,14 @@ def add_targets(df: DataFrame, horizon: int = 1, threshold: float | None = None,
     if threshold is not None:
         df = df.withColumn("regime_threshold", F.lit(float(threshold)))
     else:
+        # Same partitioning as every other panel window: the per-symbol median
+        # is a window aggregate over the masked rows, no join and no re-scan.
+        # Its buffer is bounded by the bar count of one symbol (calendar-sized).
         masked = train_mask_pre_drop(df, train_frac, symbol, date)
-        thr = regime_thresholds(masked, "_train_mask", q, symbol).select(symbol, "regime_threshold")
-        # One row per symbol: the threshold table is bounded by the symbol count.
-        df = df.join(F.broadcast(thr), on=symbol, how="left")
+        v = F.when(F.col("_train_mask"), F.col("target_vol"))
+        df = masked.withColumn(
+            "regime_threshold",
+            F.percentile(v, F.lit(float(q))).over(Window.partitionBy(symbol))).drop("_train_mask")
     return df.withColumn(
         "target_regime",
         F.when(F.col("target_vol").isNotNull(),

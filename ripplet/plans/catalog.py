@@ -62,3 +62,40 @@ register("panel_daily", _panel_sql(O.daily_bars_sql()))(
 register("panel_hourly", _panel_sql(O.hourly_bars_sql()))(
     lambda spark, d: _r(hourly_panel(spark, d).select(*[c for c, _ in PANEL_COLS])))
 FLAGSHIP = "panel_daily"
+
+# ---------------------------------------------------------------- E forecasters, I metrics
+from ripplet.operators import forecast as FC  # noqa: E402
+from ripplet.operators import metrics as M  # noqa: E402
+
+_DAILY_PREDS = O.with_preds(O.daily_bars_sql())
+
+
+def daily_preds(spark: SparkSession, d: str) -> DataFrame:
+    return FC.all_benchmarks(daily_panel(spark, d))
+
+
+register("forecasts", f"""{_DAILY_PREDS}
+SELECT symbol, date, split, model, {O.sql_rnd('y_true')} AS y_true, {O.sql_rnd('y_pred')} AS y_pred FROM preds""")(
+    lambda spark, d: _r(daily_preds(spark, d)))
+
+register("forecast_summary", f"""{_DAILY_PREDS}
+SELECT symbol, split, model, {O.sql_rnd('sqrt(avg((y_pred - y_true) * (y_pred - y_true)))')} AS rmse,
+       {O.sql_rnd('avg(abs(y_pred - y_true))')} AS mae, count(*) AS n_valid
+FROM preds WHERE y_pred IS NOT NULL AND y_true IS NOT NULL GROUP BY symbol, split, model""")(
+    lambda spark, d: _r(FC.summarize(daily_preds(spark, d))))
+
+register("cum_abs_error", f"""{_DAILY_PREDS}
+SELECT symbol, split, model, date,
+       {O.sql_rnd('sum(coalesce(abs(y_pred - y_true), 0.0)) OVER (PARTITION BY symbol, split, model ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 6)} AS cum_abs_error
+FROM preds""")(
+    lambda spark, d: round_doubles(FC.cumulative_abs_error(daily_preds(spark, d)), 6))
+
+register("regression_metrics", f"""{_DAILY_PREDS}
+SELECT symbol, model, split, {O.sql_rnd('sqrt(avg((y_pred - y_true) * (y_pred - y_true)))')} AS rmse,
+       {O.sql_rnd('avg(abs(y_pred - y_true))')} AS mae,
+       {O.sql_rnd('1.0 - sum((y_pred - y_true) * (y_pred - y_true)) / (var_pop(y_true) * count(*))', 6)} AS r2,
+       count(*) AS n
+FROM preds WHERE y_pred IS NOT NULL AND y_true IS NOT NULL GROUP BY symbol, model, split""")(
+    lambda spark, d: _r(M.regression_metrics(daily_preds(spark, d)), {"r2": 6}))
+
+FLAGSHIP = "forecast_summary"

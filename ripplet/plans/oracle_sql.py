@@ -141,3 +141,59 @@ def select_rounded(cols: list[tuple[str, str]], digits: dict[str, int] | None =
         else:
             out.append(name)
     return ", ".join(out)
+
+
+def preds_ctes(lam: float = 0.94, alpha: float = 0.08, beta: float = 0.90, scale: float = 100.0) -> str:
+    """Forecaster CTEs after ``panel``; ends with ``preds`` (long form).
+    EWMA and GARCH use recursive CTEs (the sequential definition)."""
+    from ripplet.operators.forecast import har_solution_sql
+    har = har_solution_sql()
+    one_m_lam = repr(1.0 - lam)
+    one_m_ab = repr(1.0 - alpha - beta)
+    return f""",
+    p AS (SELECT *, row_number() OVER ({W}) - 1 AS pos FROM panel),
+    ew0 AS (SELECT symbol, var_pop(log_return) AS var0 FROM p WHERE pos BETWEEN 1 AND 60 GROUP BY symbol),
+    eb AS (SELECT p.symbol, p.pos,
+                  CASE WHEN p.pos = 0 THEN ew0.var0
+                       ELSE {one_m_lam} * coalesce(log_return, 0.0) * coalesce(log_return, 0.0) END AS b
+           FROM p LEFT JOIN ew0 USING (symbol)),
+    ew(symbol, pos, s) AS (
+        SELECT symbol, pos, b FROM eb WHERE pos = 0
+        UNION ALL
+        SELECT eb.symbol, eb.pos, {lam!r} * ew.s + eb.b
+        FROM ew JOIN eb ON eb.symbol = ew.symbol AND eb.pos = ew.pos + 1),
+    gv AS (SELECT symbol, avg((coalesce(log_return, 0.0) * {scale!r}) * (coalesce(log_return, 0.0) * {scale!r})) AS v0
+           FROM p WHERE split = 'train' GROUP BY symbol),
+    gb AS (SELECT p.symbol, p.pos,
+                  gv.v0 * {one_m_ab} + {alpha!r} * (coalesce(log_return, 0.0) * {scale!r}) * (coalesce(log_return, 0.0) * {scale!r})
+                  + CASE WHEN p.pos = 0 THEN {beta!r} * gv.v0 ELSE 0.0 END AS b
+           FROM p LEFT JOIN gv USING (symbol)),
+    ga(symbol, pos, s) AS (
+        SELECT symbol, pos, b FROM gb WHERE pos = 0
+        UNION ALL
+        SELECT gb.symbol, gb.pos, {beta!r} * ga.s + gb.b
+        FROM ga JOIN gb ON gb.symbol = ga.symbol AND gb.pos = ga.pos + 1),
+    hs AS (SELECT symbol, avg(target_vol) AS my, avg(vol_d) AS m0, avg(vol_w) AS m1, avg(vol_m) AS m2,
+                  covar_pop(vol_d, target_vol) AS s0, covar_pop(vol_w, target_vol) AS s1,
+                  covar_pop(vol_m, target_vol) AS s2,
+                  covar_pop(vol_d, vol_d) AS S00, covar_pop(vol_d, vol_w) AS S01, covar_pop(vol_d, vol_m) AS S02,
+                  covar_pop(vol_w, vol_w) AS S11, covar_pop(vol_w, vol_m) AS S12, covar_pop(vol_m, vol_m) AS S22
+           FROM p WHERE split = 'train' GROUP BY symbol),
+    hc AS (SELECT symbol, m0, m1, m2, {har['b0']} AS b0, {har['b1']} AS b1, {har['b2']} AS b2, {har['b3']} AS b3 FROM hs),
+    preds AS (
+        SELECT symbol, date, split, 'naive' AS model, target_vol AS y_true, vol_realized AS y_pred FROM p
+        UNION ALL
+        SELECT symbol, date, split, 'rolling_mean_22', target_vol,
+               avg(vol_realized) OVER ({W} ROWS BETWEEN 21 PRECEDING AND CURRENT ROW) FROM p
+        UNION ALL
+        SELECT p.symbol, date, split, 'ewma_094', target_vol, sqrt(ew.s) FROM p JOIN ew USING (symbol, pos)
+        UNION ALL
+        SELECT p.symbol, date, split, 'har_rv', target_vol,
+               greatest(b0 + b1 * coalesce(vol_d, hc.m0) + b2 * coalesce(vol_w, hc.m1) + b3 * coalesce(vol_m, hc.m2), 0.0)
+        FROM p JOIN hc USING (symbol)
+        UNION ALL
+        SELECT p.symbol, date, split, 'garch_11', target_vol, sqrt(ga.s) / {scale!r} FROM p JOIN ga USING (symbol, pos))"""
+
+
+def with_preds(bars_sql: str) -> str:
+    return f"WITH RECURSIVE {panel_ctes(bars_sql)}{preds_ctes()}"
