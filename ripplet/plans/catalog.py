@@ -99,3 +99,136 @@ FROM preds WHERE y_pred IS NOT NULL AND y_true IS NOT NULL GROUP BY symbol, mode
     lambda spark, d: _r(M.regression_metrics(daily_preds(spark, d)), {"r2": 6}))
 
 FLAGSHIP = "forecast_summary"
+
+# ---------------------------------------------------------------- B exploration
+from ripplet.operators import explore as X  # noqa: E402
+from ripplet.operators.features import FEATURE_COLUMNS, build_features  # noqa: E402
+from ripplet.operators.splits import split_summary  # noqa: E402
+from ripplet.plans.panel import targets_table  # noqa: E402
+
+_NULL_COLS = FEATURE_COLUMNS + ["target_vol", "target_regime"]
+_PANEL = f"WITH {O.panel_ctes(O.daily_bars_sql())}"
+
+register("null_counts", _PANEL + "\n" + " UNION ALL ".join(
+    f"SELECT symbol, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM t2 GROUP BY symbol"
+    for c in _NULL_COLS))(
+    lambda spark, d: X.null_counts(targets_table(daily_bars_from_lineitem(spark, d)), _NULL_COLS))
+
+_DESC_COLS = [("symbol", "k"), ("count", "k")] + [(c, "d") for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
+register("calendar_gaps", f"""WITH bars AS ({O.daily_bars_sql()}),
+g AS (SELECT symbol, CAST(date - lag(date) OVER (PARTITION BY symbol ORDER BY date) AS DOUBLE) AS gap_days FROM bars)
+SELECT {O.select_rounded(_DESC_COLS)} FROM (
+  SELECT symbol, {O.describe_sql('gap_days')} FROM g WHERE gap_days IS NOT NULL GROUP BY symbol)""")(
+    lambda spark, d: _r(X.calendar_gaps(daily_bars_from_lineitem(spark, d))))
+
+register("ohlc_coherence", f"""WITH bars AS ({O.daily_bars_sql()})
+SELECT symbol, count(*) AS n_bars, count(*) FILTER (WHERE high < greatest(open, close)) AS n_high_below,
+       count(*) FILTER (WHERE low > least(open, close)) AS n_low_above FROM bars GROUP BY symbol""")(
+    lambda spark, d: X.ohlc_coherence(daily_bars_from_lineitem(spark, d)))
+
+_MOM_COLS = [("symbol", "k"), ("count", "k"), ("mean", "d"), ("std", "d"), ("min", "d"), ("q25", "d"),
+             ("q50", "d"), ("q75", "d"), ("max", "d"), ("skew", "d"), ("kurt", "d")]
+register("return_moments", f"""{_PANEL},
+m AS (SELECT symbol, {O.describe_sql('log_return')}, skewness(log_return) AS skew, kurtosis(log_return) AS kurt
+      FROM panel WHERE log_return IS NOT NULL GROUP BY symbol)
+SELECT {O.select_rounded(_MOM_COLS, {'skew': 6, 'kurt': 6})} FROM m""")(
+    lambda spark, d: _r(X.return_moments(daily_panel(spark, d)), {"skew": 6, "kurt": 6}))
+
+register("histogram_returns", f"""{_PANEL},
+b AS (SELECT symbol, log_return AS x, min(log_return) OVER (PARTITION BY symbol) AS lo,
+             max(log_return) OVER (PARTITION BY symbol) AS hi FROM panel WHERE log_return IS NOT NULL),
+h AS (SELECT symbol, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / (hi - lo) * 120.0), 119) END AS INTEGER) AS bin,
+             count(*) AS n, any_value(lo) AS lo, any_value(hi) AS hi FROM b GROUP BY ALL)
+SELECT symbol, bin, {O.sql_rnd('lo + bin * ((hi - lo) / 120.0)')} AS edge_lo,
+       {O.sql_rnd('lo + (bin + 1) * ((hi - lo) / 120.0)')} AS edge_hi, n FROM h""")(
+    lambda spark, d: _r(X.histogram(daily_panel(spark, d), "log_return", 120)))
+
+
+def _acf_both(spark, d):
+    p = daily_panel(spark, d).withColumn("r2", F.col("log_return") * F.col("log_return"))
+    a = X.acf(p, "log_return", 40).withColumn("series", F.lit("r"))
+    b = X.acf(p, "r2", 40).withColumn("series", F.lit("r2"))
+    return _r(a.unionByName(b))
+
+
+register("acf_returns", f"""{_PANEL},{O.acf_sql('panel', 'log_return', 'r', 40)},{O.acf_sql('panel', 'log_return * log_return', 'r2', 40)}
+SELECT symbol, series, lag, {O.sql_rnd('acf')} AS acf, {O.sql_rnd('band')} AS band FROM (SELECT * FROM acf_r UNION ALL SELECT * FROM acf_r2)""")(
+    _acf_both)
+
+register("split_summary", f"""{_PANEL}
+SELECT symbol, split, count(*) AS n_rows, min(date) AS date_min, max(date) AS date_max FROM panel GROUP BY symbol, split""")(
+    lambda spark, d: split_summary(daily_panel(spark, d)))
+
+register("class_balance", f"""{_PANEL}
+SELECT symbol, split, count(*) AS n, count(*) FILTER (WHERE target_regime = 1) AS n_pos,
+       count(*) FILTER (WHERE target_regime = 0) AS n_neg, {O.sql_rnd('avg(CAST(target_regime AS DOUBLE))')} AS p_pos
+FROM panel WHERE target_regime IS NOT NULL GROUP BY symbol, split""")(
+    lambda spark, d: _r(X.class_balance(daily_panel(spark, d))))
+
+_SHIFT_Q = (0.1, 0.25, 0.5, 0.75, 0.9)
+register("target_shift", f"""{_PANEL}
+SELECT symbol, split, count(target_vol) AS n, {O.sql_rnd('avg(target_vol)')} AS mean,
+       {O.sql_rnd('stddev_samp(target_vol)')} AS std,
+       {", ".join(f"{O.sql_rnd(f'quantile_cont(target_vol, {q})')} AS q{int(round(q * 100))}" for q in _SHIFT_Q)}
+FROM panel WHERE target_vol IS NOT NULL GROUP BY symbol, split""")(
+    lambda spark, d: _r(X.target_shift(daily_panel(spark, d))))
+
+# ---------------------------------------------------------------- I2-I6 classification + leaderboard
+_CLS = _DAILY_PREDS + O.cls_cte()
+
+
+def daily_cls(spark: SparkSession, d: str) -> DataFrame:
+    panel = daily_panel(spark, d)
+    return M.regime_scores(FC.all_benchmarks(panel), panel)
+
+
+register("classification_metrics", f"""{_CLS}
+SELECT symbol, model, split, {O.sql_rnd('avg(CAST(label = pred AS DOUBLE))')} AS accuracy,
+  {O.sql_rnd("coalesce(count(*) FILTER (WHERE label = 1 AND pred = 1) / NULLIF(CAST(count(*) FILTER (WHERE pred = 1) AS DOUBLE), 0), 0.0)")} AS precision,
+  {O.sql_rnd("coalesce(count(*) FILTER (WHERE label = 1 AND pred = 1) / NULLIF(CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE), 0), 0.0)")} AS recall,
+  {O.sql_rnd("coalesce(2.0 * count(*) FILTER (WHERE label = 1 AND pred = 1) / NULLIF(CAST(count(*) FILTER (WHERE pred = 1) + count(*) FILTER (WHERE label = 1) AS DOUBLE), 0), 0.0)")} AS f1,
+  count(*) AS n
+FROM cls WHERE label IS NOT NULL AND pred IS NOT NULL GROUP BY symbol, model, split""")(
+    lambda spark, d: _r(M.classification_metrics(daily_cls(spark, d))))
+
+_SC = """,
+    sc AS (SELECT symbol, model, split, score, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+           FROM cls WHERE label IS NOT NULL AND score IS NOT NULL GROUP BY symbol, model, split, score)"""
+
+register("roc_auc", f"""{_CLS}{_SC},
+sc2 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY symbol, model, split ORDER BY score
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM sc)
+SELECT symbol, model, split,
+       {O.sql_rnd('sum(pos * (nb + 0.5 * neg)) / NULLIF(CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0)')} AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+FROM sc2 GROUP BY symbol, model, split""")(
+    lambda spark, d: _r(M.roc_auc(daily_cls(spark, d))))
+
+register("roc_curve", f"""{_CLS}{_SC}
+SELECT symbol, model, split, {O.sql_rnd('score')} AS threshold,
+  {O.sql_rnd('sum(neg) OVER (PARTITION BY symbol, model, split ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / NULLIF(CAST(sum(neg) OVER (PARTITION BY symbol, model, split) AS DOUBLE), 0)')} AS fpr,
+  {O.sql_rnd('sum(pos) OVER (PARTITION BY symbol, model, split ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / NULLIF(CAST(sum(pos) OVER (PARTITION BY symbol, model, split) AS DOUBLE), 0)')} AS tpr
+FROM sc""")(
+    lambda spark, d: _r(M.roc_curve(daily_cls(spark, d))))
+
+register("confusion_matrix", f"""{_CLS}
+SELECT symbol, model, split, label AS y_true, pred AS y_pred, count(*) AS n
+FROM cls WHERE label IS NOT NULL AND pred IS NOT NULL GROUP BY ALL""")(
+    lambda spark, d: M.confusion_matrix(daily_cls(spark, d)))
+
+_RM = """,
+    rm AS (SELECT symbol, model, split, sqrt(avg((y_pred - y_true) * (y_pred - y_true))) AS rmse
+           FROM preds WHERE y_pred IS NOT NULL AND y_true IS NOT NULL GROUP BY symbol, model, split)"""
+
+register("leaderboard", f"""{_DAILY_PREDS}{_RM}
+SELECT symbol, split, model, {O.sql_rnd('rmse')} AS rmse,
+       row_number() OVER (PARTITION BY symbol, split ORDER BY rmse, model) AS rank FROM rm""")(
+    lambda spark, d: _r(M.leaderboard(FC.summarize(daily_preds(spark, d), ("symbol", "model", "split"))
+                                      .select("symbol", "split", "model", "rmse"))))
+
+register("val_test_gap", f"""{_DAILY_PREDS}{_RM}
+SELECT symbol, model, {O.sql_rnd("max(rmse) FILTER (WHERE split = 'val')")} AS rmse_val,
+       {O.sql_rnd("max(rmse) FILTER (WHERE split = 'test')")} AS rmse_test,
+       {O.sql_rnd("max(rmse) FILTER (WHERE split = 'test') - max(rmse) FILTER (WHERE split = 'val')")} AS gap
+FROM rm GROUP BY symbol, model""")(
+    lambda spark, d: _r(M.val_test_gap(FC.summarize(daily_preds(spark, d), ("symbol", "model", "split")))))

@@ -197,3 +197,35 @@ def preds_ctes(lam: float = 0.94, alpha: float = 0.08, beta: float = 0.90, scale
 
 def with_preds(bars_sql: str) -> str:
     return f"WITH RECURSIVE {panel_ctes(bars_sql)}{preds_ctes()}"
+
+
+def cls_cte() -> str:
+    """Classification view of the forecasts: label = target_regime,
+    score = forecast, pred = forecast above the regime threshold."""
+    return """,
+    cls AS (SELECT preds.symbol, preds.date, preds.split, preds.model, panel.target_regime AS label,
+                   preds.y_pred AS score,
+                   CASE WHEN preds.y_pred IS NOT NULL
+                        THEN CAST(preds.y_pred > panel.regime_threshold AS INTEGER) END AS pred
+            FROM preds JOIN panel ON preds.symbol = panel.symbol AND preds.date = panel.date)"""
+
+
+def describe_sql(x: str, prefix: str = "") -> str:
+    return (f"count({x}) AS {prefix}count, avg({x}) AS {prefix}mean, stddev_samp({x}) AS {prefix}std, "
+            f"min({x}) AS {prefix}min, quantile_cont({x}, 0.25) AS {prefix}q25, "
+            f"quantile_cont({x}, 0.5) AS {prefix}q50, quantile_cont({x}, 0.75) AS {prefix}q75, "
+            f"max({x}) AS {prefix}max")
+
+
+def acf_sql(source: str, expr: str, series: str, n_lags: int) -> str:
+    lags = ", ".join(f"lag(_d, {k}) OVER ({W}) AS _l{k}" for k in range(1, n_lags + 1))
+    sums = ", ".join(f"sum(_d * _l{k}) AS g{k}" for k in range(1, n_lags + 1))
+    unions = " UNION ALL ".join(
+        f"SELECT symbol, '{series}' AS series, {k} AS lag, g{k} / g0 AS acf, 1.96 / sqrt(CAST(n AS DOUBLE)) AS band FROM ag_{series}"
+        for k in range(1, n_lags + 1))
+    return f"""
+    d_{series} AS (SELECT symbol, date, ({expr}) - avg({expr}) OVER (PARTITION BY symbol) AS _d
+                   FROM {source} WHERE ({expr}) IS NOT NULL),
+    l_{series} AS (SELECT symbol, _d, {lags} FROM d_{series}),
+    ag_{series} AS (SELECT symbol, count(*) AS n, sum(_d * _d) AS g0, {sums} FROM l_{series} GROUP BY symbol),
+    acf_{series} AS ({unions})"""

@@ -28,3 +28,8 @@ def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modelling_table(hourly_bars_from_events(spark, sf_dir))
+
+
+def targets_table(bars: DataFrame, horizon: int = 1) -> DataFrame:
+    """Features + targets before the warm-up drop (what B1 profiles)."""
+    return add_targets(build_features(bars), horizon=horizon)
