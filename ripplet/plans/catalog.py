@@ -232,3 +232,126 @@ SELECT symbol, model, {O.sql_rnd("max(rmse) FILTER (WHERE split = 'val')")} AS r
        {O.sql_rnd("max(rmse) FILTER (WHERE split = 'test') - max(rmse) FILTER (WHERE split = 'val')")} AS gap
 FROM rm GROUP BY symbol, model""")(
     lambda spark, d: _r(M.val_test_gap(FC.summarize(daily_preds(spark, d), ("symbol", "model", "split")))))
+
+# ---------------------------------------------------------------- J residual diagnostics
+from ripplet.functions.random import index_sql  # noqa: E402
+from ripplet.functions.special import chi2_sf_sql, normal_two_sided_p_sql  # noqa: E402
+from ripplet.operators import compare as K  # noqa: E402
+from ripplet.operators import residuals as J  # noqa: E402
+
+_RES = _DAILY_PREDS + O.residual_ctes()
+_STAT6 = {"statistic": 6}
+
+register("residual_tests", f"""{_RES}
+SELECT symbol, model, test, {O.sql_rnd('statistic', 6)} AS statistic, {O.sql_rnd('p_value')} AS p_value
+FROM ({O.residual_tests_select()})""")(
+    lambda spark, d: _r(J.residual_tests(daily_preds(spark, d)), _STAT6))
+
+_SUM_COLS = ([("symbol", "k"), ("model", "k"), ("n", "k")]
+             + [(c, "d") for c in ("mean", "std", "min", "max", "skew", "kurtosis", "white_stat", "white_p",
+                                   "bp_stat", "bp_p", "ljung_box_stat", "ljung_box_p", "jb_stat", "jb_p")])
+_SUM_DIG = {c: 6 for c in ("skew", "kurtosis", "white_stat", "bp_stat", "ljung_box_stat", "jb_stat")}
+register("residual_summary", f"""{_RES}
+SELECT {O.select_rounded(_SUM_COLS, _SUM_DIG)} FROM (
+  SELECT symbol, model, n, mean, std, min, max, skew_pop AS skew, kurt_pop AS kurtosis,
+         white AS white_stat, {chi2_sf_sql('white', 2)} AS white_p, bp AS bp_stat, {chi2_sf_sql('bp', 1)} AS bp_p,
+         lb AS ljung_box_stat, {chi2_sf_sql('lb', 10)} AS ljung_box_p, jb AS jb_stat, {chi2_sf_sql('jb', 2)} AS jb_p
+  FROM rst2)""")(
+    lambda spark, d: _r(J.residual_summary(daily_preds(spark, d)), _SUM_DIG))
+
+
+def _res_acf_sql(n_lags: int = 30) -> str:
+    P = "PARTITION BY symbol, model"
+    lags = ", ".join(f"lag(d, {k}) OVER ({P} ORDER BY date) AS l{k}" for k in range(1, n_lags + 1))
+    sums = ", ".join(f"sum(d * l{k}) AS g{k}" for k in range(1, n_lags + 1))
+    unions = " UNION ALL ".join(
+        f"SELECT symbol, model, {k} AS lag, g{k} / g0 AS acf, 1.96 / sqrt(CAST(n AS DOUBLE)) AS band FROM ra"
+        for k in range(1, n_lags + 1))
+    return f"""{_RES},
+    rla AS (SELECT symbol, model, d, {lags} FROM rd),
+    ra AS (SELECT symbol, model, count(*) AS n, sum(d * d) AS g0, {sums} FROM rla GROUP BY symbol, model)
+    SELECT symbol, model, lag, {O.sql_rnd('acf')} AS acf, {O.sql_rnd('band')} AS band FROM ({unions})"""
+
+
+register("residual_acf", _res_acf_sql())(lambda spark, d: _r(J.residual_acf(daily_preds(spark, d))))
+
+# ---------------------------------------------------------------- K forecast comparison
+MODELS = sorted(FC.MODELS)
+
+
+def daily_wide_test(spark: SparkSession, d: str) -> DataFrame:
+    return FC.add_forecasts(daily_panel(spark, d)).where(F.col("split") == "test")
+
+
+_DM_COLS = [("symbol", "k"), ("model_a", "k"), ("model_b", "k"), ("n", "k"), ("mean_loss_diff", "d"),
+            ("statistic", "d"), ("p_value", "d"), ("horizon", "k"), ("n_pairs", "k"), ("alpha_bonferroni", "d"),
+            ("significant_5pct", "k"), ("significant_bonferroni", "k")]
+register("dm_pairs", f"""{_DAILY_PREDS},
+dmd AS (SELECT a.symbol, a.model AS model_a, b.model AS model_b,
+               (a.y_pred - a.y_true) * (a.y_pred - a.y_true) - (b.y_pred - b.y_true) * (b.y_pred - b.y_true) AS d
+        FROM preds a JOIN preds b ON a.symbol = b.symbol AND a.date = b.date AND a.model < b.model
+        WHERE a.split = 'test' AND a.y_true IS NOT NULL AND a.y_pred IS NOT NULL AND b.y_pred IS NOT NULL),
+dma AS (SELECT symbol, model_a, model_b, count(*) AS n, avg(d) AS mean_loss_diff,
+               CASE WHEN var_pop(d) > 0 THEN avg(d) / sqrt(var_pop(d) / count(*)) END AS statistic
+        FROM dmd GROUP BY ALL),
+dmp AS (SELECT *, {normal_two_sided_p_sql('statistic')} AS p_value, 1 AS horizon,
+               count(*) OVER (PARTITION BY symbol) AS n_pairs FROM dma)
+SELECT {O.select_rounded(_DM_COLS, {'statistic': 6})} FROM (
+  SELECT *, 0.05 / n_pairs AS alpha_bonferroni, p_value < 0.05 AS significant_5pct,
+         p_value < 0.05 / n_pairs AS significant_bonferroni FROM dmp)""")(
+    lambda spark, d: _r(K.bonferroni(K.diebold_mariano(daily_wide_test(spark, d), MODELS)), {"statistic": 6}))
+
+_B = 2000
+register("bootstrap_rmse_ci", f"""{_DAILY_PREDS},
+bt AS (SELECT symbol, model, (y_pred - y_true) * (y_pred - y_true) AS e2,
+              row_number() OVER (PARTITION BY symbol, model ORDER BY date) - 1 AS pos,
+              count(*) OVER (PARTITION BY symbol, model) AS n
+       FROM preds WHERE split = 'test' AND y_true IS NOT NULL AND y_pred IS NOT NULL),
+dr AS (SELECT symbol, model, r.b, {index_sql('42', 'r.b', 'pos', 'n', 'duckdb')} AS idx
+       FROM bt CROSS JOIN range(0, {_B}) r(b)),
+rep AS (SELECT dr.symbol, dr.model, dr.b, sqrt(avg(bt.e2)) AS rmse_b
+        FROM dr JOIN bt ON dr.symbol = bt.symbol AND dr.model = bt.model AND dr.idx = bt.pos GROUP BY ALL),
+ci AS (SELECT symbol, model, quantile_cont(rmse_b, 0.025) AS ci_lo, quantile_cont(rmse_b, 0.975) AS ci_hi,
+              count(*) AS n_boot FROM rep GROUP BY ALL),
+pt AS (SELECT symbol, model, sqrt(avg(e2)) AS rmse FROM bt GROUP BY ALL)
+SELECT symbol, model, {O.sql_rnd('rmse')} AS rmse, {O.sql_rnd('ci_lo')} AS ci_lo, {O.sql_rnd('ci_hi')} AS ci_hi, n_boot
+FROM pt JOIN ci USING (symbol, model)""")(
+    lambda spark, d: _r(K.bootstrap_rmse_ci(daily_wide_test(spark, d), MODELS, n_boot=_B)))
+
+register("midranks", f"""{_DAILY_PREDS}
+SELECT symbol, model, date, rank() OVER (PARTITION BY symbol, model ORDER BY y_pred)
+       + (count(*) OVER (PARTITION BY symbol, model, y_pred) - 1) / 2.0 AS midrank
+FROM preds WHERE split = 'test' AND y_pred IS NOT NULL""")(
+    lambda spark, d: K.midranks(daily_preds(spark, d).where((F.col("split") == "test") & F.col("y_pred").isNotNull()),
+                                "y_pred", ["symbol", "model"], "midrank").select("symbol", "model", "date", "midrank"))
+
+_DL_COLS = [("symbol", "k"), ("model_a", "k"), ("model_b", "k"), ("auc_a", "d"), ("auc_b", "d"),
+            ("auc_diff", "d"), ("statistic", "d"), ("p_value", "d"), ("n_pairs", "k"), ("alpha_bonferroni", "d"),
+            ("significant_5pct", "k"), ("significant_bonferroni", "k")]
+register("delong_pairs", f"""{_CLS},
+dl AS (SELECT symbol, date, model, score AS s, label AS y FROM cls
+       WHERE split = 'test' AND score IS NOT NULL AND label IS NOT NULL),
+rk AS (SELECT *, rank() OVER (PARTITION BY symbol, model ORDER BY s)
+                 + (count(*) OVER (PARTITION BY symbol, model, s) - 1) / 2.0 AS rz,
+                 rank() OVER (PARTITION BY symbol, model, y ORDER BY s)
+                 + (count(*) OVER (PARTITION BY symbol, model, y, s) - 1) / 2.0 AS rc,
+                 CAST(sum(y) OVER (PARTITION BY symbol, model) AS DOUBLE) AS m,
+                 CAST(sum(1 - y) OVER (PARTITION BY symbol, model) AS DOUBLE) AS n FROM dl),
+v AS (SELECT *, CASE WHEN y = 1 THEN (rz - rc) / n END AS v01, CASE WHEN y = 0 THEN 1.0 - (rz - rc) / m END AS v10 FROM rk),
+au AS (SELECT symbol, model, sum(CASE WHEN y = 1 THEN rz END) / (any_value(m) * any_value(n))
+              - (any_value(m) + 1.0) / (2.0 * any_value(n)) AS auc, any_value(m) AS m, any_value(n) AS n,
+              var_samp(v01) AS s01, var_samp(v10) AS s10 FROM v GROUP BY symbol, model),
+pr AS (SELECT a.symbol, a.model AS model_a, b.model AS model_b,
+              covar_samp(a.v01, b.v01) AS c01, covar_samp(a.v10, b.v10) AS c10
+       FROM v a JOIN v b ON a.symbol = b.symbol AND a.date = b.date AND a.model < b.model GROUP BY ALL),
+dz AS (SELECT pr.symbol, model_a, model_b, xa.auc AS auc_a, xb.auc AS auc_b, xa.auc - xb.auc AS auc_diff,
+              (xa.s01 / xa.m + xa.s10 / xa.n) + (xb.s01 / xb.m + xb.s10 / xb.n) - 2.0 * (c01 / xa.m + c10 / xa.n) AS var
+       FROM pr JOIN au xa ON xa.symbol = pr.symbol AND xa.model = pr.model_a
+               JOIN au xb ON xb.symbol = pr.symbol AND xb.model = pr.model_b
+       WHERE xa.m > 0 AND xa.n > 0),
+dzz AS (SELECT *, CASE WHEN var > 0 THEN auc_diff / sqrt(var) END AS statistic FROM dz),
+dzp AS (SELECT *, {normal_two_sided_p_sql('statistic')} AS p_value, count(*) OVER (PARTITION BY symbol) AS n_pairs FROM dzz)
+SELECT {O.select_rounded(_DL_COLS, {'statistic': 6})} FROM (
+  SELECT *, 0.05 / n_pairs AS alpha_bonferroni, p_value < 0.05 AS significant_5pct,
+         p_value < 0.05 / n_pairs AS significant_bonferroni FROM dzp)""")(
+    lambda spark, d: _r(K.bonferroni(K.delong(daily_wide_test(spark, d), MODELS)), {"statistic": 6}))

@@ -229,3 +229,40 @@ def acf_sql(source: str, expr: str, series: str, n_lags: int) -> str:
     l_{series} AS (SELECT symbol, _d, {lags} FROM d_{series}),
     ag_{series} AS (SELECT symbol, count(*) AS n, sum(_d * _d) AS g0, {sums} FROM l_{series} GROUP BY symbol),
     acf_{series} AS ({unions})"""
+
+
+def residual_ctes(n_lags: int = 10) -> str:
+    """Residual sufficient statistics per (symbol, model) on the test split; ends with ``rst``."""
+    from ripplet.functions.special import chi2_sf_sql  # noqa: F401
+    P = "PARTITION BY symbol, model"
+    lags = ", ".join(f"lag(d, {k}) OVER ({P} ORDER BY date) AS l{k}" for k in range(1, n_lags + 1))
+    sums = ", ".join(f"sum(d * l{k}) AS g{k}" for k in range(1, n_lags + 1))
+    q = " + ".join(f"(g{k} / g0) * (g{k} / g0) / (n - {k})" for k in range(1, n_lags + 1))
+    return f""",
+    res AS (SELECT symbol, model, date, y_true - y_pred AS e,
+                   CAST(row_number() OVER ({P} ORDER BY date) - 1 AS DOUBLE) AS t
+            FROM preds WHERE split = 'test' AND y_true IS NOT NULL AND y_pred IS NOT NULL),
+    rd AS (SELECT *, e * e AS u, t * t AS t2, e - avg(e) OVER ({P}) AS d FROM res),
+    rl AS (SELECT *, {lags} FROM rd),
+    rs AS (SELECT symbol, model, count(*) AS n, avg(e) AS mean, stddev_samp(e) AS std, min(e) AS min, max(e) AS max,
+                  avg(d * d) AS m2, avg(d * d * d) AS m3, avg(d * d * d * d) AS m4,
+                  var_pop(t) AS v11, var_pop(t2) AS v22, covar_pop(t, t2) AS v12,
+                  covar_pop(t, u) AS c1, covar_pop(t2, u) AS c2, var_pop(u) AS vu,
+                  sum(d * d) AS g0, {sums}
+           FROM rl GROUP BY symbol, model),
+    rst AS (SELECT symbol, model, n, mean, std, min, max,
+                   m3 / power(m2, 1.5) AS skew_pop, m4 / (m2 * m2) - 3.0 AS kurt_pop,
+                   n * (((c1 * v22 - c2 * v12) / (v11 * v22 - v12 * v12)) * c1
+                        + ((c2 * v11 - c1 * v12) / (v11 * v22 - v12 * v12)) * c2) / vu AS white,
+                   n * c1 * c1 / (v11 * vu) AS bp,
+                   n * (n + 2) * ({q}) AS lb
+            FROM rs),
+    rst2 AS (SELECT *, n / 6.0 * (skew_pop * skew_pop + kurt_pop * kurt_pop / 4.0) AS jb FROM rst)"""
+
+
+def residual_tests_select() -> str:
+    from ripplet.functions.special import chi2_sf_sql
+    rows = [("white", "white", 2), ("breusch_pagan", "bp", 1), ("ljung_box(lag=10)", "lb", 10), ("jarque_bera", "jb", 2)]
+    return " UNION ALL ".join(
+        f"SELECT symbol, model, '{name}' AS test, {c} AS statistic, {chi2_sf_sql(c, df)} AS p_value FROM rst2"
+        for name, c, df in rows)
