@@ -22,6 +22,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Per-symbol windows sort bars, never raw ticks; keep a modest target size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    # Bar-level window stages are CPU-bound (rows x frame length), not byte-bound:
+    # do not coalesce small post-shuffle partitions into one task.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 

@@ -27,17 +27,41 @@ OHLCV_SCHEMA = T.StructType([
 ])
 
 
+def packed_order_key(cols: list[Column], digits: list[int]) -> Column:
+    """Order-preserving DECIMAL(38,0) packing of non-negative integer keys.
+
+    Lexicographic order of (k1, k2, ...) equals numeric order of
+    k1 * 10^(d2+...) + k2 * 10^(d3+...) + ... when every k_i < 10^d_i.  A
+    fixed-width decimal keeps ``min_by``/``max_by`` in a HashAggregate (a
+    struct key forces a sort-based aggregate).  Out-of-range keys fail loudly."""
+    if sum(digits) > 38:
+        raise ValueError("packed key wider than 38 digits")
+    D = "decimal(38,0)"
+    key, ok = None, None
+    for c, d in zip(cols, digits):
+        scale = F.lit(str(10 ** d)).cast(D)
+        v = c.cast(D)
+        cond = (v >= 0) & (v < scale)
+        ok = cond if ok is None else ok & cond
+        key = v if key is None else (key * scale + v).cast(D)
+    return F.when(ok, key).otherwise(F.raise_error(F.lit("order key out of packed range")).cast(D))
+
+
 def ohlcv_bars(ticks: DataFrame, symbol: str | Column, bar: str | Column,
                price: str | Column, order: list[str | Column],
-               volume: Column | None = None) -> DataFrame:
+               volume: Column | None = None, order_digits: list[int] | None = None) -> DataFrame:
     """Aggregate ticks into (symbol, bar, open, high, low, close, volume).
 
-    ``order`` must totally order ticks inside a bar up to equal prices; the
-    price itself is appended as the last tie-breaker."""
+    ``order`` must totally order ticks inside a bar up to equal prices.  With
+    ``order_digits`` (non-negative integer keys of known width) the order is
+    packed into one decimal and the aggregate stays hash-based; otherwise a
+    struct (with the price as last tie-breaker) is used."""
     col = lambda c: F.col(c) if isinstance(c, str) else c
     price_c = col(price)
-    key = F.struct(*[col(c) for c in order], price_c.alias("_p"))
-    vol = volume if volume is not None else F.count(F.lit(1))
+    if order_digits:
+        key = packed_order_key([col(c) for c in order], order_digits)
+    else:
+        key = F.struct(*[col(c) for c in order], price_c.alias("_p"))
     return (ticks
             .select(col(symbol).alias("symbol"), col(bar).alias("bar"),
                     price_c.alias("_price"), key.alias("_key"),
@@ -63,6 +87,9 @@ def daily_bars_from_lineitem(spark: SparkSession, sf_dir: str,
         ticks, symbol=sym, bar=F.to_date("l_shipdate"),
         price=F.col("l_extendedprice") / F.col("l_quantity"),
         order=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+        # Digit widths of the TPC-H key domains up to SF 100,000
+        # (orderkey < 6e11, linenumber <= 7, partkey < 2e10, suppkey < 1e9).
+        order_digits=[12, 1, 11, 10],
         volume=F.col("l_quantity"))
     return bars.withColumnRenamed("bar", "date")
 
@@ -71,8 +98,10 @@ def hourly_bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming-shaped panel: symbol = event type, bar = hour of ``ts``,
     price = ``value``, volume = number of events."""
     ev = read_table(spark, sf_dir, "events")
+    # Microseconds since the epoch, time-zone independent for TIMESTAMP_NTZ.
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     bars = ohlcv_bars(ev, symbol="event_type", bar=F.date_trunc("hour", "ts"),
-                      price="value", order=["ts", "event_id"])
+                      price="value", order=[micros, F.col("event_id")], order_digits=[18, 19])
     return bars.withColumnRenamed("bar", "date")
 
 
