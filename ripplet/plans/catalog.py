@@ -15,6 +15,7 @@ from ripplet.functions.expr import round_doubles
 from ripplet.plans import oracle_sql as O
 from ripplet.plans.panel import daily_panel, hourly_panel
 from ripplet.sources.bars import daily_bars_from_lineitem, hourly_bars_from_events
+from ripplet.sources.tables import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -355,3 +356,88 @@ SELECT {O.select_rounded(_DL_COLS, {'statistic': 6})} FROM (
   SELECT *, 0.05 / n_pairs AS alpha_bonferroni, p_value < 0.05 AS significant_5pct,
          p_value < 0.05 / n_pairs AS significant_bonferroni FROM dzp)""")(
     lambda spark, d: _r(K.bonferroni(K.delong(daily_wide_test(spark, d), MODELS)), {"statistic": 6}))
+
+# ---------------------------------------------------------------- D6 folds, G balancing, F1/F2, F11
+from ripplet.operators import balance as G  # noqa: E402
+from ripplet.operators import naive_bayes as NB  # noqa: E402
+from ripplet.operators import preprocess as PP  # noqa: E402
+from ripplet.operators.splits import time_series_folds  # noqa: E402
+from ripplet.functions.random import hash31_sql, uniform_sql  # noqa: E402
+
+register("cv_folds", f"""{_PANEL},
+tr AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS pos,
+              count(*) OVER (PARTITION BY symbol) AS n FROM panel WHERE split = 'train'),
+fo AS (SELECT tr.*, f.fold, floor(n / 4) AS ts FROM tr CROSS JOIN range(0, 3) f(fold)),
+ro AS (SELECT symbol, date, pos, fold,
+              CASE WHEN pos >= n - (3 - fold) * ts AND pos < n - (3 - fold) * ts + ts THEN 'test'
+                   WHEN pos < n - (3 - fold) * ts THEN 'train' END AS role FROM fo)
+SELECT symbol, date, CAST(pos AS INTEGER) AS pos, CAST(fold AS INTEGER) AS fold, role FROM ro WHERE role IS NOT NULL""")(
+    lambda spark, d: time_series_folds(daily_panel(spark, d).where(F.col("split") == "train").drop("split"),
+                                       n_splits=3).select("symbol", "date", F.col("pos").cast("int").alias("pos"),
+                                                          F.col("fold").cast("int").alias("fold"), "role"))
+
+
+def _train_labels(spark, d):
+    return daily_panel(spark, d).where(F.col("split") == "train").withColumnRenamed("target_regime", "label")
+
+
+register("class_weights", f"""{_PANEL}
+SELECT symbol, class, n_c, {O.sql_rnd('CAST(sum(n_c) OVER (PARTITION BY symbol) AS DOUBLE) / (2.0 * n_c)')} AS weight
+FROM (SELECT symbol, target_regime AS class, count(*) AS n_c FROM panel WHERE split = 'train' GROUP BY ALL)""")(
+    lambda spark, d: _r(G.class_weights(_train_labels(spark, d))))
+
+register("scale_pos_weight", f"""{_PANEL}
+SELECT symbol, n_pos, n_neg, {O.sql_rnd('CAST(n_neg AS DOUBLE) / greatest(n_pos, 1)')} AS scale_pos_weight
+FROM (SELECT symbol, count(*) FILTER (WHERE target_regime = 1) AS n_pos, count(*) FILTER (WHERE target_regime = 0) AS n_neg
+      FROM panel WHERE split = 'train' GROUP BY symbol)""")(
+    lambda spark, d: _r(G.scale_pos_weight(_train_labels(spark, d))))
+
+register("undersample_10pct", f"""{_PANEL},
+u AS (SELECT symbol, date, target_regime AS label,
+             {hash31_sql('42', "(date - DATE '1970-01-01')", '0', 'duckdb')} AS h,
+             count(*) FILTER (WHERE target_regime = 0) OVER (PARTITION BY symbol) AS n0
+      FROM panel WHERE split = 'train'),
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol, label ORDER BY h, date) AS rn FROM u)
+SELECT symbol, date, label FROM r WHERE label = 0 OR rn <= round(n0 * {0.10 / 0.90!r})""")(
+    lambda spark, d: G.undersample_positives(_train_labels(spark, d), "unix_date(date)")
+                      .select("symbol", "date", "label"))
+
+_IMP_COLS = ["vol_5", "vol_22", "atr_14", "sma_50", "skew_22", "volume_ratio"]
+register("median_imputer", _PANEL + "\n" + " UNION ALL ".join(
+    f"SELECT symbol, '{c}' AS column_name, {O.sql_rnd(f'quantile_cont({c}, 0.5)', 6)} AS median "
+    f"FROM t2 WHERE _rn_pre <= floor(_n_pre * CAST(0.7 AS DOUBLE)) GROUP BY symbol" for c in _IMP_COLS).replace(
+    "FROM t2 WHERE", "FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS _rn_pre, "
+                     "count(*) OVER (PARTITION BY symbol) AS _n_pre FROM t2) WHERE"))(
+    lambda spark, d: round_doubles(PP.fit_median_imputer(
+        __import__("ripplet.operators.splits", fromlist=["x"]).temporal_split(
+            targets_table(daily_bars_from_lineitem(spark, d))), _IMP_COLS), 6))
+
+_SC_COLS = ["vol_5", "vol_22", "momentum_22", "range_hl", "dow"]
+register("standard_scaler", f"""{_PANEL}
+""" + " UNION ALL ".join(
+    f"SELECT symbol, '{c}' AS column_name, {O.sql_rnd(f'avg({c})', 6)} AS mean, "
+    f"{O.sql_rnd(f'CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END', 6)} AS scale "
+    f"FROM panel WHERE split = 'train' GROUP BY symbol" for c in _SC_COLS))(
+    lambda spark, d: round_doubles(PP.fit_standard_scaler(daily_panel(spark, d), _SC_COLS), 6))
+
+
+def _gnb(spark, d):
+    emb = NB.embeddings_split(read_table(spark, d, "embeddings"))
+    long = NB.explode_vectors(emb, "vec_id", "embedding", extra=("label", "split"))
+    params = NB.fit_gnb(long.where(F.col("split") == "train"))
+    return NB.predict_gnb(long.where(F.col("split") == "test"), params)
+
+
+register("gnb_embeddings", f"""WITH
+e AS (SELECT vec_id, label, {uniform_sql('42', 'vec_id', '0', 'duckdb')} < 0.7 AS is_train, embedding FROM embeddings),
+l AS (SELECT vec_id, label, is_train, generate_subscripts(embedding, 1) - 1 AS j,
+             CAST(unnest(embedding) AS DOUBLE) AS x FROM e),
+fv AS (SELECT max(v) * 1e-09 AS eps FROM (SELECT var_pop(x) AS v FROM l WHERE is_train GROUP BY j)),
+pc AS (SELECT label AS class, count(*) AS nc FROM l WHERE is_train AND j = 0 GROUP BY label),
+pr AS (SELECT class, ln(nc / (SELECT CAST(sum(nc) AS DOUBLE) FROM pc)) AS lp FROM pc),
+th AS (SELECT label AS class, j, avg(x) AS mu, var_pop(x) + (SELECT eps FROM fv) AS var
+       FROM l WHERE is_train GROUP BY label, j),
+jl AS (SELECT l.vec_id, l.label, th.class,
+              sum(-0.5 * ln({2.0 * 3.141592653589793!r} * th.var) - 0.5 * (l.x - th.mu) * (l.x - th.mu) / th.var) AS s
+       FROM l JOIN th ON l.j = th.j WHERE NOT l.is_train GROUP BY l.vec_id, l.label, th.class)
+SELECT vec_id, label, arg_max(class, s + lp) AS pred FROM jl JOIN pr USING (class) GROUP BY vec_id, label""")(_gnb)
