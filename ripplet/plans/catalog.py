@@ -441,3 +441,42 @@ jl AS (SELECT l.vec_id, l.label, th.class,
               sum(-0.5 * ln({2.0 * 3.141592653589793!r} * th.var) - 0.5 * (l.x - th.mu) * (l.x - th.mu) / th.var) AS s
        FROM l JOIN th ON l.j = th.j WHERE NOT l.is_train GROUP BY l.vec_id, l.label, th.class)
 SELECT vec_id, label, arg_max(class, s + lp) AS pred FROM jl JOIN pr USING (class) GROUP BY vec_id, label""")(_gnb)
+
+# ---------------------------------------------------------------- F Spark ML families (rows-only)
+from ripplet.operators import models as MD  # noqa: E402
+from ripplet.session import materialize  # noqa: E402
+
+
+def _ml_panel(spark, d):
+    # Lineage cut: every fit re-reads the written panel, not the raw scan.
+    return materialize(daily_panel(spark, d), "ml_panel")
+
+
+def ml_regression(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    panel = _ml_panel(spark, d)
+    ests = MD.regression_estimators(panel.where(F.col("split") == "train"))
+    preds, log = MD.fit_and_evaluate(panel, ests, "regression", "target_vol")
+    g = MD.fit_gbt_native(panel, "regression", "target_vol")
+    preds = preds.unionByName(MD.predictions_long(g, panel, "gbt", "regression", "target_vol"))
+    return preds, log
+
+
+def ml_classification(spark: SparkSession, d: str) -> DataFrame:
+    panel = _ml_panel(spark, d)
+    ests = MD.classification_estimators(panel.where(F.col("split") == "train"))
+    preds, _ = MD.fit_and_evaluate(panel, ests, "classification", "target_regime")
+    g = MD.fit_gbt_native(panel, "classification", "target_regime")
+    preds = preds.unionByName(MD.predictions_long(g, panel, "gbt", "classification", "target_regime"))
+    return preds.unionByName(MD.platt_calibrated_svc(panel))
+
+
+register("ml_regression_metrics", None)(
+    lambda spark, d: _r(M.regression_metrics(ml_regression(spark, d)[0]), {"r2": 6}))
+
+
+def _ml_cls_metrics(spark, d):
+    p = materialize(ml_classification(spark, d), "ml_cls_preds")
+    return _r(M.roc_auc(p).join(M.classification_metrics(p), ["symbol", "model", "split"]))
+
+
+register("ml_classification_metrics", None)(_ml_cls_metrics)

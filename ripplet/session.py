@@ -34,6 +34,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # Local mode: the driver JVM is the only executor; size its heap.
+            b = b.config("spark.driver.memory", "12g")
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
