@@ -33,3 +33,23 @@ def guarded(agg: Column, x: Column, w, n: int) -> Column:
     """``agg`` over a rolling frame, NULL unless all ``n`` values are non-null
     (the ``min_periods = n`` rule)."""
     return F.when(F.count(x).over(w) == n, agg.over(w))
+
+
+def ntz_to_micros(c: Column) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ by field arithmetic (no session
+    time zone is involved, unlike casts to TIMESTAMP)."""
+    days = F.unix_date(F.to_date(c)).cast("bigint")
+    sec_frac = F.date_part(F.lit("SECOND"), c)  # decimal seconds with micro fraction
+    return (days * F.lit(86_400_000_000) + F.hour(c).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(c).cast("bigint") * F.lit(60_000_000)
+            + (sec_frac * F.lit(1_000_000)).cast("bigint"))
+
+
+def micros_to_ntz(m: Column) -> Column:
+    """Inverse of :func:`ntz_to_micros` (whole seconds)."""
+    days = F.floor(m / F.lit(86_400_000_000))
+    rem = (m - days * F.lit(86_400_000_000)) / F.lit(1_000_000)
+    d = F.date_from_unix_date(days.cast("int"))
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),
+                                F.floor(rem / 3600).cast("int"), F.floor((rem % 3600) / 60).cast("int"),
+                                (rem % 60).cast("decimal(16,6)"))

@@ -480,3 +480,15 @@ def _ml_cls_metrics(spark, d):
 
 
 register("ml_classification_metrics", None)(_ml_cls_metrics)
+
+# ---------------------------------------------------------------- streaming (stream == batch)
+from ripplet.streaming import bars as SB  # noqa: E402
+
+
+def _stream_bars(spark, d):
+    schema = read_table(spark, d, "events").schema
+    sink = SB.run_bars_stream(spark, d, schema)
+    return _r(SB.latest_bars(spark, sink))
+
+
+register("stream_bars_hourly", REGISTRY["bars_hourly"][1])(_stream_bars)

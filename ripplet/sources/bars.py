@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ripplet.functions.expr import ntz_to_micros
 from ripplet.sources.tables import read_table
 
 OHLCV_SCHEMA = T.StructType([
@@ -99,7 +100,7 @@ def hourly_bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = ``value``, volume = number of events."""
     ev = read_table(spark, sf_dir, "events")
     # Microseconds since the epoch, time-zone independent for TIMESTAMP_NTZ.
-    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    micros = ntz_to_micros(F.col("ts"))
     bars = ohlcv_bars(ev, symbol="event_type", bar=F.date_trunc("hour", "ts"),
                       price="value", order=[micros, F.col("event_id")], order_digits=[18, 19])
     return bars.withColumnRenamed("bar", "date")
