@@ -492,3 +492,21 @@ def _stream_bars(spark, d):
 
 
 register("stream_bars_hourly", REGISTRY["bars_hourly"][1])(_stream_bars)
+
+# ---------------------------------------------------------------- E4-E7 fitted econometric models (closed-form checks)
+from ripplet.operators import arma_garch as AG  # noqa: E402
+
+
+def _arma(spark, d):
+    return _r(FC.summarize(AG.arma11_forecast(daily_panel(spark, d))))
+
+
+def _garch_fit_filter(spark, d):
+    panel = daily_panel(spark, d)
+    params = materialize(AG.garch11_fit(panel), "garch_params")
+    return _r(FC.summarize(FC.garch_filter(panel, params=params, model="garch_11_fitted"))
+              .join(params, "symbol"))
+
+
+register("arma_forecast_summary", None)(_arma)
+register("garch_fit_summary", None)(_garch_fit_filter)
