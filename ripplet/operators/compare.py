@@ -162,3 +162,40 @@ def delong(wide: DataFrame, models, label: str = "target_regime", keys=("symbol"
                              "statistic": F.when(F.col("_var") > 0,
                                                  (F.col("auc_a") - F.col("auc_b")) / F.sqrt(F.col("_var")))})
     return long.drop("_var").withColumn("p_value", F.expr(normal_two_sided_p_sql("statistic")))
+
+
+def bootstrap_auc_ci(wide: DataFrame, models, label: str = "target_regime", n_boot: int = 2000,
+                     alpha: float = 0.05, seed: int = 42, keys=("symbol",), order: str = "date") -> DataFrame:
+    """K4: percentile bootstrap CI of ROC AUC per (symbol, model).
+
+    Same hash-drawn index table as K3; a replicate's AUC is the exact
+    Mann-Whitney AUC with the draw multiplicities as weights.  Replicates
+    holding one class only are undefined: dropped and counted (T7)."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    ok = F.col(label).isNotNull()
+    for m in models:
+        ok = ok & F.col(m).isNotNull()
+    base = wide.where(ok).select(*keys, order, F.col(label).cast("int").alias("_y"), *models)
+    base = base.withColumns({"_pos": F.row_number().over(w) - 1,
+                             "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+    draws = (base.select(*keys, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
+                 .withColumn("_idx", F.expr(index_sql(str(seed), "b", "_pos", "_n"))))
+    rows = base.select(*keys, F.col("_pos").alias("_idx"), "_y", *models)
+    # Multiplicity of every drawn row per replicate, then one row per (replicate, row).
+    mult = draws.groupBy(*keys, "b", "_idx").agg(F.count(F.lit(1)).alias("_w"))
+    j = mult.join(rows, [*keys, "_idx"]).unpivot([*keys, "b", "_idx", "_w", "_y"], list(models), "model", "score")
+    c = j.groupBy(*keys, "model", "b", "score").agg(
+        F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("_y") == 0, F.col("_w")).otherwise(0)).alias("neg"))
+    wc = Window.partitionBy(*keys, "model", "b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("_nb", F.coalesce(F.sum("neg").over(wc), F.lit(0)))
+    rep = c.groupBy(*keys, "model", "b").agg(
+        F.sum(F.col("pos") * (F.col("_nb") + 0.5 * F.col("neg"))).alias("_u"),
+        F.sum("pos").alias("_p"), F.sum("neg").alias("_q"))
+    rep = rep.withColumn("auc_b", F.when((F.col("_p") > 0) & (F.col("_q") > 0),
+                                         F.col("_u") / (F.col("_p") * F.col("_q")).cast("double")))
+    return rep.groupBy(*keys, "model").agg(
+        F.percentile("auc_b", F.lit(alpha / 2)).alias("ci_lo"),
+        F.percentile("auc_b", F.lit(1 - alpha / 2)).alias("ci_hi"),
+        F.count("auc_b").alias("n_boot"),
+        F.count_if(F.col("auc_b").isNull()).alias("n_undefined"))

@@ -92,15 +92,24 @@ def residual_acf(preds: DataFrame, split: str = "test", n_lags: int = 30, keys=K
     return acf(residual_table(preds, split, keys), "e", n_lags, keys)
 
 
+# Filliben (1975) order-statistic median constants.
+FILLIBEN_A, FILLIBEN_B = 0.3175, 0.365
+
+
 def qq_points(preds: DataFrame, split: str = "test", keys=KEYS) -> DataFrame:
-    """Ordered residuals against normal quantiles at (i - 0.5) / n."""
+    """Ordered residuals against normal quantiles at Filliben's
+    order-statistic medians m_i = (i - 0.3175) / (n + 0.365), with
+    m_n = 0.5^(1/n) and m_1 = 1 - m_n (the positions of a normal probability plot)."""
     from ripplet.functions.special import normal_quantile_sql
     res = residual_table(preds, split, keys)
     w = Window.partitionBy(*keys).orderBy("e", "date")
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    pts = res.select(*keys, "e", ((F.row_number().over(w) - 0.5) / n).alias("pp"))
-    return pts.select(*keys, "pp", F.expr(normal_quantile_sql("pp")).alias("theoretical"),
-                      F.col("e").alias("sample"))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("double")
+    i = F.row_number().over(w).cast("double")
+    last = F.pow(F.lit(0.5), 1.0 / n)
+    pp = (F.when(i == n, last).when(i == 1, 1.0 - last)
+           .otherwise((i - FILLIBEN_A) / (n + FILLIBEN_B)))
+    pts = res.select(*keys, i.cast("int").alias("i"), F.col("e").alias("sample"), pp.alias("pp"))
+    return pts.select(*keys, "i", "pp", F.expr(normal_quantile_sql("pp")).alias("theoretical"), "sample")
 
 
 def residuals_vs_prediction(preds: DataFrame, split: str = "test") -> DataFrame:

@@ -510,3 +510,61 @@ def _garch_fit_filter(spark, d):
 
 register("arma_forecast_summary", None)(_arma)
 register("garch_fit_summary", None)(_garch_fit_filter)
+
+# ---------------------------------------------------------------- J8 Q-Q, K4 AUC bootstrap, I7 master table
+from ripplet.functions.special import normal_quantile_sql  # noqa: E402
+
+register("qq_points", f"""{_DAILY_PREDS},
+res AS (SELECT symbol, model, date, y_true - y_pred AS e FROM preds
+        WHERE split = 'test' AND y_true IS NOT NULL AND y_pred IS NOT NULL),
+o AS (SELECT symbol, model, e, CAST(row_number() OVER (PARTITION BY symbol, model ORDER BY e, date) AS DOUBLE) AS i,
+             CAST(count(*) OVER (PARTITION BY symbol, model) AS DOUBLE) AS n FROM res),
+q AS (SELECT symbol, model, i, e, CASE WHEN i = n THEN power(0.5, 1.0 / n) WHEN i = 1 THEN 1.0 - power(0.5, 1.0 / n)
+                                    ELSE (i - 0.3175) / (n + 0.365) END AS pp FROM o)
+SELECT symbol, model, CAST(i AS INTEGER) AS i, {O.sql_rnd('pp')} AS pp,
+       {O.sql_rnd(normal_quantile_sql('pp'), 6)} AS theoretical, {O.sql_rnd('e')} AS sample FROM q""")(
+    lambda spark, d: _r(J.qq_points(daily_preds(spark, d)), {"theoretical": 6}))
+
+register("bootstrap_auc_ci", f"""{_CLS},
+bt AS (SELECT symbol, model, label, score,
+              row_number() OVER (PARTITION BY symbol, model ORDER BY date) - 1 AS pos,
+              count(*) OVER (PARTITION BY symbol, model) AS n
+       FROM cls WHERE split = 'test' AND label IS NOT NULL AND score IS NOT NULL),
+dr AS (SELECT symbol, model, r.b, {index_sql('42', 'r.b', 'pos', 'n', 'duckdb')} AS idx
+       FROM bt CROSS JOIN range(0, {_B}) r(b)),
+mu AS (SELECT symbol, model, b, idx, count(*) AS w FROM dr GROUP BY ALL),
+j AS (SELECT mu.symbol, mu.model, mu.b, bt.score, mu.w, bt.label FROM mu JOIN bt
+      ON mu.symbol = bt.symbol AND mu.model = bt.model AND mu.idx = bt.pos),
+c AS (SELECT symbol, model, b, score, sum(CASE WHEN label = 1 THEN w ELSE 0 END) AS pos,
+             sum(CASE WHEN label = 0 THEN w ELSE 0 END) AS neg FROM j GROUP BY ALL),
+c2 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY symbol, model, b ORDER BY score
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM c),
+rep AS (SELECT symbol, model, b, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+               sum(pos * (nb + 0.5 * neg)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS auc_b
+        FROM c2 GROUP BY ALL)
+SELECT symbol, model, {O.sql_rnd('quantile_cont(auc_b, 0.025)')} AS ci_lo, {O.sql_rnd('quantile_cont(auc_b, 0.975)')} AS ci_hi,
+       count(auc_b) AS n_boot, count(*) FILTER (WHERE auc_b IS NULL) AS n_undefined FROM rep GROUP BY ALL""")(
+    lambda spark, d: _r(K.bootstrap_auc_ci(daily_wide_test(spark, d), MODELS, n_boot=_B)))
+
+
+def _master(spark, d):
+    panel = daily_panel(spark, d)
+    preds = FC.all_benchmarks(panel)
+    reg = FC.summarize(preds, ("symbol", "model", "split"))
+    cls = M.roc_auc(M.regime_scores(preds, panel))
+    return _r(M.master_table(reg, cls))
+
+
+register("master_table", f"""{_CLS}{_SC},
+sc2 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY symbol, model, split ORDER BY score
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM sc),
+au AS (SELECT symbol, model, split, sum(pos * (nb + 0.5 * neg)) / NULLIF(CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0) AS auc
+       FROM sc2 GROUP BY ALL),
+rg AS (SELECT symbol, model, split, sqrt(avg((y_pred - y_true) * (y_pred - y_true))) AS rmse, avg(abs(y_pred - y_true)) AS mae
+       FROM preds WHERE y_pred IS NOT NULL AND y_true IS NOT NULL GROUP BY ALL),
+u AS (SELECT 'forecast' AS family, symbol, split, model, rmse, mae, CAST(NULL AS DOUBLE) AS auc FROM rg
+      UNION ALL SELECT 'regime', symbol, split, model, NULL, NULL, auc FROM au)
+SELECT family, symbol, split, model, {O.sql_rnd('rmse')} AS rmse, {O.sql_rnd('mae')} AS mae, {O.sql_rnd('auc')} AS auc,
+       row_number() OVER (PARTITION BY family, symbol, split
+                          ORDER BY CASE WHEN family = 'forecast' THEN rmse ELSE -auc END, model) AS rank
+FROM u""")(_master)
