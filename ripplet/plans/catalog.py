@@ -568,3 +568,24 @@ SELECT family, symbol, split, model, {O.sql_rnd('rmse')} AS rmse, {O.sql_rnd('ma
        row_number() OVER (PARTITION BY family, symbol, split
                           ORDER BY CASE WHEN family = 'forecast' THEN rmse ELSE -auc END, model) AS rank
 FROM u""")(_master)
+
+# ---------------------------------------------------------------- H search (rows-only)
+from pyspark.ml.regression import LinearRegression as _LR  # noqa: E402
+from ripplet.operators import search as H  # noqa: E402
+
+
+def _ridge(params):
+    return _LR(elasticNetParam=0.0, regParam=float(params["reg"]), standardization=False,
+               solver="normal", featuresCol="features", labelCol="target_vol")
+
+
+def _search(spark, d):
+    panel = _ml_panel(spark, d)
+    train = panel.where(F.col("split") == "train").drop("split")
+    ev = lambda p: H.cv_score(train, _ridge, p)
+    grid = H.run_search(spark, "grid", ev, H.grid_candidates({"reg": [1e-4, 1e-3, 1e-2, 1e-1]}))
+    rnd = H.run_search(spark, "random", ev, H.random_candidates({"reg": ("log", 1e-5, 1.0)}, 4))
+    return _r(H.best_so_far(grid.unionByName(rnd)))
+
+
+register("search_best_so_far", None)(_search)
