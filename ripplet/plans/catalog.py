@@ -589,3 +589,38 @@ def _search(spark, d):
 
 
 register("search_best_so_far", None)(_search)
+
+# ---------------------------------------------------------------- L explanation
+from ripplet.operators import explain as L  # noqa: E402
+
+_CASES = ["high_hit", "low_hit", "worst_over", "worst_under"]
+register("representative_cases", f"""{_DAILY_PREDS},
+dd AS (SELECT symbol, model, date, y_true, y_pred, y_pred - y_true AS e,
+              quantile_cont(y_true, 0.9) OVER (PARTITION BY symbol, model) AS p90,
+              quantile_cont(y_true, 0.1) OVER (PARTITION BY symbol, model) AS p10
+       FROM preds WHERE split = 'test' AND y_true IS NOT NULL AND y_pred IS NOT NULL),
+ag AS (SELECT symbol, model,
+         arg_max({{'date': date, 'y_true': y_true, 'y_pred': y_pred}}, {{'y': y_true, 'd': date}}) FILTER (WHERE y_true > p90 AND abs(e) < 0.001) AS high_hit,
+         arg_min({{'date': date, 'y_true': y_true, 'y_pred': y_pred}}, {{'y': y_true, 'd': date}}) FILTER (WHERE y_true < p10 AND abs(e) < 0.001) AS low_hit,
+         arg_max({{'date': date, 'y_true': y_true, 'y_pred': y_pred}}, {{'e': e, 'd': date}}) AS worst_over,
+         arg_min({{'date': date, 'y_true': y_true, 'y_pred': y_pred}}, {{'e': e, 'd': date}}) AS worst_under
+       FROM dd GROUP BY symbol, model),
+lg AS ({" UNION ALL ".join(f"SELECT symbol, model, '{c}' AS case_name, {c} AS r FROM ag" for c in _CASES)})
+SELECT symbol, model, case_name AS "case", r.date AS date, {O.sql_rnd('r.y_true')} AS y_true, {O.sql_rnd('r.y_pred')} AS y_pred
+FROM lg WHERE r IS NOT NULL""")(
+    lambda spark, d: _r(L.representative_cases(daily_preds(spark, d))))
+
+
+def _importance(spark, d):
+    panel = _ml_panel(spark, d)
+    model = MD.fit_gbt_native(panel, "regression", "target_vol")
+    feats = list(FEATURE_COLUMNS)
+    gain = L.native_importance(model, feats).select(F.lit("gain").alias("method"), "feature",
+                                                    F.col("gain").alias("score"))
+    perm = L.permutation_importance(model, panel.where(F.col("split") == "test"), feats, "target_vol") \
+            .select(F.lit("permutation").alias("method"), "feature", F.col("importance_mean").alias("score"))
+    scores = materialize(gain.unionByName(perm), "importance_scores")
+    return _r(L.combined_importance(scores))
+
+
+register("combined_importance", None)(_importance)
