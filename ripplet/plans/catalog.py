@@ -624,3 +624,14 @@ def _importance(spark, d):
 
 
 register("combined_importance", None)(_importance)
+
+# ---------------------------------------------------------------- M mixture / ensemble / ablation (rows-only)
+from ripplet.operators import mixture as MX  # noqa: E402
+
+
+def _ablation(spark, d):
+    comps = materialize(MX.mixture_components(_ml_panel(spark, d)), "mixture_components")
+    return _r(MX.ablation(comps), {"r2": 6})
+
+
+register("mixture_ablation", None)(_ablation)
