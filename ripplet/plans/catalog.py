@@ -635,3 +635,55 @@ def _ablation(spark, d):
 
 
 register("mixture_ablation", None)(_ablation)
+
+# ---------------------------------------------------------------- J5 BDS
+from ripplet.operators import bds as BDS  # noqa: E402
+
+
+def _bds_sql(max_dim: int = 3) -> str:
+    P = "PARTITION BY symbol, model"
+    chain = "pr AS c1"
+    conds = []
+    for m in range(2, max_dim + 1):
+        pass
+    dims = []
+    for m in range(2, max_dim + 1):
+        joins = " ".join(f"JOIN pr p{k} ON p{k}.symbol = p0.symbol AND p{k}.model = p0.model "
+                         f"AND p{k}.i = p0.i - {k} AND p{k}.j = p0.j - {k}" for k in range(1, m))
+        dims.append(f"pm{m} AS (SELECT p0.symbol, p0.model, count(*) AS pm FROM pr p0 {joins} GROUP BY ALL)")
+    stat_rows = []
+    for m in range(2, max_dim + 1):
+        npair = f"((n - {m} + 1) * (n - {m}) / 2.0)"
+        tmp = " + ".join(f"power(k, {m - j}) * power(c1, {2 * j})" for j in range(1, m))
+        var = (f"4.0 * (power(k, {m}) + 2.0 * ({tmp}) + {(m - 1) ** 2}.0 * power(c1, {2 * m}) "
+               f"- {m * m}.0 * k * power(c1, {2 * m - 2}))")
+        stat = f"sqrt(n - {m} + 1.0) * (coalesce(pm{m}.pm, 0) / {npair} - power(p1_{m} / {npair}, {m})) / sqrt({var})"
+        stat_rows.append(f"SELECT st.symbol, st.model, eps, {m} AS dim, {stat} AS statistic FROM st "
+                         f"LEFT JOIN pm{m} ON pm{m}.symbol = st.symbol AND pm{m}.model = st.model")
+    return f"""{_DAILY_PREDS},
+res AS (SELECT symbol, model, y_true - y_pred AS x,
+               row_number() OVER ({P} ORDER BY date) - 1 AS t FROM preds
+        WHERE split = 'test' AND y_true IS NOT NULL AND y_pred IS NOT NULL),
+rs AS (SELECT *, count(*) OVER ({P}) AS n, 0.5 * stddev_pop(x) OVER ({P}) AS eps FROM res),
+pr AS (SELECT a.symbol, a.model, a.t AS i, b.t AS j FROM rs a JOIN rs b
+       ON a.symbol = b.symbol AND a.model = b.model AND a.t < b.t AND abs(a.x - b.x) < a.eps),
+dg AS (SELECT symbol, model, v, count(*) AS d FROM (SELECT symbol, model, i AS v FROM pr UNION ALL
+                                                    SELECT symbol, model, j FROM pr) GROUP BY ALL),
+ds AS (SELECT symbol, model, sum(d * d) AS sum_d2 FROM dg GROUP BY ALL),
+cn AS (SELECT symbol, model, count(*) AS p1, {", ".join(f"count(*) FILTER (WHERE i >= {m - 1}) AS p1_{m}" for m in range(2, max_dim + 1))}
+       FROM pr GROUP BY ALL),
+mt AS (SELECT symbol, model, CAST(any_value(n) AS DOUBLE) AS n, any_value(eps) AS eps FROM rs GROUP BY ALL),
+st0 AS (SELECT mt.*, coalesce(cn.p1, 0) AS p1, coalesce(ds.sum_d2, 0) AS sum_d2,
+               {", ".join(f"coalesce(cn.p1_{m}, 0) AS p1_{m}" for m in range(2, max_dim + 1))}
+        FROM mt LEFT JOIN cn USING (symbol, model) LEFT JOIN ds USING (symbol, model)),
+st AS (SELECT *, p1 / (n * (n - 1) / 2.0) AS c1,
+              ((n + 4 * p1 + sum_d2) - 3 * (n + 2 * p1) + 2 * n) / (n * (n - 1) * (n - 2)) AS k FROM st0),
+{", ".join(dims)},
+bd AS ({" UNION ALL ".join(stat_rows)})
+SELECT symbol, model, {O.sql_rnd('eps')} AS eps, dim, {O.sql_rnd('statistic', 6)} AS statistic,
+       {O.sql_rnd(normal_two_sided_p_sql('statistic'))} AS p_value FROM bd"""
+
+
+register("bds_residuals", _bds_sql())(
+    lambda spark, d: _r(BDS.bds_residuals(daily_preds(spark, d)).withColumn("dim", F.col("dim").cast("int")),
+                        {"statistic": 6}))
