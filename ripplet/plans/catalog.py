@@ -687,3 +687,8 @@ SELECT symbol, model, {O.sql_rnd('eps')} AS eps, dim, {O.sql_rnd('statistic', 6)
 register("bds_residuals", _bds_sql())(
     lambda spark, d: _r(BDS.bds_residuals(daily_preds(spark, d)).withColumn("dim", F.col("dim").cast("int")),
                         {"statistic": 6}))
+
+# ---------------------------------------------------------------- D9 leakage audit (rows-only; expects n_diff = 0)
+from ripplet.operators.leakage import feature_leakage_audit  # noqa: E402
+
+register("leakage_audit", None)(lambda spark, d: feature_leakage_audit(daily_bars_from_lineitem(spark, d)))
