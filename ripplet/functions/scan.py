@@ -12,11 +12,11 @@ Two levels, both plain DataFrame operations:
    every scan (no overflow), so the in-block cumulative sum is a normal
    window sum.  Partitioning by (series, block) also splits one long, hot
    series over many tasks.
-2. one row per block (Z_k = block-final z, len_k) is composed in block order
-   with an ``aggregate`` higher-order function per series:
-   c_k = a^len_k * c_{k-1} + Z_k.  Only ceil(n / B) small structs per series
-   travel, never the rows themselves.  The carry is joined back on
-   (series, block) and s_t = a^(j+1) * c_{k-1} + z_t.
+2. the block-final rows (Z_k = block-final z, A_k = a^len_k) are collected
+   per series by a whole-series window (ceil(n / B) small structs, never the
+   rows) and every row folds the blocks before its own with an ``aggregate``
+   higher-order function: c_k = A_k * c_{k-1} + Z_k, s_t = a^(j+1) * c_{k-1} + z_t.
+   No join back: the input plan is evaluated once.
 """
 
 from __future__ import annotations
@@ -64,31 +64,25 @@ def affine_scans(df: DataFrame, keys: list[str], order: str,
         * F.sum(F.col(f"_sb{i}") * F.pow(F.col(f"_sa{i}"), -F.col("_j"))).over(w_blk)
         for i in range(k)})
 
-    blocks = base.groupBy(*keys, "_blk").agg(
-        F.count(F.lit(1)).alias("len"),
-        *[F.max_by(f"_sz{i}", "_pos").alias(f"Z{i}") for i in range(k)],
-        *[F.first(f"_sa{i}").alias(f"a{i}") for i in range(k)])
-    blocks = blocks.select(*keys, F.struct(
-        F.col("_blk").cast("bigint").alias("blk"),
-        *[(F.pow(F.col(f"a{i}"), F.col("len").cast("double"))).alias(f"A{i}") for i in range(k)],
-        *[F.col(f"Z{i}") for i in range(k)]).alias("s"))
+    # Block summaries ride along the rows: the last row of each block carries
+    # (blk, a^len, Z) and a whole-series window collects them (one array per
+    # series, shared by its rows).  No join back, hence no second evaluation of
+    # the input plan and no extra exchange: (keys) hash partitioning already
+    # satisfies the (keys, _blk) windows.
+    last = F.col("_pos") == F.max("_pos").over(Window.partitionBy(*keys, "_blk"))
+    summ = F.struct(F.col("_blk").cast("bigint").alias("blk"),
+                    *[F.pow(F.col(f"_sa{i}"), F.col("_j") + 1).alias(f"A{i}") for i in range(k)],
+                    *[F.col(f"_sz{i}").alias(f"Z{i}") for i in range(k)])
+    base = base.withColumn("_bl", F.array_sort(F.collect_list(F.when(last, summ)).over(Window.partitionBy(*keys))))
     zero = ", ".join(f"'c{i}', CAST(0.0 AS DOUBLE)" for i in range(k))
-    out_t = ", ".join(f"cin{i}: DOUBLE" for i in range(k))
     nxt = ", ".join(f"'c{i}', x.A{i} * acc.c{i} + x.Z{i}" for i in range(k))
-    rec = ", ".join(f"'cin{i}', acc.c{i}" for i in range(k))
-    fold = (f"aggregate(bl, named_struct({zero}, 'out', CAST(array() AS ARRAY<STRUCT<blk: BIGINT, {out_t}>>)), "
-            f"(acc, x) -> named_struct({nxt}, 'out', concat(acc.out, array(named_struct('blk', x.blk, {rec})))), "
-            f"acc -> acc.out)")
-    carries = (blocks.groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("bl"))
-               .select(*keys, F.explode(F.expr(fold)).alias("c"))
-               .select(*keys, F.col("c.blk").alias("_blk"),
-                       *[F.col(f"c.cin{i}").alias(f"_cin{i}") for i in range(k)]))
-    joined = base.join(carries, on=[*keys, "_blk"], how="left")
-    outs = {out: F.pow(F.col(f"_sa{i}"), F.col("_j") + 1) * F.coalesce(F.col(f"_cin{i}"), F.lit(0.0))
+    carry = F.expr(f"aggregate(filter(_bl, x -> x.blk < _blk), named_struct({zero}), "
+                   f"(acc, x) -> named_struct({nxt}))")
+    base = base.withColumn("_cin", F.when(F.col("_blk") > 0, carry))
+    outs = {out: F.pow(F.col(f"_sa{i}"), F.col("_j") + 1) * F.coalesce(F.col(f"_cin.c{i}"), F.lit(0.0))
             + F.col(f"_sz{i}") for i, (_, _, out) in enumerate(scans)}
-    drop = ["_pos", "_bsz", "_blk", "_j"] + [f"_s{x}{i}" for i in range(k) for x in "abz"] + \
-           [f"_cin{i}" for i in range(k)]
-    return joined.withColumns(outs).drop(*drop)
+    drop = ["_pos", "_bsz", "_blk", "_j", "_bl", "_cin"] + [f"_s{x}{i}" for i in range(k) for x in "abz"]
+    return base.withColumns(outs).drop(*drop)
 
 
 def affine_scan(df: DataFrame, keys: list[str], order: str, a: Column | float, b: Column,

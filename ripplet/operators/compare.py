@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ripplet.functions.random import index_sql
 from ripplet.functions.special import normal_two_sided_p_sql
+from ripplet.session import materialize
 
 
 def _pairs(models) -> list[tuple[str, str]]:
@@ -92,6 +93,9 @@ def bootstrap_rmse_ci(wide: DataFrame, models, y: str = "target_vol", n_boot: in
     base = wide.where(ok).select(*keys, order, *[((F.col(m) - F.col(y)) ** 2).alias(f"_e{m}") for m in models])
     base = base.withColumns({"_pos": F.row_number().over(w) - 1,
                              "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+    # The draws join back to these rows: write them once (lineage cut) instead
+    # of re-deriving the whole upstream plan on both sides of the join.
+    base = materialize(base, "bootstrap_rmse_base")
     draws = (base.select(*keys, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
                  .withColumn("_idx", F.expr(index_sql(str(seed), "b", "_pos", "_n"))))
     errs = base.select(*keys, F.col("_pos").alias("_idx"), *[f"_e{m}" for m in models])
@@ -178,6 +182,7 @@ def bootstrap_auc_ci(wide: DataFrame, models, label: str = "target_regime", n_bo
     base = wide.where(ok).select(*keys, order, F.col(label).cast("int").alias("_y"), *models)
     base = base.withColumns({"_pos": F.row_number().over(w) - 1,
                              "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+    base = materialize(base, "bootstrap_auc_base")
     draws = (base.select(*keys, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
                  .withColumn("_idx", F.expr(index_sql(str(seed), "b", "_pos", "_n"))))
     rows = base.select(*keys, F.col("_pos").alias("_idx"), "_y", *models)

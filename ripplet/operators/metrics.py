@@ -128,3 +128,14 @@ def speedup_table(runs: DataFrame, floor_sec: float = 1e-6) -> DataFrame:
     change = (F.col("m1") - F.col("m0")) / F.abs(F.col("m0")) * 100.0
     return j.select("task", (F.greatest("t0", F.lit(floor_sec)) / F.greatest("t1", F.lit(floor_sec))).alias("speedup"),
                     F.when(F.col("lower_is_better"), -change).otherwise(change).alias("metric_change_pct"))
+
+
+def regime_scores_wide(wide, models) -> "DataFrame":
+    """Classification view straight from the wide forecast table (label and
+    threshold are already on the row, so no join back to the panel)."""
+    base = wide.select("symbol", "date", "split", F.col("target_regime").alias("label"), "regime_threshold",
+                       *[F.col(m).cast("double") for m in models])
+    long = base.unpivot(["symbol", "date", "split", "label", "regime_threshold"], list(models), "model", "score")
+    return long.select("symbol", "date", "split", "model", "label", "score",
+                       F.when(F.col("score").isNotNull(),
+                              (F.col("score") > F.col("regime_threshold")).cast("int")).alias("pred"))

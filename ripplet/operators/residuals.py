@@ -76,15 +76,25 @@ def residual_tests(preds: DataFrame, split: str = "test", keys=KEYS) -> DataFram
 
 def residual_summary(preds: DataFrame, split: str = "test", keys=KEYS) -> DataFrame:
     """Descriptives (n, mean, std ddof 1, min, max, population skew and
-    excess kurtosis) next to every test statistic and p-value."""
+    excess kurtosis) next to every test statistic and p-value, computed as
+    columns of the single statistics row (one pass, no pivot / join back)."""
     st = residual_stats(residual_table(preds, split, keys), keys)
-    tests = _tests_from_stats(st, keys)
-    wide = tests.groupBy(*keys).pivot("test", ["white", "breusch_pagan", "ljung_box(lag=10)", "jarque_bera"]) \
-                .agg(F.first("statistic").alias("stat"), F.first("p_value").alias("p"))
-    wide = wide.toDF(*[c.replace("(lag=10)", "").replace("breusch_pagan", "bp").replace("jarque_bera", "jb")
-                       for c in wide.columns])
+    n = F.col("n").cast("double")
+    det = F.col("v11") * F.col("v22") - F.col("v12") * F.col("v12")
+    b1 = (F.col("c1") * F.col("v22") - F.col("c2") * F.col("v12")) / det
+    b2 = (F.col("c2") * F.col("v11") - F.col("c1") * F.col("v12")) / det
+    st = st.withColumns({
+        "white_stat": n * (b1 * F.col("c1") + b2 * F.col("c2")) / F.col("vu"),
+        "bp_stat": n * F.col("c1") * F.col("c1") / (F.col("v11") * F.col("vu")),
+        "ljung_box_stat": F.col("lb"),
+        "jb_stat": n / 6.0 * (F.col("skew_pop") ** 2 + F.col("kurt_pop") ** 2 / 4.0)})
+    st = st.withColumns({"white_p": F.expr(chi2_sf_sql("white_stat", 2)),
+                         "bp_p": F.expr(chi2_sf_sql("bp_stat", 1)),
+                         "ljung_box_p": F.expr(chi2_sf_sql("ljung_box_stat", 10)),
+                         "jb_p": F.expr(chi2_sf_sql("jb_stat", 2))})
     return st.select(*keys, "n", "mean", "std", "min", "max", F.col("skew_pop").alias("skew"),
-                     F.col("kurt_pop").alias("kurtosis")).join(wide, list(keys))
+                     F.col("kurt_pop").alias("kurtosis"), "white_stat", "white_p", "bp_stat", "bp_p",
+                     "ljung_box_stat", "ljung_box_p", "jb_stat", "jb_p")
 
 
 def residual_acf(preds: DataFrame, split: str = "test", n_lags: int = 30, keys=KEYS) -> DataFrame:

@@ -179,8 +179,7 @@ _CLS = _DAILY_PREDS + O.cls_cte()
 
 
 def daily_cls(spark: SparkSession, d: str) -> DataFrame:
-    panel = daily_panel(spark, d)
-    return M.regime_scores(FC.all_benchmarks(panel), panel)
+    return M.regime_scores_wide(FC.add_forecasts(daily_panel(spark, d)), FC.MODELS)
 
 
 register("classification_metrics", f"""{_CLS}
@@ -548,10 +547,9 @@ SELECT symbol, model, {O.sql_rnd('quantile_cont(auc_b, 0.025)')} AS ci_lo, {O.sq
 
 
 def _master(spark, d):
-    panel = daily_panel(spark, d)
-    preds = FC.all_benchmarks(panel)
-    reg = FC.summarize(preds, ("symbol", "model", "split"))
-    cls = M.roc_auc(M.regime_scores(preds, panel))
+    wide = materialize(FC.add_forecasts(daily_panel(spark, d)), "forecasts_wide")
+    reg = FC.summarize(FC.to_long(wide), ("symbol", "model", "split"))
+    cls = M.roc_auc(M.regime_scores_wide(wide, FC.MODELS))
     return _r(M.master_table(reg, cls))
 
 
