@@ -33,3 +33,18 @@ def uniform_sql(k0: str, k1: str, k2: str, dialect: str = "spark") -> str:
 def index_sql(k0: str, k1: str, k2: str, n: str, dialect: str = "spark") -> str:
     """Uniform index in [0, n)."""
     return f"({hash31_sql(k0, k1, k2, dialect)} % CAST({n} AS BIGINT))"
+
+
+def dense_index(df, id_col: str, buckets: int = 64):
+    """Dense 0..n-1 index ordered by (hash bucket, id) without a global sort:
+    per-bucket counts -> prefix offsets over ``buckets`` rows -> offset +
+    row_number inside the bucket."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    b = df.withColumn("_bk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)))
+    off = (b.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_off", F.sum("_c").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)))
+            .select("_bk", F.coalesce("_off", F.lit(0)).alias("_off")))
+    w = Window.partitionBy("_bk").orderBy(id_col)
+    return (b.join(F.broadcast(off), "_bk")  # at most ``buckets`` rows
+             .withColumn("_i", F.col("_off") + F.row_number().over(w) - 1).drop("_bk", "_off"))

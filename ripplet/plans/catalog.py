@@ -690,3 +690,40 @@ register("bds_residuals", _bds_sql())(
 from ripplet.operators.leakage import feature_leakage_audit  # noqa: E402
 
 register("leakage_audit", None)(lambda spark, d: feature_leakage_audit(daily_bars_from_lineitem(spark, d)))
+
+# ---------------------------------------------------------------- F6 kNN, G1 SMOTE, G2 ADASYN (embeddings)
+from ripplet.operators import knn as KNN  # noqa: E402
+
+
+def _emb_split(spark, d):
+    return NB.embeddings_split(read_table(spark, d, "embeddings"))
+
+
+def _knn(spark, d):
+    e = _emb_split(spark, d)
+    return _r(KNN.knn_predict(e.where(F.col("split") == "test"), e.where(F.col("split") == "train"), k=15))
+
+
+register("knn_embeddings", f"""WITH
+e AS (SELECT vec_id, label, {uniform_sql('42', 'vec_id', '0', 'duckdb')} < 0.7 AS is_train, embedding FROM embeddings),
+l AS (SELECT vec_id, label, is_train, generate_subscripts(embedding, 1) AS j, CAST(unnest(embedding) AS DOUBLE) AS x FROM e),
+dd AS (SELECT q.vec_id AS qid, r.vec_id AS rid, sqrt(sum((q.x - r.x) * (q.x - r.x))) AS dist
+       FROM l q JOIN l r ON q.j = r.j WHERE NOT q.is_train AND r.is_train GROUP BY q.vec_id, r.vec_id),
+nn AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rk FROM dd),
+top AS (SELECT nn.qid, e.label AS y FROM nn JOIN e ON e.vec_id = nn.rid WHERE rk <= 15),
+votes AS (SELECT qid, y, count(*) AS v FROM top GROUP BY ALL),
+pred AS (SELECT qid, arg_min(y, (-v, y)) AS pred FROM votes GROUP BY qid),
+mean AS (SELECT qid, avg(CAST(y AS DOUBLE)) AS mean_label FROM top GROUP BY qid)
+SELECT e.vec_id, e.label, pred.pred, {O.sql_rnd('mean.mean_label')} AS mean_label
+FROM e JOIN pred ON pred.qid = e.vec_id JOIN mean ON mean.qid = e.vec_id""")(_knn)
+
+
+def _binary_train(spark, d):
+    e = _emb_split(spark, d).where(F.col("split") == "train")
+    return e.withColumn("y", (F.col("label") == 0).cast("int"))
+
+
+register("smote_embeddings", None)(
+    lambda spark, d: KNN.smote(_binary_train(spark, d), k=5).select("synthetic_id", "seed_id", "neighbour_id", "u", "y"))
+register("adasyn_embeddings", None)(
+    lambda spark, d: KNN.adasyn(_binary_train(spark, d), k=5).drop("embedding"))
