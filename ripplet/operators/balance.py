@@ -62,3 +62,38 @@ def technique_matrix(results: DataFrame, metric: str, techniques: list[str]) ->
 
 def uniform(seed: int, a: str, b: str) -> F.Column:
     return F.expr(uniform_sql(str(seed), a, b))
+
+
+def balancing_experiment(panel: DataFrame, label: str = "target_regime") -> DataFrame:
+    """Models x techniques on the regime task; long (model, technique,
+    symbol, auc, f1) on the test split.  Techniques: none, balanced class
+    weights (G3 as ``weightCol``), and training on the 90/10 undersample (G5)."""
+    from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
+    from ripplet.operators.metrics import classification_metrics, roc_auc
+    from ripplet.operators.models import make_pipeline, predictions_long
+    train = panel.where(F.col("split") == "train")
+    weighted = add_weight_col(train.withColumnRenamed(label, "_lab"), "_lab", ("symbol",), "balanced") \
+        .withColumnRenamed("_lab", label)
+    under = undersample_positives(train.withColumnRenamed(label, "_lab"), "unix_date(date)", "_lab") \
+        .withColumnRenamed("_lab", label)
+    n = train.count()
+
+    def models(weight: str | None):
+        kw = dict(featuresCol="features", labelCol=label)
+        if weight:
+            kw["weightCol"] = weight
+        return {"logreg_l2": LogisticRegression(elasticNetParam=0.0, regParam=1.0 / n, standardization=False,
+                                                maxIter=200, **kw),
+                "gaussian_nb": NaiveBayes(modelType="gaussian", **kw),
+                "tree": DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=42, **kw)}
+
+    out = None
+    for tech, data, wcol in (("none", train, None), ("class_weight", weighted, "weight"),
+                             ("undersample_10pct", under, None)):
+        for name, est in models(wcol).items():
+            p = predictions_long(make_pipeline(est).fit(data), panel.where(F.col("split") == "test"),
+                                 name, "classification", label)
+            m = roc_auc(p).join(classification_metrics(p), ["symbol", "model", "split"]) \
+                .select("symbol", "model", F.lit(tech).alias("technique"), "auc", "f1")
+            out = m if out is None else out.unionByName(m)
+    return out

@@ -727,3 +727,13 @@ register("smote_embeddings", None)(
     lambda spark, d: KNN.smote(_binary_train(spark, d), k=5).select("synthetic_id", "seed_id", "neighbour_id", "u", "y"))
 register("adasyn_embeddings", None)(
     lambda spark, d: KNN.adasyn(_binary_train(spark, d), k=5).drop("embedding"))
+
+# ---------------------------------------------------------------- G6 model x technique matrix (rows-only)
+def _technique_matrix(spark, d):
+    res = materialize(G.balancing_experiment(_ml_panel(spark, d)), "balancing_results")
+    auc = res.groupBy("symbol", "model").pivot("technique", ["none", "class_weight", "undersample_10pct"]) \
+             .agg(F.first("auc"))
+    return _r(auc)
+
+
+register("balancing_auc_matrix", None)(_technique_matrix)
