@@ -737,3 +737,17 @@ def _technique_matrix(spark, d):
 
 
 register("balancing_auc_matrix", None)(_technique_matrix)
+
+# ---------------------------------------------------------------- F9 / F10 kernel machines on random Fourier features
+from ripplet.operators import kernel as KR  # noqa: E402
+
+register("rff_svr_metrics", None)(
+    lambda spark, d: _r(M.regression_metrics(KR.rff_svr(_ml_panel(spark, d))), {"r2": 6}))
+
+
+def _rff_svc(spark, d):
+    p = materialize(KR.rff_svc(_ml_panel(spark, d)), "rff_svc_preds")
+    return _r(M.roc_auc(p).join(M.classification_metrics(p), ["symbol", "model", "split"]))
+
+
+register("rff_svc_metrics", None)(_rff_svc)
