@@ -96,3 +96,68 @@ def combined_importance(scores: DataFrame) -> DataFrame:
     n_methods = s.select("method").distinct().count()
     comb = s.groupBy("feature").agg((F.sum("_n") / F.lit(float(n_methods))).alias("combined"))
     return comb.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("combined"), "feature")))
+
+
+def lime(model: PipelineModel, train: DataFrame, instances: DataFrame, features: list[str],
+         label: str = "target_vol", n_samples: int = 2000, seed: int = 42, top: int = 8,
+         alpha: float = 1.0) -> DataFrame:
+    """Local surrogate (Ribeiro et al., 2016) for each instance row.
+
+    Quartile-discretised perturbations: for perturbation s > 0 each feature
+    draws a quartile bin uniformly and a value uniformly inside the bin
+    (training min/quartiles/max); s = 0 is the instance itself.  Binary
+    representation z_j = [bin == instance bin]; kernel weight
+    sqrt(exp(-d^2 / width^2)), d = ||1 - z||, width = 0.75 sqrt(p).  A weighted
+    ridge (alpha, free intercept) of the model output on z per instance gives
+    the explanation; the ``top`` largest |weights| are returned."""
+    from ripplet.functions.random import uniform_sql
+    p = len(features)
+    qs = train.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 10000).alias(f"q_{c}") for c in features],
+                   *[F.min(c).alias(f"lo_{c}") for c in features], *[F.max(c).alias(f"hi_{c}") for c in features])
+    inst = instances.select("symbol", "date", *features).crossJoin(F.broadcast(qs))  # one stats row
+    inst = inst.withColumn("inst", F.concat_ws("|", "symbol", F.col("date").cast("string")))
+
+    def bin_of(c):
+        q = F.col(f"q_{c}")
+        return (F.when(F.col(c) <= q[0], 0).when(F.col(c) <= q[1], 1).when(F.col(c) <= q[2], 2).otherwise(3))
+
+    inst = inst.withColumns({f"_ib{i}": bin_of(c) for i, c in enumerate(features)})
+    inst = inst.withColumn("_iid", F.abs(F.xxhash64("inst")) % F.lit(1 << 30))
+    pert = inst.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
+    # Draws are separate projections so each hash is evaluated once per row.
+    pert = pert.withColumns({f"_u{i}": F.expr(uniform_sql(str(seed + 2 * i), "_iid", "s")) for i in range(p)})
+    pert = pert.withColumns({f"_v{i}": F.expr(uniform_sql(str(seed + 2 * i + 1), "_iid", "s")) for i in range(p)})
+    pert = pert.withColumns({f"_pb{i}": F.when(F.col("s") == 0, F.col(f"_ib{i}"))
+                             .otherwise(F.floor(F.col(f"_u{i}") * 4).cast("int")) for i in range(p)})
+    new_cols = {}
+    for i, c in enumerate(features):
+        b, q = F.col(f"_pb{i}"), F.col(f"q_{c}")
+        lo = F.when(b == 0, F.col(f"lo_{c}")).when(b == 1, q[0]).when(b == 2, q[1]).otherwise(q[2])
+        hi = F.when(b == 0, q[0]).when(b == 1, q[1]).when(b == 2, q[2]).otherwise(F.col(f"hi_{c}"))
+        new_cols[c] = F.when(F.col("s") == 0, F.col(c)).otherwise(lo + F.col(f"_v{i}") * (hi - lo))
+    pert = pert.withColumns(new_cols)
+    pert = pert.withColumns({f"_z{i}": (F.col(f"_pb{i}") == F.col(f"_ib{i}")).cast("double") for i in range(p)})
+    d2 = sum((1.0 - F.col(f"_z{i}")) ** 2 for i in range(p))
+    width = 0.75 * (p ** 0.5)
+    pert = pert.withColumn("_w", F.sqrt(F.exp(-d2 / (width * width))))
+    scored = model.transform(pert).select("inst", "prediction", "_w", *[f"_z{i}" for i in range(p)])
+
+    # One group per explained instance holds exactly n_samples rows (a
+    # parameter, independent of the data size): weighted ridge with numpy.
+    def fit(pdf):
+        import numpy as np
+        import pandas as pd
+        Z = pdf[[f"_z{i}" for i in range(p)]].to_numpy()
+        X = np.hstack([np.ones((len(Z), 1)), Z])
+        wv = pdf["_w"].to_numpy()
+        y = pdf["prediction"].to_numpy()
+        A = X.T @ (X * wv[:, None])
+        pen = np.full(p + 1, alpha)
+        pen[0] = 0.0
+        coef = np.linalg.lstsq(A + np.diag(pen), X.T @ (wv * y), rcond=None)[0]
+        return pd.DataFrame({"inst": pdf["inst"].iloc[0], "feature": list(features), "weight": coef[1:]})
+
+    long = scored.groupBy("inst").applyInPandas(fit, "inst string, feature string, weight double")
+    w = Window.partitionBy("inst").orderBy(F.desc(F.abs("weight")), "feature")
+    return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top) \
+               .select(F.col("inst").alias("instance"), "feature", "weight", "rank")

@@ -751,3 +751,16 @@ def _rff_svc(spark, d):
 
 
 register("rff_svc_metrics", None)(_rff_svc)
+
+
+def _lime(spark, d):
+    panel = _ml_panel(spark, d)
+    model = MD.fit_gbt_native(panel, "regression", "target_vol")
+    feats = list(FEATURE_COLUMNS)
+    preds = MD.predictions_long(model, panel, "gbt", "regression", "target_vol")
+    cases = L.representative_cases(preds).select("symbol", "date").distinct()
+    inst = panel.join(cases, ["symbol", "date"])
+    return _r(L.lime(model, panel.where(F.col("split") == "train"), inst, feats))
+
+
+register("lime_explanations", None)(_lime)
