@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 from ripplet.operators.features import FEATURE_COLUMNS
 
 SEED = 42
+# Per-task histogram memory for tree growing: only changes how many nodes are
+# split per pass (not the result); small enough for many concurrent tasks.
+TREE_MEM_MB = 32
 
 
 def preprocessing(features: list[str]) -> list:
@@ -63,9 +66,10 @@ def regression_estimators(train: DataFrame, label: str = "target_vol") -> dict:
                                   solver="normal", **common),                                   # F4
         "lasso": LinearRegression(elasticNetParam=1.0, regParam=1e-3, standardization=False,
                                   maxIter=1000, tol=1e-10, **common),                           # F5
-        "tree": DecisionTreeRegressor(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=SEED, **common),  # F7
+        "tree": DecisionTreeRegressor(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=SEED,
+                                      maxMemoryInMB=TREE_MEM_MB, **common),  # F7
         "rf": RandomForestRegressor(numTrees=200, maxDepth=10, minInstancesPerNode=5, maxBins=256,
-                                    featureSubsetStrategy="sqrt", seed=SEED, **common),           # F8
+                                    featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=TREE_MEM_MB, **common),           # F8
     }
 
 
@@ -77,9 +81,10 @@ def classification_estimators(train: DataFrame, label: str = "target_regime") ->
                                         maxIter=500, **common),                                  # F12
         "logreg_l2": LogisticRegression(elasticNetParam=0.0, regParam=1.0 / n, standardization=False,
                                         maxIter=500, **common),
-        "tree": DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=SEED, **common),
+        "tree": DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=SEED,
+                                       maxMemoryInMB=TREE_MEM_MB, **common),
         "rf": RandomForestClassifier(numTrees=200, maxDepth=10, minInstancesPerNode=5, maxBins=256,
-                                     featureSubsetStrategy="sqrt", seed=SEED, **common),
+                                     featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=TREE_MEM_MB, **common),
         "gaussian_nb": NaiveBayes(modelType="gaussian", **common),                               # F11
         "linear_svc": LinearSVC(regParam=1.0 / n, standardization=False, maxIter=500, **common),  # F17
     }
@@ -89,7 +94,7 @@ def gbt(task: str, label: str, max_iter: int) -> object:
     """F13 / F14 boosted trees."""
     kw = dict(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=0.05, maxDepth=4,
               minInstancesPerNode=5, subsamplingRate=0.85, featureSubsetStrategy="0.85",
-              maxBins=256, seed=SEED)
+              maxBins=256, seed=SEED, maxMemoryInMB=TREE_MEM_MB)
     return GBTRegressor(**kw) if task == "regression" else GBTClassifier(**kw)
 
 
