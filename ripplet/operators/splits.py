@@ -69,3 +69,13 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, test_size: int | None =
 def valid_rows(df: DataFrame, targets: list[str] = ("target_vol",)) -> DataFrame:
     """Keep rows with non-null targets."""
     return df.dropna(subset=list(targets))
+
+
+def chronological_holdout(train: DataFrame, holdout_frac: float = 0.15, symbol: str = "symbol",
+                          date: str = "date", out: str = "role") -> DataFrame:
+    """The last ``holdout_frac`` of each symbol's train rows become the
+    early-stopping hold-out (role 'holdout'), the rest stay 'fit'."""
+    w = Window.partitionBy(symbol).orderBy(date)
+    n = F.count(F.lit(1)).over(Window.partitionBy(symbol)).cast("double")
+    cut = n - F.floor(n * F.lit(float(holdout_frac)))
+    return train.withColumn(out, F.when(F.row_number().over(w) <= cut, "fit").otherwise("holdout"))

@@ -6,6 +6,7 @@ oracle's, so the driver's order-insensitive value hash can compare them."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -764,3 +765,55 @@ def _lime(spark, d):
 
 
 register("lime_explanations", None)(_lime)
+
+# ---------------------------------------------------------------- A3 provenance, D7 hold-out, I8 speed-up table
+from ripplet.operators.splits import chronological_holdout  # noqa: E402
+from ripplet.sources.bars import load_panel_bars  # noqa: E402
+
+register("bars_with_provenance", f"""
+WITH b AS ({O.daily_bars_sql()})
+SELECT {O.select_rounded(BAR_COLS, SIX)}, 'lineitem_transactions' AS source FROM b""")(
+    lambda spark, d: _r(load_panel_bars(spark, d, csv_glob=os.path.join(d, "*.us.txt"))))
+
+register("train_holdout_split", f"""{_PANEL},
+tr AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn,
+              CAST(count(*) OVER (PARTITION BY symbol) AS DOUBLE) AS n FROM panel WHERE split = 'train')
+SELECT symbol, date, CASE WHEN rn <= n - floor(n * CAST(0.15 AS DOUBLE)) THEN 'fit' ELSE 'holdout' END AS role FROM tr""")(
+    lambda spark, d: chronological_holdout(daily_panel(spark, d).where(F.col("split") == "train"))
+                      .select("symbol", "date", "role"))
+
+
+def _speedup(spark, d):
+    import time as _t
+    from pyspark.ml.regression import LinearRegression as _LinReg
+    panel = _ml_panel(spark, d)
+    train = panel.where(F.col("split") == "train")
+    test = panel.where(F.col("split") == "test")
+    runs = []
+    for variant, solver in (("standard", "l-bfgs"), ("optimised", "normal")):
+        est = _LinReg(elasticNetParam=0.0, regParam=1e-3, standardization=False, solver=solver,
+                      featuresCol="features", labelCol="target_vol")
+        t0 = _t.perf_counter()
+        m = MD.make_pipeline(est).fit(train)
+        dt = _t.perf_counter() - t0
+        e = F.col("prediction") - F.col("target_vol")
+        rmse = m.transform(test).agg(F.sqrt(F.avg(e * e))).first()[0]
+        runs.append(("ridge_solver", variant, dt, float(rmse), True))
+    emb = NB.embeddings_split(read_table(spark, d, "embeddings"))
+    long = materialize(NB.explode_vectors(emb, "vec_id", "embedding", extra=("label", "split")), "gnb_long")
+    tr, te = long.where(F.col("split") == "train"), long.where(F.col("split") == "test")
+    t0 = _t.perf_counter()
+    full = NB.fit_gnb(tr).cache(); full.count()
+    t_full = _t.perf_counter() - t0
+    t0 = _t.perf_counter()
+    halves = [NB.sufficient_stats(tr.where(F.col("vec_id") % 2 == i)) for i in (0, 1)]
+    inc = NB.gnb_from_stats(NB.merge_stats(*halves)).cache(); inc.count()
+    t_inc = _t.perf_counter() - t0
+    for variant, params, dt in (("standard", full, t_full), ("optimised", inc, t_inc)):
+        acc = NB.predict_gnb(te, params).agg(F.avg((F.col("label") == F.col("pred")).cast("double"))).first()[0]
+        runs.append(("gaussian_nb_incremental", variant, dt, float(acc), False))
+    log = spark.createDataFrame(runs, "task string, variant string, fit_sec double, metric double, lower_is_better boolean")
+    return _r(M.speedup_table(log))
+
+
+register("speedup_table", None)(_speedup)
