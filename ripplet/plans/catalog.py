@@ -449,7 +449,10 @@ from ripplet.session import materialize  # noqa: E402
 
 def _ml_panel(spark, d):
     # Lineage cut: every fit re-reads the written panel, not the raw scan.
-    return materialize(daily_panel(spark, d), "ml_panel")
+    # Fixed partitioning and in-partition order: Spark ML's per-partition
+    # sampling (bagging, subsampling) then reproduces across session configs.
+    return (materialize(daily_panel(spark, d), "ml_panel")
+            .repartition(8, "symbol").sortWithinPartitions("symbol", "date"))
 
 
 def ml_regression(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -758,8 +761,8 @@ def _lime(spark, d):
     panel = _ml_panel(spark, d)
     model = MD.fit_gbt_native(panel, "regression", "target_vol")
     feats = list(FEATURE_COLUMNS)
-    preds = MD.predictions_long(model, panel, "gbt", "regression", "target_vol")
-    cases = L.representative_cases(preds).select("symbol", "date").distinct()
+    # Instances: representative cases of the (deterministic) persistence forecaster.
+    cases = L.representative_cases(FC.naive(panel)).select("symbol", "date").distinct()
     inst = panel.join(cases, ["symbol", "date"])
     return _r(L.lime(model, panel.where(F.col("split") == "train"), inst, feats))
 
