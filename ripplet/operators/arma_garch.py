@@ -116,3 +116,50 @@ def garch11_fit(panel: DataFrame, scale: float = 100.0, coarse: int = 12, fine:
     return win.select("symbol", (F.col("w.s2bar") * (1 - F.col("w.alpha") - F.col("w.beta"))).alias("omega"),
                       F.col("w.alpha").alias("alpha"), F.col("w.beta").alias("beta"),
                       F.col("w.loglik").alias("loglik"))
+
+
+def _upto(lo, hi):
+    """[lo, lo+1, ..., hi], empty when lo > hi (``sequence`` would count down)."""
+    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+
+def arma11_refit_forecast(panel: DataFrame, refit_every: int = 250, y: str = "vol_realized",
+                          ar_order: int = 10, model: str = "arima_101_refit") -> DataFrame:
+    """Periodic re-estimation.  Rows after the end of train are cut into
+    epochs of ``refit_every`` rows; epoch e is forecast with parameters fitted
+    (Hannan-Rissanen) on every row before the epoch starts, and — as a refit
+    re-filters the whole history — its innovation filter runs from the first
+    row with those parameters.  Rows are replicated once per later epoch
+    (O(n * epochs) rows), never per row pair."""
+    w = _ord()
+    n_tr = F.count_if(F.col("split") == "train").over(Window.partitionBy("symbol"))
+    df = panel.withColumns({"_pos": F.row_number().over(w) - 1, "_ntr": n_tr,
+                            "_y1": F.lag(y, 1).over(w)})
+    df = df.withColumns({f"_y{k}": F.lag(y, k).over(w) for k in range(2, ar_order + 1)})
+    df = df.withColumn("_ep", F.when(F.col("_pos") < F.col("_ntr"), F.lit(-1))
+                       .otherwise(F.floor((F.col("_pos") - F.col("_ntr")) / F.lit(refit_every))).cast("int"))
+    n_ep = F.max("_ep").over(Window.partitionBy("symbol")) + 1
+    df = df.withColumn("_nep", n_ep)
+    # Fit sets: a row belongs to the fit of every epoch that starts after it.
+    fit = df.withColumn("epoch", F.explode(_upto(F.greatest(F.col("_ep") + 1, F.lit(0)), F.col("_nep") - 1)))
+    keys = ["symbol", "epoch"]
+    xs = [F.lit(1.0)] + [F.col(f"_y{k}") for k in range(1, ar_order + 1)]
+    ar = solve(gram(fit.withColumn("_yy", F.col(y)), keys, xs, F.col("_yy")), keys)
+    f2 = fit.join(F.broadcast(ar), keys)  # one row per (symbol, epoch)
+    fitted = F.col("coef")[0]
+    for k in range(1, ar_order + 1):
+        fitted = fitted + F.col("coef")[k] * F.col(f"_y{k}")
+    f2 = f2.withColumn("_e", F.col(y) - fitted)
+    f2 = f2.withColumn("_e1", F.lag("_e", 1).over(Window.partitionBy(*keys).orderBy("date")))
+    st2 = solve(gram(f2, keys, [F.lit(1.0), F.col("_y1"), F.col("_e1")], F.col(y)), keys) \
+        .select(*keys, F.col("coef")[0].alias("c"), F.col("coef")[1].alias("phi"), F.col("coef")[2].alias("theta"))
+    # Filter sets: epoch e re-filters every row up to its own end.
+    filt = df.withColumn("epoch", F.explode(_upto(F.greatest(F.col("_ep"), F.lit(0)),
+                                                  F.greatest(F.col("_nep") - 1, F.lit(0)))))
+    filt = filt.join(F.broadcast(st2), keys)
+    b = F.col(y) - F.col("c") - F.col("phi") * F.coalesce(F.col("_y1"), F.col(y))
+    filt = affine_scans(filt, keys, "date", [(-F.col("theta"), b, "_inn")])
+    nxt = F.col("c") + F.col("phi") * F.col(y) + F.col("theta") * F.col("_inn")
+    # Train rows take epoch 0 (the train-only fit); later rows their own epoch.
+    own = filt.where((F.col("epoch") == F.greatest(F.col("_ep"), F.lit(0))))
+    return _long(own, model, F.when(nxt.isNotNull(), F.greatest(nxt, F.lit(0.0))))

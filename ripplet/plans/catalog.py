@@ -820,3 +820,6 @@ def _speedup(spark, d):
 
 
 register("speedup_table", None)(_speedup)
+
+register("arma_refit_summary", None)(
+    lambda spark, d: _r(FC.summarize(AG.arma11_refit_forecast(daily_panel(spark, d), refit_every=250))))
