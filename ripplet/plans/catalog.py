@@ -823,3 +823,15 @@ register("speedup_table", None)(_speedup)
 
 register("arma_refit_summary", None)(
     lambda spark, d: _r(FC.summarize(AG.arma11_refit_forecast(daily_panel(spark, d), refit_every=250))))
+
+# ---------------------------------------------------------------- D5 panel variant: shared calendar cut dates
+from ripplet.operators.splits import panel_cut_dates  # noqa: E402
+
+register("panel_cut_dates", f"""{_PANEL},
+pd_ AS (SELECT date, count(*) AS c FROM panel GROUP BY date),
+cu AS (SELECT date, sum(c) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+              sum(c) OVER () AS n FROM pd_)
+SELECT date, CASE WHEN cum <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+                  WHEN cum <= floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.15 AS DOUBLE)) THEN 'val'
+                  ELSE 'test' END AS split FROM cu""")(
+    lambda spark, d: panel_cut_dates(daily_panel(spark, d)))
