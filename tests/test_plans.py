@@ -9,6 +9,9 @@ SF = "/root/testdata/sf0.001"
 
 
 def plan_of(spark, name):
+    # Cached relations from earlier tests would be substituted into the plan
+    # (and their inner plans printed); check the query's own plan.
+    spark.catalog.clearCache()
     df = E.queries()[name](spark, SF)
     df.write.format("noop").mode("overwrite").save()   # final adaptive plan
     return df._jdf.queryExecution().executedPlan().toString()
