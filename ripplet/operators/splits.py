@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 def temporal_split(df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.15,
                    test_frac: float = 0.15, symbol: str = "symbol", date: str = "date",
-                   out: str = "split") -> DataFrame:
-    """First int(.7n) rows train, next int(.15n) val, the rest test (per symbol)."""
+                   out: str = "split", purge: int = 0) -> DataFrame:
+    """First int(.7n) rows train, next int(.15n) val, the rest test (per symbol).
+
+    ``purge`` = h labels the last h train rows 'purged' (their h-step targets
+    look past the cut, SURVEY T5); the default 0 keeps the reference split."""
     if abs(train_frac + val_frac + test_frac - 1.0) >= 1e-9:
         raise ValueError("train_frac + val_frac + test_frac must be 1")
     w = Window.partitionBy(symbol).orderBy(date)
@@ -19,7 +22,8 @@ def temporal_split(df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.
     n_train = F.floor(n * F.lit(float(train_frac)))
     n_val = F.floor(n * F.lit(float(val_frac)))
     rn = F.row_number().over(w)
-    return df.withColumn(out, F.when(rn <= n_train, "train")
+    return df.withColumn(out, F.when(rn <= n_train - F.lit(purge), "train")
+                              .when(rn <= n_train, "purged")
                               .when(rn <= n_train + n_val, "val").otherwise("test"))
 
 

@@ -31,3 +31,15 @@ def test_fold_order_and_gap(bars):
             assert tr.lo == 0 and tr.hi == x.lo - 3   # gap of 2 rows
             if (sym, fold + 1, "test") in by:
                 assert by[(sym, fold + 1, "test")].lo == x.hi + 1
+
+
+def test_purge_gap(bars):
+    base = {(r.symbol, r.split): r.n for r in temporal_split(bars).groupBy("symbol", "split")
+            .agg(F.count(F.lit(1)).alias("n")).collect()}
+    pur = {(r.symbol, r.split): r.n for r in temporal_split(bars, purge=1).groupBy("symbol", "split")
+           .agg(F.count(F.lit(1)).alias("n")).collect()}
+    for (sym, sp), n in base.items():
+        if sp == "train":
+            assert pur[(sym, "train")] == n - 1 and pur[(sym, "purged")] == 1
+        else:
+            assert pur[(sym, sp)] == n
