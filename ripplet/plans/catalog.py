@@ -835,3 +835,13 @@ SELECT date, CASE WHEN cum <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
                   WHEN cum <= floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.15 AS DOUBLE)) THEN 'val'
                   ELSE 'test' END AS split FROM cu""")(
     lambda spark, d: panel_cut_dates(daily_panel(spark, d)))
+
+# ---------------------------------------------------------------- D4 provenance metadata
+from ripplet.operators.targets import target_metadata  # noqa: E402
+
+register("target_metadata", f"""{_PANEL}
+SELECT symbol, {O.sql_rnd('any_value(regime_threshold)')} AS regime_threshold,
+       count(*) FILTER (WHERE split = 'train') AS train_size, count(*) FILTER (WHERE split = 'val') AS val_size,
+       count(*) FILTER (WHERE split = 'test') AS test_size, 1 AS horizon, 5 AS vol_window,
+       'train_quantile' AS regime_threshold_source
+FROM panel GROUP BY symbol""")(lambda spark, d: _r(target_metadata(daily_panel(spark, d))))
