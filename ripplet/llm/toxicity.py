@@ -1,9 +1,10 @@
 """Toxicity by maximum-scoring segments of token log-odds, calibrated with extreme-value statistics.
 
 1. Features of a token (a run of letters, lower-cased) are the word and its prefixes of 4 to 7 letters.  Their counts
-   in toxic and other labelled documents come from at most ``max_labelled`` training rows (the smallest hashes of
+   in toxic and other labelled documents (different contexts, so that copies of a passage count once) come from at most ``max_labelled`` training rows (the smallest hashes of
    doc_id; the only sample), and the prior of each feature from its count over ALL documents.
-2. log-odds with an informative Dirichlet prior (prior mass ``prior_mass``) and their z-score keep the features that
+2. log-odds with an informative Dirichlet prior (mass ``prior_mass`` spread as the corpus counts, plus 1/2) and their
+   z-score keep the features that
    speak for toxicity; a token scores its best feature, any other token the (negative) log-odds of carrying none.
 3. A linear-time scan finds every maximal-scoring segment of a text.  Under the clean model the best of n tokens
    follows an extreme-value law with E = K n exp(-lambda S); lambda solves sum p exp(lambda s) = 1 and K is fitted on
@@ -116,29 +117,44 @@ def score_column(model, text_col):
     return score(text_col.cast("string"))
 
 
-def _counts(docs: DataFrame, keep=None) -> DataFrame:
-    """(feature, toxic, n) summed over ``docs`` (text, toxic); feature '' counts all tokens.  Counted inside each batch
-    first, so the shuffle holds one row per feature and batch; ``keep`` (broadcast set) restricts the features."""
+def _corpus_counts(docs: DataFrame, keep) -> dict[str, int]:
+    """Occurrences over all documents of the features in the broadcast set ``keep``; '' counts all tokens.  Added up
+    inside each batch, so the shuffle and the result are bounded by the number of features."""
     def run(batches):
         for b in batches:
-            per: dict[int, Counter] = {}
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            words: Counter = Counter()
+            for t in b.column(0).to_pylist():
                 if t:
-                    per.setdefault(y, Counter()).update(TOKEN.findall(t.lower()))
-            rows: Counter = Counter()
-            for y, words in per.items():
-                rows["", y] += words.total()
-                for w, n in words.items():
-                    for f in features(w):
-                        if keep is None or f in keep.value:
-                            rows[f, y] += n
-            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.string()), pa.array([y for _, y in rows], pa.int32()),
-                                              pa.array(list(rows.values()), pa.int64())], ["feature", "toxic", "n"])
-    return docs.mapInArrow(run, "feature string, toxic int, n long").groupBy("feature", "toxic").agg(F.sum("n").alias("n"))
+                    words.update(TOKEN.findall(t.lower()))
+            rows: Counter = Counter({"": words.total()})
+            for w, n in words.items():
+                for f in features(w):
+                    if f in keep.value:
+                        rows[f] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.string()), pa.array(list(rows.values()), pa.int64())], ["feature", "n"])
+    counted = docs.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return {r.feature: r.n for r in counted.collect()}
+
+
+def _class_counts(sample: DataFrame) -> DataFrame:
+    """(feature, toxic, n): in how many different contexts (the word before) the feature's words stand in each class.
+    Counting contexts instead of occurrences makes a passage that many copies share count once."""
+    def run(batches):
+        for b in batches:
+            seen = set()
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = TOKEN.findall((t or "").lower())
+                seen.update(zip([""] + words, words, [y] * len(words)))
+            prev, word, toxic = zip(*seen) if seen else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(prev, pa.string()), pa.array(word, pa.string()), pa.array(toxic, pa.int32())], ["prev", "word", "toxic"])
+    contexts = sample.mapInArrow(run, "prev string, word string, toxic int").distinct().groupBy("word", "toxic").agg(F.count("*").alias("n"))
+    prefixes = [F.when(F.length("word") >= k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in PREFIXES]
+    return (contexts.select(F.explode(F.array(F.lit(""), F.col("word"), *prefixes)).alias("feature"), "toxic", "n")
+            .where("feature IS NOT NULL").groupBy("feature", "toxic").agg(F.sum("n").alias("n")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_features: int = 20_000, min_count: int = 6,
-        min_z: float = 4.0, prior_mass: float = 1000.0) -> ToxicityModel:
+        min_z: float = 4.5, prior_mass: float = 1000.0) -> ToxicityModel:
     """Model from training labels (crc32 of doc_id as text, modulo 5, not 0) and the counts of the whole corpus."""
     spark = docs.sparkSession
     train = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL AND crc32(CAST(CAST(doc_id AS BIGINT) AS STRING)) % 5 <> 0")
@@ -146,21 +162,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_feat
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))  # bounds what is broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = materialize(rows.join(F.broadcast(train), "doc_id").select("text", "toxic"), "toxic-sample")
-    counted = _counts(sample)
+    counted = materialize(_class_counts(sample), "toxic-contexts")
     totals = {r.toxic: r.n for r in counted.where("feature = ''").collect()}
     if not totals.get(0) or not totals.get(1):
         return ToxicityModel()
     by_class = (counted.where("feature <> ''").groupBy("feature")
                 .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
                 .where((F.col("bad") >= min_count) & (F.col("bad") * totals[0] > 2 * F.col("good") * totals[1])))
-    seen = {r.feature: (r.bad, r.good) for r in by_class.orderBy(F.col("bad") / (F.col("good") + 1), ascending=False).orderBy(F.desc("bad"), "feature").limit(max_features).collect()}
+    seen = {r.feature: (r.bad, r.good) for r in by_class.orderBy(F.desc("bad"), "feature").limit(max_features).collect()}
     keep = spark.sparkContext.broadcast(frozenset(seen))
-    corpus = {r.feature: r.n for r in _counts(rows.select("text", F.lit(0).alias("toxic")), keep).collect()}
+    corpus = _corpus_counts(rows, keep)
     n_corpus = corpus.pop("")
     n1, n0 = totals[1] + prior_mass, totals[0] + prior_mass
     weights = {}
     for f, (bad, good) in seen.items():
-        alpha = prior_mass * corpus.get(f, 0) / n_corpus
+        alpha = prior_mass * corpus.get(f, 0) / n_corpus + 0.5
         bad, good = bad + alpha, good + alpha
         delta = math.log(bad / (n1 - bad)) - math.log(good / (n0 - good))
         if delta > 0 and delta / math.sqrt(1 / bad + 1 / good) >= min_z:
