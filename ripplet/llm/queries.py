@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplet.llm import decontam, simhash, toxicity, urls
+from ripplet.llm import decontam, secrets, simhash, toxicity, urls
 from ripplet.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -45,6 +45,18 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+@register("op6_secrets", secrets.secrets_sql())
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("secrets", _of_kind(n[2:]))).cast("long").alias(n) for n in ("n_assign", "n_access", "n_hex")]
+    base = secrets.listed(F.filter("secrets", lambda s: s["ord"] < 3))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
 URL_RULES = [urls.Rule("com", "/", False), urls.Rule("example.com", "/en/", True), urls.Rule("www.example.com", "/en/", False),
              urls.Rule("net", "/es/", True), urls.Rule("net", "/fr/", True)]
 URL_GLOBS = [urls.Rule("", g, True, True) for g in ("*casino*", "*spam-farm*", "*.example.org/*/1*.html", "*viagra*", "*/login*", "*porn*")]
