@@ -14,6 +14,14 @@ from ripplet.session import materialize
 CHUNK_BYTES = 1 << 21  # text handled at once inside a task; bounds the memory of the numpy arrays
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def flat_text(col) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null is empty.  A view of the Arrow buffers where possible."""
     if isinstance(col, pa.ChunkedArray):

@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplet.llm import decontam, secrets, simhash, toxicity, urls
+from ripplet.llm import decontam, lines, secrets, simhash, toxicity, urls
 from ripplet.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -32,6 +32,12 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("long").cast("string")) % 5 == 0, F.lit(False))
 
 
+@register("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
+
+
 @register("op3_toxicity")
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ripplet.llm.common import connected_components, local_components
+from ripplet.llm.common import connected_components, fresh_name, local_components
 from ripplet.session import materialize
 
 SEED = 42
@@ -147,8 +147,12 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataF
 
 
 def keep_representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id (of rows that repeat it, one)."""
-    groups = simhash_dedup(docs, shingle, max_bits)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    null_ids = docs.where("doc_id IS NULL")
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(null_ids)
+    """``docs`` with one document of each component: the one with the smallest doc_id (of rows that repeat it, one).
+    Rows without a doc_id cannot be told apart and stay."""
+    of, copies = fresh_name(docs, "representative"), fresh_name(docs, "copies")
+    groups = simhash_dedup(docs.select("doc_id", "text"), shingle, max_bits)
+    keep = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias(of)).agg(F.count("*").alias(copies))
+    kept = docs.join(keep, F.col("doc_id").cast("long") == F.col(of))
+    once = kept.where(F.col(copies) == 1).select(*docs.columns)
+    repeated = kept.where(F.col(copies) > 1).select(*docs.columns).dropDuplicates(["doc_id"])
+    return once.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))
