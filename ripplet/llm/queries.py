@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplet.llm import decontam, lines, secrets, simhash, toxicity, urls
+from ripplet.llm import decontam, lines, secrets, simhash, suffix, toxicity, urls
 from ripplet.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -46,6 +46,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"), F.size("toxicity.passages").alias("n_passages"))
 
 
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.cut_long_matches(read_table(spark, sf_dir, "documents"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
