@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplet.llm import decontam, lines, secrets, simhash, suffix, toxicity, urls
+from ripplet.llm import decontam, lines, neighbours, secrets, simhash, suffix, toxicity, urls
 from ripplet.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -97,6 +97,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
+@register("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"), k=5)
+
+
 OP9_SQL = r"""
 WITH words AS (
   SELECT doc_id, unnest(range(len(w))) AS pos, w FROM (
