@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplet.llm import decontam, lines, neighbours, secrets, simhash, suffix, toxicity, urls
+from ripplet.llm import decontam, lines, neighbours, pages, secrets, simhash, suffix, toxicity, urls
 from ripplet.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -38,6 +38,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
 
 
+@register("op2_html_text")
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @register("op3_toxicity")
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
