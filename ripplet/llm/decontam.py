@@ -199,21 +199,56 @@ def _rarity(docs: DataFrame, shingles) -> dict[tuple[int, int], int]:
     return {(r.g, r.h): r.n for r in found}
 
 
+def _blocks(items: DataFrame, block_bytes: int):
+    """One function per block of at most about ``block_bytes`` of item text, which collects it: (item_id, text) rows."""
+    items = items.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-total // block_bytes))
+    for k in range(n):
+        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        yield lambda part=part: [tuple(r) for r in part.collect()]
+
+
+def _shared_index(rows: DataFrame, items: list[tuple], window: int):
+    """Broadcast index of a block, its prefix tokens chosen by the counts over all rows."""
+    index = WindowIndex(items, window)
+    sc = rows.sparkSession.sparkContext
+    index.order(_rarity(rows.select("doc_id", "text"), sc.broadcast(index.shingles())) if index.grams else {})
+    return sc.broadcast(index)
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows that hold a window of an item."""
+    at = docs.columns.index("text")
+    for part in _blocks(items, block_bytes):
+        rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        shared = _shared_index(rows, part(), window)
+
+        def run(batches, shared=shared):
+            for b in batches:
+                flat, offsets = flat_text(b.column(at))
+                clean = np.ones(len(b), bool)
+                for i, j in row_chunks(offsets):
+                    w = Words(flat[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                    start, _ = shared.value.match(w)
+                    clean[i + w.row[start]] = False
+                yield b.filter(pa.array(clean))
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, hits (merged word spans [start, stop)), items (sorted item_ids as strings)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = items.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    if blocks > 1:  # a row needs a name of its own to be merged over the blocks
+    parts = list(_blocks(items, block_bytes))
+    if len(parts) > 1:  # a row needs a name of its own to be merged over the blocks
         from ripplet.session import materialize
         rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "decontam-rows")
     out = None
-    for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        found = _match_block(rows, [tuple(r) for r in part.collect()], window)
+    for part in parts:
+        found = _match_block(rows, part(), window)
         out = found if out is None else out.unionByName(found)
-    if blocks > 1:
+    if len(parts) > 1:
         merged = F.aggregate(F.array_sort(F.flatten(F.collect_list("hits"))), F.expr("CAST(array() AS array<struct<start:int,stop:int>>)"),
                              lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["stop"] >= x["start"]),
                                                    F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
@@ -226,10 +261,7 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, block_byte
 
 
 def _match_block(rows: DataFrame, items: list[tuple], window: int) -> DataFrame:
-    index = WindowIndex(items, window)
-    sc = rows.sparkSession.sparkContext
-    index.order(_rarity(rows.select("doc_id", "text"), sc.broadcast(index.shingles())) if index.grams else {})
-    shared = sc.broadcast(index)
+    shared = _shared_index(rows, items, window)
     span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
     extra = "row" in rows.columns
 

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ripplet.llm.common import fresh_name
 from ripplet.session import materialize
 
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -238,7 +239,12 @@ def _calibrate(model: ToxicityModel, sample: DataFrame) -> ToxicityModel:
     return model
 
 
+def score_name(docs: DataFrame) -> str:
+    """Name of the column that score_documents adds: ``toxicity``, unless the rows have one."""
+    return fresh_name(docs, "toxicity")
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` with one more column, ``toxicity`` (score, passages)."""
+    """``docs`` with one more column (see score_name) of score and passages."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **options))
-    return docs.withColumn("toxicity", score_column(model, F.col("text")))
+    return docs.withColumn(score_name(docs), score_column(model, F.col("text")))
