@@ -155,7 +155,7 @@ def _class_counts(sample: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_features: int = 20_000, min_count: int = 6,
-        min_z: float = 4.5, prior_mass: float = 1000.0) -> ToxicityModel:
+        min_z: float = 3.0, prior_mass: float = 1000.0) -> ToxicityModel:
     """Model from training labels (crc32 of doc_id as text, modulo 5, not 0) and the counts of the whole corpus."""
     spark = docs.sparkSession
     train = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL AND crc32(CAST(CAST(doc_id AS BIGINT) AS STRING)) % 5 <> 0")

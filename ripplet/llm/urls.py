@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ripplet.llm.common import fresh_name
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -121,6 +123,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule], fallback: list[Rule], url: s
             "glob": [second.rules[i].name if i >= 0 else None for i in b],
             "verdict": ["block" if (i >= 0 and first.rules[i].block) or (i < 0 <= j and second.rules[j].block) else "allow" for i, j in zip(a, b)]})
 
+    made = ("host", "path", "rule", "glob", "verdict")  # columns of these names are replaced
+    of, judged = fresh_name(pages, "split"), fresh_name(pages, "judged")
     host, path = split_url(F.col(url).cast("string"))
-    return (pages.withColumn("host", host).withColumn("path", path).withColumn("v", verdict("host", "path"))
-            .select("*", "v.rule", "v.glob", "v.verdict").drop("v"))
+    split = pages.withColumn(of, F.struct(host.alias("host"), path.alias("path")))
+    return (split.withColumn(judged, verdict(F.col(of)["host"], F.col(of)["path"]))
+            .select(*[c for c in pages.columns if c not in made], f"{of}.host", f"{of}.path", f"{judged}.rule", f"{judged}.glob", f"{judged}.verdict"))
