@@ -116,14 +116,26 @@ def daily_bars_from_lineitem(spark: SparkSession, sf_dir: str,
     return bars.withColumnRenamed("bar", "date")
 
 
+EVENT_DIGITS = [18, 19]
+# Half the range of 18 digits: dates from about 1200 BC to 16,000 AD keep their order as non-negative numbers.
+EPOCH_OFFSET = 10 ** 17
+
+
+def _event_order() -> list[Column]:
+    """Total order of events: microseconds (time-zone free for TIMESTAMP_NTZ), then event_id."""
+    return [ntz_to_micros(F.col("ts")) + F.lit(EPOCH_OFFSET), F.col("event_id")]
+
+
+def event_order_key() -> Column:
+    return packed_order_key(_event_order(), EVENT_DIGITS)
+
+
 def hourly_bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming-shaped panel: symbol = event type, bar = hour of ``ts``,
     price = ``value``, volume = number of events."""
     ev = read_table(spark, sf_dir, "events")
-    # Microseconds since the epoch, time-zone independent for TIMESTAMP_NTZ.
-    micros = ntz_to_micros(F.col("ts"))
     bars = ohlcv_bars(ev, symbol="event_type", bar=F.date_trunc("hour", "ts"),
-                      price="value", order=[micros, F.col("event_id")], order_digits=[18, 19])
+                      price="value", order=_event_order(), order_digits=EVENT_DIGITS)
     return bars.withColumnRenamed("bar", "date")
 
 
@@ -151,17 +163,30 @@ def clean_range(df: DataFrame, start: str = "1990-01-01", end: str = "2017-12-31
               .where(F.col(date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path (or glob) names anything on the file system that Spark itself reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def load_panel_bars(spark: SparkSession, sf_dir: str, csv_glob: str | None = None,
-                    parquet_cache: str | None = None) -> DataFrame:
-    """A3: source fallback with provenance.  Tries a local OHLCV CSV panel,
-    then a cached parquet panel, then derives bars from the ``lineitem``
-    transactions; the chosen leg is recorded in a literal ``source`` column.
+                    parquet_cache: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
+    """A3: source fallback with provenance.  Tries an OHLCV CSV panel, then a
+    cached parquet panel, then derives bars from the ``lineitem`` transactions;
+    the chosen leg is recorded in a literal ``source`` column.  Paths are looked
+    up on Spark's own file system.  Rows without a close go; ``start`` / ``end``
+    bound the dates only where given.
     (The reference's online-download and synthetic legs are not built.)"""
-    import glob as _glob
-    import os as _os
-    if csv_glob and _glob.glob(csv_glob):
-        return clean_range(read_ohlcv_csv(spark, csv_glob), "1900-01-01", "2999-12-31") \
-            .withColumn("source", F.lit("local_csv"))
-    if parquet_cache and _os.path.exists(parquet_cache):
-        return spark.read.parquet(parquet_cache).withColumn("source", F.lit("parquet_cache"))
-    return daily_bars_from_lineitem(spark, sf_dir).withColumn("source", F.lit("lineitem_transactions"))
+    if csv_glob and _exists(spark, csv_glob):
+        bars, leg = read_ohlcv_csv(spark, csv_glob), "local_csv"
+    elif parquet_cache and _exists(spark, parquet_cache):
+        bars, leg = spark.read.parquet(parquet_cache), "parquet_cache"
+    else:
+        bars, leg = daily_bars_from_lineitem(spark, sf_dir), "lineitem_transactions"
+    bars = bars.where(F.col("close").isNotNull())
+    if start:
+        bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
+    if end:
+        bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
+    return bars.withColumn("source", F.lit(leg))
