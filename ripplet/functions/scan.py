@@ -10,13 +10,16 @@ Two levels, both plain DataFrame operations:
    block, z_t = a^j * cumsum_{i<=t}(b_i * a^-j_i) with j the offset inside
    the block; B is chosen per series so that |a|^-B stays below e^600 for
    every scan (no overflow), so the in-block cumulative sum is a normal
-   window sum.  Partitioning by (series, block) also splits one long, hot
-   series over many tasks.
-2. the block-final rows (Z_k = block-final z, A_k = a^len_k) are collected
-   per series by a whole-series window (ceil(n / B) small structs, never the
-   rows) and every row folds the blocks before its own with an ``aggregate``
-   higher-order function: c_k = A_k * c_{k-1} + Z_k, s_t = a^(j+1) * c_{k-1} + z_t.
-   No join back: the input plan is evaluated once.
+   window sum.
+2. the carry into block k is c_{k-1} = Z_{k-1} + a^B * c_{k-2} (Z = block-final
+   z) and s_t = a^(j+1) * c_{k-1} + z_t.  Where B is below the maximum, |a|^B is
+   about e^-600, so a^2B is zero in double precision and the carry is exactly
+   Z_{k-1} + a^B * Z_{k-2}: two lagged values, linear in the rows.  Only scans
+   with |a| so near 1 that B is the maximum (a million rows) fold their few
+   block summaries, collected per series by a window.
+   a = 0 is simply b.  No join back: the input plan is evaluated once.
+
+All windows run in the partitioning of the series; one series is one task.
 """
 
 from __future__ import annotations
@@ -30,8 +33,7 @@ MAX_BLOCK = 1 << 20
 
 def block_size(a: Column, max_block: int = MAX_BLOCK) -> Column:
     la = F.abs(F.ln(F.abs(a)))
-    return (F.when(a == 0, F.lit(1))
-             .when(F.abs(a) == 1, F.lit(max_block))
+    return (F.when((a == 0) | (F.abs(a) == 1), F.lit(max_block))
              .otherwise(F.greatest(F.lit(1), F.least(F.lit(max_block),
                                                       F.floor(F.lit(_LOG_LIMIT) / la)).cast("int"))))
 
@@ -60,28 +62,36 @@ def affine_scans(df: DataFrame, keys: list[str], order: str,
     w_blk = (Window.partitionBy(*keys, "_blk").orderBy("_pos")
              .rowsBetween(Window.unboundedPreceding, 0))
     base = base.withColumns({
-        f"_sz{i}": F.pow(F.col(f"_sa{i}"), F.col("_j"))
-        * F.sum(F.col(f"_sb{i}") * F.pow(F.col(f"_sa{i}"), -F.col("_j"))).over(w_blk)
+        f"_sz{i}": F.when(F.col(f"_sa{i}") == 0, F.col(f"_sb{i}")).otherwise(
+            F.pow(F.col(f"_sa{i}"), F.col("_j"))
+            * F.sum(F.col(f"_sb{i}") * F.pow(F.col(f"_sa{i}"), -F.col("_j"))).over(w_blk))
         for i in range(k)})
+    # Block-final values of the two blocks before, spread over the block's rows.
+    w_head = Window.partitionBy(*keys, "_blk").orderBy("_pos")
+    for step, src in (("_sp", "_sz"), ("_sq", "_sp")):
+        base = base.withColumns({f"{step}l{i}": F.lag(f"{src}{i}", 1).over(w_pos) for i in range(k)})
+        base = base.withColumns({f"{step}{i}": F.first(f"{step}l{i}").over(w_head) for i in range(k)})
 
-    # Block summaries ride along the rows: the last row of each block carries
-    # (blk, a^len, Z) and a whole-series window collects them (one array per
-    # series, shared by its rows).  No join back, hence no second evaluation of
-    # the input plan and no extra exchange: (keys) hash partitioning already
-    # satisfies the (keys, _blk) windows.
+    # For |a| near 1: the last row of each (million-row) block carries
+    # (blk, a^len, Z) and a whole-series window collects them.  No join back and
+    # no extra exchange: (keys) hash partitioning satisfies the (keys, _blk) windows.
     last = F.col("_pos") == F.max("_pos").over(Window.partitionBy(*keys, "_blk"))
     summ = F.struct(F.col("_blk").cast("bigint").alias("blk"),
                     *[F.pow(F.col(f"_sa{i}"), F.col("_j") + 1).alias(f"A{i}") for i in range(k)],
                     *[F.col(f"_sz{i}").alias(f"Z{i}") for i in range(k)])
-    base = base.withColumn("_bl", F.array_sort(F.collect_list(F.when(last, summ)).over(Window.partitionBy(*keys))))
+    whole = F.col("_bsz") >= F.lit(max_block)
+    base = base.withColumn("_bl", F.array_sort(F.collect_list(F.when(last & whole, summ)).over(Window.partitionBy(*keys))))
     zero = ", ".join(f"'c{i}', CAST(0.0 AS DOUBLE)" for i in range(k))
     nxt = ", ".join(f"'c{i}', x.A{i} * acc.c{i} + x.Z{i}" for i in range(k))
     carry = F.expr(f"aggregate(filter(_bl, x -> x.blk < _blk), named_struct({zero}), "
                    f"(acc, x) -> named_struct({nxt}))")
-    base = base.withColumn("_cin", F.when(F.col("_blk") > 0, carry))
-    outs = {out: F.pow(F.col(f"_sa{i}"), F.col("_j") + 1) * F.coalesce(F.col(f"_cin.c{i}"), F.lit(0.0))
-            + F.col(f"_sz{i}") for i, (_, _, out) in enumerate(scans)}
-    drop = ["_pos", "_bsz", "_blk", "_j", "_bl", "_cin"] + [f"_s{x}{i}" for i in range(k) for x in "abz"]
+    base = base.withColumn("_cin", F.when((F.col("_blk") > 0) & whole, carry))
+    zero_ = F.lit(0.0)
+    carried = [F.when(whole, F.coalesce(F.col(f"_cin.c{i}"), zero_)).otherwise(
+        F.coalesce(F.col(f"_sp{i}"), zero_) + F.pow(F.col(f"_sa{i}"), F.col("_bsz").cast("double")) * F.coalesce(F.col(f"_sq{i}"), zero_))
+        for i in range(k)]
+    outs = {out: F.pow(F.col(f"_sa{i}"), F.col("_j") + 1) * carried[i] + F.col(f"_sz{i}") for i, (_, _, out) in enumerate(scans)}
+    drop = ["_pos", "_bsz", "_blk", "_j", "_bl", "_cin"] + [f"_s{x}{i}" for i in range(k) for x in ("a", "b", "z", "p", "pl", "q", "ql")]
     return base.withColumns(outs).drop(*drop)
 
 

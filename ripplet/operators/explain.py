@@ -21,7 +21,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.functions.random import hash31_sql
+from ripplet.functions.random import hash60_sql
 from ripplet.session import checkpoint_root
 
 
@@ -54,11 +54,13 @@ def permutation_importance(model: PipelineModel, data: DataFrame, features: list
     e = base.select("*", grid.alias("g")).select("*", "g.feature", "g.rep").drop("g")
     e = e.withColumn("_fidx", F.element_at(F.create_map(*[x for f in features
                                                           for x in (F.lit(f), F.lit(fi[f]))]), F.col("feature")))
-    h = F.expr(hash31_sql("rep", "_fidx", "_pos"))
+    h = F.expr(hash60_sql("rep", "_fidx", "_pos"))
     e = e.withColumn("_k", F.row_number().over(Window.partitionBy("symbol", "feature", "rep").orderBy(h, "_pos")) - 1)
-    donor = base.select("symbol", F.col("_pos").alias("_k"), *[F.col(f).alias(f"_d_{f}") for f in features])
-    e = e.join(donor, ["symbol", "_k"])
-    e = e.withColumns({f: F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)) for f in features})
+    # Each copy takes one value from its donor row, so the donor side is long and the join carries one column.
+    donor = base.select("symbol", F.col("_pos").alias("_k"), *[F.col(f).cast("double").alias(f) for f in features]) \
+                .unpivot(["symbol", "_k"], features, "feature", "_value")
+    e = e.join(donor, ["symbol", "feature", "_k"])
+    e = e.withColumns({f: F.when(F.col("feature") == f, F.col("_value")).otherwise(F.col(f).cast("double")) for f in features})
     err = F.greatest(F.col("prediction"), F.lit(0.0)) - F.col(label)
     perm = model.transform(e).groupBy("feature", "rep").agg(F.sqrt(F.avg(err * err)).alias("rmse"))
     ref = model.transform(base).agg(F.sqrt(F.avg(err * err)).alias("rmse0"))

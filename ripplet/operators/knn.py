@@ -20,9 +20,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.functions.random import dense_index, hash31_sql, uniform_sql
+from ripplet.functions.random import dense_index, hash60_sql, uniform_sql
 
 BLOCK_ROWS = 4096
+STEP = 256  # queries per distance matrix: 256 x 4096 doubles are 8 MB
 
 
 def _blocks(n: int, block_rows: int) -> int:
@@ -51,19 +52,28 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "qid", r_i
         Q = np.stack(qs.v.map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
         R = np.stack(rs.v.map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
         qi, ri = qs.id.to_numpy(), rs.id.to_numpy()
-        out_q, out_r, out_d = [], [], []
-        for s in range(0, len(Q), 1024):  # bounded memory per step
-            D = ((Q[s:s + 1024, None, :] - R[None, :, :]) ** 2).sum(-1)
-            if exclude_self:
-                D[qi[s:s + 1024, None] == ri[None, :]] = np.inf
-            kk = min(k, D.shape[1])
-            idx = np.argpartition(D, kk - 1, axis=1)[:, :kk] if kk < D.shape[1] else \
-                np.tile(np.arange(D.shape[1]), (D.shape[0], 1))
-            for row in range(D.shape[0]):
-                for c in idx[row]:
-                    if np.isfinite(D[row, c]):
-                        out_q.append(qi[s + row]); out_r.append(ri[c]); out_d.append(math.sqrt(D[row, c]))
-        return pd.DataFrame({"qid": out_q, "rid": out_r, "dist": out_d})
+        out = []
+        r2 = (R * R).sum(axis=1)
+        for s in range(0, len(Q), STEP):  # (STEP, block_rows) distances at a time
+            q, ids = Q[s:s + STEP], qi[s:s + STEP]
+            near = (q * q).sum(axis=1)[:, None] + r2[None, :] - 2.0 * (q @ R.T)
+            skip = ids[:, None] == ri[None, :] if exclude_self else None
+            if skip is not None:
+                near[skip] = np.inf
+            kk = min(k, near.shape[1])
+            # |q|^2 + |r|^2 - 2 q.r only picks candidates: everything within its rounding error of the k-th
+            # stays (all ties with it), and is scored again by exact differences.
+            cut = np.partition(near, kk - 1, axis=1)[:, kk - 1]
+            slack = 1e-9 * ((q * q).sum(axis=1) + r2.max()) + 1e-300
+            row, col = np.nonzero(near <= np.where(np.isfinite(cut), cut + slack, np.finfo(float).max)[:, None])
+            dist = np.sqrt(((q[row] - R[col]) ** 2).sum(axis=1))
+            o = np.lexsort((ri[col], dist, row))
+            row, col, dist = row[o], col[o], dist[o]
+            first = np.searchsorted(row, np.arange(len(q)))
+            keep = np.arange(len(row)) - first[row] < k
+            out.append((ids[row[keep]], ri[col[keep]], dist[keep]))
+        q_, r_, d_ = (np.concatenate(x) for x in zip(*out))
+        return pd.DataFrame({"qid": q_, "rid": r_, "dist": d_})
 
     cand = both.groupBy("qb", "rb").applyInPandas(topk, "qid long, rid long, dist double")
     w = Window.partitionBy("qid").orderBy("dist", "rid")
@@ -92,19 +102,23 @@ def smote(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "vec_id",
     u ~ U(0, 1) drawn from the hash of the synthetic id."""
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
-        return train.limit(0).select(F.lit(None).cast("long").alias("synthetic_id"), F.col(vec), F.col(label))
+        return train.limit(0).select(F.lit(None).cast("long").alias("synthetic_id"), F.col(vec), F.col(label),
+                                     F.col(id_col).alias("seed_id"), F.col(id_col).alias("neighbour_id"), F.lit(0.0).alias("u"))
     minority = min(counts, key=lambda c: (counts[c], c))
     g = max(counts.values()) - counts[minority]
     mino = train.where(F.col(label) == minority)
     nn = knn_join(mino.select(F.col(id_col).alias("qid"), F.col(vec).alias("vec")),
                   mino.select(F.col(id_col).alias("rid"), F.col(vec).alias("vec")), k, exclude_self=True)
     # Dense minority index for hash-drawn seeds.
-    seeds = dense_index(mino.select(id_col, vec), id_col)
     n_min = counts[minority]
+    seeds = dense_index(mino.select(id_col, vec), id_col, n_min)
     spark = train.sparkSession
     syn = spark.range(g).withColumnRenamed("id", "synthetic_id")
-    syn = syn.withColumns({"_i": F.expr(f"{hash31_sql(str(seed), 'synthetic_id', '1')} % {n_min}"),
-                           "rank": F.expr(f"{hash31_sql(str(seed), 'synthetic_id', '2')} % {k}") + 1,
+    if n_min < 2:  # a lone minority point has no neighbour to interpolate towards
+        return train.limit(0).select(F.lit(None).cast("long").alias("synthetic_id"), F.col(vec), F.col(label),
+                                     F.col(id_col).alias("seed_id"), F.col(id_col).alias("neighbour_id"), F.lit(0.0).alias("u"))
+    syn = syn.withColumns({"_i": F.expr(f"{hash60_sql(str(seed), 'synthetic_id', '1')} % {n_min}"),
+                           "rank": F.expr(f"{hash60_sql(str(seed), 'synthetic_id', '2')} % {min(k, n_min - 1)}") + 1,
                            "u": F.expr(uniform_sql(str(seed), "synthetic_id", "3"))})
     s = syn.join(seeds, "_i").join(nn.select(F.col("qid").alias(id_col), "rid", "rank"), [id_col, "rank"])
     nbv = mino.select(F.col(id_col).alias("rid"), F.col(vec).alias("_nv"))
@@ -139,7 +153,9 @@ def adasyn(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "vec_id",
     nn = knn_join(mino.select(F.col(id_col).alias("qid"), F.col(vec).alias("vec")),
                   mino.select(F.col(id_col).alias("rid"), F.col(vec).alias("vec")), k, exclude_self=True)
     gen = gi.select(F.col("qid").alias(id_col), F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("s"))
-    gen = gen.withColumns({"rank": F.expr(f"{hash31_sql(str(seed), id_col, 's')} % {k}") + 1,
+    if counts[minority] < 2:
+        return na
+    gen = gen.withColumns({"rank": F.expr(f"{hash60_sql(str(seed), id_col, 's')} % {min(k, counts[minority] - 1)}") + 1,
                            "u": F.expr(uniform_sql(str(seed), id_col, "s + 100000"))})
     gen = gen.join(nn.select(F.col("qid").alias(id_col), "rid", "rank"), [id_col, "rank"])
     gen = gen.join(mino.select(id_col, vec), id_col).join(

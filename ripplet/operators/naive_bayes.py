@@ -1,7 +1,7 @@
 """Gaussian naive Bayes as relational operations.
 
 Vectors are exploded to (id, j, x); the fit is one aggregation per
-(class, j) of mergeable sufficient statistics (n, sum x, sum x^2), so a
+(class, j) of mergeable sufficient statistics (n, mean, M2), so a
 mini-batch / streaming fit that merges statistics equals the full fit
 (F19).  Variances are population variances plus sklearn-style smoothing
 eps = var_smoothing * max_j var(x_j).  Prediction joins the (classes x dim)
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplet.functions.random import uniform_sql
@@ -30,26 +30,28 @@ def embeddings_split(df: DataFrame, seed: int = 42, train_frac: float = 0.7) ->
 
 
 def sufficient_stats(long: DataFrame, label: str = "label") -> DataFrame:
-    """(class, j) -> n, sum x, sum x^2 — mergeable across batches."""
+    """(class, j) -> n, mean, m2 (sum of squared deviations) — mergeable across batches without cancellation."""
     return long.groupBy(F.col(label).alias("class"), "j").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"))
+        F.count("x").alias("n"), F.avg("x").alias("mean"), (F.var_pop("x") * F.count("x")).alias("m2"))
+
+
+def combine_stats(stats: DataFrame, keys=("class", "j")) -> DataFrame:
+    """Merge statistics of several batches (or classes) per key: m2 adds each part's own deviations and those of its
+    mean from the common mean."""
+    w = Window.partitionBy(*keys)
+    s = stats.withColumn("_all", F.sum(F.col("n") * F.col("mean")).over(w) / F.sum("n").over(w))
+    return s.groupBy(*keys).agg(F.sum("n").alias("n"), F.first("_all").alias("mean"),
+                                F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_all")) ** 2).alias("m2"))
 
 
 def merge_stats(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.unionByName(b).groupBy("class", "j").agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"),
-                                                     F.sum("sxx").alias("sxx"))
+    return combine_stats(a.unionByName(b))
 
 
 def fit_gnb(long_train: DataFrame, label: str = "label", var_smoothing: float = 1e-9) -> DataFrame:
-    """Parameters (class, j, mu, var, log_prior) from the training rows."""
-    th = long_train.groupBy(F.col(label).alias("class"), "j").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mu"), F.var_pop("x").alias("v"))
-    eps = long_train.groupBy("j").agg(F.var_pop("x").alias("vj")).agg(
-        (F.max("vj") * F.lit(var_smoothing)).alias("eps"))
-    n_all = long_train.where(F.col("j") == 0).agg(F.count(F.lit(1)).alias("n_all"))
-    th = th.crossJoin(F.broadcast(eps)).crossJoin(F.broadcast(n_all))  # single-row scalars
-    return th.select("class", "j", "mu", (F.col("v") + F.col("eps")).alias("var"),
-                     F.ln(F.col("n") / F.col("n_all")).alias("log_prior"))
+    """Parameters (class, j, mu, var, log_prior) from the training rows: one pass over the exploded vectors, the rest
+    on the (classes x dim) statistics."""
+    return gnb_from_stats(sufficient_stats(long_train, label), var_smoothing)
 
 
 def predict_gnb(long_test: DataFrame, params: DataFrame, id_col: str = "vec_id", label: str = "label") -> DataFrame:
@@ -62,13 +64,9 @@ def predict_gnb(long_test: DataFrame, params: DataFrame, id_col: str = "vec_id",
 
 
 def gnb_from_stats(stats: DataFrame, var_smoothing: float = 1e-9) -> DataFrame:
-    """parameters from merged sufficient statistics (equals ``fit_gnb``)."""
-    th = stats.select("class", "j", "n", (F.col("sx") / F.col("n")).alias("mu"),
-                      (F.col("sxx") / F.col("n") - (F.col("sx") / F.col("n")) ** 2).alias("v"))
-    per_j = stats.groupBy("j").agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sxx").alias("sxx"))
-    eps = per_j.agg((F.max(F.col("sxx") / F.col("n") - (F.col("sx") / F.col("n")) ** 2)
-                     * F.lit(var_smoothing)).alias("eps"))
+    """parameters from merged sufficient statistics."""
+    eps = combine_stats(stats, ("j",)).agg((F.max(F.col("m2") / F.col("n")) * F.lit(var_smoothing)).alias("eps"))
     n_all = stats.where(F.col("j") == 0).agg(F.sum("n").alias("n_all"))
-    th = th.crossJoin(F.broadcast(eps)).crossJoin(F.broadcast(n_all))
-    return th.select("class", "j", "mu", (F.col("v") + F.col("eps")).alias("var"),
+    th = stats.crossJoin(F.broadcast(eps)).crossJoin(F.broadcast(n_all))  # single-row scalars
+    return th.select("class", "j", F.col("mean").alias("mu"), (F.col("m2") / F.col("n") + F.col("eps")).alias("var"),
                      F.ln(F.col("n") / F.col("n_all")).alias("log_prior"))
