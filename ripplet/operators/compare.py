@@ -2,20 +2,23 @@
 
 Pairs of *models* are compared on the same rows.  Instead of self-joining the
 long prediction table (which would emit model pairs per row), the wide table
-(one column per model, one row per (symbol, date)) feeds one aggregation that
-carries every pair as its own aggregate columns; results are unpivoted to one
-row per (symbol, model_a, model_b) with model_a < model_b (the test is
-antisymmetric).
+(one column per model, one row per (symbol, date)) is expanded inside a row, or
+feeds one aggregation that carries every pair as its own columns; results have
+one row per (symbol, model_a, model_b) with model_a < model_b (the test is
+antisymmetric).  Completeness is per pair, or per model: a forecaster with
+NULLs never drops rows of the others.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.functions.random import index_sql
+from ripplet.functions.expr import ntz_to_micros
+from ripplet.functions.random import index_sql, uniform_sql
 from ripplet.functions.special import normal_two_sided_p_sql
 from ripplet.session import materialize
 
@@ -24,44 +27,42 @@ def _pairs(models) -> list[tuple[str, str]]:
     return list(combinations(sorted(models), 2))
 
 
+def _loss(loss: str):
+    """Loss of a prediction column against the truth: squared ("se") or absolute ("ae") error."""
+    if loss not in ("se", "ae"):
+        raise ValueError("loss must be 'se' or 'ae'")
+    return (lambda p, y: (p - y) * (p - y)) if loss == "se" else (lambda p, y: F.abs(p - y))
+
+
 def diebold_mariano(wide: DataFrame, models, y: str = "target_vol", loss: str = "se",
                     horizon: int = 1, keys=("symbol",), order: str = "date") -> DataFrame:
     """K1: DM statistic per model pair on pairwise-complete rows.
 
-    d = L_a - L_b; var = population variance + 2 * sum_{k<h} autocov_k
-    (divisor n, mean-centred, unweighted); stat = mean / sqrt(var / n);
-    NULL when var <= 0; p = erfc(|stat| / sqrt 2) (no 1 - Phi underflow)."""
-    yy = F.col(y)
-    lossf = (lambda p: (p - yy) * (p - yy)) if loss == "se" else (lambda p: F.abs(p - yy))
-    pairs = _pairs(models)
-    dcols = {}
-    for i, (a, b) in enumerate(pairs):
-        ok = yy.isNotNull() & F.col(a).isNotNull() & F.col(b).isNotNull()
-        dcols[f"_d{i}"] = F.when(ok, lossf(F.col(a)) - lossf(F.col(b)))
-    df = wide.select(*keys, order, *[c.alias(n) for n, c in dcols.items()])
-    aggs = []
-    if horizon > 1:
-        wk = Window.partitionBy(*keys)
-        wo = Window.partitionBy(*keys).orderBy(order)
-        cen = {f"_c{i}": F.col(f"_d{i}") - F.avg(f"_d{i}").over(wk) for i in range(len(pairs))}
-        df = df.withColumns(cen)
-        df = df.withColumns({f"_c{i}_{k}": F.lag(f"_c{i}", k).over(wo)
-                             for i in range(len(pairs)) for k in range(1, horizon)})
-    for i in range(len(pairs)):
-        d = F.col(f"_d{i}")
-        aggs += [F.count(d).alias(f"n{i}"), F.avg(d).alias(f"m{i}"), F.var_pop(d).alias(f"v{i}")]
-        for k in range(1, horizon):
-            aggs.append(F.sum(F.col(f"_c{i}") * F.col(f"_c{i}_{k}")).alias(f"a{i}_{k}"))
-    agg = df.groupBy(*keys).agg(*aggs)
-    structs = []
-    for i, (a, b) in enumerate(pairs):
-        var = F.col(f"v{i}")
-        for k in range(1, horizon):
-            var = var + 2.0 * F.col(f"a{i}_{k}") / F.col(f"n{i}")
-        structs.append(F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"),
-                                F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean_loss_diff"),
-                                var.alias("_var")))
-    long = agg.select(*keys, F.inline(F.array(*structs)))
+    d = L_a - L_b; var = population variance + 2 * sum_{k<h} autocov_k, where
+    autocov_k is the mean of the n - k lagged products of the centred d (rows
+    without d are left out before lagging); stat = mean / sqrt(var / n); NULL
+    when var <= 0; p = erfc(|stat| / sqrt 2) (no 1 - Phi underflow)."""
+    yy, lossf, pairs = F.col(y), _loss(loss), _pairs(models)
+    d = [F.when(yy.isNotNull() & F.col(a).isNotNull() & F.col(b).isNotNull(), lossf(F.col(a), yy) - lossf(F.col(b), yy))
+         for a, b in pairs]
+    if horizon <= 1:  # one wide aggregation, a column set per pair
+        df = wide.select(*keys, *[c.alias(f"_d{i}") for i, c in enumerate(d)])
+        agg = df.groupBy(*keys).agg(*[f(f"_d{i}").alias(f"{n}{i}") for i in range(len(pairs))
+                                      for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))])
+        long = agg.select(*keys, F.inline(F.array(*[
+            F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.col(f"n{i}").alias("n"),
+                     F.col(f"m{i}").alias("mean_loss_diff"), F.col(f"v{i}").alias("_var")) for i, (a, b) in enumerate(pairs)])))
+    else:  # lags need each pair's own rows: one row per (series, pair, date)
+        part = [*keys, "model_a", "model_b"]
+        rows = wide.select(*keys, order, F.inline(F.array(*[
+            F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), d[i].alias("_d")) for i, (a, b) in enumerate(pairs)])))
+        rows = rows.where("_d IS NOT NULL").withColumn("_c", F.col("_d") - F.avg("_d").over(Window.partitionBy(*part)))
+        wo = Window.partitionBy(*part).orderBy(order)
+        rows = rows.withColumns({f"_c{k}": F.col("_c") * F.lag("_c", k).over(wo) for k in range(1, horizon)})
+        agg = rows.groupBy(*part).agg(F.count("_d").alias("n"), F.avg("_d").alias("mean_loss_diff"), F.var_pop("_d").alias("_v"),
+                                      *[F.avg(f"_c{k}").alias(f"a{k}") for k in range(1, horizon)])
+        long = agg.withColumn("_var", F.col("_v") + 2.0 * sum(F.coalesce(F.col(f"a{k}"), F.lit(0.0)) for k in range(1, horizon)))
+        long = long.select(*part, "n", "mean_loss_diff", "_var")
     stat = F.when(F.col("_var") > 0, F.col("mean_loss_diff") / F.sqrt(F.col("_var") / F.col("n")))
     long = long.withColumn("statistic", stat).drop("_var")
     return long.withColumns({"p_value": F.expr(normal_two_sided_p_sql("statistic")),
@@ -77,38 +78,59 @@ def bonferroni(tests: DataFrame, alpha: float = 0.05, keys=("symbol",)) -> DataF
                               "significant_bonferroni": F.col("p_value") < (F.lit(alpha) / k)})
 
 
+def _draws(base: DataFrame, part: list[str], n_boot: int, seed: int) -> DataFrame:
+    """(part, b, _idx): ``_n`` index draws with replacement per replicate.  index(b, j) is a hash of (seed, b, j)
+    (X4), so the draw is reproducible and independent of partitioning; every row expands into its own B draws."""
+    return (base.select(*part, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
+                .withColumn("_idx", F.expr(index_sql(str(seed), "b", "_pos", "_n"))))
+
+
+def _positioned(long: DataFrame, part: list[str], order: str, name: str) -> DataFrame:
+    """Rows of each (series, model) numbered 0..n-1; written once, since draws and drawn rows both read them."""
+    return materialize(long.withColumns({"_pos": F.row_number().over(Window.partitionBy(*part).orderBy(order)) - 1,
+                                         "_n": F.count(F.lit(1)).over(Window.partitionBy(*part))}), name)
+
+
+def _percentile_ci(rep: DataFrame, part: list[str], value: str, alpha: float, *more) -> DataFrame:
+    return rep.groupBy(*part).agg(F.percentile(value, F.lit(alpha / 2)).alias("ci_lo"),
+                                  F.percentile(value, F.lit(1 - alpha / 2)).alias("ci_hi"), F.count(value).alias("n_boot"), *more)
+
+
 def bootstrap_rmse_ci(wide: DataFrame, models, y: str = "target_vol", n_boot: int = 2000,
                       alpha: float = 0.05, seed: int = 42, keys=("symbol",), order: str = "date") -> DataFrame:
-    """K3: percentile bootstrap CI of RMSE per (symbol, model).
-
-    Replicate b draws n positions with replacement: index(b, j) is a hash of
-    (seed, b, j) (X4), so the draw is reproducible and partition-independent.
-    Every residual row expands into its B draws (work spread over the rows'
-    partitions), joins back the squared errors of the drawn row, and one
-    aggregation per (symbol, b) gives all models' replicate RMSEs."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    ok = F.col(y).isNotNull()
-    for m in models:
-        ok = ok & F.col(m).isNotNull()
-    base = wide.where(ok).select(*keys, order, *[((F.col(m) - F.col(y)) ** 2).alias(f"_e{m}") for m in models])
-    base = base.withColumns({"_pos": F.row_number().over(w) - 1,
-                             "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
-    # The draws join back to these rows: write them once (lineage cut) instead
-    # of re-deriving the whole upstream plan on both sides of the join.
-    base = materialize(base, "bootstrap_rmse_base")
-    draws = (base.select(*keys, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-                 .withColumn("_idx", F.expr(index_sql(str(seed), "b", "_pos", "_n"))))
-    errs = base.select(*keys, F.col("_pos").alias("_idx"), *[f"_e{m}" for m in models])
-    rep = (draws.join(errs, [*keys, "_idx"])
-                .groupBy(*keys, "b").agg(*[F.sqrt(F.avg(f"_e{m}")).alias(m) for m in models]))
-    rep_long = rep.unpivot([*keys, "b"], list(models), "model", "rmse_b")
-    ci = rep_long.groupBy(*keys, "model").agg(
-        F.percentile("rmse_b", F.lit(alpha / 2)).alias("ci_lo"),
-        F.percentile("rmse_b", F.lit(1 - alpha / 2)).alias("ci_hi"),
-        F.count(F.lit(1)).alias("n_boot"))
-    point = base.groupBy(*keys).agg(*[F.sqrt(F.avg(f"_e{m}")).alias(m) for m in models]) \
-                .unpivot(list(keys), list(models), "model", "rmse")
-    return point.join(ci, [*keys, "model"])
+    """K3: percentile bootstrap CI of RMSE per (symbol, model), on the rows that model has.
+
+    Replicate b draws n positions with replacement and joins back the squared errors drawn."""
+    part = [*keys, "model"]
+    long = wide.select(*keys, order, F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), ((F.col(m) - F.col(y)) ** 2).alias("_e")) for m in models]))).where("_e IS NOT NULL")
+    base = _positioned(long, part, order, "bootstrap_rmse_base")
+    errs = base.select(*part, F.col("_pos").alias("_idx"), "_e")
+    rep = (_draws(base, part, n_boot, seed).join(errs, [*part, "_idx"])
+           .groupBy(*part, "b").agg(F.sqrt(F.avg("_e")).alias("rmse_b")))
+    return base.groupBy(*part).agg(F.sqrt(F.avg("_e")).alias("rmse")).join(_percentile_ci(rep, part, "rmse_b", alpha), part)
+
+
+#: Cumulative Poisson(1) probabilities P(X <= k), k = 0..15; beyond, less than 1e-13 is left.
+POISSON_1 = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(16)]
+
+
+def poisson_weight_sql(u: str) -> str:
+    """Poisson(1) variate of a uniform: how many cumulative probabilities it passes."""
+    return "(" + " + ".join(f"CAST({u} >= {c!r} AS INT)" for c in POISSON_1) + ")"
+
+
+def poisson_bootstrap_rmse_ci(wide: DataFrame, models, y: str = "target_vol", n_boot: int = 2000,
+                              alpha: float = 0.05, seed: int = 42, keys=("symbol",), order: str = "date") -> DataFrame:
+    """K3 without a join: every (row, replicate) carries a Poisson(1) weight, so a replicate is one partial
+    aggregation and the shuffle holds tasks x replicates partial rows whatever the row count."""
+    long = wide.select(*keys, order, F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), ((F.col(m) - F.col(y)) ** 2).alias("_e")) for m in models]))).where("_e IS NOT NULL")
+    part = [*keys, "model"]
+    drawn = (long.withColumn("_row", ntz_to_micros(F.col(order).cast("timestamp_ntz"))).select(*part, "_e", "_row", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
+             .withColumn("_u", F.expr(uniform_sql(str(seed), "b", "_row"))).withColumn("_w", F.expr(poisson_weight_sql("_u"))))
+    rep = drawn.groupBy(*part, "b").agg(F.sqrt(F.try_divide(F.sum(F.col("_w") * F.col("_e")), F.sum("_w").cast("double"))).alias("rmse_b"))
+    return long.groupBy(*part).agg(F.sqrt(F.avg("_e")).alias("rmse")).join(_percentile_ci(rep, part, "rmse_b", alpha), part)
 
 
 def midranks(df: DataFrame, score: str, part: list[str], out: str) -> DataFrame:
@@ -118,89 +140,66 @@ def midranks(df: DataFrame, score: str, part: list[str], out: str) -> DataFrame:
     return df.withColumn(out, F.rank().over(w) + (ties - 1) / 2.0)
 
 
-def delong(wide: DataFrame, models, label: str = "target_regime", keys=("symbol",)) -> DataFrame:
-    """K6-K7: DeLong test (fast structural components) for every model pair.
-
-    AUC_r = (sum_pos Rz - m(m+1)/2) / (m n); V01 = (Rz - Rx)/n on positives,
-    V10 = 1 - (Rz - Ry)/m on negatives; S = cov(V01)/m + cov(V10)/n (ddof 1);
-    z = (AUC_a - AUC_b) / sqrt(S_aa + S_bb - 2 S_ab); NULL with one class or var <= 0."""
-    ok = F.col(label).isNotNull()
-    for m in models:
-        ok = ok & F.col(m).isNotNull()
-    df = wide.where(ok).select(*keys, F.col(label).cast("int").alias("_y"), *models)
-    for i, m in enumerate(models):
-        df = midranks(df, m, list(keys), f"_rz{i}")
-        df = midranks(df, m, [*keys, "_y"], f"_rc{i}")
-    wk = Window.partitionBy(*keys)
-    df = df.withColumns({"_m": F.sum("_y").over(wk).cast("double"),
-                         "_n": F.sum(1 - F.col("_y")).over(wk).cast("double")})
-    pos = F.col("_y") == 1
-    df = df.withColumns({
-        **{f"_v01_{i}": F.when(pos, (F.col(f"_rz{i}") - F.col(f"_rc{i}")) / F.col("_n")) for i in range(len(models))},
-        **{f"_v10_{i}": F.when(~pos, 1.0 - (F.col(f"_rz{i}") - F.col(f"_rc{i}")) / F.col("_m"))
-           for i in range(len(models))}})
-    idx = {m: i for i, m in enumerate(models)}
+def delong(wide: DataFrame, models, label: str = "target_regime", keys=("symbol",), order: str = "date") -> DataFrame:
+    """K6-K7: DeLong test (fast structural components) for every model pair, on the rows both models have.
+
+    Per (pair, side) the scores are reduced to distinct values with positive and negative counts; with P and N the
+    counts below a score, a positive's component is V01 = (N + neg / 2) / n and a negative's V10 = 1 - (P + pos / 2) / m
+    (the mid-rank forms), so ranks need one cumulative window over distinct scores.  AUC = mean of V01;
+    S = cov(V01)/m + cov(V10)/n (ddof 1); z = (AUC_a - AUC_b) / sqrt(S_aa + S_bb - 2 S_ab); NULL with one class, too
+    few rows or var <= 0."""
+    pair = [*keys, "model_a", "model_b"]
+    rows = wide.where(F.col(label).isNotNull()).select(*keys, order, F.col(label).cast("int").alias("_y"), F.inline(F.array(*[
+        F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.col(a).alias("_sa"), F.col(b).alias("_sb")) for a, b in _pairs(models)])))
+    rows = rows.where("_sa IS NOT NULL AND _sb IS NOT NULL")
+    sides = rows.select(*pair, order, "_y", F.inline(F.array(F.struct(F.lit("a").alias("side"), F.col("_sa").alias("_s")),
+                                                             F.struct(F.lit("b").alias("side"), F.col("_sb").alias("_s")))))
+    dist = sides.groupBy(*pair, "side", "_s").agg(F.sum("_y").alias("_p"), F.sum(1 - F.col("_y")).alias("_q"))
+    whole = Window.partitionBy(*pair, "side")
+    below = whole.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    dist = dist.withColumns({"_pb": F.coalesce(F.sum("_p").over(below), F.lit(0)), "_qb": F.coalesce(F.sum("_q").over(below), F.lit(0)),
+                             "_m": F.sum("_p").over(whole).cast("double"), "_n": F.sum("_q").over(whole).cast("double")})
+    comp = dist.select(*pair, "side", "_s", "_m", "_n", F.try_divide(F.col("_qb") + F.col("_q") / 2.0, F.col("_n")).alias("_v01"),
+                       (1.0 - F.try_divide(F.col("_pb") + F.col("_p") / 2.0, F.col("_m"))).alias("_v10"))
+    at = sides.join(comp, [*pair, "side", "_s"])
+    value = F.when(F.col("_y") == 1, F.col("_v01")).otherwise(F.col("_v10"))
+    both = at.groupBy(*pair, order, "_y").agg(F.max(F.when(F.col("side") == "a", value)).alias("_a"), F.max(F.when(F.col("side") == "b", value)).alias("_b"),
+                                              F.max("_m").alias("_m"), F.max("_n").alias("_n"))
     aggs = [F.first("_m").alias("m"), F.first("_n").alias("n")]
-    for i in range(len(models)):
-        aggs.append(F.sum(F.when(pos, F.col(f"_rz{i}"))).alias(f"sz{i}"))
-    seen = set()
-    for a, b in _pairs(models):
-        for x, y_ in ((a, a), (b, b), (a, b)):
-            i, j = idx[x], idx[y_]
-            if (i, j) in seen:
-                continue
-            seen.add((i, j))
-            aggs.append(F.covar_samp(f"_v01_{i}", f"_v01_{j}").alias(f"c01_{i}_{j}"))
-            aggs.append(F.covar_samp(f"_v10_{i}", f"_v10_{j}").alias(f"c10_{i}_{j}"))
-    agg = df.groupBy(*keys).agg(*aggs)
-    auc = lambda i: (F.col(f"sz{i}") / (F.col("m") * F.col("n")) - (F.col("m") + 1.0) / (2.0 * F.col("n")))
-    s = lambda i, j: F.col(f"c01_{i}_{j}") / F.col("m") + F.col(f"c10_{i}_{j}") / F.col("n")
-    structs = []
-    for a, b in _pairs(models):
-        i, j = idx[a], idx[b]
-        var = s(i, i) + s(j, j) - 2.0 * s(i, j)
-        structs.append(F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"),
-                                auc(i).alias("auc_a"), auc(j).alias("auc_b"), var.alias("_var")))
-    long = agg.where((F.col("m") > 0) & (F.col("n") > 0)).select(*keys, F.inline(F.array(*structs)))
-    long = long.withColumns({"auc_diff": F.col("auc_a") - F.col("auc_b"),
-                             "statistic": F.when(F.col("_var") > 0,
-                                                 (F.col("auc_a") - F.col("auc_b")) / F.sqrt(F.col("_var")))})
-    return long.drop("_var").withColumn("p_value", F.expr(normal_two_sided_p_sql("statistic")))
+    for side in ("a", "b"):
+        aggs.append(F.avg(F.when(F.col("_y") == 1, F.col(f"_{side}"))).alias(f"auc_{side}"))
+    for y, n in ((1, "01"), (0, "10")):
+        ca, cb = F.when(F.col("_y") == y, F.col("_a")), F.when(F.col("_y") == y, F.col("_b"))
+        aggs += [F.covar_samp(ca, ca).alias(f"aa{n}"), F.covar_samp(cb, cb).alias(f"bb{n}"), F.covar_samp(ca, cb).alias(f"ab{n}")]
+    agg = both.groupBy(*pair).agg(*aggs).where("m > 0 AND n > 0")
+    s = lambda k: F.col(f"{k}01") / F.col("m") + F.col(f"{k}10") / F.col("n")
+    agg = agg.withColumns({"_var": s("aa") + s("bb") - 2.0 * s("ab"), "auc_diff": F.col("auc_a") - F.col("auc_b")})
+    long = agg.select(*pair, "auc_a", "auc_b", "auc_diff", F.when(F.col("_var") > 0, F.col("auc_diff") / F.sqrt("_var")).alias("statistic"))
+    return long.withColumn("p_value", F.expr(normal_two_sided_p_sql("statistic")))
 
 
 def bootstrap_auc_ci(wide: DataFrame, models, label: str = "target_regime", n_boot: int = 2000,
                      alpha: float = 0.05, seed: int = 42, keys=("symbol",), order: str = "date") -> DataFrame:
-    """K4: percentile bootstrap CI of ROC AUC per (symbol, model).
+    """K4: percentile bootstrap CI of ROC AUC per (symbol, model), on the rows that model has.
 
     Same hash-drawn index table as K3; a replicate's AUC is the exact
     Mann-Whitney AUC with the draw multiplicities as weights.  Replicates
     holding one class only are undefined: dropped and counted (T7)."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    ok = F.col(label).isNotNull()
-    for m in models:
-        ok = ok & F.col(m).isNotNull()
-    base = wide.where(ok).select(*keys, order, F.col(label).cast("int").alias("_y"), *models)
-    base = base.withColumns({"_pos": F.row_number().over(w) - 1,
-                             "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
-    base = materialize(base, "bootstrap_auc_base")
-    draws = (base.select(*keys, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-                 .withColumn("_idx", F.expr(index_sql(str(seed), "b", "_pos", "_n"))))
-    rows = base.select(*keys, F.col("_pos").alias("_idx"), "_y", *models)
-    # Multiplicity of every drawn row per replicate, then one row per (replicate, row).
-    mult = draws.groupBy(*keys, "b", "_idx").agg(F.count(F.lit(1)).alias("_w"))
-    j = mult.join(rows, [*keys, "_idx"]).unpivot([*keys, "b", "_idx", "_w", "_y"], list(models), "model", "score")
-    c = j.groupBy(*keys, "model", "b", "score").agg(
+    part = [*keys, "model"]
+    long = wide.where(F.col(label).isNotNull()).select(*keys, order, F.col(label).cast("int").alias("_y"), F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(m).alias("score")) for m in models]))).where("score IS NOT NULL")
+    base = _positioned(long, part, order, "bootstrap_auc_base")
+    rows = base.select(*part, F.col("_pos").alias("_idx"), "_y", "score")
+    # Multiplicity of every drawn row per replicate, then one row per (replicate, score).
+    mult = _draws(base, part, n_boot, seed).groupBy(*part, "b", "_idx").agg(F.count(F.lit(1)).alias("_w"))
+    c = mult.join(rows, [*part, "_idx"]).groupBy(*part, "b", "score").agg(
         F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col("_y") == 0, F.col("_w")).otherwise(0)).alias("neg"))
-    wc = Window.partitionBy(*keys, "model", "b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    wc = Window.partitionBy(*part, "b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     c = c.withColumn("_nb", F.coalesce(F.sum("neg").over(wc), F.lit(0)))
-    rep = c.groupBy(*keys, "model", "b").agg(
+    rep = c.groupBy(*part, "b").agg(
         F.sum(F.col("pos") * (F.col("_nb") + 0.5 * F.col("neg"))).alias("_u"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_q"))
     rep = rep.withColumn("auc_b", F.when((F.col("_p") > 0) & (F.col("_q") > 0),
                                          F.col("_u") / (F.col("_p") * F.col("_q")).cast("double")))
-    return rep.groupBy(*keys, "model").agg(
-        F.percentile("auc_b", F.lit(alpha / 2)).alias("ci_lo"),
-        F.percentile("auc_b", F.lit(1 - alpha / 2)).alias("ci_hi"),
-        F.count("auc_b").alias("n_boot"),
-        F.count_if(F.col("auc_b").isNull()).alias("n_undefined"))
+    return _percentile_ci(rep, part, "auc_b", alpha, F.count_if(F.col("auc_b").isNull()).alias("n_undefined"))
