@@ -47,8 +47,10 @@ def arma11_fit(panel: DataFrame, y: str = "vol_realized", ar_order: int = 10) ->
     tr = tr.withColumn("_e", F.col("_y") - fitted)
     tr = tr.withColumn("_e1", F.lag("_e", 1).over(w))
     st2 = solve(gram(tr, ["symbol"], [F.lit(1.0), F.col("_y1"), F.col("_e1")], F.col("_y")), ["symbol"])
-    return st2.select("symbol", F.col("coef")[0].alias("c"), F.col("coef")[1].alias("phi"),
-                      F.col("coef")[2].alias("theta"))
+    # An innovation filter with |theta| >= 1 diverges; its mirror image 1 / theta has the same autocorrelations.
+    theta = F.col("coef")[2]
+    inside = (F.when(F.abs(theta) > 1, F.try_divide(F.lit(1.0), theta)).when(F.abs(theta) == 1, theta * F.lit(1 - 1e-6)).otherwise(theta))
+    return st2.select("symbol", F.col("coef")[0].alias("c"), F.col("coef")[1].alias("phi"), inside.alias("theta"))
 
 
 def arma11_forecast(panel: DataFrame, params: DataFrame | None = None, y: str = "vol_realized",

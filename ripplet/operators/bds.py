@@ -26,7 +26,7 @@ from ripplet.operators.residuals import residual_table
 
 def close_pairs(series: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, i, j) for i < j with |x_i - x_j| < eps (eps per series)."""
-    s = series.withColumn("_b", F.floor(F.col("x") / F.col("eps")))
+    s = series.withColumn("_b", F.floor(F.try_divide("x", "eps")))
     left = s.select(*keys, F.col("t").alias("i"), F.col("x").alias("xi"), "eps",
                     F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)).alias("_b"))
     right = s.select(*keys, F.col("t").alias("j"), F.col("x").alias("xj"), "_b")
@@ -60,18 +60,19 @@ def bds_test(series: DataFrame, keys: list[str], max_dim: int = 3) -> DataFrame:
     st = st.na.fill(0, subset=["p1", "sum_d2"] + [f"p1_{m}" for m in range(2, max_dim + 1)]
                     + [f"pm_{m}" for m in range(2, max_dim + 1)])
     n = F.col("n").cast("double")
-    c1 = F.col("p1") / (n * (n - 1) / 2)
+    # NULL for series too short or without variation
+    c1 = F.try_divide(F.col("p1"), n * (n - 1) / 2)
     sum_r = n + 2 * F.col("p1")
     sum_r2 = n + 4 * F.col("p1") + F.col("sum_d2")
-    k = (sum_r2 - 3 * sum_r + 2 * n) / (n * (n - 1) * (n - 2))
+    k = F.try_divide(sum_r2 - 3 * sum_r + 2 * n, n * (n - 1) * (n - 2))
     rows = []
     for m in range(2, max_dim + 1):
         npair = (n - m + 1) * (n - m) / 2
-        cm_ = F.col(f"pm_{m}") / npair
-        c1m = F.col(f"p1_{m}") / npair
+        cm_ = F.try_divide(F.col(f"pm_{m}"), npair)
+        c1m = F.try_divide(F.col(f"p1_{m}"), npair)
         tmp = sum((k ** (m - j)) * (c1 ** (2 * j)) for j in range(1, m))
         var = 4 * (k ** m + 2 * tmp + ((m - 1) ** 2) * c1 ** (2 * m) - (m ** 2) * k * c1 ** (2 * m - 2))
-        stat = F.sqrt(n - m + 1) * (cm_ - c1m ** m) / F.sqrt(var)
+        stat = F.when((var > 0) & (n > m), F.sqrt(n - m + 1) * (cm_ - c1m ** m) / F.sqrt(F.when(var > 0, var)))
         rows.append(F.struct(F.lit(m).alias("dim"), stat.alias("statistic")))
     out = st.select(*keys, "eps", F.inline(F.array(*rows)))
     return out.withColumn("p_value", F.expr(normal_two_sided_p_sql("statistic")))

@@ -48,8 +48,9 @@ def return_moments(df: DataFrame, value: str = "log_return", keys=("symbol",)) -
         F.count(x).cast("double").alias("_n"), F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"))
     n = F.col("_n")
     m = m.select(*keys,
-                 (F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"),
-                 ((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6)).alias("kurt"))
+                 # NULL for groups too short (n <= 2, n <= 3) and for constant ones
+                 F.when(n > 2, F.try_divide(F.nanvl("_g1", F.lit(None)) * F.sqrt(n * (n - 1)), n - 2)).alias("skew"),
+                 F.when(n > 3, F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.nanvl("_g2", F.lit(None)) + 6)).alias("kurt"))
     return d.join(m, list(keys))
 
 
@@ -85,7 +86,7 @@ def acf(df: DataFrame, value: str, n_lags: int = 40, keys=("symbol",), order: st
                                     for k in range(1, n_lags + 1)])
     long = agg.unpivot([*keys, "n", "_g0"], [f"g{k}" for k in range(1, n_lags + 1)], "_lag", "_gk")
     return long.select(*keys, F.substring("_lag", 2, 3).cast("int").alias("lag"),
-                       (F.col("_gk") / F.col("_g0")).alias("acf"),
+                       F.try_divide("_gk", "_g0").alias("acf"),
                        (F.lit(1.96) / F.sqrt(F.col("n").cast("double"))).alias("band"))
 
 

@@ -171,7 +171,7 @@ def har_solution_sql(prefix: str = "") -> dict[str, str]:
     out = {}
     for k in range(3):
         Mk = [[(s[i] if j == k else M[i][j]) for j in range(3)] for i in range(3)]
-        out[f"b{k + 1}"] = f"({det(Mk)}) / ({d})"
+        out[f"b{k + 1}"] = f"({det(Mk)}) / NULLIF({d}, 0)"  # collinear components: no forecast
     out["b0"] = f"{p}my - (({out['b1']})*{p}m0 + ({out['b2']})*{p}m1 + ({out['b3']})*{p}m2)"
     return out
 
