@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.functions.random import hash31_sql, uniform_sql
+from ripplet.functions.random import hash60_sql, uniform_sql
 
 
 def class_weights(df: DataFrame, label: str = "label", keys=("symbol",)) -> DataFrame:
@@ -46,7 +46,7 @@ def undersample_positives(df: DataFrame, id_col: str, label: str = "label", targ
     by the order of a hash of (seed, id): exact count, reproducible."""
     y = F.col(label)
     wk = Window.partitionBy(*keys)
-    h = F.expr(hash31_sql(str(seed), id_col, "0"))
+    h = F.expr(hash60_sql(str(seed), id_col, "0"))
     d = df.where(y.isNotNull()).withColumns({"_h": h, "_id": F.expr(id_col),
                                              "_n0": F.count_if(y == 0).over(wk)})
     w = Window.partitionBy(*keys, label).orderBy("_h", "_id")
@@ -70,7 +70,7 @@ def balancing_experiment(panel: DataFrame, label: str = "target_regime") -> Data
     weights (G3 as ``weightCol``), and training on the 90/10 undersample (G5)."""
     from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
     from ripplet.operators.metrics import classification_metrics, roc_auc
-    from ripplet.operators.models import make_pipeline, predictions_long
+    from ripplet.operators.models import fit_pipeline, predictions_long
     train = panel.where(F.col("split") == "train")
     weighted = add_weight_col(train.withColumnRenamed(label, "_lab"), "_lab", ("symbol",), "balanced") \
         .withColumnRenamed("_lab", label)
@@ -83,7 +83,7 @@ def balancing_experiment(panel: DataFrame, label: str = "target_regime") -> Data
         if weight:
             kw["weightCol"] = weight
         return {"logreg_l2": LogisticRegression(elasticNetParam=0.0, regParam=1.0 / n, standardization=False,
-                                                maxIter=200, **kw),
+                                                maxIter=5000, **kw),
                 "gaussian_nb": NaiveBayes(modelType="gaussian", **kw),
                 "tree": DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=42, **kw)}
 
@@ -91,7 +91,7 @@ def balancing_experiment(panel: DataFrame, label: str = "target_regime") -> Data
     for tech, data, wcol in (("none", train, None), ("class_weight", weighted, "weight"),
                              ("undersample_10pct", under, None)):
         for name, est in models(wcol).items():
-            p = predictions_long(make_pipeline(est).fit(data), panel.where(F.col("split") == "test"),
+            p = predictions_long(fit_pipeline(est, data), panel.where(F.col("split") == "test"),
                                  name, "classification", label)
             m = roc_auc(p).join(classification_metrics(p), ["symbol", "model", "split"]) \
                 .select("symbol", "model", F.lit(tech).alias("technique"), "auc", "f1")

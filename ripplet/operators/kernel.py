@@ -22,11 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ripplet.operators.features import FEATURE_COLUMNS
-from ripplet.operators.models import preprocessing
-
-
-def fit_preprocessing(train: DataFrame, features=FEATURE_COLUMNS) -> PipelineModel:
-    return Pipeline(stages=preprocessing(list(features))).fit(train)
+from ripplet.operators.models import fit_preprocessing
 
 
 def rff(df: DataFrame, p: int, gamma: float, n_components: int = 200, seed: int = 42,

@@ -21,18 +21,17 @@ KEYS = ["symbol", "date", "split"]
 
 
 def _expert(panel: DataFrame, regime: int, label: str = "target_vol"):
-    tv = panel.where(((F.col("split") == "train") & (F.col("target_regime") == regime)) |
-                     (F.col("split") == "val")).withColumn("is_val", F.col("split") == "val")
-    return MD.make_pipeline(MD.gbt_native_early_stopping("regression", label)).fit(tv)
+    train = panel.where((F.col("split") == "train") & (F.col("target_regime") == regime))
+    return MD.fit_boosted(train, panel.where(F.col("split") == "val"), "regression", label)[0]
 
 
 def mixture_components(panel: DataFrame) -> DataFrame:
     """Wide per-row components: p_high, r_low, r_high, ridge, gbt."""
-    gate = MD.fit_gbt_native(panel, "classification", "target_regime")
+    gate = MD.fit_gbt(panel, "classification", "target_regime")
     lo, hi = _expert(panel, 0), _expert(panel, 1)
-    gbt = MD.fit_gbt_native(panel, "regression", "target_vol")
+    gbt = MD.fit_gbt(panel, "regression", "target_vol")
     train = panel.where(F.col("split") == "train")
-    ridge = MD.make_pipeline(MD.regression_estimators(train)["ridge"]).fit(train)
+    ridge = MD.fit_pipeline(MD.regression_estimators(train)["ridge"], train)
     clip = lambda c: F.greatest(c, F.lit(0.0))
     parts = [
         gate.transform(panel).select(*KEYS, "target_vol", vector_to_array("probability")[1].alias("p_high")),

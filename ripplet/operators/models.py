@@ -13,23 +13,30 @@ Mapping notes
 * LogReg / LinearSVC C: regParam = 1 / (C * n).
 * Boosted trees: stepSize 0.05, depth 4, min 5 per node, row and column
   subsampling 0.85 (Spark samples columns per node, not per tree; no L2 leaf
-  penalty).  Early stopping = fit, score every prefix on the validation rows,
-  keep the prefix ending at the best score before ``patience`` rounds pass
-  without improvement, refit with that many rounds (same seed).
+  penalty).  Early stopping: score every prefix on the validation rows and
+  keep the prefix that ends at the best score before ``patience`` rounds pass
+  without improvement.  Rounds are fitted in growing batches (a longer fit
+  repeats the shorter one's trees, the seed of a tree being its number), so
+  rounds far beyond the stop are never grown.
+* Scaling uses the population standard deviation.  Medians of the pooled
+  pipeline come from Spark's bounded quantile sketch (rank error 0.1 %).
 """
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplet.operators.features import FEATURE_COLUMNS
@@ -40,17 +47,23 @@ SEED = 42
 TREE_MEM_MB = 32
 
 
-def preprocessing(features: list[str]) -> list:
-    """F1 + F2 as Spark ML stages: exact median imputation, then scaling."""
+def fit_preprocessing(train: DataFrame, features: list[str] = FEATURE_COLUMNS) -> PipelineModel:
+    """F1 + F2 fitted on the training rows: median imputation, then scaling by mean and population std."""
+    features = list(features)
     imp = [f"{c}__imp" for c in features]
-    return [Imputer(inputCols=features, outputCols=imp, strategy="median", relativeError=0.0),
-            VectorAssembler(inputCols=imp, outputCol="_raw", handleInvalid="keep"),
-            StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)]
+    n = train.count()
+    population = math.sqrt(n / (n - 1)) if n > 1 else 1.0  # Spark scales by the sample std
+    return Pipeline(stages=[
+        Imputer(inputCols=features, outputCols=imp, strategy="median", relativeError=0.001),
+        VectorAssembler(inputCols=imp, outputCol="_raw", handleInvalid="keep"),
+        StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
+        ElementwiseProduct(inputCol="_scaled", outputCol="features", scalingVec=Vectors.dense([population] * len(features)))]).fit(train)
 
 
-def make_pipeline(estimator, features: list[str] = FEATURE_COLUMNS) -> Pipeline:
-    """imputer + scaler + model."""
-    return Pipeline(stages=preprocessing(list(features)) + [estimator])
+def fit_pipeline(estimator, train: DataFrame, features: list[str] = FEATURE_COLUMNS) -> PipelineModel:
+    """imputer + scaler + model, all fitted on ``train``."""
+    prep = fit_preprocessing(train, features)
+    return PipelineModel(stages=[*prep.stages, estimator.fit(prep.transform(train))])
 
 
 def _n_and_sigma(train: DataFrame, label: str) -> tuple[int, float]:
@@ -78,15 +91,15 @@ def classification_estimators(train: DataFrame, label: str = "target_regime") ->
     common = dict(featuresCol="features", labelCol=label)
     return {
         "logreg_l1": LogisticRegression(elasticNetParam=1.0, regParam=1.0 / n, standardization=False,
-                                        maxIter=500, **common),                                  # F12
+                                        maxIter=5000, **common),                                  # F12
         "logreg_l2": LogisticRegression(elasticNetParam=0.0, regParam=1.0 / n, standardization=False,
-                                        maxIter=500, **common),
+                                        maxIter=5000, **common),
         "tree": DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=SEED,
                                        maxMemoryInMB=TREE_MEM_MB, **common),
         "rf": RandomForestClassifier(numTrees=200, maxDepth=10, minInstancesPerNode=5, maxBins=256,
                                      featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=TREE_MEM_MB, **common),
         "gaussian_nb": NaiveBayes(modelType="gaussian", **common),                               # F11
-        "linear_svc": LinearSVC(regParam=1.0 / n, standardization=False, maxIter=500, **common),  # F17
+        "linear_svc": LinearSVC(regParam=1.0 / n, standardization=False, maxIter=5000, **common),  # F17
     }
 
 
@@ -109,21 +122,47 @@ def early_stop_rounds(curve: list[float], patience: int = 30) -> int:
     return best_i + 1
 
 
-def fit_gbt_early_stopping(panel: DataFrame, task: str, label: str, max_iter: int = 300,
-                           patience: int = 30) -> tuple[PipelineModel, int]:
-    """Fit once, score each prefix on validation rows, refit the prefix."""
-    train = panel.where(F.col("split") == "train")
-    val = panel.where(F.col("split") == "val")
-    full = make_pipeline(gbt(task, label, max_iter)).fit(train)
-    booster = full.stages[-1]
-    val_t = PipelineModel(stages=full.stages[:-1]).transform(val)
-    loss = "squared" if task == "regression" else "logistic"
-    curve = booster.evaluateEachIteration(val_t, loss) if task == "regression" else \
-        booster.evaluateEachIteration(val_t)
-    k = early_stop_rounds(list(curve), patience)
-    if k == max_iter:
-        return full, k
-    return make_pipeline(gbt(task, label, k)).fit(train), k
+def _prefix(model, rounds: int):
+    """The boosted model made of the first ``rounds`` trees."""
+    j = model._java_obj
+    trees, weights = list(j.trees())[:rounds], list(model.treeWeights)[:rounds]
+    gateway = SparkSession.getActiveSession().sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    array = gateway.new_array(kind, len(trees))
+    doubles = gateway.new_array(gateway.jvm.double, len(weights))
+    for i, (t, w) in enumerate(zip(trees, weights)):
+        array[i], doubles[i] = t, w
+    if isinstance(model, GBTRegressionModel):
+        cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(j.uid(), array, doubles, j.numFeatures())
+    else:
+        cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(j.uid(), array, doubles, j.numFeatures(), 2)
+    return type(model)(j.copyValues(cut, j.extractParamMap()))
+
+
+def fit_boosted(train: DataFrame, val: DataFrame, task: str, label: str, max_iter: int = 1000, patience: int = 30,
+                first: int = 100) -> tuple[PipelineModel, list[float]]:
+    """Boosted trees stopped by the patience rule on the validation rows; returns (pipeline, validation loss of
+    every fitted round).  The kept number of rounds is the model's ``getNumTrees``."""
+    prep = fit_preprocessing(train)
+    keep = [label, "features"]
+    tr = prep.transform(train.where(F.col(label).isNotNull())).select(*keep).persist(StorageLevel.DISK_ONLY)
+    va = prep.transform(val.where(F.col(label).isNotNull())).select(*keep).persist(StorageLevel.DISK_ONLY)
+    rounds = min(first, max_iter)
+    while True:
+        booster = gbt(task, label, rounds).fit(tr)
+        curve = [float(x) for x in (booster.evaluateEachIteration(va, "squared") if task == "regression" else booster.evaluateEachIteration(va))]
+        kept = early_stop_rounds(curve, patience)
+        if rounds == max_iter or kept + patience <= rounds:
+            break
+        rounds = min(2 * rounds, max_iter)
+    tr.unpersist()
+    va.unpersist()
+    return PipelineModel(stages=[*prep.stages, _prefix(booster, kept) if kept < rounds else booster]), curve
+
+
+def fit_gbt(panel: DataFrame, task: str, label: str, max_iter: int = 1000) -> PipelineModel:
+    """Boosted trees on the train split, stopped on the val split."""
+    return fit_boosted(panel.where(F.col("split") == "train"), panel.where(F.col("split") == "val"), task, label, max_iter)[0]
 
 
 def predictions_long(model: PipelineModel, panel: DataFrame, name: str, task: str, label: str) -> DataFrame:
@@ -141,34 +180,23 @@ def predictions_long(model: PipelineModel, panel: DataFrame, name: str, task: st
 
 
 def fit_and_evaluate(panel: DataFrame, estimators: dict, task: str, label: str) -> tuple[DataFrame, DataFrame]:
-    """fit each pipeline on train, time it, predict every split, and return
-    (long predictions, fit log with seconds per model)."""
+    """preprocessing fitted once on train, each model fitted (and timed) on the prepared rows; returns
+    (long predictions of every split, fit log with seconds per model)."""
     spark = panel.sparkSession
-    train = panel.where(F.col("split") == "train")
+    prep = fit_preprocessing(panel.where(F.col("split") == "train"))
+    ready = prep.transform(panel).select("symbol", "date", "split", label, "features").persist(StorageLevel.MEMORY_AND_DISK)
     preds, log = None, []
     for name, est in estimators.items():
         t0 = time.perf_counter()
-        model = make_pipeline(est).fit(train)
+        model = est.fit(ready.where((F.col("split") == "train") & F.col(label).isNotNull()))
         log.append((name, time.perf_counter() - t0))
-        p = predictions_long(model, panel, name, task, label)
+        p = predictions_long(PipelineModel(stages=[*prep.stages, model]), panel, name, task, label)
         preds = p if preds is None else preds.unionByName(p)
+    ready.unpersist()
     fit_log = spark.createDataFrame(log, "model string, fit_sec double")
     return preds, fit_log
 
 
-def gbt_native_early_stopping(task: str, label: str, max_iter: int = 1000, tol: float = 0.01):
-    """Boosted trees that stop on the validation rows flagged by ``is_val``
-    (Spark's built-in rule: stop when the relative validation improvement
-    falls below ``tol``).  Fit on train + val with the indicator column."""
-    est = gbt(task, label, max_iter)
-    return est.setParams(validationIndicatorCol="is_val", validationTol=tol)
-
-
-def fit_gbt_native(panel: DataFrame, task: str, label: str, max_iter: int = 1000) -> PipelineModel:
-    tv = panel.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
-    return make_pipeline(gbt_native_early_stopping(task, label, max_iter)).fit(tv)
-
-
 def platt_calibrated_svc(panel: DataFrame, label: str = "target_regime", folds: int = 3) -> DataFrame:
     """F16: LinearSVC + sigmoid (Platt) calibration, cv = 3, averaged.
 
@@ -186,7 +214,7 @@ def platt_calibrated_svc(panel: DataFrame, label: str = "target_regime", folds:
     for f in range(folds):
         svc = LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / n_train,
                         standardization=False, maxIter=500)
-        m = make_pipeline(svc).fit(train.where(F.col("_fold") != f))
+        m = fit_pipeline(svc, train.where(F.col("_fold") != f))
         cal_in = m.transform(train.where(F.col("_fold") == f)) \
                   .withColumn("_margin", vector_to_array("rawPrediction")[1])
         cal = Pipeline(stages=[VectorAssembler(inputCols=["_margin"], outputCol="_mv"),

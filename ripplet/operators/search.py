@@ -25,7 +25,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ripplet.operators.models import make_pipeline
+from ripplet.operators.models import fit_pipeline
 from ripplet.operators.splits import time_series_folds
 
 
@@ -36,7 +36,7 @@ def cv_score(train: DataFrame, make_estimator, params: dict, label: str = "targe
     def one(f: int) -> float:
         tr = folds.where((F.col("fold") == f) & (F.col("role") == "train"))
         te = folds.where((F.col("fold") == f) & (F.col("role") == "test"))
-        model = make_pipeline(make_estimator(params)).fit(tr)
+        model = fit_pipeline(make_estimator(params), tr)
         e = F.greatest(F.col("prediction"), F.lit(0.0)) - F.col(label)
         return model.transform(te).agg(F.sqrt(F.avg(e * e)).alias("r")).first()["r"]
 

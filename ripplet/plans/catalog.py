@@ -63,7 +63,6 @@ register("panel_daily", _panel_sql(O.daily_bars_sql()))(
     lambda spark, d: _r(daily_panel(spark, d).select(*[c for c, _ in PANEL_COLS])))
 register("panel_hourly", _panel_sql(O.hourly_bars_sql()))(
     lambda spark, d: _r(hourly_panel(spark, d).select(*[c for c, _ in PANEL_COLS])))
-FLAGSHIP = "panel_daily"
 
 # ---------------------------------------------------------------- E forecasters, I metrics
 from ripplet.operators import forecast as FC  # noqa: E402
@@ -235,7 +234,7 @@ FROM rm GROUP BY symbol, model""")(
     lambda spark, d: _r(M.val_test_gap(FC.summarize(daily_preds(spark, d), ("symbol", "model", "split")))))
 
 # ---------------------------------------------------------------- J residual diagnostics
-from ripplet.functions.random import index_sql  # noqa: E402
+from ripplet.functions.random import index_sql, uniform_sql  # noqa: E402
 from ripplet.functions.special import chi2_sf_sql, normal_two_sided_p_sql  # noqa: E402
 from ripplet.operators import compare as K  # noqa: E402
 from ripplet.operators import residuals as J  # noqa: E402
@@ -302,6 +301,47 @@ SELECT {O.select_rounded(_DM_COLS, {'statistic': 6})} FROM (
          p_value < 0.05 / n_pairs AS significant_bonferroni FROM dmp)""")(
     lambda spark, d: _r(K.bonferroni(K.diebold_mariano(daily_wide_test(spark, d), MODELS)), {"statistic": 6}))
 
+_DM_PAIRS = """dmd AS (SELECT a.symbol, a.model AS model_a, b.model AS model_b, a.date, {loss} AS d
+        FROM preds a JOIN preds b ON a.symbol = b.symbol AND a.date = b.date AND a.model < b.model
+        WHERE a.split = 'test' AND a.y_true IS NOT NULL AND a.y_pred IS NOT NULL AND b.y_pred IS NOT NULL)"""
+_SE = "(a.y_pred - a.y_true) * (a.y_pred - a.y_true) - (b.y_pred - b.y_true) * (b.y_pred - b.y_true)"
+_AE = "abs(a.y_pred - a.y_true) - abs(b.y_pred - b.y_true)"
+
+
+def _dm_sql(loss: str, horizon: int) -> str:
+    lags = range(1, horizon)
+    cols = "".join(f", lag(c, {k}) OVER (PARTITION BY symbol, model_a, model_b ORDER BY date) AS c{k}" for k in lags)
+    var = "var_pop(d)" + "".join(f" + 2.0 * coalesce(avg(c * c{k}), 0.0)" for k in lags)
+    return f"""{_DAILY_PREDS},
+{_DM_PAIRS.format(loss=loss)},
+dmc AS (SELECT *, d - avg(d) OVER (PARTITION BY symbol, model_a, model_b) AS c FROM dmd),
+dml AS (SELECT *{cols} FROM dmc),
+dma AS (SELECT symbol, model_a, model_b, count(*) AS n, avg(d) AS mean_loss_diff,
+               CASE WHEN {var} > 0 THEN avg(d) / sqrt(({var}) / count(*)) END AS statistic FROM dml GROUP BY ALL),
+dmp AS (SELECT *, {normal_two_sided_p_sql('statistic')} AS p_value, {horizon} AS horizon,
+               count(*) OVER (PARTITION BY symbol) AS n_pairs FROM dma)
+SELECT {O.select_rounded(_DM_COLS, {'statistic': 6})} FROM (
+  SELECT *, 0.05 / n_pairs AS alpha_bonferroni, p_value < 0.05 AS significant_5pct,
+         p_value < 0.05 / n_pairs AS significant_bonferroni FROM dmp)"""
+
+
+register("dm_pairs_ae", _dm_sql(_AE, 1))(
+    lambda spark, d: _r(K.bonferroni(K.diebold_mariano(daily_wide_test(spark, d), MODELS, loss="ae")), {"statistic": 6}))
+register("dm_pairs_h5", _dm_sql(_SE, 5))(
+    lambda spark, d: _r(K.bonferroni(K.diebold_mariano(daily_wide_test(spark, d), MODELS, horizon=5)), {"statistic": 6}))
+
+register("bootstrap_rmse_ci_poisson", f"""{_DAILY_PREDS},
+bt AS (SELECT symbol, model, (y_pred - y_true) * (y_pred - y_true) AS e2, epoch_us(CAST(date AS TIMESTAMP)) AS id
+       FROM preds WHERE split = 'test' AND y_true IS NOT NULL AND y_pred IS NOT NULL),
+dr AS (SELECT symbol, model, e2, r.b, {uniform_sql('42', 'r.b', 'id', 'duckdb')} AS u FROM bt CROSS JOIN range(0, 500) r(b)),
+wt AS (SELECT *, {K.poisson_weight_sql('u')} AS w FROM dr),
+rep AS (SELECT symbol, model, b, sqrt(sum(w * e2) / sum(w)) AS rmse_b FROM wt GROUP BY ALL),
+ci AS (SELECT symbol, model, quantile_cont(rmse_b, 0.025) AS ci_lo, quantile_cont(rmse_b, 0.975) AS ci_hi, count(*) AS n_boot FROM rep GROUP BY ALL),
+pt AS (SELECT symbol, model, sqrt(avg(e2)) AS rmse FROM bt GROUP BY ALL)
+SELECT symbol, model, {O.sql_rnd('rmse')} AS rmse, {O.sql_rnd('ci_lo')} AS ci_lo, {O.sql_rnd('ci_hi')} AS ci_hi, n_boot
+FROM pt JOIN ci USING (symbol, model)""")(
+    lambda spark, d: _r(K.poisson_bootstrap_rmse_ci(daily_wide_test(spark, d), MODELS, n_boot=500)))
+
 _B = 2000
 register("bootstrap_rmse_ci", f"""{_DAILY_PREDS},
 bt AS (SELECT symbol, model, (y_pred - y_true) * (y_pred - y_true) AS e2,
@@ -361,8 +401,8 @@ SELECT {O.select_rounded(_DL_COLS, {'statistic': 6})} FROM (
 from ripplet.operators import balance as G  # noqa: E402
 from ripplet.operators import naive_bayes as NB  # noqa: E402
 from ripplet.operators import preprocess as PP  # noqa: E402
-from ripplet.operators.splits import time_series_folds  # noqa: E402
-from ripplet.functions.random import hash31_sql, uniform_sql  # noqa: E402
+from ripplet.operators.splits import temporal_split, time_series_folds  # noqa: E402
+from ripplet.functions.random import hash60_sql  # noqa: E402
 
 register("cv_folds", f"""{_PANEL},
 tr AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS pos,
@@ -394,7 +434,7 @@ FROM (SELECT symbol, count(*) FILTER (WHERE target_regime = 1) AS n_pos, count(*
 
 register("undersample_10pct", f"""{_PANEL},
 u AS (SELECT symbol, date, target_regime AS label,
-             {hash31_sql('42', "(date - DATE '1970-01-01')", '0', 'duckdb')} AS h,
+             {hash60_sql('42', "(date - DATE '1970-01-01')", '0', 'duckdb')} AS h,
              count(*) FILTER (WHERE target_regime = 0) OVER (PARTITION BY symbol) AS n0
       FROM panel WHERE split = 'train'),
 r AS (SELECT *, row_number() OVER (PARTITION BY symbol, label ORDER BY h, date) AS rn FROM u)
@@ -409,8 +449,7 @@ register("median_imputer", _PANEL + "\n" + " UNION ALL ".join(
     "FROM t2 WHERE", "FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS _rn_pre, "
                      "count(*) OVER (PARTITION BY symbol) AS _n_pre FROM t2) WHERE"))(
     lambda spark, d: round_doubles(PP.fit_median_imputer(
-        __import__("ripplet.operators.splits", fromlist=["x"]).temporal_split(
-            targets_table(daily_bars_from_lineitem(spark, d))), _IMP_COLS), 6))
+        temporal_split(targets_table(daily_bars_from_lineitem(spark, d))), _IMP_COLS), 6))
 
 _SC_COLS = ["vol_5", "vol_22", "momentum_22", "range_hl", "dow"]
 register("standard_scaler", f"""{_PANEL}
@@ -449,17 +488,20 @@ from ripplet.session import materialize  # noqa: E402
 
 def _ml_panel(spark, d):
     # Lineage cut: every fit re-reads the written panel, not the raw scan.
-    # Fixed partitioning and in-partition order: Spark ML's per-partition
-    # sampling (bagging, subsampling) then reproduces across session configs.
-    return (materialize(daily_panel(spark, d), "ml_panel")
-            .repartition(8, "symbol").sortWithinPartitions("symbol", "date"))
+    # Rows are spread by a hash of (symbol, date), so a few symbols fill every
+    # core; the number of partitions follows the row count and the order inside
+    # one is fixed, so Spark ML's per-partition sampling (bagging, subsampling)
+    # reproduces across session configs.
+    panel = materialize(daily_panel(spark, d), "ml_panel")
+    parts = max(8, -(-panel.count() // 100_000))
+    return panel.repartition(parts, F.xxhash64("symbol", "date")).sortWithinPartitions("symbol", "date")
 
 
 def ml_regression(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     panel = _ml_panel(spark, d)
     ests = MD.regression_estimators(panel.where(F.col("split") == "train"))
     preds, log = MD.fit_and_evaluate(panel, ests, "regression", "target_vol")
-    g = MD.fit_gbt_native(panel, "regression", "target_vol")
+    g = MD.fit_gbt(panel, "regression", "target_vol")
     preds = preds.unionByName(MD.predictions_long(g, panel, "gbt", "regression", "target_vol"))
     return preds, log
 
@@ -468,7 +510,7 @@ def ml_classification(spark: SparkSession, d: str) -> DataFrame:
     panel = _ml_panel(spark, d)
     ests = MD.classification_estimators(panel.where(F.col("split") == "train"))
     preds, _ = MD.fit_and_evaluate(panel, ests, "classification", "target_regime")
-    g = MD.fit_gbt_native(panel, "classification", "target_regime")
+    g = MD.fit_gbt(panel, "classification", "target_regime")
     preds = preds.unionByName(MD.predictions_long(g, panel, "gbt", "classification", "target_regime"))
     return preds.unionByName(MD.platt_calibrated_svc(panel))
 
@@ -490,7 +532,7 @@ from ripplet.streaming import bars as SB  # noqa: E402
 
 def _stream_bars(spark, d):
     schema = read_table(spark, d, "events").schema
-    sink = SB.run_bars_stream(spark, d, schema)
+    sink, _ = SB.run_bars_stream(spark, os.path.join(d, "events.parquet"), schema)
     return _r(SB.latest_bars(spark, sink))
 
 
@@ -615,7 +657,7 @@ FROM lg WHERE r IS NOT NULL""")(
 
 def _importance(spark, d):
     panel = _ml_panel(spark, d)
-    model = MD.fit_gbt_native(panel, "regression", "target_vol")
+    model = MD.fit_gbt(panel, "regression", "target_vol")
     feats = list(FEATURE_COLUMNS)
     gain = L.native_importance(model, feats).select(F.lit("gain").alias("method"), "feature",
                                                     F.col("gain").alias("score"))
@@ -644,10 +686,6 @@ from ripplet.operators import bds as BDS  # noqa: E402
 
 def _bds_sql(max_dim: int = 3) -> str:
     P = "PARTITION BY symbol, model"
-    chain = "pr AS c1"
-    conds = []
-    for m in range(2, max_dim + 1):
-        pass
     dims = []
     for m in range(2, max_dim + 1):
         joins = " ".join(f"JOIN pr p{k} ON p{k}.symbol = p0.symbol AND p{k}.model = p0.model "
@@ -690,6 +728,32 @@ register("bds_residuals", _bds_sql())(
     lambda spark, d: _r(BDS.bds_residuals(daily_preds(spark, d)).withColumn("dim", F.col("dim").cast("int")),
                         {"statistic": 6}))
 
+_BDS_SUMMARY = ", ".join(f"max({c}) FILTER (WHERE dim = {m}) AS bds_{n}_{m}"
+                         for m in (2, 3) for n, c in (("stat", "statistic"), ("p", "p_value")))
+register("residual_summary", f"""SELECT s.*, b.* EXCLUDE (symbol, model) FROM ({REGISTRY["residual_summary"][1]}) s
+LEFT JOIN (SELECT symbol, model, {_BDS_SUMMARY} FROM ({_bds_sql()}) GROUP BY ALL) b USING (symbol, model)""")(
+    lambda spark, d: _r(J.residual_summary(daily_preds(spark, d)), {**_SUM_DIG, "bds_stat_2": 6, "bds_stat_3": 6}))
+
+
+def _preds_with(spark, d, regressors):
+    wide = FC.add_forecasts(daily_panel(spark, d))
+    keys = ["symbol", "date", "split", "y_true", *regressors]
+    return (wide.withColumn("y_true", F.col("target_vol")).select(*keys, *[F.col(m).cast("double") for m in FC.MODELS])
+                .unpivot(keys, list(FC.MODELS), "model", "y_pred"))
+
+
+register("variance_tests_x", f"""{_DAILY_PREDS},
+xr AS (SELECT p.symbol, p.model, CAST(t.vol_22 AS DOUBLE) AS x, (p.y_true - p.y_pred) * (p.y_true - p.y_pred) AS u
+       FROM preds p JOIN panel t ON t.symbol = p.symbol AND t.date = p.date
+       WHERE p.split = 'test' AND p.y_true IS NOT NULL AND p.y_pred IS NOT NULL AND t.vol_22 IS NOT NULL),
+xs AS (SELECT symbol, model, count(*) AS n, var_pop(x) AS v11, var_pop(x * x) AS v22, covar_pop(x, x * x) AS v12,
+              covar_pop(x, u) AS c1, covar_pop(x * x, u) AS c2, var_pop(u) AS vu FROM xr GROUP BY ALL),
+xt AS (SELECT symbol, model, 'white' AS test, n * ((c1 * v22 - c2 * v12) * c1 + (c2 * v11 - c1 * v12) * c2) / (v11 * v22 - v12 * v12) / vu AS statistic, 2 AS dof FROM xs
+       UNION ALL SELECT symbol, model, 'breusch_pagan', n * c1 * c1 / (v11 * vu), 1 FROM xs)
+SELECT symbol, model, test, {O.sql_rnd('statistic', 5)} AS statistic, dof,
+       {O.sql_rnd(f"CASE WHEN dof = 1 THEN {chi2_sf_sql('statistic', 1)} ELSE {chi2_sf_sql('statistic', 2)} END", 6)} AS p_value FROM xt""")(
+    lambda spark, d: round_doubles(J.variance_tests(_preds_with(spark, d, ["vol_22"]), ["vol_22"]), 6, {"statistic": 5}))
+
 # ---------------------------------------------------------------- D9 leakage audit (rows-only; expects n_diff = 0)
 from ripplet.operators.leakage import feature_leakage_audit  # noqa: E402
 
@@ -727,10 +791,34 @@ def _binary_train(spark, d):
     return e.withColumn("y", (F.col("label") == 0).cast("int"))
 
 
-register("smote_embeddings", None)(
-    lambda spark, d: KNN.smote(_binary_train(spark, d), k=5).select("synthetic_id", "seed_id", "neighbour_id", "u", "y"))
-register("adasyn_embeddings", None)(
-    lambda spark, d: KNN.adasyn(_binary_train(spark, d), k=5).drop("embedding"))
+_OVER = f"""WITH
+e AS (SELECT vec_id, embedding, CAST(label = 0 AS INTEGER) AS y FROM embeddings WHERE {uniform_sql('42', 'vec_id', '0', 'duckdb')} < 0.7),
+cn AS (SELECT y, count(*) AS n FROM e GROUP BY y),
+mi AS (SELECT arg_min(y, (n, y)) AS y, min(n) AS n, max(n) - min(n) AS g FROM cn),
+mino AS (SELECT vec_id FROM e WHERE y = (SELECT y FROM mi)),
+l AS (SELECT vec_id, y, generate_subscripts(embedding, 1) AS j, CAST(unnest(embedding) AS DOUBLE) AS x FROM e),
+dd AS (SELECT q.vec_id AS qid, r.vec_id AS rid, any_value(r.y) AS ry, sqrt(sum((q.x - r.x) * (q.x - r.x))) AS dist
+       FROM l q JOIN l r ON q.j = r.j WHERE q.y = (SELECT y FROM mi) AND q.vec_id <> r.vec_id GROUP BY q.vec_id, r.vec_id),
+nm AS (SELECT qid, rid, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rk FROM dd WHERE ry = (SELECT y FROM mi))"""
+
+register("smote_embeddings", f"""{_OVER},
+sd AS (SELECT vec_id, row_number() OVER (ORDER BY {index_sql('0', 'vec_id', '0', 'greatest(1, ceil(n / 100000.0))', 'duckdb')}, vec_id) - 1 AS i
+       FROM mino, mi),
+sy AS (SELECT r.s AS synthetic_id, {index_sql('42', 'r.s', '1', 'mi.n', 'duckdb')} AS i,
+              {index_sql('42', 'r.s', '2', 'least(5, mi.n - 1)', 'duckdb')} + 1 AS rk, {uniform_sql('42', 'r.s', '3', 'duckdb')} AS u
+       FROM mi, (SELECT unnest(range((SELECT g FROM mi))) AS s) r)
+SELECT synthetic_id, sd.vec_id AS seed_id, rid AS neighbour_id, {O.sql_rnd('u')} AS u, (SELECT y FROM mi) AS y
+FROM sy JOIN sd USING (i) JOIN nm ON nm.qid = sd.vec_id AND nm.rk = sy.rk""")(
+    lambda spark, d: _r(KNN.smote(_binary_train(spark, d), k=5).select("synthetic_id", "seed_id", "neighbour_id", "u", "y")))
+register("adasyn_embeddings", f"""{_OVER},
+al AS (SELECT qid, ry, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rk FROM dd),
+ra AS (SELECT qid, count(*) FILTER (WHERE ry <> (SELECT y FROM mi)) / 5.0 AS r FROM al WHERE rk <= 5 GROUP BY qid),
+gi AS (SELECT qid, CAST(round(r / (SELECT sum(r) FROM ra) * CAST((SELECT g FROM mi) AS DOUBLE)) AS INTEGER) AS g FROM ra),
+ge AS (SELECT qid, unnest(range(g)) AS s FROM gi WHERE g > 0),
+gd AS (SELECT qid, {index_sql('42', 'qid', 's', 'least(5, mi.n - 1)', 'duckdb')} + 1 AS rk, {uniform_sql('42', 'qid', 's + 100000', 'duckdb')} AS u FROM ge, mi)
+SELECT 'generated' AS status, gd.qid AS seed_id, rid AS neighbour_id, {O.sql_rnd('u')} AS u, (SELECT y FROM mi) AS y
+FROM gd JOIN nm ON nm.qid = gd.qid AND nm.rk = gd.rk""")(
+    lambda spark, d: _r(KNN.adasyn(_binary_train(spark, d), k=5).drop("embedding")))
 
 # ---------------------------------------------------------------- G6 model x technique matrix (rows-only)
 def _technique_matrix(spark, d):
@@ -759,7 +847,7 @@ register("rff_svc_metrics", None)(_rff_svc)
 
 def _lime(spark, d):
     panel = _ml_panel(spark, d)
-    model = MD.fit_gbt_native(panel, "regression", "target_vol")
+    model = MD.fit_gbt(panel, "regression", "target_vol")
     feats = list(FEATURE_COLUMNS)
     # Instances: representative cases of the (deterministic) persistence forecaster.
     cases = L.representative_cases(FC.naive(panel)).select("symbol", "date").distinct()
@@ -769,7 +857,7 @@ def _lime(spark, d):
 
 register("lime_explanations", None)(_lime)
 
-# ---------------------------------------------------------------- A3 provenance, D7 hold-out, I8 speed-up table
+# ---------------------------------------------------------------- A3 provenance, D7 hold-out
 from ripplet.operators.splits import chronological_holdout  # noqa: E402
 from ripplet.sources.bars import load_panel_bars  # noqa: E402
 
@@ -786,41 +874,6 @@ SELECT symbol, date, CASE WHEN rn <= n - floor(n * CAST(0.15 AS DOUBLE)) THEN 'f
                       .select("symbol", "date", "role"))
 
 
-def _speedup(spark, d):
-    import time as _t
-    from pyspark.ml.regression import LinearRegression as _LinReg
-    panel = _ml_panel(spark, d)
-    train = panel.where(F.col("split") == "train")
-    test = panel.where(F.col("split") == "test")
-    runs = []
-    for variant, solver in (("standard", "l-bfgs"), ("optimised", "normal")):
-        est = _LinReg(elasticNetParam=0.0, regParam=1e-3, standardization=False, solver=solver,
-                      featuresCol="features", labelCol="target_vol")
-        t0 = _t.perf_counter()
-        m = MD.make_pipeline(est).fit(train)
-        dt = _t.perf_counter() - t0
-        e = F.col("prediction") - F.col("target_vol")
-        rmse = m.transform(test).agg(F.sqrt(F.avg(e * e))).first()[0]
-        runs.append(("ridge_solver", variant, dt, float(rmse), True))
-    emb = NB.embeddings_split(read_table(spark, d, "embeddings"))
-    long = materialize(NB.explode_vectors(emb, "vec_id", "embedding", extra=("label", "split")), "gnb_long")
-    tr, te = long.where(F.col("split") == "train"), long.where(F.col("split") == "test")
-    t0 = _t.perf_counter()
-    full = NB.fit_gnb(tr).cache(); full.count()
-    t_full = _t.perf_counter() - t0
-    t0 = _t.perf_counter()
-    halves = [NB.sufficient_stats(tr.where(F.col("vec_id") % 2 == i)) for i in (0, 1)]
-    inc = NB.gnb_from_stats(NB.merge_stats(*halves)).cache(); inc.count()
-    t_inc = _t.perf_counter() - t0
-    for variant, params, dt in (("standard", full, t_full), ("optimised", inc, t_inc)):
-        acc = NB.predict_gnb(te, params).agg(F.avg((F.col("label") == F.col("pred")).cast("double"))).first()[0]
-        runs.append(("gaussian_nb_incremental", variant, dt, float(acc), False))
-    log = spark.createDataFrame(runs, "task string, variant string, fit_sec double, metric double, lower_is_better boolean")
-    return _r(M.speedup_table(log))
-
-
-register("speedup_table", None)(_speedup)
-
 register("arma_refit_summary", None)(
     lambda spark, d: _r(FC.summarize(AG.arma11_refit_forecast(daily_panel(spark, d), refit_every=250))))
 
