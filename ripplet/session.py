@@ -67,7 +67,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint root and read it back.
 
     Cuts lineage (so a lost executor recomputes from the written table, not
@@ -76,6 +76,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     root = checkpoint_root(spark)
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     w = df.write.mode("overwrite")
+    if compression:
+        w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
