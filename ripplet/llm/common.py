@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,28 @@ def row_chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
         i = j
 
 
+class BitTable:
+    """Fixed-size table of hash positions, broadcast to thin out a scan before a join: every member passes, others only by
+    collision.  Its size does not grow with the data; a table that fills up lets more pass, never less."""
+
+    def __init__(self, words: DataFrame, bits: int):
+        """``words``: (word, mask) with mask the 32 positions of a word; at most 2^(bits - 5) rows are collected."""
+        table = np.zeros(1 << (bits - 5), np.uint32)
+        got = words.toPandas()
+        table[got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).astype(np.uint32)
+        self.table = words.sparkSession.sparkContext.broadcast(table)
+
+    @staticmethod
+    def of(positions: DataFrame, bits: int) -> BitTable:
+        """Table of the column ``at`` (0 <= at < 2^bits)."""
+        return BitTable(positions.select(F.shiftright("at", 5).alias("word"), F.pmod("at", F.lit(32)).cast("int").alias("bit"))
+                        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")), bits)
+
+    @staticmethod
+    def test(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (table[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
 def local_components(n: int, u: np.ndarray, v: np.ndarray, parent: np.ndarray | None = None) -> np.ndarray:
     """Union-find over the vertices 0..n-1 of one task: every vertex gets the smallest index of its component."""
     p = np.arange(n) if parent is None else parent
@@ -66,17 +89,31 @@ def local_components(n: int, u: np.ndarray, v: np.ndarray, parent: np.ndarray |
     return p
 
 
-def connected_components(edges: DataFrame, name: str) -> DataFrame:
+ONE_TASK_EDGES = 500_000
+
+
+def _forest(pdf: pd.DataFrame) -> pd.DataFrame:
+    names = sorted(set(pdf["u"]) | set(pdf["v"]))
+    number = {x: i for i, x in enumerate(names)}
+    p = local_components(len(names), pdf["u"].map(number).to_numpy(np.int64), pdf["v"].map(number).to_numpy(np.int64))
+    return pd.DataFrame({"id": names, "root": [names[i] for i in p.tolist()]})
+
+
+def connected_components(edges: DataFrame, name: str, one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """Distributed union-find.  ``edges``: (a, b), longs or any ordered type; returns (id, root) with the
     smallest reachable id, for every id that has an edge.
 
     Alternates the large-star and small-star steps until the forest stands still (O(log^2 n) rounds).  Each step
     is a min-aggregation with map-side combine and an equi-join, so a hot vertex is a skewed join key that adaptive
-    execution splits; every round is written to the shared checkpoint folder and read again."""
+    execution splits; every round is written to the shared checkpoint folder and read again.  What fits in one task by
+    its count (``one_task`` edges) is finished there by a local union-find."""
     cur = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
                       .distinct(), f"{name}-cc")
+    kind = cur.schema["u"].dataType.simpleString()
     stamp = None
     while True:
+        if cur.count() <= one_task:
+            return cur.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(_forest, f"id {kind}, root {kind}")
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select("v", F.col("m").alias("u")).where("v <> u").distinct()

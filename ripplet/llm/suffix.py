@@ -3,11 +3,12 @@
 Texts are UTF-8 bytes.  A byte goes if a ``length``-byte string that covers it also starts in a document of smaller
 doc_id; matches never cross documents and are judged on the input.
 
-Where to look.  Of every ``length``-byte window, the smallest hash among its ``gram``-byte strings is the anchor, so equal
-windows have equal anchors.  A first pass counts anchors (each chunk sends an anchor once) and keeps those of several
-documents as a bit table of fixed size: it lets all of them pass, and others only by collision.  The second pass sends
-each maximal piece of text whose windows have one (passing) anchor to the bucket of that anchor; equal pieces are
-aggregated first, so a passage that a third of all documents share is one piece per chunk, then one row.
+Where to look.  Of every ``length``-byte window, the smallest hash among its strings of a given length is the anchor, so
+equal windows have equal anchors.  A first pass sends the hashes of long anchors (each chunk an anchor once, packed) to
+parts by their leading bits; those that several documents have become a bit table of fixed size, which lets all of them
+pass, and others only by collision.  The second pass leaves out the windows whose long anchor does not pass, cuts the
+rest into the maximal pieces whose windows share a short anchor, and sends each piece to the bucket of that anchor.
+A chunk sends equal pieces once, and equal pieces are aggregated before matching, so a passage that a third of all documents share is one row.
 
 Matching.  The distinct pieces of a bucket, in the order of their first document, become a run-length index: the
 Burrows-Wheeler transform of the collection is kept as runs (starts, symbols, counts) with the text positions at run
@@ -29,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ripplet.llm.common import flat_text, row_chunks
+from ripplet.llm.common import BitTable, flat_text, row_chunks
 from ripplet.session import materialize
 
-TABLE_BITS = 27
-BUCKET_BYTES = 4 << 20  # text per bucket
-PACK = 7  # symbols of the first sort key
+TABLE_BITS = 27  # 16 MB
+ROW_BITS = 25
+BUCKET_BYTES = 1 << 20  # input text per bucket; a bucket holds a few times its shared part
+PACK = 4  # symbols of the first sort key
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _POWERS: list[np.ndarray] = []
 
@@ -46,35 +48,54 @@ def _powers(n: int):
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def anchored_pieces(flat: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """(start, stop, anchor hash, row) of the maximal pieces whose ``length``-byte windows share one anchor."""
-    n = len(flat)
-    none = np.zeros(0, np.int64)
-    if n < length:
-        return none, none, none.astype(np.uint64), none
-    power, inverse = _powers(n + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[:-1])))
-    h = (sums[gram:] - sums[:-gram]) * inverse[:n - gram + 1]
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    h ^= h >> np.uint64(29)
-    bits = np.uint64(max(24, n.bit_length()))
-    low = ((h >> bits) << bits) | np.arange(len(h), dtype=np.uint64)  # the leftmost of equal hashes
-    span, width = 1, length - gram + 1
-    while 2 * span <= width:
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
-    if span < width:
-        low = np.minimum(low[:-(width - span)], low[width - span:])
-    at = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(at)]
-    inside = np.flatnonzero(np.arange(len(at)) + length <= offsets[row + 1])
-    if not len(inside):
-        return none, none, none.astype(np.uint64), none
-    a, r = at[inside], row[inside]
-    head = np.concatenate(([True], (a[1:] != a[:-1]) | (r[1:] != r[:-1])))
-    first = np.flatnonzero(head)
-    last = np.append(first[1:], len(inside)) - 1
-    return inside[first], inside[last] + length, h[a[first]], r[first]
+class Anchors:
+    """Anchors of all ``length``-byte windows of a flat text: ``first`` and ``last`` window start of each maximal run with
+    one anchor, the anchor's position ``at`` and ``hash``, and the ``row`` it is in."""
+
+    def __init__(self, flat: np.ndarray, offsets: np.ndarray, length: int):
+        self.length, self.offsets, n = length, offsets, len(flat)
+        power, inverse = _powers(n + 1)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[:-1])))
+        self.inverse, self.n = inverse, n
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:max(0, n - length + 1)]
+        self.inside = np.flatnonzero(np.arange(len(row)) + length <= offsets[row + 1])
+        self.window_row = row[self.inside]
+
+    def of(self, gram: int, windows: np.ndarray | None = None):
+        """(first, last, at, hash, row) for anchors of ``gram`` bytes; ``windows`` (a mask of ``inside``) leaves others out."""
+        inside, r = self.inside, self.window_row
+        if windows is not None:
+            inside, r = inside[windows], r[windows]
+        if not len(inside):
+            z = np.zeros(0, np.int64)
+            return z, z, z, z.astype(np.uint64), z
+        h = (self.sums[gram:] - self.sums[:-gram]) * self.inverse[:self.n - gram + 1]
+        h = (h ^ (h >> np.uint64(32))) * _MIX
+        h ^= h >> np.uint64(29)
+        bits = np.uint64(max(24, self.n.bit_length()))
+        low = ((h >> bits) << bits) | np.arange(len(h), dtype=np.uint64)  # the leftmost of equal hashes
+        span, width = 1, self.length - gram + 1
+        while 2 * span <= width:
+            low = np.minimum(low[:-span], low[span:])
+            span *= 2
+        if span < width:
+            low = np.minimum(low[:-(width - span)], low[width - span:])
+        at = (low[inside] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        head = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (inside[1:] != inside[:-1] + 1) | (r[1:] != r[:-1]))))
+        last = np.append(head[1:], len(at)) - 1
+        return inside[head], inside[last], at[head], h[at[head]], r[head]
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Sorted distinct 32-bit integers as compressed byte planes of their differences."""
+    delta = np.diff(values, prepend=np.uint32(0)).astype("<u4")
+    return np.uint32(len(delta)).tobytes() + pa.compress(np.ascontiguousarray(delta.view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    n = int(np.frombuffer(blob[:4], "<u4")[0])
+    planes = np.frombuffer(pa.decompress(blob[4:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
 class RunLengthIndex:
@@ -101,8 +122,8 @@ class RunLengthIndex:
         place = np.arange(n)
         for k in range(PACK):
             key = key * 257 + text[np.minimum(place + k, stop)]
-        # an end mark stands for its string number: smaller than any other suffix
-        key[end] = np.arange(m) - m
+        key += m
+        key[end] = np.arange(m)  # an end mark stands for its string number: smaller than any other suffix
         order, rank = self._rank(key)
         depth, half = PACK, None
         while depth < int(size.max()) + 1:
@@ -115,7 +136,9 @@ class RunLengthIndex:
             half = (rank, min(depth, length))
         self.length = length
         prev = np.where(order > 0, text[order - 1], 0)
-        prev[np.isin(order, np.append(0, end[:-1] + 1))] = 0
+        begins = np.zeros(n, bool)
+        begins[np.append(0, end[:-1] + 1)] = True
+        prev[begins[order]] = 0
         # rows at a string's start are runs of their own, so that every walk to the left meets a sample
         turn = np.concatenate(([True], (prev[1:] != prev[:-1]) | (prev[1:] == 0)))
         self.starts = np.flatnonzero(turn)
@@ -129,6 +152,9 @@ class RunLengthIndex:
         self.before[o] = total - base
         count = np.bincount(text, minlength=257)
         self.first = np.cumsum(count) - count
+        # rank support: the run of each row, and what LF adds to a row of the run
+        self.run_of = np.repeat(np.arange(len(runs), dtype=np.int32), runs)
+        self.step = self.first[self.heads] + self.before - self.starts
         self.samples = order[np.append(self.starts[1:], n) - 1]
         # intervals of equal length-symbol prefixes that end before the string does
         r, d = half
@@ -136,22 +162,30 @@ class RunLengthIndex:
         long_x, long_y = x + length <= stop[x], y + length <= stop[y]
         shift = max(0, length - d)
         same = long_x & long_y & (r[x] == r[y]) & (r[np.minimum(x + shift, n - 1)] == r[np.minimum(y + shift, n - 1)])
-        self.classes = np.flatnonzero(np.concatenate(([True], ~same)))
+        turn = np.concatenate(([True], ~same))
+        self.classes = np.flatnonzero(turn)
+        self.class_of = (np.cumsum(turn) - 1).astype(np.int32)
         self.owner = np.minimum.reduceat(of[order], self.classes)
 
     @staticmethod
     def _rank(key: np.ndarray):
-        order = np.argsort(key, kind="stable")
-        s = key[order]
-        number = np.concatenate(([0], np.cumsum(s[1:] != s[:-1])))
-        rank = np.empty(len(key), np.int64)
-        rank[order] = number
+        """(order, rank) of the keys; ranks are dense and equal for equal keys."""
+        n = len(key)
+        bits = max(1, (n - 1).bit_length())
+        if int(key.max()).bit_length() + bits <= 63:  # sorting (key, place) in one word is several times faster
+            packed = np.sort((key << bits) | np.arange(n))
+            order, s = packed & ((1 << bits) - 1), packed >> bits
+        else:
+            order = np.argsort(key)
+            s = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate(([0], np.cumsum(s[1:] != s[:-1])))
         return order, rank
 
     def lf(self, row: np.ndarray) -> np.ndarray:
         """Row of the suffix that is one symbol longer (undefined where the symbol is an end mark)."""
-        k = np.searchsorted(self.starts, row, side="right") - 1
-        return self.first[self.heads[k]] + self.before[k] + row - self.starts[k]
+        k = self.run_of[row]
+        return self.step[k] + row
 
     def stream(self):
         """For every window of ``length`` bytes: (string number, offset, smallest string number that holds it)."""
@@ -163,8 +197,7 @@ class RunLengthIndex:
             offset = offset - 1
             ready = offset + self.length < self.size[live]
             if ready.any():
-                c = np.searchsorted(self.classes, row[ready], side="right") - 1
-                out.append((live[ready], offset[ready], self.owner[c]))
+                out.append((live[ready], offset[ready], self.owner[self.class_of[row[ready]]]))
             more = offset > 0
             live, row, offset = live[more], row[more], offset[more]
         if not out:
@@ -177,81 +210,98 @@ class RunLengthIndex:
         steps = 0
         ends = np.append(self.starts[1:], int(self.size.sum())) - 1
         while True:
-            k = int(np.searchsorted(self.starts, row, side="right")) - 1
+            k = int(self.run_of[row])
             if ends[k] == row:
                 return int(self.samples[k]) + steps
             row, steps = int(self.lf(np.array([row]))[0]), steps + 1
 
 
-def _shared_anchors(docs: DataFrame, length: int, gram: int):
-    """Broadcast bit table of the anchors that several documents have."""
+def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitTable:
+    """Bit table of the anchors that several documents have."""
+    part_bits = max(0, (total // (4 << 20)).bit_length())  # parts of a few million anchors at most
+
     def run(batches):
         for b in batches:
             flat, offsets = flat_text(b.column(0))
             for i, j in row_chunks(offsets):
-                _, _, h, row = anchored_pieces(flat[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], length, gram)
-                if len(h):
-                    o = np.argsort(h, kind="stable")
-                    h, row = h[o] & ~np.uint64(1), row[o]
-                    head = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-                    several = np.minimum.reduceat(row, head) != np.maximum.reduceat(row, head)
-                    yield pa.RecordBatch.from_arrays([pa.array((h[head] | several.astype(np.uint64)).view(np.int64))], ["h"])
-    a = F.shiftrightunsigned("h", 1)
-    shared = (docs.select("text").mapInArrow(run, "h long").groupBy(a.alias("a")).agg(F.count("*").alias("n"), F.max(F.col("h").bitwiseAND(F.lit(1))).alias("several"))
-              .where("n > 1 OR several = 1").select(F.shiftrightunsigned("a", 63 - TABLE_BITS).alias("at")))
-    words = (shared.select(F.shiftright("at", 5).alias("word"), F.pmod("at", F.lit(32)).cast("int").alias("bit"))
-             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")))
-    table = np.zeros(1 << (TABLE_BITS - 5), np.uint32)
-    got = words.toPandas()
-    table[got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).astype(np.uint32)
-    return docs.sparkSession.sparkContext.broadcast(table)
-
-
-def _pieces(docs: DataFrame, bits, length: int, gram: int, buckets: int) -> DataFrame:
-    """One row per piece with a passing anchor: id, doc, tid, start; at its first place in a chunk also bucket, s and the
-    smallest and largest doc of the chunk that has it."""
+                _, _, _, h, row = Anchors(flat[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], length).of(gram)
+                if not len(h):
+                    continue
+                key = h >> np.uint64(32 - part_bits)
+                o = np.argsort(key, kind="stable")
+                key, row = key[o], row[o]
+                head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+                several = np.minimum.reduceat(row, head) != np.maximum.reduceat(row, head)
+                key = key[head]
+                for twice in (False, True):
+                    k = key[several == twice]
+                    part, low = (k >> np.uint64(32)).astype(np.int32), k.astype(np.uint32)
+                    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(k) else np.zeros(0, np.int64)
+                    ends = np.append(cut[1:], len(k))
+                    if len(cut):
+                        yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array([twice] * len(cut)),
+                                                          pa.array([pack_sorted(low[x:y]) for x, y in zip(cut.tolist(), ends.tolist())], pa.binary())],
+                                                         ["part", "twice", "blob"])
+
+    def shared(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [unpack_sorted(b) for b in pdf["blob"]]
+        v = np.sort(np.concatenate(sets))
+        v = np.unique(np.concatenate([v[1:][v[1:] == v[:-1]]] + [x for x, t in zip(sets, pdf["twice"]) if t]))
+        at = ((np.uint64(key[0]) << np.uint64(32)) | v.astype(np.uint64)) << np.uint64(32 - part_bits) >> np.uint64(64 - TABLE_BITS)
+        at = np.unique(at.astype(np.int64))
+        word = at >> 5
+        head = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(at) else np.zeros(0, np.int64)
+        mask = np.bitwise_or.reduceat(np.int64(1) << (at & 31), head) if len(at) else np.zeros(0, np.int64)
+        return pd.DataFrame({"word": word[head], "mask": mask})
+    packed = docs.select("text").mapInArrow(run, "part int, twice boolean, blob binary")
+    words = packed.groupBy("part").applyInPandas(shared, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    return BitTable(words, TABLE_BITS)
+
+
+def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram: int, buckets: int) -> DataFrame:
+    """One row per piece of windows whose long anchor passes: bucket, id, doc, tid, start; at its first place in a chunk also s and
+    the smallest and largest doc of the chunk that has it."""
+    shared = bits.table
+
     def run(batches):
-        table = bits.value
+        table = shared.value
         for b in batches:
             flat, offsets = flat_text(b.column(1))
             doc, tid = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
             for i, j in row_chunks(offsets):
                 part = flat[offsets[i]:offsets[j]]
-                start, stop, h, row = anchored_pieces(part, offsets[i:j + 1] - offsets[i], length, gram)
-                at = (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-                go = (table[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
-                start, stop, h, row = start[go], stop[go], h[go], row[go] + i
+                anchors = Anchors(part, offsets[i:j + 1] - offsets[i], length)
+                first, last, _, h, _ = anchors.of(filter_gram)
+                # a window that another document holds has its long anchor there, too
+                passing = BitTable.test(table, (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
+                start, last, _, h, row = anchors.of(gram, np.repeat(passing, last - first + 1))
                 if not len(start):
                     continue
+                stop, row = last + length, row + i
                 raw = part.tobytes()
-                strings = [raw[x:y] for x, y in zip(start.tolist(), stop.tolist())]
                 known: dict[bytes, int] = {}
-                number = np.array([known.setdefault(s, len(known)) for s in strings])
-                ids = [hashlib.md5(s).digest() for s in known]
+                number = np.array([known.setdefault(raw[x:y], len(known)) for x, y in zip(start.tolist(), stop.tolist())])
+                ids = np.array([int.from_bytes(hashlib.md5(s).digest()[:8], "little", signed=True) for s in known], np.int64)
                 d = doc[row].astype(np.int64)
                 lo, hi = np.full(len(known), np.iinfo(np.int64).max), np.full(len(known), np.iinfo(np.int64).min)
                 np.minimum.at(lo, number, d)
                 np.maximum.at(hi, number, d)
-                _, first = np.unique(number, return_index=True)
                 other = np.ones(len(start), bool)
-                other[first] = False
-                pick = np.full(len(start), -1)
-                pick[first] = number[first]
-                bucket = ((h >> np.uint64(1)) % np.uint64(buckets)).astype(np.int32)
-                unique = list(known)
+                other[np.unique(number, return_index=True)[1]] = False
+                strings = list(known)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[k] for k in number.tolist()], pa.binary()), pa.array(d), pa.array(tid[row].astype(np.int64)),
-                     pa.array((start - (offsets[row] - offsets[i])).astype(np.int32)), pa.array(bucket, mask=other),
-                     pa.array([unique[k] if k >= 0 else None for k in pick.tolist()], pa.binary()),
+                    [pa.array((h % np.uint64(buckets)).astype(np.int32)), pa.array(ids[number]), pa.array(d), pa.array(tid[row].astype(np.int64)),
+                     pa.array((start - (offsets[row] - offsets[i])).astype(np.int32)),
+                     pa.array([None if o else strings[k] for k, o in zip(number.tolist(), other.tolist())], pa.binary()),
                      pa.array(lo[number], mask=other), pa.array(hi[number], mask=other)],
-                    ["id", "doc", "tid", "start", "bucket", "s", "lo", "hi"])
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "id binary, doc long, tid long, start int, bucket int, s binary, lo long, hi long")
+                    ["bucket", "id", "doc", "tid", "start", "s", "lo", "hi"])
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "bucket int, id long, doc long, tid long, start int, s binary, lo long, hi long")
 
 
 def _matches(distinct: DataFrame, length: int) -> DataFrame:
-    """(id, from, to, first): runs of window offsets of a piece that first occur in document ``first``, where some
-    document that has the piece comes later."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(bucket, id, from, to, first): runs of window offsets of a piece that first occur in document ``first``, where
+    some document that has the piece comes later."""
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lo", kind="stable")
         lo, hi, ids = pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["id"].to_numpy()
         string, offset, first = RunLengthIndex(pdf["s"].tolist(), length).stream()
@@ -260,36 +310,54 @@ def _matches(distinct: DataFrame, length: int) -> DataFrame:
         late = owner < hi[string]
         string, offset, owner = string[late], offset[late], owner[late]
         if not len(string):
-            return pd.DataFrame({"id": [], "from": [], "to": [], "first": []})
+            return pd.DataFrame({"bucket": [], "id": [], "from": [], "to": [], "first": []})
         head = np.concatenate(([True], (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1) | (owner[1:] != owner[:-1])))
         at = np.flatnonzero(head)
         last = np.append(at[1:], len(string)) - 1
-        return pd.DataFrame({"id": ids[string[at]], "from": offset[at].astype(np.int32), "to": offset[last].astype(np.int32), "first": owner[at]})
-    return distinct.groupBy("bucket").applyInPandas(run, "id binary, `from` int, `to` int, `first` long")
+        return pd.DataFrame({"bucket": key[0], "id": ids[string[at]], "from": offset[at].astype(np.int32), "to": offset[last].astype(np.int32), "first": owner[at]})
+    return distinct.groupBy("bucket").applyInPandas(run, "bucket int, id long, `from` int, `to` int, `first` long")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, tid): ``tid`` tells the texts of rows that repeat a doc_id apart."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.withColumn("tid", F.xxhash64("text"))
 
 
 def long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
     """(doc, tid, spans): the byte spans [start, stop) that go, unmerged; documents without any are absent."""
-    gram = max(1, min(20, length // 2))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("tid", F.xxhash64("text"))
+    gram, filter_gram = max(1, 2 * length // 5), max(1, 17 * length // 25)
+    rows = _rows(docs)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    bits = _shared_anchors(rows.where("doc_id IS NOT NULL"), length, gram)
-    pieces = materialize(_pieces(rows, bits, length, gram, buckets), "suffix-pieces")
-    distinct = (pieces.where("s IS NOT NULL").groupBy("bucket", "id")
+    bits = _shared_anchors(rows.where("doc_id IS NOT NULL"), length, filter_gram, total)
+    pieces = materialize(_pieces(rows, bits, length, gram, filter_gram, buckets), "suffix-pieces", compression="zstd")
+    # dealt out once by bucket: the aggregation of equal pieces and the matching both run in that partitioning
+    distinct = (pieces.where("s IS NOT NULL").select("bucket", "id", "s", "lo", "hi").repartition("bucket").groupBy("bucket", "id")
                 .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("s").alias("s")))
     found = materialize(_matches(distinct, length), "suffix-matches")
-    hits = pieces.select("id", "doc", "tid", "start").join(found, "id").where(F.col("first") < F.col("doc"))
+    hits = pieces.select("bucket", "id", "doc", "tid", "start").join(found, ["bucket", "id"]).where(F.col("first") < F.col("doc"))
     span = F.struct((F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to") + length).alias("stop"))
     return hits.groupBy("doc", "tid").agg(F.collect_list(span).alias("spans"))
 
 
 def cut_long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
     """One row per input row: doc_id, n_bytes, spans (merged byte spans that went), kept (the remaining bytes)."""
-    found = long_matches(docs, length).select("doc", F.col("tid").alias("of"), "spans")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    joined = rows.join(found, (F.col("doc_id") == F.col("doc")) & (F.xxhash64("text") == F.col("of")), "left")
+    found = materialize(long_matches(docs, length), "suffix-spans")
+    at = F.shiftrightunsigned(F.xxhash64("doc", "tid"), 64 - ROW_BITS)
+    shared = BitTable.of(found.select(at.alias("at")), ROW_BITS).table
+
+    @F.pandas_udf("boolean")
+    def may_lose(hashes: pd.Series) -> pd.Series:
+        return pd.Series(BitTable.test(shared.value, hashes.to_numpy(np.int64)))
+
+    # only rows that may lose something are shuffled to meet their spans
+    rows = _rows(docs)
+    name = F.shiftrightunsigned(F.xxhash64("doc_id", "tid"), 64 - ROW_BITS)
+    whole = rows.where(F.col("doc_id").isNull() | ~may_lose(name)).select("doc_id", "text", F.expr("CAST(NULL AS array<struct<start:int,stop:int>>)").alias("spans"))
+    found = found.select("doc", F.col("tid").alias("of"), "spans")
+    cut = rows.where(F.col("doc_id").isNotNull() & may_lose(name)).join(found, (F.col("doc_id") == F.col("doc")) & (F.col("tid") == F.col("of")), "left")
+    joined = whole.unionByName(cut.select("doc_id", "text", "spans"))
     pair = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches):
