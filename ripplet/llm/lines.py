@@ -4,9 +4,10 @@ A line is a piece of the text between line feeds; lines of white space only are
 are one vertex (named by their MD5).  ``bands`` x ``rows`` MinHash values of the line's ``shingle``-character shingles
 (a shorter line is one shingle) give the bucket keys; with the defaults a pair at the threshold meets in some bucket
 with probability 0.997, closer pairs more surely.  Lines that meet are compared exactly (Jaccard of the shingle sets of
-their code points).  A bucket is not expanded into all pairs: its members are first compared with the bucket's smallest
-member; after the union-find, only members outside that component are compared with the members of other components,
-so no link between different components of a bucket goes untested.
+their code points).  A bucket is not expanded into all pairs: its members are first compared with the bucket's leader, its
+most frequent line (of near copies, usually the original).  After the union-find, only members outside the leader's
+component are compared with members of other components, and only where exact bounds allow a link, so no link between
+different components of a bucket goes untested.
 
 Of each component the first line stays (smallest doc_id, then line number; a null doc_id comes last); rows that repeat
 a doc_id are one document, whose equal lines of equal number stay or go together.  Null and empty texts have no lines.
@@ -15,17 +16,20 @@ a doc_id are one document, whose equal lines of equal number stay or go together
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.llm.common import connected_components, fresh_name
+from ripplet.llm.common import BitTable, connected_components, fresh_name
 from ripplet.session import materialize
 
 CHUNK_CHARS = 1 << 20
 FILTER_BITS = 26
+PROFILE_BITS = 1024
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -111,20 +115,14 @@ def _scan(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, line_no int, key binary, bands array<long>")
 
 
-def _key_filter(keys: DataFrame):
-    """Broadcast bit table (2^FILTER_BITS bits, one hash) of the keys; lets all of them pass and few others."""
+def _key_filter(keys: DataFrame) -> BitTable:
     at = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = (keys.select(F.shiftright(at, 5).alias("word"), F.pmod(at, F.lit(32)).cast("int").alias("bit"))
-             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")))
-    table = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    got = words.toPandas()
-    table[got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).astype(np.uint32)
-    return keys.sparkSession.sparkContext.broadcast(table)
+    return BitTable.of(keys.select(at.alias("at")), FILTER_BITS)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, line) of the lines named in ``wanted`` (key): a second scan that a bit table thins out before the join."""
-    bits = _key_filter(wanted)
+    bits = _key_filter(wanted).table
 
     def run(batches):
         table = bits.value
@@ -159,37 +157,106 @@ def jaccard(a: str, b: str, shingle: int, sets: dict | None = None) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose lines reach the threshold."""
+def _similarities(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (a, b) with their exact similarity."""
     def run(batches):
         sets: dict = {}
         for b in batches:
-            good = [jaccard(x, y, shingle, sets) >= threshold for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            sim = [jaccard(x, y, shingle, sets) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sim, pa.float64())], ["a", "b", "sim"])
     full = (pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("la")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b").select("a", "b", "la", "lb"))
-    return full.mapInArrow(run, "a binary, b binary")
+    return full.mapInArrow(run, "a binary, b binary, sim double")
+
+
+def _profiles(texts: DataFrame, shingle: int) -> DataFrame:
+    """(key, size, bits): number of different shingles and a bitmap of their hashes."""
+    def run(batches):
+        for b in batches:
+            sizes, maps = [], []
+            for x in b.column(1).to_pylist():
+                shingles = {x[i:i + shingle] for i in range(max(1, len(x) - shingle + 1))}
+                at = np.fromiter((zlib.crc32(y.encode("utf-8", "surrogatepass")) % PROFILE_BITS for y in shingles), np.int64, len(shingles))
+                bits = np.zeros(PROFILE_BITS, np.uint8)
+                bits[at] = 1
+                sizes.append(len(shingles))
+                maps.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.array(maps, pa.binary())], ["key", "size", "bits"])
+    return texts.select("key", "line").mapInArrow(run, "key binary, size int, bits binary")
+
+
+def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, block: int = 1000) -> DataFrame:
+    """(a, b): the pairs of a stray and a member of another component in its bucket that may reach the threshold.
+
+    Each bucket is dealt out in cells of at most ``block`` strays and ten times as many members, compared by bounds that
+    never lose a link: 1 - Jaccard is a metric, so the distances to the leader must not differ by more than
+    1 - threshold; and a bit of one line's bitmap that the other's lacks is a shingle the other lacks, which bounds
+    the similarity from above.  Only pairs that pass all bounds leave the task."""
+    busy = label.where("stray").select("h").distinct()
+    rows = label.join(busy, "h").join(profiles, "key").select("h", "key", "root", "stray", "sim", "size", "bits")
+    order = Window.partitionBy("h").orderBy("key")
+    count = Window.partitionBy("h")
+    rows = rows.withColumns({"i": F.row_number().over(order) - 1, "n": F.count("key").over(count),
+                             "si": F.sum(F.col("stray").cast("int")).over(order) - F.col("stray").cast("int"), "ns": F.sum(F.col("stray").cast("int")).over(count)})
+    cells = F.ceil(F.col("ns") / block)
+    strays = rows.where("stray").select("h", F.floor(F.col("si") / block).alias("sb"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / (10 * block)) - 1)).alias("mb"),
+                                        "key", "root", "stray", "sim", "size", "bits")
+    members = rows.select("h", F.explode(F.sequence(F.lit(0), cells - 1)).alias("sb"), F.floor(F.col("i") / (10 * block)).alias("mb"),
+                          "key", "root", "stray", "sim", "size", "bits")
+
+    def bitmaps(pdf):
+        return np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
+
+    def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []})
+        lb, rb = bitmaps(left), bitmaps(right)
+        ls, rs = left["size"].to_numpy(float), right["size"].to_numpy(float)
+        lr, rr = left["root"].to_numpy(), right["root"].to_numpy()
+        lk, rk = left["key"].to_numpy(), right["key"].to_numpy()
+        rsim, also = right["sim"].to_numpy(float), right["stray"].to_numpy(bool)
+        out_a, out_b = [], []
+        for i in range(len(left)):
+            near = np.flatnonzero((np.abs(rsim - left["sim"].iat[i]) <= 1 - threshold + 1e-9)
+                                  & (np.minimum(rs, ls[i]) >= threshold * np.maximum(rs, ls[i]) - 1e-9))
+            if not len(near):
+                continue
+            only_l = np.bitwise_count(lb[i] & ~rb[near]).sum(axis=1)
+            only_r = np.bitwise_count(rb[near] & ~lb[i]).sum(axis=1)
+            common = np.minimum(ls[i] - only_l, rs[near] - only_r)
+            near = near[common >= threshold * (ls[i] + rs[near] - common) - 1e-9]
+            for j in near.tolist():
+                if lr[i] != rr[j] and (not also[j] or lk[i] > rk[j]):
+                    out_a.append(lk[i])
+                    out_b.append(rk[j])
+        return pd.DataFrame({"a": out_a, "b": out_b})
+    by = ("h", "sb", "mb")
+    members = members.toDF(*members.columns)  # columns of their own, not those that the strays have
+    return strays.groupBy(*by).cogroup(members.groupBy(*by)).applyInPandas(compare, "a binary, b binary").distinct()
 
 
 def line_components(docs: DataFrame, shingle: int = 7, bands: int = 11, rows: int = 4, threshold: float = 0.8):
     """(occurrences (doc_id, line_no, key), components (id, root) of the keys that have a link)."""
     rows_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = materialize(_scan(rows_of, shingle, bands, rows), "lines")
-    entries = lines.where("bands IS NOT NULL AND size(bands) > 0").select(F.explode("bands").alias("h"), "key")
-    leader = F.min("key").over(Window.partitionBy("h"))
-    other = F.max("key").over(Window.partitionBy("h"))
-    shared = materialize(entries.withColumn("leader", leader).withColumn("last", other).where("leader <> last").drop("last").distinct(), "line-buckets")
+    # dealt out by bucket once; a key's rows in a bucket count the chunks that hold the line
+    entries = lines.where("bands IS NOT NULL AND size(bands) > 0").select(F.explode("bands").alias("h"), "key").repartition("h")
+    same, bucket = Window.partitionBy("h", "key"), Window.partitionBy("h")
+    members = (entries.withColumns({"n": F.count("key").over(same), "i": F.row_number().over(same.orderBy("key"))}).where("i = 1")
+               .withColumns({"leader": F.max(F.struct("n", "key")).over(bucket)["key"], "size": F.count("key").over(bucket)}))
+    shared = materialize(members.where("size > 1").select("h", "key", "leader"), "line-buckets")
     texts = materialize(_texts(rows_of, shared.select("key").distinct()), "line-texts")
     stars = shared.where("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
-    links = materialize(_verified(stars, texts, shingle, threshold), "line-links")
+    sims = materialize(_similarities(stars, texts, shingle), "line-links")
+    links = sims.where(F.col("sim") >= threshold).select("a", "b")
     comp = connected_components(links, "lines")
     label = shared.join(comp.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     main = label.where("key = leader").select("h", F.col("root").alias("main"))
-    label = materialize(label.join(main, "h").withColumn("stray", F.expr("root <> main")), "line-labels")
-    stray = label.where("stray").select("h", F.col("key").alias("a"), F.col("root").alias("ra"))
-    rest = label.where("key <> leader").select("h", F.col("key").alias("b"), F.col("root").alias("rb"), "stray")
-    cross = stray.join(rest, "h").where("ra <> rb AND (NOT stray OR a > b)").select("a", "b").distinct()
-    more = materialize(_verified(cross, texts, shingle, threshold), "line-links")
+    named = sims.select(F.col("a").alias("key"), F.col("b").alias("leader"), "sim")
+    label = materialize(label.where("key <> leader").join(main, "h").join(named, ["key", "leader"])
+                        .withColumn("stray", F.expr("root <> main")), "line-labels")
+    cross = _cross_candidates(label, _profiles(texts, shingle), threshold)
+    more = materialize(_similarities(cross, texts, shingle).where(F.col("sim") >= threshold).select("a", "b"), "line-links")
     if more.isEmpty():
         return lines.select("doc_id", "line_no", "key"), comp
     return lines.select("doc_id", "line_no", "key"), connected_components(links.union(more), "lines")
