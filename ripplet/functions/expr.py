@@ -29,12 +29,6 @@ def round_doubles(df: DataFrame, digits: int = 8, overrides: dict[str, int] | No
     return df.select(*out)
 
 
-def guarded(agg: Column, x: Column, w, n: int) -> Column:
-    """``agg`` over a rolling frame, NULL unless all ``n`` values are non-null
-    (the ``min_periods = n`` rule)."""
-    return F.when(F.count(x).over(w) == n, agg.over(w))
-
-
 def ntz_to_micros(c: Column) -> Column:
     """Epoch microseconds of a TIMESTAMP_NTZ by field arithmetic (no session
     time zone is involved, unlike casts to TIMESTAMP)."""

@@ -40,7 +40,7 @@ def arma11_fit(panel: DataFrame, y: str = "vol_realized", ar_order: int = 10) ->
     tr = tr.withColumns(lags)
     xs = [F.lit(1.0)] + [F.col(f"_y{k}") for k in range(1, ar_order + 1)]
     ar = solve(gram(tr, ["symbol"], xs, F.col("_y")), ["symbol"])
-    tr = tr.join(F.broadcast(ar), "symbol")  # one row per symbol
+    tr = tr.join(ar, "symbol")  # one row per symbol
     fitted = F.col("coef")[0]
     for k in range(1, ar_order + 1):
         fitted = fitted + F.col("coef")[k] * F.col(f"_y{k}")
@@ -58,7 +58,7 @@ def arma11_forecast(panel: DataFrame, params: DataFrame | None = None, y: str =
     """E5: filtered one-step forecasts for every row, long form."""
     params = params if params is not None else arma11_fit(panel, y)
     w = _ord()
-    df = panel.join(F.broadcast(params), "symbol").withColumn("_y1", F.lag(y, 1).over(w))
+    df = panel.join(params, "symbol").withColumn("_y1", F.lag(y, 1).over(w))
     b = F.col(y) - F.col("c") - F.col("phi") * F.coalesce(F.col("_y1"), F.col(y))
     df = affine_scans(df, ["symbol"], "date", [(-F.col("theta"), b, "_e")])
     nxt = F.col("c") + F.col("phi") * F.col(y) + F.col("theta") * F.col("_e")
@@ -147,7 +147,7 @@ def arma11_refit_forecast(panel: DataFrame, refit_every: int = 250, y: str = "vo
     keys = ["symbol", "epoch"]
     xs = [F.lit(1.0)] + [F.col(f"_y{k}") for k in range(1, ar_order + 1)]
     ar = solve(gram(fit.withColumn("_yy", F.col(y)), keys, xs, F.col("_yy")), keys)
-    f2 = fit.join(F.broadcast(ar), keys)  # one row per (symbol, epoch)
+    f2 = fit.join(ar, keys)  # one row per (symbol, epoch)
     fitted = F.col("coef")[0]
     for k in range(1, ar_order + 1):
         fitted = fitted + F.col("coef")[k] * F.col(f"_y{k}")
@@ -158,7 +158,7 @@ def arma11_refit_forecast(panel: DataFrame, refit_every: int = 250, y: str = "vo
     # Filter sets: epoch e re-filters every row up to its own end.
     filt = df.withColumn("epoch", F.explode(_upto(F.greatest(F.col("_ep"), F.lit(0)),
                                                   F.greatest(F.col("_nep") - 1, F.lit(0)))))
-    filt = filt.join(F.broadcast(st2), keys)
+    filt = filt.join(st2, keys)
     b = F.col(y) - F.col("c") - F.col("phi") * F.coalesce(F.col("_y1"), F.col(y))
     filt = affine_scans(filt, keys, "date", [(-F.col("theta"), b, "_inn")])
     nxt = F.col("c") + F.col("phi") * F.col(y) + F.col("theta") * F.col("_inn")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.functions.random import hash60_sql, uniform_sql
+from ripplet.functions.random import hash60_sql
 
 
 def class_weights(df: DataFrame, label: str = "label", keys=("symbol",)) -> DataFrame:
@@ -33,9 +33,9 @@ def add_weight_col(df: DataFrame, label: str = "label", keys=("symbol",), mode:
     """Attach ``weight``: balanced (G3) or positive-class scale."""
     if mode == "balanced":
         w = class_weights(df, label, keys).select(*keys, F.col("class").alias(label), "weight")
-        return df.join(F.broadcast(w), [*keys, label], "left")  # 2 rows per group
+        return df.join(w, [*keys, label], "left")  # 2 rows per group
     s = scale_pos_weight(df, label, keys).select(*keys, "scale_pos_weight")
-    return df.join(F.broadcast(s), list(keys), "left") \
+    return df.join(s, list(keys), "left") \
              .withColumn("weight", F.when(F.col(label) == 1, F.col("scale_pos_weight")).otherwise(1.0)) \
              .drop("scale_pos_weight")
 
@@ -55,15 +55,6 @@ def undersample_positives(df: DataFrame, id_col: str, label: str = "label", targ
     return d.where(keep).drop("_h", "_id", "_n0", "_r")
 
 
-def technique_matrix(results: DataFrame, metric: str, techniques: list[str]) -> DataFrame:
-    """Model x technique pivot of a metric (NULL where not applicable)."""
-    return results.groupBy("model").pivot("technique", techniques).agg(F.first(metric))
-
-
-def uniform(seed: int, a: str, b: str) -> F.Column:
-    return F.expr(uniform_sql(str(seed), a, b))
-
-
 def balancing_experiment(panel: DataFrame, label: str = "target_regime") -> DataFrame:
     """Models x techniques on the regime task; long (model, technique,
     symbol, auc, f1) on the test split.  Techniques: none, balanced class

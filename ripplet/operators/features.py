@@ -75,19 +75,6 @@ def add_realized_volatility(df: DataFrame, window: int = VOL_REALIZED_WINDOW,
     return df.withColumn("vol_realized", _g(F.stddev_samp(r), r, w, window))
 
 
-def skew_g1(x: Column, w, n: int) -> Column:
-    """Bias-corrected sample skewness over a full frame of n values."""
-    return F.when(F.count(x).over(w) == n,
-                  F.skewness(x).over(w) * F.lit((n * (n - 1)) ** 0.5 / (n - 2)))
-
-
-def kurt_g2(x: Column, w, n: int) -> Column:
-    """Bias-corrected sample excess kurtosis over a full frame of n values."""
-    c = (n - 1) / ((n - 2) * (n - 3))
-    return F.when(F.count(x).over(w) == n,
-                  (F.kurtosis(x).over(w) * F.lit(float(n + 1)) + F.lit(6.0)) * F.lit(c))
-
-
 def build_features(df: DataFrame, symbol: str = "symbol", date: str = "date") -> DataFrame:
     """C1-C19 on an OHLCV panel ``(symbol, date, open, high, low, close, volume)``.
 

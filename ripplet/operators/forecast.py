@@ -143,12 +143,12 @@ def ewma(panel: DataFrame, lam: float = 0.94, warm_up: int = 60, strict: bool =
 def garch_filter(panel: DataFrame, alpha: float = 0.08, beta: float = 0.90, scale: float = 100.0,
                  params: DataFrame | None = None, model: str = "garch_11") -> DataFrame:
     """E8 alone; ``params`` = (symbol, omega, alpha, beta) table from E7
-    (one row per symbol, broadcast)."""
+    (one row per symbol)."""
     df = panel.withColumn("_pos", F.row_number().over(_ord()) - 1)
     cols = None
     if params is not None:
-        df = df.join(F.broadcast(params.select("symbol", F.col("omega").alias("_om"),
-                                               F.col("alpha").alias("_al"), F.col("beta").alias("_be"))),
+        df = df.join(params.select("symbol", F.col("omega").alias("_om"),
+                                               F.col("alpha").alias("_al"), F.col("beta").alias("_be")),
                      "symbol")
         cols = ("_om", "_al", "_be")
     df = affine_scans(df, ["symbol"], "date", [garch_scan(alpha, beta, scale, cols)])

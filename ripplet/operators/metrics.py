@@ -95,16 +95,6 @@ def val_test_gap(metrics: DataFrame, metric: str = "rmse") -> DataFrame:
     return g.withColumn("gap", F.col(f"{metric}_test") - F.col(f"{metric}_val"))
 
 
-def regime_scores(preds: DataFrame, panel: DataFrame) -> DataFrame:
-    """Classification view of volatility forecasts: label = target_regime,
-    score = forecast, pred = forecast above the symbol's regime threshold."""
-    lab = panel.select("symbol", "date", F.col("target_regime").alias("label"), "regime_threshold")
-    j = preds.join(lab, ["symbol", "date"])
-    return j.select("symbol", "date", "split", "model", "label", F.col("y_pred").alias("score"),
-                    F.when(F.col("y_pred").isNotNull(),
-                           (F.col("y_pred") > F.col("regime_threshold")).cast("int")).alias("pred"))
-
-
 def master_table(regression: DataFrame, classification: DataFrame) -> DataFrame:
     """Union of result families (NULL where a metric does not apply),
     ranked inside each (family, symbol, split) by its primary metric."""
@@ -116,20 +106,6 @@ def master_table(regression: DataFrame, classification: DataFrame) -> DataFrame:
     return u.withColumn("rank", F.row_number().over(w))
 
 
-def speedup_table(runs: DataFrame, floor_sec: float = 1e-6) -> DataFrame:
-    """I8: standard vs optimised variant per task: speed-up base/fast (times
-    floored, so a zero time cannot explode the ratio) and metric change in %
-    with the sign flipped for lower-is-better metrics."""
-    b = runs.where(F.col("variant") == "standard").select("task", F.col("fit_sec").alias("t0"),
-                                                           F.col("metric").alias("m0"), "lower_is_better")
-    f = runs.where(F.col("variant") == "optimised").select("task", F.col("fit_sec").alias("t1"),
-                                                            F.col("metric").alias("m1"))
-    j = b.join(f, "task")
-    change = (F.col("m1") - F.col("m0")) / F.abs(F.col("m0")) * 100.0
-    return j.select("task", (F.greatest("t0", F.lit(floor_sec)) / F.greatest("t1", F.lit(floor_sec))).alias("speedup"),
-                    F.when(F.col("lower_is_better"), -change).otherwise(change).alias("metric_change_pct"))
-
-
 def regime_scores_wide(wide, models) -> "DataFrame":
     """Classification view straight from the wide forecast table (label and
     threshold are already on the row, so no join back to the panel)."""

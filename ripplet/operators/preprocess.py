@@ -1,7 +1,7 @@
 """Pre-processing fitted on train rows only.
 
-Fitted parameters are small tables (one row per symbol x column) joined or
-broadcast back; applying them is a projection."""
+Fitted parameters are small tables (one row per symbol x column) joined back;
+applying them is a projection."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ def fit_median_imputer(df: DataFrame, columns: list[str], keys=("symbol",),
 def apply_median_imputer(df: DataFrame, medians: DataFrame, columns: list[str], keys=("symbol",)) -> DataFrame:
     wide = medians.groupBy(*keys).pivot("column_name", columns).agg(F.first("median"))
     wide = wide.select(*keys, *[F.col(c).alias(f"_med_{c}") for c in columns])
-    out = df.join(F.broadcast(wide), list(keys), "left")  # one row per symbol
+    out = df.join(wide, list(keys), "left")  # one row per symbol
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in columns}) \
               .drop(*[f"_med_{c}" for c in columns])
 
@@ -43,11 +43,6 @@ def fit_standard_scaler(df: DataFrame, columns: list[str], keys=("symbol",),
 def apply_standard_scaler(df: DataFrame, params: DataFrame, columns: list[str], keys=("symbol",)) -> DataFrame:
     wide = params.groupBy(*keys).pivot("column_name", columns).agg(F.first("mean").alias("m"),
                                                                    F.first("scale").alias("s"))
-    out = df.join(F.broadcast(wide), list(keys), "left")  # one row per symbol
+    out = df.join(wide, list(keys), "left")  # one row per symbol
     return out.withColumns({c: (F.col(c) - F.col(f"{c}_m")) / F.col(f"{c}_s") for c in columns}) \
               .drop(*[f"{c}_{x}" for c in columns for x in ("m", "s")])
-
-
-def clip_nonnegative(c: Column) -> Column:
-    """max(pred, 0), NULL stays NULL."""
-    return F.when(c.isNotNull(), F.greatest(c, F.lit(0.0)))

@@ -16,7 +16,7 @@ def temporal_split(df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.
     ``purge`` = h labels the last h train rows 'purged' (their h-step targets
     look past the cut, SURVEY T5); the default 0 keeps the reference split."""
     if abs(train_frac + val_frac + test_frac - 1.0) >= 1e-9:
-        raise ValueError("train_frac + val_frac + test_frac must be 1")
+        raise ValueError(f"split shares add up to {train_frac + val_frac + test_frac}, not 1")
     w = Window.partitionBy(symbol).orderBy(date)
     n = F.count(F.lit(1)).over(Window.partitionBy(symbol)).cast("double")
     n_train = F.floor(n * F.lit(float(train_frac)))

@@ -1,16 +1,14 @@
 """Targets (D1-D4): next-step realised volatility and its regime.
 
 The regime threshold is a per-symbol exact quantile of ``target_vol`` over the
-training mask only; it is computed as a small (symbol, threshold) table and
-joined back (broadcast: one row per symbol)."""
+training mask only, computed as a window aggregate in the panel's own
+partitioning (no join)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplet.functions.quantile import exact_quantile
-
 
 def add_target_vol(df: DataFrame, horizon: int = 1, symbol: str = "symbol",
                    date: str = "date") -> DataFrame:
@@ -29,19 +27,6 @@ def train_mask_pre_drop(df: DataFrame, train_frac: float = 0.70, symbol: str = "
                          F.row_number().over(w) <= F.floor(n.cast("double") * F.lit(float(train_frac))))
 
 
-def regime_thresholds(df: DataFrame, mask_col: str | None = "_train_mask", q: float = 0.5,
-                      symbol: str = "symbol") -> DataFrame:
-    """Per-symbol linear-interpolated quantile of target_vol on the mask
-    (``mask_col=None`` -> global quantile, flagged in ``threshold_source``)."""
-    src = df.where(F.col("target_vol").isNotNull())
-    source = "global_quantile_NOT_RECOMMENDED"
-    if mask_col is not None:
-        src = src.where(F.col(mask_col))
-        source = "train_quantile"
-    thr = exact_quantile(src, [symbol], "target_vol", q).withColumnRenamed("quantile", "regime_threshold")
-    return thr.withColumn("threshold_source", F.lit(source))
-
-
 def add_targets(df: DataFrame, horizon: int = 1, threshold: float | None = None,
                 train_frac: float = 0.70, q: float = 0.5, symbol: str = "symbol",
                 date: str = "date") -> DataFrame:
@@ -70,7 +55,7 @@ def add_targets(df: DataFrame, horizon: int = 1, threshold: float | None = None,
 
 
 def target_metadata(df: DataFrame, horizon: int = 1, vol_window: int = 5,
-                    symbol: str = "symbol") -> DataFrame:
+                    symbol: str = "symbol", threshold_source: str = "train_quantile") -> DataFrame:
     """One provenance row per symbol (threshold, horizon, split sizes)."""
     agg = df.groupBy(symbol).agg(
         F.first("regime_threshold", ignorenulls=True).alias("regime_threshold"),
@@ -78,4 +63,4 @@ def target_metadata(df: DataFrame, horizon: int = 1, vol_window: int = 5,
         F.count_if(F.col("split") == "val").alias("val_size"),
         F.count_if(F.col("split") == "test").alias("test_size"))
     return agg.withColumns({"horizon": F.lit(horizon), "vol_window": F.lit(vol_window),
-                            "regime_threshold_source": F.lit("train_quantile")})
+                            "regime_threshold_source": F.lit(threshold_source)})
