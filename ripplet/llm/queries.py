@@ -117,8 +117,9 @@ items AS (
                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 spots AS (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS pos FROM items WHERE len(w) > 0),
 wins AS (SELECT DISTINCT item_id, list_slice(w, pos + 1, least(pos + 10, len(w))) AS win FROM spots),
-sizes AS (SELECT DISTINCT len(win) AS size FROM wins),
-cand AS (SELECT doc_id, pos, size, list_slice(w, pos + 1, pos + size) AS win FROM words, sizes WHERE pos + size <= len(w)),
+firsts AS (SELECT DISTINCT win[1] AS w1, win[2] AS w2, len(win) AS size FROM wins),
+cand AS (SELECT doc_id, pos, size, list_slice(w, pos + 1, pos + size) AS win FROM words
+         JOIN firsts ON w[pos + 1] = w1 AND (size = 1 OR w[pos + 2] = w2) WHERE pos + size <= len(w)),
 occ AS (SELECT doc_id, pos, size, item_id FROM cand JOIN wins USING (win)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS p FROM occ) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
