@@ -242,9 +242,11 @@ def line_components(docs: DataFrame, shingle: int = 7, bands: int = 11, rows: in
     # dealt out by bucket once; a key's rows in a bucket count the chunks that hold the line
     entries = lines.where("bands IS NOT NULL AND size(bands) > 0").select(F.explode("bands").alias("h"), "key").repartition("h")
     same, bucket = Window.partitionBy("h", "key"), Window.partitionBy("h")
-    members = (entries.withColumns({"n": F.count("key").over(same), "i": F.row_number().over(same.orderBy("key"))}).where("i = 1")
-               .withColumns({"leader": F.max(F.struct("n", "key")).over(bucket)["key"], "size": F.count("key").over(bucket)}))
-    shared = materialize(members.where("size > 1").select("h", "key", "leader"), "line-buckets")
+    # most buckets hold one line only; they go before the wider windows
+    several = entries.withColumns({"lo": F.min("key").over(bucket), "hi": F.max("key").over(bucket)}).where("lo <> hi").select("h", "key")
+    members = (several.withColumns({"n": F.count("key").over(same), "i": F.row_number().over(same.orderBy("key"))}).where("i = 1")
+               .withColumn("leader", F.max(F.struct("n", "key")).over(bucket)["key"]))
+    shared = materialize(members.select("h", "key", "leader"), "line-buckets")
     texts = materialize(_texts(rows_of, shared.select("key").distinct()), "line-texts")
     stars = shared.where("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
     sims = materialize(_similarities(stars, texts, shingle), "line-links")
