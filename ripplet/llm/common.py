@@ -53,18 +53,25 @@ class BitTable:
     """Fixed-size table of hash positions, broadcast to thin out a scan before a join: every member passes, others only by
     collision.  Its size does not grow with the data; a table that fills up lets more pass, never less."""
 
-    def __init__(self, words: DataFrame, bits: int):
-        """``words``: (word, mask) with mask the 32 positions of a word; at most 2^(bits - 5) rows are collected."""
+    def __init__(self, session, table: np.ndarray):
+        self.table = session.sparkContext.broadcast(table)
+
+    @staticmethod
+    def of(positions: DataFrame, bits: int) -> BitTable:
+        """Table of the column ``at`` (0 <= at < 2^bits); at most 2^(bits - 5) rows of 32 positions are collected."""
+        got = (positions.select(F.shiftright("at", 5).alias("word"), F.pmod("at", F.lit(32)).cast("int").alias("bit"))
+               .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")).toPandas())
         table = np.zeros(1 << (bits - 5), np.uint32)
-        got = words.toPandas()
         table[got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).astype(np.uint32)
-        self.table = words.sparkSession.sparkContext.broadcast(table)
+        return BitTable(positions.sparkSession, table)
 
     @staticmethod
-    def of(positions: DataFrame, bits: int) -> BitTable:
-        """Table of the column ``at`` (0 <= at < 2^bits)."""
-        return BitTable(positions.select(F.shiftright("at", 5).alias("word"), F.pmod("at", F.lit(32)).cast("int").alias("bit"))
-                        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")), bits)
+    def of_segments(segments: DataFrame, bits: int) -> BitTable:
+        """Table of (part, segment) rows: each part's whole share of the table as bytes; 2^(bits - 3) bytes are collected."""
+        table = np.zeros(1 << (bits - 3), np.uint8)
+        for part, segment in segments.select("part", "segment").toLocalIterator():
+            table[part * len(segment):(part + 1) * len(segment)] = np.frombuffer(bytes(segment), np.uint8)
+        return BitTable(segments.sparkSession, table.view(np.uint32))
 
     @staticmethod
     def test(table: np.ndarray, at: np.ndarray) -> np.ndarray:

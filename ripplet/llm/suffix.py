@@ -218,7 +218,8 @@ class RunLengthIndex:
 
 def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitTable:
     """Bit table of the anchors that several documents have."""
-    part_bits = max(0, (total // (4 << 20)).bit_length())  # parts of a few million anchors at most
+    part_bits = min(TABLE_BITS - 3, max(4, (total // (4 << 20)).bit_length()))  # parts of a few million anchors at most
+    share = TABLE_BITS - part_bits  # a part holds a contiguous share of the table
 
     def run(batches):
         for b in batches:
@@ -247,15 +248,11 @@ def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitT
         sets = [unpack_sorted(b) for b in pdf["blob"]]
         v = np.sort(np.concatenate(sets))
         v = np.unique(np.concatenate([v[1:][v[1:] == v[:-1]]] + [x for x, t in zip(sets, pdf["twice"]) if t]))
-        at = ((np.uint64(key[0]) << np.uint64(32)) | v.astype(np.uint64)) << np.uint64(32 - part_bits) >> np.uint64(64 - TABLE_BITS)
-        at = np.unique(at.astype(np.int64))
-        word = at >> 5
-        head = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(at) else np.zeros(0, np.int64)
-        mask = np.bitwise_or.reduceat(np.int64(1) << (at & 31), head) if len(at) else np.zeros(0, np.int64)
-        return pd.DataFrame({"word": word[head], "mask": mask})
+        bits = np.zeros(1 << share, np.uint8)
+        bits[(v >> np.uint32(32 - share)).astype(np.int64)] = 1
+        return pd.DataFrame({"part": [int(key[0])], "segment": [np.packbits(bits, bitorder="little").tobytes()]})
     packed = docs.select("text").mapInArrow(run, "part int, twice boolean, blob binary")
-    words = packed.groupBy("part").applyInPandas(shared, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    return BitTable(words, TABLE_BITS)
+    return BitTable.of_segments(packed.groupBy("part").applyInPandas(shared, "part int, segment binary"), TABLE_BITS)
 
 
 def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram: int, buckets: int) -> DataFrame:
