@@ -74,7 +74,7 @@ def balancing_experiment(panel: DataFrame, label: str = "target_regime") -> Data
         if weight:
             kw["weightCol"] = weight
         return {"logreg_l2": LogisticRegression(elasticNetParam=0.0, regParam=1.0 / n, standardization=False,
-                                                maxIter=5000, **kw),
+                                                maxIter=200, **kw),
                 "gaussian_nb": NaiveBayes(modelType="gaussian", **kw),
                 "tree": DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=10, maxBins=256, seed=42, **kw)}
 
