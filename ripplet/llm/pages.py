@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplet.llm.urls import split_url
+from ripplet.session import materialize
 
 # Element kinds of HTML and the words that name page furniture.
 RAW = "script style noscript template iframe svg canvas object textarea select title math audio video xmp noembed noframes head"
@@ -255,8 +256,10 @@ def main_text(pages: DataFrame, group_pages: int = 64) -> DataFrame:
     host, _ = split_url(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     named = rows.withColumn("host", host)
-    groups = named.groupBy("host").agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / group_pages).alias("groups"))
-    dealt = named.join(groups, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("groups")))
+    # written first, so that the planner sees its size; dealt out by both keys, or a host's groups would share a task
+    groups = materialize(named.groupBy("host").agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / group_pages).alias("groups")), "page-hosts")
+    dealt = (named.join(groups, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("groups")))
+             .repartition("host", "part"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": extract([x if isinstance(x, str) else "" for x in pdf["html"]])})
