@@ -22,7 +22,7 @@ KEYS = ["symbol", "date", "split"]
 
 def _expert(panel: DataFrame, regime: int, label: str = "target_vol"):
     train = panel.where((F.col("split") == "train") & (F.col("target_regime") == regime))
-    return MD.fit_boosted(train, panel.where(F.col("split") == "val"), "regression", label)[0]
+    return MD.fit_boosted(train, panel.where(F.col("split") == "val"), "regression", label, MD.QUERY_ROUNDS)[0]
 
 
 def mixture_components(panel: DataFrame) -> DataFrame:
