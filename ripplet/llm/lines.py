@@ -30,6 +30,7 @@ from ripplet.session import materialize
 CHUNK_CHARS = 1 << 20
 FILTER_BITS = 26
 PROFILE_BITS = 1024
+PACK_ROWS = 20_000
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -200,9 +201,16 @@ def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, b
                              "si": F.sum(F.col("stray").cast("int")).over(order) - F.col("stray").cast("int"), "ns": F.sum(F.col("stray").cast("int")).over(count)})
     cells = F.ceil(F.col("ns") / block)
     strays = rows.where("stray").select("h", F.floor(F.col("si") / block).alias("sb"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / (10 * block)) - 1)).alias("mb"),
-                                        "key", "root", "stray", "sim", "size", "bits")
+                                        "key", "root", "stray", "sim", "size", "bits", "n", "ns")
     members = rows.select("h", F.explode(F.sequence(F.lit(0), cells - 1)).alias("sb"), F.floor(F.col("i") / (10 * block)).alias("mb"),
-                          "key", "root", "stray", "sim", "size", "bits")
+                          "key", "root", "stray", "sim", "size", "bits", "n", "ns")
+
+    # buckets of one cell share a task's group by a hash; the cells of a large bucket stand alone
+    packs = max(1, -(-label.count() // PACK_ROWS))
+
+    def named(df):
+        whole = (F.col("ns") <= block) & (F.col("n") <= 10 * block)
+        return df.withColumn("cell", F.when(whole, F.pmod(F.xxhash64("h"), F.lit(packs))).otherwise(F.xxhash64("h", "sb", "mb")))
 
     def bitmaps(pdf):
         return np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
@@ -210,15 +218,19 @@ def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, b
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": []})
+        left, right = left.sort_values("h", kind="stable"), right.sort_values("h", kind="stable")
+        home = right["h"].to_numpy()
+        begin, finish = (np.searchsorted(home, left["h"].to_numpy(), side=x).tolist() for x in ("left", "right"))
         lb, rb = bitmaps(left), bitmaps(right)
         ls, rs = left["size"].to_numpy(float), right["size"].to_numpy(float)
         lr, rr = left["root"].to_numpy(), right["root"].to_numpy()
         lk, rk = left["key"].to_numpy(), right["key"].to_numpy()
-        rsim, also = right["sim"].to_numpy(float), right["stray"].to_numpy(bool)
+        lsim, rsim, also = left["sim"].to_numpy(float), right["sim"].to_numpy(float), right["stray"].to_numpy(bool)
         out_a, out_b = [], []
         for i in range(len(left)):
-            near = np.flatnonzero((np.abs(rsim - left["sim"].iat[i]) <= 1 - threshold + 1e-9)
-                                  & (np.minimum(rs, ls[i]) >= threshold * np.maximum(rs, ls[i]) - 1e-9))
+            at = slice(begin[i], finish[i])  # the members of the stray's bucket
+            near = begin[i] + np.flatnonzero((np.abs(rsim[at] - lsim[i]) <= 1 - threshold + 1e-9)
+                                             & (np.minimum(rs[at], ls[i]) >= threshold * np.maximum(rs[at], ls[i]) - 1e-9))
             if not len(near):
                 continue
             only_l = np.bitwise_count(lb[i] & ~rb[near]).sum(axis=1)
@@ -230,9 +242,9 @@ def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, b
                     out_a.append(lk[i])
                     out_b.append(rk[j])
         return pd.DataFrame({"a": out_a, "b": out_b})
-    by = ("h", "sb", "mb")
+    strays, members = named(strays).drop("sb", "mb", "n", "ns"), named(members).drop("sb", "mb", "n", "ns")
     members = members.toDF(*members.columns)  # columns of their own, not those that the strays have
-    return strays.groupBy(*by).cogroup(members.groupBy(*by)).applyInPandas(compare, "a binary, b binary").distinct()
+    return strays.groupBy("cell").cogroup(members.groupBy("cell")).applyInPandas(compare, "a binary, b binary").distinct()
 
 
 def line_components(docs: DataFrame, shingle: int = 7, bands: int = 11, rows: int = 4, threshold: float = 0.8):
