@@ -9,8 +9,9 @@
    Blocks hang in the slots between template elements.
 3. Slots below elements that are furniture by tag, role, class or id (menus, headers, footers, sidebars, notices,
    adverts, forms, reader comments) are closed.  What remains is the main text: the article or main element if the page
-   marks one, else the deepest skeleton element that holds most of the group's prose; there, blocks that are links
-   only, and blocks that repeat word for word in most pages of the group at a path of their own, belong to the template.
+   marks one, else the deepest skeleton element that holds most of the group's prose (without blocks that are links
+   only).  In both, blocks that repeat word for word in most pages that fill their slot belong to the template
+   (``repeated_blocks``).  Pages with and without marks have templates of their own.
 4. White space inside a block becomes one space; blocks are joined in page order by two line feeds.
 
 Hosts with many pages are dealt out into groups of about ``group_pages`` by a hash of page_id, so a host with a third of
@@ -47,6 +48,7 @@ FURNITURE_WORDS = set("ad ads adv advert adverts advertisement advertising adbox
 FURNITURE_STEMS = ("comment", "sidebar", "cookie", "newsletter", "advert", "breadcrumb", "sponsor", "navbar", "masthead")
 LAYOUT_WORDS = {"with", "has", "no", "without"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+ITEMS = {"li", "dt", "dd", "td", "th"}
 ENDS = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
         "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 SCOPE = {"p": set(), "li": {"ul", "ol", "menu"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "dt": {"dl"}, "dd": {"dl"},
@@ -202,33 +204,56 @@ class Template:
         return next((x.path for x in e.line() if x.path in self.tokens), "")
 
 
+def repeated_blocks(template: Template, pages: list[list[tuple[Element, str, int]]], least_pages: int = 3) -> set[tuple[str, str, str]]:
+    """(slot, path, text) of the blocks that belong to the template: they stand word for word in most pages that fill the
+    slot.  Pages that differ in headings and repeated blocks only are copies and count as one, so no copied article
+    becomes a template.  Where the text at a path changes from page to page, list items, cells and headings are data even
+    if they repeat, and other blocks must stand in nearly all pages and be no more than the changing ones."""
+    keys = [{(template.slot(e), e.path, t): e for e, t, _ in blocks} for blocks in pages]
+
+    def often(chosen, share):
+        count, holders = {}, {}
+        for page in chosen:
+            for key in page:
+                count[key] = count.get(key, 0) + 1
+            for slot in {key[0] for key in page}:
+                holders[slot] = holders.get(slot, 0) + 1
+        return {key for key, n in count.items() if n >= max(least_pages, share * holders[key[0]])}
+    first = often(keys, 0.6)
+    if not first:
+        return set()
+    different = {frozenset(key[2] for key, e in page.items() if key not in first and e.tag not in HEADINGS): page for page in reversed(keys)}
+    chosen = list(different.values())
+    most, nearly_all = often(chosen, 0.6), often(chosen, 0.9)
+    size: dict[tuple, list[int]] = {}  # (slot, path) -> characters and blocks that change, characters and blocks that repeat
+    for page in chosen:
+        for key in page:
+            n, at = size.setdefault(key[:2], [0, 0, 0, 0]), 2 if key in most else 0
+            n[at] += len(key[2])
+            n[at + 1] += 1
+    tags = {key: e.tag for page in chosen for key, e in page.items()}
+    out = set()
+    for key in most:
+        change, changing, repeat, repeating = size[key[:2]]
+        if change < 0.25 * (change + repeat) or tags[key] not in HEADINGS | ITEMS and key in nearly_all and repeating <= changing:
+            out.add(key)
+    return out
+
+
 def extract(sources: list[str], least_pages: int = 3) -> list[str]:
     """Main text of each page of a group of same-host pages."""
     pages = [Page(s or "") for s in sources]
-    template = Template(pages, least_pages)
     closed = [_furniture(p) for p in pages]
     open_blocks = [[b for b in p.blocks if b[0].number not in shut] for p, shut in zip(pages, closed)]
     marked = [{x.number for x in p.elements if x.main and x.number not in shut} for p, shut in zip(pages, closed)]
-    # prose of the skeleton elements over the pages that mark no main element, and repeated blocks there
-    prose: dict[str, int] = {}
-    total, repeats = 0, {}
-    plain = [i for i, m in enumerate(marked) if not m]
-    for i in plain:
-        for e, text, links in open_blocks[i]:
-            if links >= 0.8 * len(text):
-                continue
-            total += len(text)
-            for x in e.line():
-                if x.path in template.skeleton:
-                    prose[x.path] = prose.get(x.path, 0) + len(text)
-        for key in {(template.slot(e), e.path, text) for e, text, _ in open_blocks[i]}:
-            repeats[key] = repeats.get(key, 0) + 1
-    home = max((p for p, n in prose.items() if n >= 0.75 * total), key=lambda p: (p.count("/"), p), default=None) if len(plain) >= least_pages else None
-    often = max(least_pages, 0.6 * len(plain))
-    out = []
-    for i, blocks in enumerate(open_blocks):
-        if marked[i]:
+    out = [""] * len(pages)
+    marks = [i for i, m in enumerate(marked) if m]
+    if marks:
+        template = Template([pages[i] for i in marks], least_pages)
+        inside = []
+        for i in marks:
             size: dict[int, int] = {}
+            blocks = open_blocks[i]
             for e, text, _ in blocks:
                 for x in e.line():
                     if x.number in marked[i]:
@@ -236,18 +261,36 @@ def extract(sources: list[str], least_pages: int = 3) -> list[str]:
             whole = sum(len(t) for e, t, _ in blocks if any(x.number in marked[i] for x in e.line()))
             # the smallest marked element with most of the marked text; without one, all of them
             best = min((k for k, n in size.items() if n >= 0.6 * whole), key=lambda k: (size[k], -k), default=None)
-            inside = {best} if best is not None else marked[i]
-            kept = [t for e, t, _ in blocks if any(x.number in inside for x in e.line())]
-        else:
+            kept = {best} if best is not None else marked[i]
+            inside.append([b for b in blocks if any(x.number in kept for x in b[0].line())])
+        repeats = repeated_blocks(template, inside, least_pages)
+        for i, blocks in zip(marks, inside):
+            out[i] = "\n\n".join(t for e, t, _ in blocks if (template.slot(e), e.path, t) not in repeats)
+    plain = [i for i, m in enumerate(marked) if not m]
+    if plain:
+        template = Template([pages[i] for i in plain], least_pages)
+        # prose of the skeleton elements, and repeated blocks there
+        prose: dict[str, int] = {}
+        total = 0
+        for i in plain:
+            for e, text, links in open_blocks[i]:
+                if links >= 0.8 * len(text):
+                    continue
+                total += len(text)
+                for x in e.line():
+                    if x.path in template.skeleton:
+                        prose[x.path] = prose.get(x.path, 0) + len(text)
+        home = max((p for p, n in prose.items() if n >= 0.75 * total), key=lambda p: (p.count("/"), p), default=None) if len(plain) >= least_pages else None
+        repeats = repeated_blocks(template, [open_blocks[i] for i in plain], least_pages)
+        for i in plain:
             kept = []
-            for e, t, links in blocks:
+            for e, t, links in open_blocks[i]:
                 if home is not None and not any(x.path == home for x in e.line()):
                     continue
-                alone = e.path in template.skeleton and e.tag not in HEADINGS and e.tag != "p"
-                if links >= 0.8 * len(t) or (alone and repeats.get((template.slot(e), e.path, t), 0) >= often):
+                if links >= 0.8 * len(t) or (template.slot(e), e.path, t) in repeats:
                     continue
                 kept.append(t)
-        out.append("\n\n".join(kept))
+            out[i] = "\n\n".join(kept)
     return out
 
 

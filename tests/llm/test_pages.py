@@ -56,3 +56,22 @@ def test_edges(spark):
     assert out == sorted([(1, ""), (2, "a < b & c"), (3, ""), (4, "x\n\ny\n\nz"), (None, "plain words"), (4, "x\n\ny\n\nz"), (5, ("long " * 200_000).strip()),
                           (6, ""), (7, "")], key=repr)
     assert pages.main_text(df.limit(0)).count() == 0
+
+
+SHARED = """<body><article class=a1><h1>Title {i}</h1><div class=k2>Send to a friend</div><p>Body {i} {w}</p><p>Second {i}</p><ul><li>point {i}{i}<li>same</ul>
+<div class=k7><h3>Read also</h3><p>Our best of the year</p></div><p>Written in our own house.</p></article></body>"""
+
+
+def test_template_blocks_inside_the_article():
+    group = [SHARED.format(i=i, w="word " * i) for i in range(8)]
+    want = ["\n\n".join((f"Title {i}", " ".join(f"Body {i} {'word ' * i}".split()), f"Second {i}", f"point {i}{i}", "same")) for i in range(8)]
+    assert pages.extract(group) == want
+    # unmarked pages of the same host have a template of their own
+    assert pages.extract(group + [SOUP.format(i=i) for i in range(6)]) == want + [TEXT.format(i=i) for i in range(6)]
+
+
+def test_copied_articles_are_no_template():
+    copy = "<article><h1>One</h1><p>The same story</p><p>told again</p></article>"
+    other = ["<article><h1>T{i}</h1><p>Story {i}</p></article>".format(i=i) for i in range(3)]
+    assert pages.extract([copy] * 9 + other) == ["One\n\nThe same story\n\ntold again"] * 9 + [f"T{i}\n\nStory {i}" for i in range(3)]
+    assert pages.extract([copy.replace("One", f"Title {i}") for i in range(9)]) == [f"Title {i}\n\nThe same story\n\ntold again" for i in range(9)]
