@@ -8,10 +8,10 @@
    of them.  Valid classes nest by path into the template; the class that occurs once in every page is its skeleton.
    Blocks hang in the slots between template elements.
 3. Slots below elements that are furniture by tag, role, class or id (menus, headers, footers, sidebars, notices,
-   adverts, forms, reader comments) are closed.  What remains is the main text: the article or main element if the page
-   marks one, else the deepest skeleton element that holds most of the group's prose (without blocks that are links
-   only).  In both, blocks that repeat word for word in most pages that fill their slot belong to the template
-   (``repeated_blocks``).  Pages with and without marks have templates of their own.
+   adverts, forms, reader comments) are closed.  What remains is the main text: all article and main elements if the
+   page marks any, else the whole page.  In both, blocks that repeat word for word in most pages that fill their slot
+   belong to the template (``repeated_blocks``); nothing else goes, not even blocks that are one link (titles, lists of
+   references).  Pages with and without marks have templates of their own.
 4. White space inside a block becomes one space; blocks are joined in page order by two line feeds.
 
 Hosts with many pages are dealt out into groups of about ``group_pages`` by a hash of page_id, so a host with a third of
@@ -88,35 +88,29 @@ class Element:
 
 
 class Page:
-    """Elements and blocks (element, text, number of characters in links) of one page."""
+    """Elements and blocks (element, text) of one page."""
 
     def __init__(self, source: str):
         self.elements: list[Element] = []
-        self.blocks: list[tuple[Element, str, int]] = []
+        self.blocks: list[tuple[Element, str]] = []
         root = self._open("#page", "", None)
-        top, text, links, in_link, at = root, [], 0, 0, 0
+        top, text, at = root, [], 0
 
         def flush(element):
-            nonlocal links
             joined = " ".join("".join(text).split())
             if joined:
-                self.blocks.append((element, joined, min(links, len(joined))))
+                self.blocks.append((element, joined))
             text.clear()
-            links = 0
 
         for m in _MARKUP.finditer(source):
             if m.start() > at:
-                piece = entities.unescape(source[at:m.start()])
-                text.append(piece)
-                links += len(piece.strip()) if in_link else 0
+                text.append(entities.unescape(source[at:m.start()]))
             at = m.end()
             name = (m[3] or "").lower()
             if not name:
                 if m[0][:9].upper() == "<![CDATA[":
                     text.append(m[0][9:-3])
                 continue
-            if name == "a":
-                in_link = 0 if m[2] else 1
             if name in INLINE:
                 if name == "br":
                     text.append(" ")
@@ -128,7 +122,6 @@ class Page:
                     e = e.parent
                 if e is not root:
                     top = e.parent
-                in_link = 0
                 continue
             if name in VOID:
                 continue
@@ -204,12 +197,12 @@ class Template:
         return next((x.path for x in e.line() if x.path in self.tokens), "")
 
 
-def repeated_blocks(template: Template, pages: list[list[tuple[Element, str, int]]], least_pages: int = 3) -> set[tuple[str, str, str]]:
+def repeated_blocks(template: Template, pages: list[list[tuple[Element, str]]], least_pages: int = 3) -> set[tuple[str, str, str]]:
     """(slot, path, text) of the blocks that belong to the template: they stand word for word in most pages that fill the
     slot.  Pages that differ in headings and repeated blocks only are copies and count as one, so no copied article
     becomes a template.  Where the text at a path changes from page to page, list items, cells and headings are data even
     if they repeat, and other blocks must stand in nearly all pages and be no more than the changing ones."""
-    keys = [{(template.slot(e), e.path, t): e for e, t, _ in blocks} for blocks in pages]
+    keys = [{(template.slot(e), e.path, t): e for e, t in blocks} for blocks in pages]
 
     def often(chosen, share):
         count, holders = {}, {}
@@ -247,50 +240,13 @@ def extract(sources: list[str], least_pages: int = 3) -> list[str]:
     open_blocks = [[b for b in p.blocks if b[0].number not in shut] for p, shut in zip(pages, closed)]
     marked = [{x.number for x in p.elements if x.main and x.number not in shut} for p, shut in zip(pages, closed)]
     out = [""] * len(pages)
-    marks = [i for i, m in enumerate(marked) if m]
-    if marks:
-        template = Template([pages[i] for i in marks], least_pages)
-        inside = []
-        for i in marks:
-            size: dict[int, int] = {}
-            blocks = open_blocks[i]
-            for e, text, _ in blocks:
-                for x in e.line():
-                    if x.number in marked[i]:
-                        size[x.number] = size.get(x.number, 0) + len(text)
-            whole = sum(len(t) for e, t, _ in blocks if any(x.number in marked[i] for x in e.line()))
-            # the smallest marked element with most of the marked text; without one, all of them
-            best = min((k for k, n in size.items() if n >= 0.6 * whole), key=lambda k: (size[k], -k), default=None)
-            kept = {best} if best is not None else marked[i]
-            inside.append([b for b in blocks if any(x.number in kept for x in b[0].line())])
+    for kind in (True, False):
+        chosen = [i for i, m in enumerate(marked) if bool(m) == kind]
+        template = Template([pages[i] for i in chosen], least_pages)
+        inside = [[b for b in open_blocks[i] if not kind or any(x.number in marked[i] for x in b[0].line())] for i in chosen]
         repeats = repeated_blocks(template, inside, least_pages)
-        for i, blocks in zip(marks, inside):
-            out[i] = "\n\n".join(t for e, t, _ in blocks if (template.slot(e), e.path, t) not in repeats)
-    plain = [i for i, m in enumerate(marked) if not m]
-    if plain:
-        template = Template([pages[i] for i in plain], least_pages)
-        # prose of the skeleton elements, and repeated blocks there
-        prose: dict[str, int] = {}
-        total = 0
-        for i in plain:
-            for e, text, links in open_blocks[i]:
-                if links >= 0.8 * len(text):
-                    continue
-                total += len(text)
-                for x in e.line():
-                    if x.path in template.skeleton:
-                        prose[x.path] = prose.get(x.path, 0) + len(text)
-        home = max((p for p, n in prose.items() if n >= 0.75 * total), key=lambda p: (p.count("/"), p), default=None) if len(plain) >= least_pages else None
-        repeats = repeated_blocks(template, [open_blocks[i] for i in plain], least_pages)
-        for i in plain:
-            kept = []
-            for e, t, links in open_blocks[i]:
-                if home is not None and not any(x.path == home for x in e.line()):
-                    continue
-                if links >= 0.8 * len(t) or (template.slot(e), e.path, t) in repeats:
-                    continue
-                kept.append(t)
-            out[i] = "\n\n".join(kept)
+        for i, blocks in zip(chosen, inside):
+            out[i] = "\n\n".join(t for e, t in blocks if (template.slot(e), e.path, t) not in repeats)
     return out
 
 

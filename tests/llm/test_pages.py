@@ -75,3 +75,13 @@ def test_copied_articles_are_no_template():
     other = ["<article><h1>T{i}</h1><p>Story {i}</p></article>".format(i=i) for i in range(3)]
     assert pages.extract([copy] * 9 + other) == ["One\n\nThe same story\n\ntold again"] * 9 + [f"T{i}\n\nStory {i}" for i in range(3)]
     assert pages.extract([copy.replace("One", f"Title {i}") for i in range(9)]) == [f"Title {i}\n\nThe same story\n\ntold again" for i in range(9)]
+
+
+def test_all_marked_elements_and_links_stay():
+    two = "<main><article><p>{0}</p></article><article><p>{1}</p></article></main>".format("a " * 60, "b " * 40)
+    assert pages.extract([two]) == [("a " * 60).strip() + "\n\n" + ("b " * 40).strip()]
+    lead = "<main><p>{0}</p><article><p>{1}</p></article></main>".format("a " * 35, "b " * 65)
+    assert pages.extract([lead]) == [("a " * 35).strip() + "\n\n" + ("b " * 65).strip()]
+    title = "<body><div class=t><h1><a href=x>Title {i}</a></h1></div><div class=c><p>Long {i} {w}</p><ul><li><a href=y>Reference {i}</a></ul></div></body>"
+    want = [f"Title {i}\n\nLong {i} {('text ' * 40).strip()}\n\nReference {i}" for i in range(8)]
+    assert pages.extract([title.format(i=i, w="text " * 40) for i in range(8)]) == want
