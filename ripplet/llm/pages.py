@@ -8,7 +8,8 @@
    of them.  Valid classes nest by path into the template; the class that occurs once in every page is its skeleton.
    Blocks hang in the slots between template elements.
 3. Slots below elements that are furniture by tag, role, class or id (menus, headers, footers, sidebars, notices,
-   adverts, forms, reader comments) are closed.  What remains is the main text: all article and main elements if the
+   adverts, forms, reader comments) are closed; no class word and no form closes the main element or one that holds it,
+   and headings in an article's header stay.  What remains is the main text: all article and main elements if the
    page marks any, else the whole page.  In both, blocks that repeat word for word in most pages that fill their slot
    belong to the template (``repeated_blocks``); nothing else goes, not even blocks that are one link (titles, lists of
    references).  Pages with and without marks have templates of their own.
@@ -46,7 +47,12 @@ FURNITURE_WORDS = set("ad ads adv advert adverts advertisement advertising adbox
                       "discussion reply replies respond responses reactions pagination pager copyright legal disclaimer toolbar skip "
                       "hidden trending popular".split())
 FURNITURE_STEMS = ("comment", "sidebar", "cookie", "newsletter", "advert", "breadcrumb", "sponsor", "navbar", "masthead")
+HEADER_WORDS = {"header", "masthead"}
+TALK_WORDS = set("comment comments commentlist disqus discussion reply replies respond responses reactions".split())
 LAYOUT_WORDS = {"with", "has", "no", "without"}
+STATE_WORDS = {"open", "closed", "enabled", "disabled", "on", "off", "free"}
+SUBJECT_WORDS = {"category", "cat", "tag", "topic", "term", "taxonomy"}
+POST_WORDS = {"post", "hentry", "entry", "article", "story", "content"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ITEMS = {"li", "dt", "dd", "td", "th"}
 ENDS = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
@@ -62,23 +68,34 @@ _CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "furniture", "main", "number")
+    __slots__ = ("tag", "path", "parent", "furniture", "main", "number", "named", "form", "heads", "talk", "title")
 
     def __init__(self, tag, attributes, parent, number):
         self.tag, self.parent, self.number = tag, parent, number
         values = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-        names = " ".join((values.get("class", ""), values.get("id", "")))
-        label = tag + "".join("." + c for c in values.get("class", "").split())
+        classes = values.get("class", "").split()
+        label = tag + "".join("." + c for c in classes)
         self.path = (parent.path if parent else "") + "/" + label
-        words = [w.lower() for w in _CAMEL.findall(names)]
-        # "with-sidebar" names a layout, not a sidebar
-        words = {w for w, before in zip(words, [""] + words) if before not in LAYOUT_WORDS}
         role = values.get("role", "").lower()
         self.main = tag in ("article", "main") or role == "main" or values.get("itemprop", "").lower() == "articlebody"
-        named = bool(words & FURNITURE_WORDS) or any(w.startswith(FURNITURE_STEMS) for w in words)
+        words, self.title = [], False
+        for token in [*classes, *values.get("id", "").split()]:
+            parts = [w.lower() for w in _CAMEL.findall(token)]
+            # "comments-open" is a state and, of a post, "category-legal" its subject
+            if len(parts) > 1 and (parts[-1] in STATE_WORDS or parts[0] in SUBJECT_WORDS and (self.main or not POST_WORDS.isdisjoint(classes))):
+                continue
+            self.title |= not HEADER_WORDS.isdisjoint(parts) and not POST_WORDS.isdisjoint(parts)
+            words += parts
+        # "with-sidebar" names a layout, not a sidebar
+        words = {w for w, before in zip(words, [""] + words) if before not in LAYOUT_WORDS}
+        names = {w for w in words if w in FURNITURE_WORDS or w.startswith(FURNITURE_STEMS)}
         shut = "hidden" in values or values.get("aria-hidden", "").lower() == "true" or "display:none" in values.get("style", "").replace(" ", "").lower()
-        # 2: by its tag or role, 1: by its name (unless it turns out to hold the main element)
-        self.furniture = 2 if tag in FURNITURE_TAGS or role in FURNITURE_ROLES or shut else 1 if named and tag not in ("html", "body") else 0
+        self.named = bool(names) and tag not in ("html", "body")
+        self.talk = self.named and any(w in TALK_WORDS or w.startswith("comment") for w in names)
+        self.form = not shut and (tag == "form" and role not in FURNITURE_ROLES - {"form"} or role == "form" and tag not in FURNITURE_TAGS)
+        self.heads = not shut and (tag == "header" or self.named and names <= HEADER_WORDS and tag not in FURNITURE_TAGS and role not in FURNITURE_ROLES)
+        # 2: by its tag or role, 1: by its name (unless it turns out to be or hold the main element)
+        self.furniture = 2 if tag in FURNITURE_TAGS or role in FURNITURE_ROLES or shut else 1 if self.named else 0
 
     def line(self):
         e = self
@@ -145,21 +162,67 @@ class Page:
         return e
 
 
+def _sizes(page: Page, shut) -> list[int]:
+    """Characters that each element holds outside the elements for which ``shut`` is true."""
+    out, off = [0] * len(page.elements), set()
+    for e in page.elements:  # parents come first
+        if e.parent is not None and e.parent.number in off or shut(e):
+            off.add(e.number)
+    for e, text in page.blocks:
+        if e.number not in off:
+            for x in e.line():
+                out[x.number] += len(text)
+    return out
+
+
+def _hard(e: Element) -> bool:
+    """Closed whatever it holds."""
+    return e.furniture == 2 and e.tag != "header" and not e.form
+
+
+def _main_elements(page: Page) -> list[Element]:
+    """The marked elements that no furniture closes.  A class word alone closes none that is the main element: without
+    others, or with half of the page's text."""
+    marks = [e for e in page.elements if e.main and not any(_hard(x) for x in e.line())]
+    names = {e.number: [x for x in e.line() if x.named and x.furniture != 2] for e in marks}
+    free = [e for e in marks if not names[e.number]]
+    if len(free) == len(marks):
+        return free
+    articles = {e.number for e in free if e.tag == "article"}
+    size = _sizes(page, _hard)
+    doubtful = [e for e in marks if names[e.number] and size[e.number] and not any(x.number in articles for x in e.line())]
+    large = [e for e in doubtful if 2 * size[e.number] >= size[0]]
+    # neither a comment beside an article, nor an element with two such names in a row
+    out = free + [e for e in large if not e.named or len(names[e.number]) == 1 and not (e.talk and articles)]
+    if not free:
+        out += [e for e in doubtful if not e.named and not any(x.talk for x in names[e.number])]
+        several = [e for e in doubtful if e.named and len(names[e.number]) == 1 and not e.talk]
+        if 2 * sum(size[e.number] for e in several if not any(x.main for x in e.line() if x is not e)) >= size[0]:
+            out += several
+    return out
+
+
 def _furniture(page: Page) -> set[int]:
     """Numbers of the elements that are, or stand in, page furniture."""
-    holds_main = set()
-    for e in page.elements:
-        if e.main and e.furniture != 1:
-            holds_main.update(x.number for x in e.line())
-    out = set()
+    main = _main_elements(page)
+    keep = {x.number for e in main for x in e.line()}
+    forms = [e for e in page.elements if e.form and not e.named and e.number not in keep]
+    if forms:  # a form around the text is no furniture
+        size = _sizes(page, lambda e: e.number not in keep and not e.form and e.furniture)
+        share = 0.9 if main else 0.5
+        keep.update(x.number for e in forms if size[e.number] and size[e.number] >= share * size[0] for x in e.line())
+    inside = {e.number for e in main}
+    out: dict[int, Element] = {}  # the outermost element that closes it
     for e in page.elements:  # parents come first
-        if e.parent is not None and e.parent.number in out:
-            # a heading in an article's own header is its title
-            if not (e.tag in HEADINGS and e.parent.tag == "header" and any(x.main for x in e.parent.line())):
-                out.add(e.number)
-        elif e.furniture == 2 and e.tag != "header" or e.furniture and e.number not in holds_main:
-            out.add(e.number)
-    return out
+        top = out.get(e.parent.number) if e.parent is not None else None
+        if top is None:
+            if _hard(e) or e.furniture and e.number not in keep:
+                out[e.number] = e
+        # a heading in an article's own header is its title
+        elif not (e.tag in HEADINGS and not e.furniture and top.heads and (top.title or any(x.number in inside for x in top.line()))
+                  and all(x.heads or not x.furniture for x in e.line() if x.number in out)):
+            out[e.number] = top
+    return set(out)
 
 
 class Template:

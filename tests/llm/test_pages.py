@@ -85,3 +85,22 @@ def test_all_marked_elements_and_links_stay():
     title = "<body><div class=t><h1><a href=x>Title {i}</a></h1></div><div class=c><p>Long {i} {w}</p><ul><li><a href=y>Reference {i}</a></ul></div></body>"
     want = [f"Title {i}\n\nLong {i} {('text ' * 40).strip()}\n\nReference {i}" for i in range(8)]
     assert pages.extract([title.format(i=i, w="text " * 40) for i in range(8)]) == want
+
+
+def test_furniture_words_do_not_close_the_article():
+    body = "<h1>Head</h1><p>One of the parts</p><p>Two of the parts</p>"
+    text = "Head\n\nOne of the parts\n\nTwo of the parts"
+    around = "<body><nav>menu</nav>{}<footer>end</footer></body>"
+    for page in ("<form id=aspnetForm><main>{}</main></form>", "<form id=aspnetForm><div>{}</div></form>", "<form><div><article>{}</article></div></form>",
+                 "<article class='post category-legal'>{}</article>", "<article class='post tag-social comments-open'>{}</article>",
+                 "<main><article class='promo'>{}</article><p class=share>x</p></main>", "<article class='promo'>{}</article>",
+                 "<div role=main class='content sidebar-left'>{}</div>", "<article><form>{}</form></article>",
+                 "<article>{}<form><p>Your mail</p></form></article>", "<article>{}<article class=comment>" + "long " * 99 + "</article></article>",
+                 "<article>{}</article><section class=related><article>Teaser</article></section>",
+                 "<article>{}</article><div><article class=comment>" + "long " * 99 + "</article></div>",
+                 "<div class='post category-legal comments-closed'>{}</div>"):
+        assert pages.extract([around.format(page.format(body))]) == [text], page
+    for header in ("<div class='post-header'><h1>Head</h1><p>by x</p></div>", "<div class=header><div><h1>Head</h1></div></div>",
+                   "<header class=entry-header><div class=in><h1>Head</h1></div><nav><h2>Menu</h2></nav></header>"):
+        assert pages.extract([f"<article>{header}<p>One</p></article>"]) == ["Head\n\nOne"], header
+    assert pages.extract(["<header><h1>Site</h1></header><div class=text><div class=post-header><h1>Head</h1></div><p>One</p></div>"]) == ["Head\n\nOne"]
