@@ -34,8 +34,9 @@ from ripplet.llm.urls import split_url
 from ripplet.session import materialize
 
 # Element kinds of HTML and the words that name page furniture.
-RAW = "script style noscript template iframe svg canvas object textarea select title math audio video xmp noembed noframes head"
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+RAW = "script style noscript template iframe svg canvas object textarea select title math audio video xmp noembed noframes"
+# a head counts as void: its texts are raw, so nothing depends on where it ends
+VOID = set("area base head br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
              "strong sub sup time tt u var wbr".split())
 FURNITURE_TAGS = set("nav header footer aside form button dialog menu fieldset".split())
@@ -61,7 +62,7 @@ SCOPE = {"p": set(), "li": {"ul", "ol", "menu"}, "tr": {"table"}, "td": {"table"
          "option": {"select"}, "thead": {"table"}, "tbody": {"table"}}
 
 _RAW = "|".join(RAW.split())
-_MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|(?=<body\b)|\Z)|<!\[CDATA\[.*?\]\]>"
+_MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|(?=<body[\s/>])|\Z)|<!\[CDATA\[.*?\]\]>"
                      rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|itemprop|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?(?=[\s/>]|\Z)""", re.I)
 _CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")

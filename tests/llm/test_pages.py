@@ -104,3 +104,11 @@ def test_furniture_words_do_not_close_the_article():
                    "<header class=entry-header><div class=in><h1>Head</h1></div><nav><h2>Menu</h2></nav></header>"):
         assert pages.extract([f"<article>{header}<p>One</p></article>"]) == ["Head\n\nOne"], header
     assert pages.extract(["<header><h1>Site</h1></header><div class=text><div class=post-header><h1>Head</h1></div><p>One</p></div>"]) == ["Head\n\nOne"]
+
+
+def test_custom_elements_and_open_heads():
+    for tag in ("video-player", "svg-icon", "select-menu", "object-list", "math-box", "template-part"):
+        assert pages.extract([f"<body><article><p>One</p><{tag} src=x></{tag}><p>Two</p></article></body>"]) == ["One\n\nTwo"], tag
+    assert pages.extract(["<html><head><title>T</title><meta charset=utf-8><style>p{}</style><h1>Head</h1><p>One</p>"]) == ["Head\n\nOne"]
+    assert pages.extract(["<head lang=en><title>T</title><link href=x><script>a</script><header>no</header><article><p>One</p></article>"]) == ["One"]
+    assert pages.extract(["<head><title>T</title><meta name=x></head><p>One</p><video src=x>no</video><p>Two</p>"]) == ["One\n\nTwo"]
