@@ -21,7 +21,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplet.llm.common import BitTable, connected_components, fresh_name
@@ -189,20 +189,18 @@ def _profiles(texts: DataFrame, shingle: int) -> DataFrame:
 def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, block: int = 1000) -> DataFrame:
     """(a, b): the pairs of a stray and a member of another component in its bucket that may reach the threshold.
 
-    Each bucket is dealt out in cells of at most ``block`` strays and ten times as many members, compared by bounds that
+    Each bucket is dealt out in cells of about ``block`` strays and ten times as many members, compared by bounds that
     never lose a link: 1 - Jaccard is a metric, so the distances to the leader must not differ by more than
     1 - threshold; and a bit of one line's bitmap that the other's lacks is a shingle the other lacks, which bounds
     the similarity from above.  Only pairs that pass all bounds leave the task."""
-    busy = label.where("stray").select("h").distinct()
-    rows = label.join(busy, "h").join(profiles, "key").select("h", "key", "root", "stray", "sim", "size", "bits")
-    order = Window.partitionBy("h").orderBy("key")
-    count = Window.partitionBy("h")
-    rows = rows.withColumns({"i": F.row_number().over(order) - 1, "n": F.count("key").over(count),
-                             "si": F.sum(F.col("stray").cast("int")).over(order) - F.col("stray").cast("int"), "ns": F.sum(F.col("stray").cast("int")).over(count)})
-    cells = F.ceil(F.col("ns") / block)
-    strays = rows.where("stray").select("h", F.floor(F.col("si") / block).alias("sb"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / (10 * block)) - 1)).alias("mb"),
+    busy = label.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.col("stray").cast("int")).alias("ns")).where("ns > 0")
+    rows = label.join(busy, "h").withColumns({"cells": F.ceil(F.col("ns") / block), "shares": F.ceil(F.col("n") / (10 * block))})
+    rows = rows.join(profiles, "key").select("h", "key", "root", "stray", "sim", "size", "bits", "n", "ns", "cells", "shares")
+    # a cell is drawn by a hash of the key, so no bucket is sorted or numbered as one group
+    sb, mb = F.pmod(F.xxhash64("key", F.lit(1)), F.col("cells")), F.pmod(F.xxhash64("key", F.lit(2)), F.col("shares"))
+    strays = rows.where("stray").select("h", sb.alias("sb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("mb"),
                                         "key", "root", "stray", "sim", "size", "bits", "n", "ns")
-    members = rows.select("h", F.explode(F.sequence(F.lit(0), cells - 1)).alias("sb"), F.floor(F.col("i") / (10 * block)).alias("mb"),
+    members = rows.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("sb"), mb.alias("mb"),
                           "key", "root", "stray", "sim", "size", "bits", "n", "ns")
 
     # buckets of one cell share a task's group by a hash; the cells of a large bucket stand alone
@@ -247,18 +245,33 @@ def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, b
     return strays.groupBy("cell").cogroup(members.groupBy("cell")).applyInPandas(compare, "a binary, b binary").distinct()
 
 
+def _buckets(lines: DataFrame) -> DataFrame:
+    """(h, key, leader) of the buckets with several lines, from (key, bands) once for each chunk that holds the line.  All
+    aggregates are partial before they meet, and the leader is joined back, so no bucket is one task's group."""
+    lines = lines.where("bands IS NOT NULL AND size(bands) > 0").select("key", "bands")
+    # most buckets hold one line only: two 64-bit hashes tell, and a bit table thins out the second scan
+    number = F.xxhash64("key")
+    several = materialize(lines.select(F.explode("bands").alias("h"), number.alias("x")).groupBy("h").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+                          .where("lo <> hi").select("h"), "line-several")
+    bits = BitTable.of(several.select(F.col("h").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("at")), FILTER_BITS).table
+
+    def run(batches):
+        for b in batches:
+            h = b.column(1).flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(b)), b.column(1).value_lengths().to_numpy(zero_copy_only=False))
+            ok = BitTable.test(bits.value, h & ((1 << FILTER_BITS) - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(h[ok]), b.column(0).take(pa.array(owner[ok])).cast(pa.binary())], ["h", "key"])
+    counted = lines.mapInArrow(run, "h long, key binary").groupBy("h", "key").agg(F.count("*").alias("n"))
+    members = materialize(counted.join(several, "h", "left_semi"), "line-members")
+    leaders = members.groupBy("h").agg(F.max(F.struct("n", "key"))["key"].alias("leader"))
+    return members.join(leaders, "h").select("h", "key", "leader")
+
+
 def line_components(docs: DataFrame, shingle: int = 7, bands: int = 11, rows: int = 4, threshold: float = 0.8):
     """(occurrences (doc_id, line_no, key), components (id, root) of the keys that have a link)."""
     rows_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = materialize(_scan(rows_of, shingle, bands, rows), "lines")
-    # dealt out by bucket once; a key's rows in a bucket count the chunks that hold the line
-    entries = lines.where("bands IS NOT NULL AND size(bands) > 0").select(F.explode("bands").alias("h"), "key").repartition("h")
-    same, bucket = Window.partitionBy("h", "key"), Window.partitionBy("h")
-    # most buckets hold one line only; they go before the wider windows
-    several = entries.withColumns({"lo": F.min("key").over(bucket), "hi": F.max("key").over(bucket)}).where("lo <> hi").select("h", "key")
-    members = (several.withColumns({"n": F.count("key").over(same), "i": F.row_number().over(same.orderBy("key"))}).where("i = 1")
-               .withColumn("leader", F.max(F.struct("n", "key")).over(bucket)["key"]))
-    shared = materialize(members.select("h", "key", "leader"), "line-buckets")
+    shared = materialize(_buckets(lines), "line-buckets")
     texts = materialize(_texts(rows_of, shared.select("key").distinct()), "line-texts")
     stars = shared.where("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
     sims = materialize(_similarities(stars, texts, shingle), "line-links")

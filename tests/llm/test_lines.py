@@ -89,3 +89,18 @@ def test_recall_of_the_banding(j):
         assert lines.jaccard(base, other, 7) >= j - 0.06
         hit += (s[0] == s[1]).any()
     assert hit >= 0.95 * n
+
+
+def test_no_bucket_is_numbered_as_one_group(spark):
+    keys = [bytes([i]) * 16 for i in range(30)]
+    entries = [(k, [7]) for k in keys] + [(keys[4], [7])] * 2 + [(keys[0], [8]), (keys[0], [8]), (keys[1], [9, 10]), (keys[2], [9]), (keys[3], None), (keys[3], [])]
+    got = lines._buckets(spark.createDataFrame(entries, "key binary, bands array<long>"))
+    assert sorted((r.h, bytes(r.key), bytes(r.leader)) for r in got.collect()) == [(7, k, keys[4]) for k in keys] + [(9, k, keys[2]) for k in keys[1:3]]
+    label = spark.createDataFrame([(7, k, k if i % 3 else keys[0], i % 3 > 0, 0.9) for i, k in enumerate(keys)], "h long, key binary, root binary, stray boolean, sim double")
+    profiles = spark.createDataFrame([(k, 10, b"\x01" * 128) for k in keys], "key binary, size int, bits binary")
+    cross = lines._cross_candidates(label, profiles, 0.8, block=2)  # many cells
+    root = {k: k if i % 3 else keys[0] for i, k in enumerate(keys)}
+    pairs = [(bytes(r.a), bytes(r.b)) for r in cross.collect()]
+    assert len(pairs) == len(set(pairs)) and {frozenset(p) for p in pairs} == {frozenset((a, b)) for a in keys for b in keys if root[a] != root[b]}
+    for df in (got, cross):
+        assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
