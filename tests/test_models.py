@@ -93,3 +93,16 @@ def test_kept_rounds_end_at_the_minimum(panel, task, label):
         assert abs(mse - curve[kept - 1]) < 1e-9
     else:
         assert ready.where("prediction = target_regime").count() > 0.5 * val.count()
+
+
+def test_registered_boosted_trees_grow_until_patience_ends_them(panel, monkeypatch):
+    asked = []
+
+    def boosted(train, val, task, label, max_iter=1000, *rest):
+        asked.append(max_iter)
+        return [None]
+    monkeypatch.setattr(MD, "fit_boosted", boosted)
+    from ripplet.operators import mixture
+    MD.fit_gbt(panel, "regression", "target_vol")
+    mixture._expert(panel, 1)
+    assert asked == [1000, 1000]
