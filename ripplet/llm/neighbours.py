@@ -14,8 +14,10 @@ with the bound found there, the blocks whose box the stopping test does not rule
 Equal vectors are one point that carries its k + 1 smallest ids (others can never be among k answers), so a third of
 all rows holding one vector is one point; equal query vectors are searched once.
 
-Vectors that are null, zero, or hold null or non-finite components, rows without an id, and vectors whose length is not
-the most common one (ties: the shorter) take no part.  Rows that repeat an id count once, with their smallest vector.
+Vectors that are null, zero, or hold null or non-finite components, and rows without an id take no part.  Vectors of
+different lengths have no cosine, so every length is a class of its own, with its own projection, splits and blocks.  An
+id that repeats with different vectors keeps them all: as a candidate it counts with the nearest, and as a query it asks
+with each and every answer has its best score; equal rows count once.
 """
 
 from __future__ import annotations
@@ -133,6 +135,7 @@ def search_block(vectors, projected, ids, q, q_projected, bound, k: int, quantil
     member = np.stack([np.concatenate((c, np.full(width - len(c), c[0]))) for c in cells])
     real = np.stack([np.arange(width) < len(c) for c in cells])
     norm = np.sqrt((vectors * vectors).sum(axis=1))
+    twice = len(np.unique(ids[ids >= 0])) < np.count_nonzero(ids >= 0)  # some id has several vectors
     found = []
     for s in range(0, len(q), chunk):
         qv, qp = q[s:s + chunk], q_projected[s:s + chunk]
@@ -156,6 +159,12 @@ def search_block(vectors, projected, ids, q, q_projected, bound, k: int, quantil
             score[these < 0] = -np.inf
             score = np.concatenate((best_score[live], score), axis=1)
             these = np.concatenate((best_id[live], np.where(np.isneginf(score[:, k:]), np.iinfo(np.int64).max, these)), axis=1)
+            if twice:  # the best of each id counts
+                order_by_id = np.lexsort((-score, these), axis=1)
+                score, these = np.take_along_axis(score, order_by_id, 1), np.take_along_axis(these, order_by_id, 1)
+                again = np.zeros(these.shape, bool)
+                again[:, 1:] = these[:, 1:] == these[:, :-1]
+                score[again], these[again] = -np.inf, np.iinfo(np.int64).max
             top = np.lexsort((these, -score), axis=1)[:, :k]
             best_score[live], best_id[live] = np.take_along_axis(score, top, 1), np.take_along_axis(these, top, 1)
             limit[live] = np.minimum(limit[live], 2 - 2 * best_score[live, k - 1])
@@ -170,9 +179,7 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()
                       & F.forall("v", lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(F.coalesce(x, F.lit(0.0))))
                       & F.exists("v", lambda x: x != 0))
-    common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = rows.where(F.size("v") == (common["n"] if common else 0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.distinct()
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding", m: int = 8,
@@ -187,30 +194,40 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, id_column: str
     few = (rows.withColumn("n", F.row_number().over(salted)).where(F.col("n") <= k + 1)
            .withColumn("n", F.row_number().over(whole)).where(F.col("n") <= k + 1))
     points = few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    head = rows.select("v").first()
-    if head is None:
-        return empty
-    dim = len(head["v"])
-    matrix = projection(dim, m)
 
     def project(batches):
         for pdf in batches:
             if len(pdf):
-                pdf["p"] = list(unit(_matrix(pdf["v"])) @ matrix)
+                sizes, out = pdf["v"].map(len).to_numpy(), np.empty((len(pdf), m))
+                for dim in np.unique(sizes):
+                    at = np.flatnonzero(sizes == dim)
+                    out[at] = unit(_matrix(pdf["v"].iloc[at])) @ projection(int(dim), m)
+                pdf["p"] = list(out)
                 yield pdf
     points = materialize(points.mapInPandas(project, "v array<double>, ids array<long>, p array<double>"), "ann-points")
-    total = points.count()
-    first = points.select("p").orderBy(F.xxhash64(F.element_at("ids", 1)), F.element_at("ids", 1)).limit(sample).toPandas()
-    splits = Splits(_matrix(first["p"]), min(4096, -(-total // leaf_rows)))
+    totals = {r.dim: r.n for r in points.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy("dim").collect()}  # a row for each length
+    if not totals:
+        return empty
+    splits, offset, leaves = {}, {}, 0
+    for dim, total in totals.items():
+        some = points.where(F.size("v") == dim).select("p").orderBy(F.xxhash64(F.element_at("ids", 1)), F.element_at("ids", 1)).limit(sample)
+        # one leaf needs no sample
+        splits[dim] = Splits(_matrix(some.toPandas()["p"]) if total > leaf_rows else np.zeros((0, m)), min(4096, -(-total // leaf_rows)))
+        offset[dim], leaves = leaves, leaves + splits[dim].leaves
+    dim_of = np.repeat(list(offset), [splits[dim].leaves for dim in offset])  # by leaf
 
     def route(batches):
         for pdf in batches:
             if len(pdf):
-                pdf["leaf"] = splits.route(_matrix(pdf["p"]))
+                sizes, out = pdf["v"].map(len).to_numpy(), np.empty(len(pdf), np.int32)
+                for dim in np.unique(sizes).tolist():
+                    at = np.flatnonzero(sizes == dim)
+                    out[at] = offset[dim] + splits[dim].route(_matrix(pdf["p"].iloc[at]))
+                pdf["leaf"] = out
                 yield pdf
     routed = points.mapInPandas(route, "v array<double>, ids array<long>, p array<double>, leaf int")
     stats = (routed.groupBy("leaf").agg(F.count("*").alias("n"), *[F.min(F.col("p")[d]).alias(f"lo{d}") for d in range(m)],
-                                        *[F.max(F.col("p")[d]).alias(f"hi{d}") for d in range(m)]).orderBy("leaf").toPandas())  # at most 4,096 rows
+                                        *[F.max(F.col("p")[d]).alias(f"hi{d}") for d in range(m)]).orderBy("leaf").toPandas())  # at most 4,096 rows a length
     parts = {int(a): max(1, -(-int(n) // leaf_rows)) for a, n in zip(stats["leaf"], stats["n"])}
     share = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]) if len(parts) <= 64 else None
     shares = spark.createDataFrame(list(parts.items()), "leaf int, parts int")
@@ -221,7 +238,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, id_column: str
     leaf_of = stats["leaf"].to_numpy()
     quantile = chi2_quantile(confidence, m)
 
-    queries = rows.where(is_query).groupBy("v").agg(F.min("vec_id").alias("q")).select("q", "v")
+    queries = rows.where(is_query).select("v").distinct().select(F.monotonically_increasing_id().alias("q"), "v")  # kept by the write
     queries = queries.mapInPandas(project, "q long, v array<double>, p array<double>").mapInPandas(route, "q long, v array<double>, p array<double>, leaf int")
     queries = materialize(queries.withColumn("bound", F.lit(float("inf"))), "ann-queries")
 
@@ -232,15 +249,12 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, id_column: str
         for i, x in enumerate(block["ids"]):
             ids[i, :len(x)] = x
         valid = np.array([len(x) for x in block["ids"]])[:, None] > np.arange(k + 1)
-        # ids may be any long: search by place, and translate at the end
-        place = np.where(valid, np.arange(ids.size).reshape(ids.shape), -1)
-        order = np.argsort(ids[valid], kind="stable")
-        number = np.empty(len(order), np.int64)
-        number[order] = np.arange(len(order))
-        place[valid] = number
+        # ids may be any long: search by their rank in the block, and translate at the end
+        place = np.full(ids.shape, -1, np.int64)
+        known, place[valid] = np.unique(ids[valid], return_inverse=True)
         q, got, score = search_block(_matrix(block["v"]), _matrix(block["p"]), place, _matrix(asked["v"]), _matrix(asked["p"]),
                                      asked["bound"].to_numpy(np.float64), k + 1, quantile, bucket)
-        return pd.DataFrame({"q": asked["q"].to_numpy()[q], "vec_id": ids[valid][order][got], "score": score})
+        return pd.DataFrame({"q": asked["q"].to_numpy()[q], "vec_id": known[got], "score": score})
 
     def run(asked):
         """Queries (q, v, p, leaf, bound) against all parts of their leaf."""
@@ -248,20 +262,21 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, id_column: str
         return blocks.groupBy("leaf", "part").cogroup(dealt.groupBy("leaf", "part")).applyInPandas(search, "q long, vec_id long, score double")
 
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    home = materialize(run(queries).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1), "ann-home")
+    home = materialize(run(queries).groupBy("q", "vec_id").agg(F.max("score").alias("score")).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1), "ann-home")
     bound = home.groupBy("q").agg(F.max(F.when(F.col("n") == k + 1, 2 - 2 * F.col("score"))).alias("found"))
 
     def reach(batches):
         for pdf in batches:
             if len(pdf):
                 near = box_distance(_matrix(pdf["p"]), low, high) <= pdf["bound"].to_numpy(np.float64)[:, None] * quantile * (1 + 1e-9) + 1e-12
-                near &= pdf["leaf"].to_numpy()[:, None] != leaf_of[None, :]
+                near &= (pdf["leaf"].to_numpy()[:, None] != leaf_of[None, :]) & (pdf["v"].map(len).to_numpy()[:, None] == dim_of[leaf_of][None, :])
                 i, j = np.nonzero(near)
                 yield pdf.iloc[i].assign(leaf=leaf_of[j].astype(np.int32))
     asked = queries.drop("bound").join(bound, "q", "left").withColumn("bound", F.coalesce("found", F.lit(float("inf")))).select("q", "v", "p", "leaf", "bound")
     away = run(asked.mapInPandas(reach, "q long, v array<double>, p array<double>, leaf int, bound double"))
-    merged = home.select("q", "vec_id", "score").unionByName(away).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+    merged = home.select("q", "vec_id", "score").unionByName(away).groupBy("q", "vec_id").agg(F.max("score").alias("score")).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     each = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v").join(queries.select("q", "v"), "v").select("query_id", "q")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (each.join(merged.select("q", "vec_id", "score"), "q").where("query_id <> vec_id")
+            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))

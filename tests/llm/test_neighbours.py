@@ -69,3 +69,19 @@ def test_few_and_none(spark):
     assert [(r.query_id, r.rank, r.vec_id) for r in neighbours.nearest_neighbours(few, "vec_id % 50 = 0").collect()] == [(0, 1, 7)]
     assert neighbours.nearest_neighbours(few.limit(0), "vec_id % 50 = 0").count() == 0
     assert abs(neighbours.chi2_quantile(0.95, 8) - 15.5073) < 1e-3
+
+
+def test_lengths_are_classes_and_repeated_ids_keep_their_vectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=3 + i % 3).tolist()) for i in range(300)]
+    rows += [(i, rng.normal(size=3).tolist()) for i in (0, 0, 50, 7, 7, 7, 7, 7, 7, 7, 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    cos = {}
+    for a, x in rows:
+        for b, y in rows:
+            if a % 50 == 0 and a != b and len(x) == len(y):
+                x_, y_ = np.array(x), np.array(y)
+                cos[a, b] = max(cos.get((a, b), -2), float(x_ @ y_ / np.sqrt((x_ @ x_) * (y_ @ y_))))
+    want = {a: sorted(((b, s) for (q, b), s in cos.items() if q == a), key=lambda t: (-t[1], t[0]))[:5] for a in range(0, 300, 50)}
+    check(neighbours.nearest_neighbours(df, "vec_id % 50 = 0"), want, 0.95)
+    check(neighbours.nearest_neighbours(df, "vec_id % 50 = 0", leaf_rows=40), want)
