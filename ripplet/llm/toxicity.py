@@ -1,8 +1,8 @@
 """Toxicity by maximum-scoring segments of token log-odds, calibrated with extreme-value statistics.
 
 1. Features of a token (a run of letters, lower-cased) are the word and its prefixes of 4 to 7 letters.  Their counts
-   in toxic and other labelled documents (different contexts, so that copies of a passage count once) come from at most ``max_labelled`` training rows (the smallest hashes of
-   doc_id; the only sample), and the prior of each feature from its count over ALL documents.
+   in toxic and other labelled documents (different contexts, so that copies of a passage count once) come from at most ``max_labelled`` training rows (the smallest hashes
+   of doc_id, equal rows of a doc_id once; the only sample), and the prior of each feature from its count over ALL documents.
 2. log-odds with an informative Dirichlet prior (mass ``prior_mass`` spread as the corpus counts, plus 1/2) and their
    z-score keep the features that
    speak for toxicity; a token scores its best feature, any other token the (negative) log-odds of carrying none.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -29,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ripplet.llm.common import fresh_name
+from ripplet.llm.common import BitTable, fresh_name
 from ripplet.session import materialize
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = range(4, 8)
 CACHE_ENTRIES = 300_000
+FILTER_BITS = 22
 PASSAGES = "score double, passages array<struct<start:int,stop:int,score:double>>"
 
 
@@ -118,23 +120,28 @@ def score_column(model, text_col):
     return score(text_col.cast("string"))
 
 
-def _corpus_counts(docs: DataFrame, keep) -> dict[str, int]:
-    """Occurrences over all documents of the features in the broadcast set ``keep``; '' counts all tokens.  Added up
-    inside each batch, so the shuffle and the result are bounded by the number of features."""
+def _corpus_counts(docs: DataFrame, bits) -> DataFrame:
+    """(feature, n): occurrences over all documents of the features that the broadcast bit table lets pass; '' counts all
+    tokens.  Added up inside each batch, so the shuffle and the result are bounded by the number of features."""
     def run(batches):
+        table, passing = bits.value, {}
         for b in batches:
             words: Counter = Counter()
             for t in b.column(0).to_pylist():
                 if t:
                     words.update(TOKEN.findall(t.lower()))
             rows: Counter = Counter({"": words.total()})
+            if len(passing) > CACHE_ENTRIES:
+                passing.clear()
             for w, n in words.items():
-                for f in features(w):
-                    if f in keep.value:
-                        rows[f] += n
+                known = passing.get(w)
+                if known is None:
+                    at = [(f, zlib.crc32(f.encode("utf-8", "surrogatepass")) & ((1 << FILTER_BITS) - 1)) for f in features(w)]
+                    known = passing[w] = [f for f, x in at if table[x >> 5] >> (x & 31) & 1]
+                for f in known:
+                    rows[f] += n
             yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.string()), pa.array(list(rows.values()), pa.int64())], ["feature", "n"])
-    counted = docs.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    return {r.feature: r.n for r in counted.collect()}
+    return docs.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _class_counts(sample: DataFrame) -> DataFrame:
@@ -157,12 +164,15 @@ def _class_counts(sample: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_features: int = 20_000, min_count: int = 6,
         min_z: float = 3.0, prior_mass: float = 1000.0) -> ToxicityModel:
     """Model from training labels (crc32 of doc_id as text, modulo 5, not 0) and the counts of the whole corpus."""
-    spark = docs.sparkSession
     train = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL AND crc32(CAST(CAST(doc_id AS BIGINT) AS STRING)) % 5 <> 0")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))  # bounds what is broadcast
+    train = materialize(train, "toxic-labels")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = materialize(rows.join(F.broadcast(train), "doc_id").select("text", "toxic"), "toxic-sample")
+    # equal rows of a doc_id count once, and a doc_id with many texts does not take the sample beyond its bound
+    named = rows.withColumn("t", F.xxhash64("text")).join(F.broadcast(train), "doc_id")
+    chosen = named.select("doc_id", "t").distinct().orderBy(F.xxhash64("doc_id", "t"), "doc_id", "t").limit(max_labelled)
+    sample = materialize(named.join(F.broadcast(chosen), ["doc_id", "t"], "left_semi").dropDuplicates(["doc_id", "t"]).select("text", "toxic"), "toxic-sample")
     counted = materialize(_class_counts(sample), "toxic-contexts")
     totals = {r.toxic: r.n for r in counted.where("feature = ''").collect()}
     if not totals.get(0) or not totals.get(1):
@@ -170,14 +180,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_feat
     by_class = (counted.where("feature <> ''").groupBy("feature")
                 .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
                 .where((F.col("bad") >= min_count) & (F.col("bad") * totals[0] > 2 * F.col("good") * totals[1])))
-    seen = {r.feature: (r.bad, r.good) for r in by_class.orderBy(F.desc("bad"), "feature").limit(max_features).collect()}
-    keep = spark.sparkContext.broadcast(frozenset(seen))
-    corpus = _corpus_counts(rows, keep)
-    n_corpus = corpus.pop("")
+    by_class = materialize(by_class, "toxic-features")
+    mask = F.lit((1 << FILTER_BITS) - 1)
+    bits = BitTable.of(by_class.select(F.crc32(F.col("feature").cast("binary")).bitwiseAND(mask).alias("at")), FILTER_BITS)
+    corpus = materialize(_corpus_counts(rows, bits.table), "toxic-corpus")
+    n_corpus = corpus.where("feature = ''").first()["n"]
     n1, n0 = totals[1] + prior_mass, totals[0] + prior_mass
+    # the test comes before the limit, which bounds the model that is broadcast
+    tested = by_class.join(corpus, "feature", "left").select("feature", "bad", "good", F.coalesce("n", F.lit(0)).alias("n"))
+    alpha = F.lit(float(prior_mass)) * F.col("n") / F.lit(n_corpus) + 0.5
+    x, y = F.col("bad") + alpha, F.col("good") + alpha
+    z = (F.log(x / (F.lit(n1) - x)) - F.log(y / (F.lit(n0) - y))) / F.sqrt(1 / x + 1 / y)
+    tested = tested.where(z >= min_z - 1e-9).orderBy(F.desc("bad"), "feature").limit(max_features).collect()
     weights = {}
-    for f, (bad, good) in seen.items():
-        alpha = prior_mass * corpus.get(f, 0) / n_corpus + 0.5
+    for f, bad, good, n in tested:
+        alpha = prior_mass * n / n_corpus + 0.5
         bad, good = bad + alpha, good + alpha
         delta = math.log(bad / (n1 - bad)) - math.log(good / (n0 - good))
         if delta > 0 and delta / math.sqrt(1 / bad + 1 / good) >= min_z:
@@ -221,17 +238,20 @@ def _calibrate(model: ToxicityModel, sample: DataFrame) -> ToxicityModel:
         for b in batches:
             got = [first.value.evidence(t, cache)[:2] for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([x for x, _ in got], pa.float64()), pa.array([d for _, d in got], pa.float64())], ["toxic", "x", "d"])
-    data = sample.mapInArrow(evidence, "toxic int, x double, d double").toPandas()
+    data = sample.mapInArrow(evidence, "toxic int, x double, d double").groupBy("toxic", "x", "d").agg(F.count("*").alias("n")).toPandas()
+    data = data.sort_values(["toxic", "x", "d"])
     some = data[(data["toxic"] == 0) & (data["d"] > 0)]
-    model.log_k = float(some["x"].mean() - np.euler_gamma) if len(some) >= 30 else 0.0
+    model.log_k = float(np.average(some["x"], weights=some["n"]) - np.euler_gamma) if some["n"].sum() >= 30 else 0.0
     x = np.column_stack([np.ones(len(data)), data["x"] - model.log_k, data["d"]])
     y = data["toxic"].to_numpy(float)
-    scale = np.concatenate(([1.0], np.maximum(x[:, 1:].std(axis=0), 1e-9)))
-    z, w = x / scale, np.zeros(3)
+    n = data["n"].to_numpy(float)
+    spread = np.sqrt(np.average((x[:, 1:] - np.average(x[:, 1:], axis=0, weights=n)) ** 2, axis=0, weights=n))
+    scale = np.concatenate(([1.0], np.maximum(spread, 1e-9)))
+    z, w, total = x / scale, np.zeros(3), n.sum()
     for _ in range(50):  # Newton steps with a small ridge, so that separable classes have a finite fit
         q = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (q * (1 - q))[:, None]).T @ z + 1e-3 * len(z) * np.diag([0, 1, 1]) / 10 + 1e-9 * np.eye(3),
-                               z.T @ (y - q) - 1e-3 * len(z) / 10 * np.array([0, 1, 1]) * w)
+        step = np.linalg.solve((z * (n * q * (1 - q))[:, None]).T @ z + 1e-3 * total * np.diag([0, 1, 1]) / 10 + 1e-9 * np.eye(3),
+                               z.T @ (n * (y - q)) - 1e-3 * total / 10 * np.array([0, 1, 1]) * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break

@@ -67,3 +67,18 @@ def test_edges(spark):
         assert all(0 <= r[name].score <= 1 for r in out.collect())
     assert toxicity.score_documents(docs.limit(0), labels).count() == 0
     assert toxicity.fit(docs, labels.limit(0)) == toxicity.ToxicityModel()
+
+
+def test_sample_is_bounded_in_rows_and_the_z_test_comes_before_the_limit(spark, monkeypatch):
+    docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
+    full = toxicity.fit(docs, labels).weights
+    assert full and toxicity.fit(docs, labels, max_features=len(full)).weights == full
+    seen = []
+    monkeypatch.setattr(toxicity, "_calibrate", lambda model, sample: seen.append(sample.count()) or model)
+    one = docs.where("text <> ''").join(labels.where("toxic = 1 AND crc32(CAST(doc_id AS STRING)) % 5 <> 0"), "doc_id").limit(1).select("doc_id", "text")
+    many = docs.select("doc_id", "text").union(one.selectExpr("doc_id", "explode(sequence(1, 5000)) AS i", "text").selectExpr("doc_id", "text || ' w' || i % 3000 AS text"))
+    toxicity.fit(many, labels, max_labelled=600)
+    plain = docs.select("doc_id", "text").union(docs.select("doc_id", "text"))
+    toxicity.fit(plain, labels)
+    toxicity.fit(docs, labels)
+    assert seen[0] <= 600 and seen[1] == seen[2] and len(seen) == 3
