@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplet.llm import decontam, lines, neighbours, pages, secrets, simhash, suffix, toxicity, urls
+from ripplet.llm import decontam, exact, lines, neighbours, pages, phrases, resample, secrets, simhash, suffix, toxicity, urls
 from ripplet.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -144,3 +144,71 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.encode_decode(read_table(spark, sf_dir, "documents"), piece_model_path())
     return coded.select("doc_id", F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+OP11_SQL = r"""
+WITH rule AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, step: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+own AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+aim AS (SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+occ AS (SELECT rid, word, count(*) AS c FROM (SELECT rid, unnest(w) AS word FROM own) GROUP BY rid, word),
+vocab AS (SELECT word, list_transform(range(octet_length(encode(word))), lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT)) AS b
+          FROM (SELECT word FROM occ UNION SELECT word FROM aim)),
+bk AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]))) % 10000 AS bucket FROM vocab, rule),
+s AS (SELECT bucket, sum(c) AS s FROM occ JOIN bk USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM aim JOIN bk USING (word) GROUP BY bucket),
+tot AS (SELECT CAST(coalesce((SELECT sum(s) FROM s), 0) AS DOUBLE) AS bs, CAST(coalesce((SELECT sum(t) FROM t), 0) AS DOUBLE) AS bt),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1e0) * (bs + 10000) / ((coalesce(s, 0) + 1e0) * (bt + 10000)))) AS BIGINT) AS g
+         FROM (SELECT DISTINCT bucket FROM bk) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket) CROSS JOIN tot),
+wt AS (SELECT rid, sum(c) AS n, sum(c * g) AS total FROM occ JOIN bk USING (word) JOIN gain USING (bucket) GROUP BY rid),
+sc AS (SELECT own.rid, doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+              CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight,
+              CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM own LEFT JOIN wt USING (rid)),
+full_score AS (SELECT *, weight + CAST(floor(-1000e0 * ln(-ln((h + 5e-1) / 4294967296e0))) AS BIGINT) AS score FROM sc),
+ranked AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER () AS able FROM full_score WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * able // 100 THEN place END AS rank FROM full_score LEFT JOIN ranked USING (rid)"""
+
+
+@register("op11_importance_resample", OP11_SQL)
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.importance_resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                         longest=1, buckets=10_000, least_words=20, percent=10, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP12_SQL = r"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM texts),
+spots AS (SELECT lang, w, k, unnest(range(len(w) - k + 1)) AS i FROM pieces, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(list_slice(w, i + 1, i + k), ' ') AS phrase, count(*) AS f FROM spots GROUP BY ALL),
+tot AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k >= 2 AND f >= 100),
+kept AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand d WHERE d.lang = c.lang AND d.k > c.k
+         AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.f >= 100 * c.f)),
+cuts AS (SELECT lang, k, phrase, f AS a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM kept),
+scored AS (SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, n, (CAST(1000 AS HUGEINT) * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+           FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(w, 1, cut), ' ') AND l.k = cut
+           JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(w, cut + 1, c.k), ' ') AND r.k = c.k - cut JOIN tot ON tot.lang = c.lang),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS pick FROM scored) WHERE pick = 1)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best) WHERE rank <= 2000"""
+
+
+@register("op12_collocations", OP12_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"), longest=5, least=100, inside_percent=100, top=2000)
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
+g AS (SELECT *, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+             row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, rid) AS place FROM t)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM g"""
+
+
+@register("op13_exact_dedup", OP13_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(read_table(spark, sf_dir, "documents"))
