@@ -8,8 +8,9 @@ and last k - 1 words do, so occurrences without that are skipped (a bit table of
 their number; a false positive only lets a rare phrase be counted, and the exact sums drop it).  Each task numbers its
 words and counts phrases in a trie: hash containers keyed by the rest of the phrase hang below a shallow trie of word ids; a
 container that outgrows ``BURST`` bursts into a trie node.  When a task's tries pass ``ENTRIES`` phrases, the largest
-subtrees leave whole, as sorted runs; Spark deals the runs by language and phrase prefix, and each prefix partition adds
-equal phrases up.  A hot phrase reaches the shuffle once per run, not once per occurrence.
+subtrees leave whole, as sorted compressed runs, one for each prefix partition (a hash of the first two words, so a hot
+first word is many partitions); Spark deals the runs by language and partition, where equal phrases are added up.  A hot
+phrase reaches the shuffle once per run, not once per occurrence.
 
 Defined results: null or empty texts and texts without words count nothing; an empty table gives no rows; a very long
 text is read in parts that overlap by k - 1 words, never cut to a prefix; repeated rows count each time; other columns,
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,9 +32,10 @@ from ripplet.llm.common import BitTable
 from ripplet.llm.words import byte_class, cut_long, extend_hash, hash_words, number_words, word_spans
 from ripplet.session import materialize
 
-WINDOW_BYTES = 1 << 21
+WINDOW_BYTES = 1 << 22
 BURST = 2048
-ENTRIES = 400_000
+ENTRIES = 600_000
+PARTITION_BYTES = 1 << 23  # text per prefix partition; its runs hold a few times that at most, unpacked
 WORD_LIMIT = 500_000  # distinct words a task remembers before all its tries leave
 TABLE_BITS = 29  # largest bit table: 64 MB
 
@@ -51,63 +54,77 @@ class HatTrie:
     """Counts of fixed-length phrases; a key is the word ids, 4 bytes each."""
 
     def __init__(self, burst: int = BURST):
-        self.root, self.burst, self.size = Container(), burst, 0
-
-    def add(self, key: bytes, n: int) -> None:
-        node, parent, depth = self.root, None, 0
-        while type(node) is not Container:
-            parent, head = node, key[depth:depth + _ID]
-            node = parent.get(head)
-            if node is None:
-                node = parent[head] = Container()
-            depth += _ID
-        rest = key[depth:]
-        if rest in node:
-            node[rest] += n
+        self.root, self.burst = Container(), burst
+        self.sizes: dict[bytes, int] = {}  # phrases below each first word
+        self.size = 0
+
+    def add(self, head: bytes, rests: list[bytes], counts: list[int]) -> None:
+        """Phrases that begin with the word ``head``, by the rest of their keys."""
+        if type(self.root) is Container:
+            before = len(self.root)
+            self._fill(self.root, [head + r for r in rests], counts)
+            self.size += len(self.root) - before
+            self.sizes[head] = self.sizes.get(head, 0) + len(self.root) - before
+            if len(self.root) > self.burst and rests[0]:
+                self.root = self._burst(self.root)
             return
-        node[rest] = n
-        self.size += 1
-        if len(node) > self.burst and len(rest) > _ID:
-            grown: dict = {}
-            for k, v in node.items():
-                grown.setdefault(k[:_ID], Container())[k[_ID:]] = v
-            if parent is None:
-                self.root = grown
-            else:
-                parent[key[depth - _ID:depth]] = grown
+        added = self._insert(self.root, head, rests, counts)
+        self.sizes[head] = self.sizes.get(head, 0) + added
+        self.size += added
+
+    def _insert(self, parent: dict, head: bytes, rests: list[bytes], counts: list[int]) -> int:
+        node = parent.get(head)
+        if node is None:
+            node = parent[head] = Container()
+        if type(node) is not Container:
+            return sum(self._insert(node, r[:_ID], [r[_ID:]], [c]) for r, c in zip(rests, counts))
+        before = len(node)
+        self._fill(node, rests, counts)
+        if len(node) > self.burst and len(rests[0]) > _ID:
+            parent[head] = self._burst(node)
+        return len(node) - before
 
     @staticmethod
-    def _walk(node, path: bytes) -> Iterator[tuple[bytes, int]]:
-        stack = [(path, node)]
-        while stack:
-            path, node = stack.pop()
-            if type(node) is Container:
-                for rest, n in node.items():
-                    yield path + rest, n
-            else:
-                stack += [(path + head, child) for head, child in node.items()]
+    def _fill(node: Container, rests: list[bytes], counts: list[int]) -> None:
+        get = node.get
+        for r, c in zip(rests, counts):
+            node[r] = get(r, 0) + c
 
-    def take(self, share: float = 1.0) -> Iterator[list[tuple[bytes, int]]]:
-        """Whole subtrees below the root, largest first, until ``share`` of the phrases has left."""
+    @staticmethod
+    def _burst(node: Container) -> dict:
+        grown: dict = {}
+        for k, v in node.items():
+            grown.setdefault(k[:_ID], Container())[k[_ID:]] = v
+        return grown
+
+    def take(self, share: float = 1.0) -> tuple[bytes, list[int]]:
+        """(keys one after another, counts) of whole subtrees below the root, largest first, until ``share`` of the phrases has left."""
         if type(self.root) is Container or share >= 1:
-            root, self.root, size, self.size = self.root, Container(), self.size, 0
-            if size:
-                yield list(self._walk(root, b""))
-            return
-        sizes = {head: sum(1 for _ in self._walk(child, head)) for head, child in self.root.items()}
-        goal = self.size * (1 - share)
-        for head in sorted(sizes, key=sizes.get, reverse=True):
-            if self.size <= goal:
-                return
-            yield list(self._walk(self.root.pop(head), head))
-            self.size -= sizes[head]
+            roots = [(b"", self.root)]
+            self.root, self.sizes, self.size = Container(), {}, 0
+        else:
+            goal, roots = self.size * (1 - share), []
+            for head in sorted(self.sizes, key=self.sizes.get, reverse=True):
+                if self.size <= goal:
+                    break
+                self.size -= self.sizes.pop(head)
+                roots.append((head, self.root.pop(head)))
+        keys, counts = [], []
+        while roots:
+            path, node = roots.pop()
+            if type(node) is Container:
+                keys += [path + rest for rest in node]
+                counts += node.values()
+            else:
+                roots += [(path + head, child) for head, child in node.items()]
+        return b"".join(keys), counts
 
 
 class _Counter:
     """The tries of one task, one for each language, and the words they number."""
 
-    def __init__(self, length: int, limit: int):
-        self.length, self.limit = length, limit
+    def __init__(self, length: int, limit: int, partitions: int):
+        self.length, self.limit, self.partitions = length, limit, partitions
         self.tries: dict[str, HatTrie] = {}
         self.ids: dict[bytes, int] = {}
         self.names: list[bytes] = []
@@ -123,34 +140,78 @@ class _Counter:
                 known = self.ids[w] = len(self.names)
                 self.names.append(w)
             own[i] = known
-        raw, width = own[phrases].tobytes(), _ID * self.length
+        phrases = own[phrases]
+        order = np.argsort(phrases[:, 0], kind="stable")
+        phrases, n = phrases[order], n[order].tolist()
+        cuts = np.flatnonzero(np.concatenate(([True], phrases[1:, 0] != phrases[:-1, 0], [True]))).tolist()
+        raw, width = phrases.tobytes(), _ID * self.length
+        rests = [raw[i + _ID:i + width] for i in range(0, len(raw), width)]
         trie = self.tries.get(lang)
         if trie is None:
             trie = self.tries[lang] = HatTrie()
-        add = trie.add
-        for i, c in enumerate(n.tolist()):
-            add(raw[i * width:(i + 1) * width], c)
-            if trie.size >= self.limit:
-                yield from self.spill(0.5)
+        for x, y in zip(cuts, cuts[1:]):
+            trie.add(raw[x * width:x * width + _ID], rests[x:y], n[x:y])
         if len(self.names) > WORD_LIMIT or sum(t.size for t in self.tries.values()) >= self.limit:
             yield from self.spill(1.0 if len(self.names) > WORD_LIMIT else 0.5)
 
     def spill(self, share: float) -> Iterator[pa.RecordBatch]:
+        """What leaves, as one sorted run for each prefix partition."""
+        flat = np.frombuffer(b"\n".join(self.names), np.uint8)
+        hashes = hash_words(flat, *word_spans(flat, _IS_WORD)) if self.names else np.zeros(0, np.uint64)
+        names = pa.array(self.names, pa.large_binary())
         for lang, trie in self.tries.items():
-            for run in trie.take(share):
-                names = self.names
-                texts = [b" ".join([names[x] for x in np.frombuffer(key, ">u4").tolist()]) for key, _ in run]
-                order = sorted(range(len(run)), key=texts.__getitem__)
-                for at in range(0, len(order), 50_000):
-                    part = order[at:at + 50_000]
-                    yield _runs(lang, [texts[i] for i in part], [run[i][1] for i in part])
+            keys, counts = trie.take(share)
+            if not counts:
+                continue
+            ids = np.frombuffer(keys, ">u4").reshape(-1, self.length).astype(np.int64)
+            prefix = hashes[ids[:, 0]]
+            if self.length > 1:
+                prefix = extend_hash(prefix, hashes[ids[:, 1]])
+            part = (prefix % np.uint64(self.partitions)).astype(np.int32)
+            words = [names.take(pa.array(ids[:, i])) for i in range(self.length)]
+            texts = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if self.length > 1 else words[0]
+            order = pc.sort_indices(pa.table({"part": part, "text": texts}), [("part", "ascending"), ("text", "ascending")])
+            part, texts = part[order.to_numpy()], texts.take(order).to_pylist()
+            n = np.array(counts, np.int64)[order.to_numpy()]
+            cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))).tolist()
+            runs = [pack_run(texts[x:y], n[x:y]) for x, y in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(runs), pa.string()), pa.array(part[cuts[:-1]]), pa.array(runs, pa.binary())],
+                                             ["lang", "part", "run"])
         if share >= 1:
             self.tries, self.ids, self.names = {}, {}, []
 
 
-def _runs(lang: str, phrases: list, n: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                                       pa.array(n, pa.int64())], ["lang", "phrase", "n"])
+def pack_run(phrases: list[bytes], n: np.ndarray) -> bytes:
+    """A sorted run, compressed: sizes, phrases one a line, counts."""
+    small = np.minimum(n, 255).astype(np.uint8)
+    text = b"\n".join(phrases)
+    body = text + small.tobytes() + n[n >= 255].astype("<i8").tobytes()
+    return np.array([len(n), len(text), len(body)], "<u8").tobytes() + pa.compress(body, "zstd", asbytes=True)
+
+
+def unpack_run(blob: bytes) -> tuple[pa.Array, np.ndarray]:
+    rows, text, size = np.frombuffer(blob[:24], "<u8").tolist()
+    body = pa.decompress(blob[24:], size, "zstd", asbytes=True)
+    n = np.frombuffer(body, np.uint8, rows, text).astype(np.int64)
+    n[n == 255] = np.frombuffer(body, "<i8", -1, text + rows)
+    return pa.array(body[:text].split(b"\n"), pa.binary()), n
+
+
+def _merge_runs(least: int):
+    """Group function of a prefix partition: equal phrases of its runs are added up, rare ones go."""
+    def merge(key, group):
+        lang, part = (k.as_py() for k in key)
+        blobs = group["run"].to_pylist()
+        if part < 0:
+            phrase, n = pa.nulls(1, pa.string()), pa.array([sum(int.from_bytes(x, "little") for x in blobs)], pa.int64())
+        else:
+            runs = [unpack_run(x) for x in blobs]
+            table = pa.table({"phrase": pa.chunked_array([p for p, _ in runs]), "n": np.concatenate([n for _, n in runs])})
+            table = table.group_by("phrase").aggregate([("n", "sum")])
+            table = table.filter(pc.greater_equal(table["n_sum"], least)).combine_chunks()
+            phrase, n = table["phrase"].cast(pa.string()), table["n_sum"]
+        return pa.table({"lang": pa.array([lang] * len(n), pa.string()), "phrase": phrase, "n": n})
+    return merge
 
 
 def _lang_seed(lang: str) -> np.uint64:
@@ -233,14 +294,14 @@ def _occurrences(blob: bytes, length: int, seed: np.uint64, table: np.ndarray |
         yield words, number[spot[:, None] + np.arange(length)], n, fresh
 
 
-def count_phrases(docs: DataFrame, length: int, frequent: DataFrame | None = None, entries: int = ENTRIES) -> DataFrame:
-    """(lang, phrase, n): exact counts of the phrases of ``length`` words whose shorter parts are in ``frequent``.  With
-    length 1 a row with a null phrase holds the number of all words."""
+def count_phrases(docs: DataFrame, length: int, least: int, partitions: int, frequent: DataFrame | None = None, entries: int = ENTRIES) -> DataFrame:
+    """(lang, phrase, n): exact counts, ``least`` or more, of the phrases of ``length`` words whose shorter parts are in
+    ``frequent``.  With length 1 a row with a null phrase holds the number of all words."""
     table, bits = (None, 0) if frequent is None else _table_of(frequent, length - 1)
     cast = None if table is None else table.table
 
     def run(batches):
-        counter, totals = _Counter(length, entries), {}
+        counter, totals = _Counter(length, entries, partitions), {}
         bit_table = None if cast is None else cast.value
         for b in batches:
             for lang, blob in _joined_texts(b):
@@ -250,14 +311,12 @@ def count_phrases(docs: DataFrame, length: int, frequent: DataFrame | None = Non
                         yield from counter.count(lang, words, phrases, n)
         yield from counter.spill(1.0)
         if length == 1 and totals:
-            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.nulls(len(totals), pa.string()),
-                                              pa.array(list(totals.values()), pa.int64())], ["lang", "phrase", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array([-1] * len(totals), pa.int32()),
+                                              pa.array([x.to_bytes(8, "little") for x in totals.values()], pa.binary())], ["lang", "part", "run"])
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    runs = texts.mapInArrow(run, "lang string, phrase string, n long")
-    prefix = F.substring_index("phrase", " ", max(2, length - 1))  # the runs of a prefix meet in one partition
-    dealt = runs.withColumn("prefix", prefix).repartition("lang", "prefix")
-    return dealt.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
+    runs = texts.mapInArrow(run, "lang string, part int, run binary")
+    return runs.groupBy("lang", "part").applyInArrow(_merge_runs(least), "lang string, phrase string, n long")
 
 
 def collocations(docs: DataFrame, longest: int = 5, least: int = 100, inside_percent: int = 100, top: int = 2000, entries: int = ENTRIES) -> DataFrame:
@@ -266,10 +325,12 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, inside_per
     Candidates are phrases of 2 to ``longest`` words with a >= ``least`` occurrences; the lowest
     floor(1000 a n / (l r)) over all cuts counts (ties to the shortest first part).  A candidate goes if one longer by a
     word holds it and 100 f(longer) >= inside_percent a (a still longer one implies that one, as counts only fall)."""
-    words = materialize(count_phrases(docs, 1, entries=entries).where(F.col("phrase").isNull() | (F.col("n") >= least)), "phrase-words")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    partitions = max(8, -(-size // PARTITION_BYTES))
+    words = materialize(count_phrases(docs, 1, least, partitions, entries=entries), "phrase-words")
     levels = [words.where("phrase IS NOT NULL")]
     for k in range(2, longest + 1):
-        levels.append(materialize(count_phrases(docs, k, levels[-1], entries).where(F.col("n") >= least).select("lang", "phrase", "n"), f"phrase-{k}"))
+        levels.append(materialize(count_phrases(docs, k, least, partitions, levels[-1], entries), f"phrase-{k}"))
     known = levels[0]
     for x in levels[1:]:
         known = known.unionByName(x)

@@ -79,16 +79,21 @@ def test_trie_bursts_and_gives_whole_subtrees():
     keys = [np.array([rng.randrange(5), rng.randrange(30), rng.randrange(30)], ">u4").tobytes() for _ in range(5000)]
     trie, want = phrases.HatTrie(burst=20), Counter(keys)
     for k in keys:
-        trie.add(k, 1)
+        trie.add(k[:4], [k[4:]], [1])
     assert type(trie.root) is dict and trie.size == len(want)
-    runs = list(trie.take(0.5))
-    left = list(trie.take(1.0))
-    assert 0 < len(runs) < 5 and all(len({k[:4] for k, _ in run}) == 1 for run in runs)
-    assert not {k[:4] for run in runs for k, _ in run} & {k[:4] for run in left for k, _ in run}
-    got = Counter()
-    for run in runs + left:
-        got.update(dict(run))
-    assert got == want and trie.size == 0
+    def entries(taken):
+        raw, counts = taken
+        return Counter({raw[12 * i:12 * i + 12]: c for i, c in enumerate(counts)})
+    run, left = entries(trie.take(0.5)), entries(trie.take(1.0))
+    heads = {k[:4] for k in run}
+    assert 0 < len(heads) < 5 and not heads & {k[:4] for k in left}   # whole subtrees leave
+    assert run + left == want and trie.size == 0
+
+
+def test_runs_round_trip():
+    for texts, n in (([b"a"], [1]), ([b"a b", b"a c d", b"\xc3\xa9"], [255, 3, 1 << 40])):
+        got, counts = phrases.unpack_run(phrases.pack_run(texts, np.array(n, np.int64)))
+        assert got.to_pylist() == texts and counts.tolist() == n
 
 
 def test_words_that_share_a_hash_are_told_apart(monkeypatch):
