@@ -143,28 +143,26 @@ def midranks(df: DataFrame, score: str, part: list[str], out: str) -> DataFrame:
 def delong(wide: DataFrame, models, label: str = "target_regime", keys=("symbol",), order: str = "date") -> DataFrame:
     """K6-K7: DeLong test (fast structural components) for every model pair, on the rows both models have.
 
-    Per (pair, side) the scores are reduced to distinct values with positive and negative counts; with P and N the
-    counts below a score, a positive's component is V01 = (N + neg / 2) / n and a negative's V10 = 1 - (P + pos / 2) / m
-    (the mid-rank forms), so ranks need one cumulative window over distinct scores.  AUC = mean of V01;
+    With P and N the positives and negatives below a score, p and q those tied with it, a positive's component is V01 =
+    (N + q / 2) / n and a negative's V10 = 1 - (P + p / 2) / m (the mid-rank forms).  Both counts are range windows in the
+    partitioning by pair, so the rows are read once and nothing is joined back.  AUC = mean of V01;
     S = cov(V01)/m + cov(V10)/n (ddof 1); z = (AUC_a - AUC_b) / sqrt(S_aa + S_bb - 2 S_ab); NULL with one class, too
     few rows or var <= 0."""
     pair = [*keys, "model_a", "model_b"]
     rows = wide.where(F.col(label).isNotNull()).select(*keys, order, F.col(label).cast("int").alias("_y"), F.inline(F.array(*[
         F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.col(a).alias("_sa"), F.col(b).alias("_sb")) for a, b in _pairs(models)])))
     rows = rows.where("_sa IS NOT NULL AND _sb IS NOT NULL")
-    sides = rows.select(*pair, order, "_y", F.inline(F.array(F.struct(F.lit("a").alias("side"), F.col("_sa").alias("_s")),
-                                                             F.struct(F.lit("b").alias("side"), F.col("_sb").alias("_s")))))
-    dist = sides.groupBy(*pair, "side", "_s").agg(F.sum("_y").alias("_p"), F.sum(1 - F.col("_y")).alias("_q"))
-    whole = Window.partitionBy(*pair, "side")
-    below = whole.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    dist = dist.withColumns({"_pb": F.coalesce(F.sum("_p").over(below), F.lit(0)), "_qb": F.coalesce(F.sum("_q").over(below), F.lit(0)),
-                             "_m": F.sum("_p").over(whole).cast("double"), "_n": F.sum("_q").over(whole).cast("double")})
-    comp = dist.select(*pair, "side", "_s", "_m", "_n", F.try_divide(F.col("_qb") + F.col("_q") / 2.0, F.col("_n")).alias("_v01"),
-                       (1.0 - F.try_divide(F.col("_pb") + F.col("_p") / 2.0, F.col("_m"))).alias("_v10"))
-    at = sides.join(comp, [*pair, "side", "_s"])
-    value = F.when(F.col("_y") == 1, F.col("_v01")).otherwise(F.col("_v10"))
-    both = at.groupBy(*pair, order, "_y").agg(F.max(F.when(F.col("side") == "a", value)).alias("_a"), F.max(F.when(F.col("side") == "b", value)).alias("_b"),
-                                              F.max("_m").alias("_m"), F.max("_n").alias("_n"))
+    whole = Window.partitionBy(*pair)
+    pos, neg = F.col("_y"), 1 - F.col("_y")
+    rows = rows.withColumns({"_m": F.sum(pos).over(whole).cast("double"), "_n": F.sum(neg).over(whole).cast("double")})
+    for side in ("a", "b"):  # peers share a frame, so "up to" and "from" meet in the ties
+        up, down = whole.orderBy(f"_s{side}"), whole.orderBy(F.desc(f"_s{side}"))
+        below_p, below_n = F.col("_m") - F.sum(pos).over(down), F.col("_n") - F.sum(neg).over(down)
+        rows = rows.withColumns({"_pb": below_p, "_nb": below_n, "_pu": F.sum(pos).over(up), "_nu": F.sum(neg).over(up)})
+        v01 = F.try_divide(F.col("_nb") + (F.col("_nu") - F.col("_nb")) / 2.0, F.col("_n"))
+        v10 = 1.0 - F.try_divide(F.col("_pb") + (F.col("_pu") - F.col("_pb")) / 2.0, F.col("_m"))
+        rows = rows.withColumn(f"_{side}", F.when(F.col("_y") == 1, v01).otherwise(v10)).drop("_pb", "_nb", "_pu", "_nu")
+    both = rows
     aggs = [F.first("_m").alias("m"), F.first("_n").alias("n")]
     for side in ("a", "b"):
         aggs.append(F.avg(F.when(F.col("_y") == 1, F.col(f"_{side}"))).alias(f"auc_{side}"))

@@ -1,8 +1,7 @@
 """Model explanation as relational jobs.
 
-L1  native tree importance: a saved Spark tree-ensemble model stores its
-    nodes as parquet (treeID, nodeData.split.featureIndex, gain, rawCount);
-    mean gain, split count and mean cover per feature are one groupBy.
+L1  native tree importance: mean gain, split count and mean cover per feature
+    are one groupBy over the model's node table.
 L2  permutation importance: every (feature, repeat) permutation is a
     hash-ordered re-pairing of rows (X4), all evaluated in one scoring job;
     importance = RMSE(permuted) - RMSE(original), mean and std over repeats.
@@ -14,35 +13,20 @@ L6  combined importance: each score clipped at 0, normalised to sum 1 per
 
 from __future__ import annotations
 
-import os
-import uuid
-
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplet.functions.random import hash60_sql
-from ripplet.session import checkpoint_root
-
-
-def native_importance(model: PipelineModel, features: list[str]) -> DataFrame:
-    """L1 from the model's own node table (written under the checkpoint root)."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    path = os.path.join(checkpoint_root(spark), "models", f"tree-{uuid.uuid4().hex[:12]}")
-    model.stages[-1].write().overwrite().save(path)
-    nodes = spark.read.parquet(os.path.join(path, "data"))
-    nd = F.col("nodeData") if "nodeData" in nodes.columns else F.struct(*[F.col(c) for c in nodes.columns])
-    split = nodes.select(nd.getField("split").getField("featureIndex").alias("fi"),
-                         nd.getField("gain").alias("gain"), nd.getField("rawCount").alias("cover"))
-    split = split.where(F.col("fi") >= 0)
-    names = spark.createDataFrame(list(enumerate(features)), "fi int, feature string")
-    return (split.groupBy("fi").agg(F.avg("gain").alias("gain"), F.count(F.lit(1)).alias("weight"),
-                                    F.avg("cover").alias("cover"))
-                 .join(F.broadcast(names), "fi").drop("fi"))
-
-
-def permutation_importance(model: PipelineModel, data: DataFrame, features: list[str], label: str,
+from ripplet.operators.boosting import BoostedModel
+
+
+def native_importance(model: BoostedModel, spark) -> DataFrame:
+    """L1 from the model's node table: mean gain, split count and mean cover of each feature that splits."""
+    split = model.nodes(spark).where("feature IS NOT NULL")
+    return split.groupBy("feature").agg(F.avg("gain").alias("gain"), F.count(F.lit(1)).alias("weight"), F.avg("cover").alias("cover"))
+
+
+def permutation_importance(model, data: DataFrame, features: list[str], label: str,
                            repeats: int = 10, seed: int = 42) -> DataFrame:
     """L2: drop in -RMSE when one feature's values are permuted across rows."""
     # Permutations stay inside each symbol's series (no global single-task ordering).
@@ -100,7 +84,7 @@ def combined_importance(scores: DataFrame) -> DataFrame:
     return comb.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("combined"), "feature")))
 
 
-def lime(model: PipelineModel, train: DataFrame, instances: DataFrame, features: list[str],
+def lime(model, train: DataFrame, instances: DataFrame, features: list[str],
          label: str = "target_vol", n_samples: int = 2000, seed: int = 42, top: int = 8,
          alpha: float = 1.0) -> DataFrame:
     """Local surrogate (Ribeiro et al., 2016) for each instance row.

@@ -1,11 +1,17 @@
 """Exact k-nearest-neighbour join (F6) and the oversamplers built on it.
 
-Blocked exact search: queries and references are cut into hash blocks of
-bounded size; every (query block, reference block) group computes its
-distances with numpy inside one task and emits only its own top-k per
-query, so no all-pairs rows are ever materialised and no group grows with
-the data.  A final per-query window merges the (#reference blocks x k)
-candidates into the exact global top-k (ties broken by reference id).
+Pivot (Voronoi) partitioning with triangle-inequality bounds (Lu et al., 2012): references belong to the cell of their nearest
+pivot, and a query is sent only to cells that can hold one of its neighbours.
+
+1. At most MAX_PIVOTS references, drawn by hash, are the pivots (bounded, kept by the driver and sent with the tasks).
+2. Every reference gets its cell; a cell's radius and size are one aggregate row a cell.
+3. A query first visits its nearest cells until they hold k references.  The distance of the k-th found bounds the rest.
+4. It then visits only cells whose distance to it can be within that bound: d(q, p) - radius, and the distance to the
+   plane between the cell's pivot and its own, are lower bounds.
+
+Cells are cut into blocks of at most ``block_rows`` references and queries by hash, so a hot cell (or a third of all
+vectors equal) is many groups.  A group evaluates its distances with numpy and emits its own top k per query; a
+per-query window merges them (ties broken by reference id).  Nothing is approximate.
 
 SMOTE / ADASYN draw seeds, neighbours and gaps with the portable hash (X4),
 so the synthetic set is reproducible and independent of partitioning.
@@ -21,36 +27,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplet.functions.random import dense_index, hash60_sql, uniform_sql
+from ripplet.session import materialize
 
 BLOCK_ROWS = 4096
 STEP = 256  # queries per distance matrix: 256 x 4096 doubles are 8 MB
+MAX_PIVOTS = 1024
+SLACK = 1e-9  # relative rounding error left to the bounds
 
 
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, int(math.ceil(n / block_rows)))
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
 
 
-def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "qid", r_id: str = "rid",
-             vec: str = "vec", exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(qid, rid, dist, rank) for the k nearest references of every query
-    (Euclidean; ``exclude_self`` drops rid == qid)."""
-    nq, nr = queries.count(), refs.count()  # two scalars to size the blocks
-    bq, br = _blocks(nq, block_rows), _blocks(nr, block_rows)
-    q = queries.select(F.col(q_id).cast("long").alias("id"), F.col(vec).alias("v"),
-                       F.pmod(F.xxhash64(q_id), F.lit(bq)).alias("qb"))
-    r = refs.select(F.col(r_id).cast("long").alias("id"), F.col(vec).alias("v"),
-                    F.pmod(F.xxhash64(r_id), F.lit(br)).alias("rb"))
-    # Each query meets each reference block once, each reference each query block once.
-    qx = q.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1)))).withColumn("side", F.lit(0))
-    rx = r.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))).withColumn("side", F.lit(1))
-    both = qx.unionByName(rx)
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    near = (x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2.0 * (x @ pivots.T)
+    return np.sqrt(np.maximum(near, 0.0))
 
+
+def _top_k(k: int, exclude_self: bool):
+    """Group function: the k nearest references of the group for each of its queries."""
     def topk(pdf: pd.DataFrame) -> pd.DataFrame:
         qs, rs = pdf[pdf.side == 0], pdf[pdf.side == 1]
         if qs.empty or rs.empty:
             return pd.DataFrame({"qid": [], "rid": [], "dist": []})
-        Q = np.stack(qs.v.map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
-        R = np.stack(rs.v.map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
+        Q, R = _matrix(qs.v), _matrix(rs.v)
         qi, ri = qs.id.to_numpy(), rs.id.to_numpy()
         out = []
         r2 = (R * R).sum(axis=1)
@@ -74,10 +74,98 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "qid", r_i
             out.append((ids[row[keep]], ri[col[keep]], dist[keep]))
         q_, r_, d_ = (np.concatenate(x) for x in zip(*out))
         return pd.DataFrame({"qid": q_, "rid": r_, "dist": d_})
+    return topk
+
+
+def choose_pivots(refs: DataFrame, n_refs: int) -> np.ndarray:
+    """About sqrt(n) references of smallest hash, at most MAX_PIVOTS; equal vectors count once."""
+    p = max(1, min(MAX_PIVOTS, int(math.sqrt(n_refs))))
+    rows = refs.select("v").orderBy(F.xxhash64("id"), "id").limit(p).collect()
+    return np.unique(np.array([r["v"] for r in rows], float), axis=0)
+
+
+def _visits(x: np.ndarray, own: np.ndarray, pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int, bound: np.ndarray | None):
+    """(row, cell) of the cells a batch of queries goes to: the first ones (``bound`` None), or those left within the bound."""
+    d = own
+    order = np.argsort(np.where(size[None, :] > 0, d, np.inf), axis=1, kind="stable")
+    before = np.cumsum(size[order], axis=1) - size[order]
+    first = np.zeros(d.shape, bool)
+    np.put_along_axis(first, order, (before < k) & (size[order] > 0), axis=1)
+    if bound is None:
+        return np.nonzero(first)
+    home = order[:, 0]
+    gap = _distances(pivots, pivots)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (d ** 2 - d[np.arange(len(x)), home][:, None] ** 2) / (2 * gap[home])
+    plane[~np.isfinite(plane)] = -np.inf
+    low = np.maximum(d - radius[None, :], plane)
+    scale = 1 + bound[:, None] + d
+    return np.nonzero((low <= bound[:, None] + SLACK * scale ** 2) & ~first & (size[None, :] > 0))
+
+
+def _evaluate(queries: DataFrame, visits: DataFrame, refs: DataFrame, sizes: np.ndarray, k: int, exclude_self: bool, block_rows: int) -> DataFrame:
+    """Top k of each (query, visited cell block).  ``visits``: (id, v, cell); ``refs``: (id, v, cell)."""
+    spark = refs.sparkSession
+    asked = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # a row a cell
+    cells = [(int(c), max(1, -(-int(sizes[c]) // block_rows)), max(1, -(-int(n) // block_rows))) for c, n in asked.items()]
+    blocks = F.broadcast(spark.createDataFrame(cells, "cell int, rbs int, qbs int"))  # bounded by MAX_PIVOTS rows
+    q = (visits.join(blocks, "cell").withColumn("qb", F.pmod(F.xxhash64("id"), F.col("qbs")).cast("int"))
+         .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("rbs") - 1))))
+    r = (refs.join(blocks, "cell").withColumn("rb", F.pmod(F.xxhash64("id"), F.col("rbs")).cast("int"))
+         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qbs") - 1))))
+    part = ["cell", "qb", "rb"]
+    both = q.select("id", "v", *part, F.lit(0).alias("side")).unionByName(r.select("id", "v", *part, F.lit(1).alias("side")))
+    return both.groupBy(*part).applyInPandas(_top_k(k, exclude_self), "qid long, rid long, dist double")
+
 
-    cand = both.groupBy("qb", "rb").applyInPandas(topk, "qid long, rid long, dist double")
+def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "qid", r_id: str = "rid",
+             vec: str = "vec", exclude_self: bool = False, block_rows: int = BLOCK_ROWS, log: list | None = None) -> DataFrame:
+    """(qid, rid, dist, rank) for the k nearest references of every query (Euclidean; ``exclude_self`` drops rid == qid).
+    ``log`` receives the (query, cell) visits of both rounds, as DataFrames."""
+    vec_of = lambda df, name: df.select(F.col(name).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v"))
+    q, r = vec_of(queries, q_id), vec_of(refs, r_id)
+    n_refs = r.count()
     w = Window.partitionBy("qid").orderBy("dist", "rid")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    if n_refs == 0:
+        return q.where("false").select(F.col("id").alias("qid"), F.col("id").alias("rid"), F.lit(0.0).alias("dist"), F.lit(1).alias("rank"))
+    pivots = choose_pivots(r, n_refs)
+
+    def assign(batches):
+        for pdf in batches:
+            for s in range(0, len(pdf), STEP):
+                part = pdf.iloc[s:s + STEP]
+                d = _distances(_matrix(part["v"]), pivots)
+                yield part.assign(cell=d.argmin(axis=1).astype(np.int32), far=d.min(axis=1))
+
+    placed = materialize(r.mapInPandas(assign, "id long, v array<double>, cell int, far double"), "knn-refs")
+    radius, size = np.zeros(len(pivots)), np.zeros(len(pivots), np.int64)
+    for row in placed.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect():  # a row a cell
+        radius[row["cell"]], size[row["cell"]] = row["far"], row["n"]
+    need = k + 1 if exclude_self else k
+
+    def visiting(with_bound: bool):
+        def run(batches):
+            for pdf in batches:
+                for s in range(0, len(pdf), STEP):
+                    part = pdf.iloc[s:s + STEP]
+                    x = _matrix(part["v"])
+                    i, cell = _visits(x, _distances(x, pivots), pivots, radius, size, need, part["bound"].to_numpy() if with_bound else None)
+                    yield pd.DataFrame({"id": part["id"].to_numpy()[i], "v": part["v"].to_numpy()[i], "cell": cell.astype(np.int32)})
+        return run
+
+    shape = "id long, v array<double>, cell int"
+    first = materialize(q.mapInPandas(visiting(False), shape), "knn-first")
+    near = materialize(_evaluate(q, first, placed, size, k, exclude_self, block_rows), "knn-near")
+    rank = F.row_number().over(w)
+    bound = near.withColumn("rank", rank).where(F.col("rank") <= k).groupBy(F.col("qid").alias("id")).agg(
+        F.max("dist").alias("bound"), F.count("*").alias("found"))
+    # fewer than k found (the query's copies of itself aside) means no bound at all
+    bounded = q.join(bound, "id", "left").select("id", "v", F.when(F.col("found") >= k, F.col("bound")).otherwise(F.lit(math.inf)).alias("bound"))
+    second = materialize(bounded.mapInPandas(visiting(True), shape), "knn-second")
+    if log is not None:
+        log += [first.select("id", "cell"), second.select("id", "cell"), size]
+    cand = near.unionByName(_evaluate(q, second, placed, size, k, exclude_self, block_rows))
+    return cand.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def knn_predict(queries: DataFrame, refs: DataFrame, k: int = 15, id_col: str = "vec_id",

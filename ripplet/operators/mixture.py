@@ -6,44 +6,47 @@ M1  gate = boosted classifier of the regime (probability p of high
     p * R_high + (1 - p) * R_low, each expert clipped at 0.
 M2  equal-weight ensemble of two forecasters (aligned by key, not position).
 M3  ablation: every variant's long predictions evaluated by I1 together.
+
+Gate, experts, tuned and plain trees are five models of one boosting run over one binned table.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplet.operators import models as MD
+from ripplet.operators.boosting import Spec, bin_table, fit_boosted_many
+from ripplet.operators.features import FEATURE_COLUMNS
+from ripplet.operators.forecast import naive_col
 from ripplet.operators.metrics import regression_metrics
 
 KEYS = ["symbol", "date", "split"]
 
 
-def _expert(panel: DataFrame, regime: int, label: str = "target_vol"):
-    train = panel.where((F.col("split") == "train") & (F.col("target_regime") == regime))
-    return MD.fit_boosted(train, panel.where(F.col("split") == "val"), "regression", label)[0]
+def mixture_models(panel: DataFrame, features: list[str] | None = None, tuned: dict | None = None, **limits) -> dict:
+    """Gate, experts (both with the ``tuned`` parameters), tuned trees and plain trees, grown together."""
+    train, val = F.col("split") == "train", F.col("split") == "val"
+    on = [(train, val)] + [(train & (F.col("target_regime") == r), val) for r in (0, 1)]
+    table = bin_table(panel, features or FEATURE_COLUMNS, ["target_vol", "target_regime"], on, ["symbol", "date"])
+    best = Spec(**{**(tuned or {}), **limits})
+    specs = {"gate": replace(best, task="classification", label=1), "low": replace(best, fold=1), "high": replace(best, fold=2),
+             "gbt_tuned": best, "gbt": Spec(**limits)}
+    return dict(zip(specs, fit_boosted_many(table, list(specs.values()))))
 
 
-def mixture_components(panel: DataFrame) -> DataFrame:
-    """Wide per-row components: p_high, r_low, r_high, ridge, gbt."""
-    gate = MD.fit_gbt(panel, "classification", "target_regime")
-    lo, hi = _expert(panel, 0), _expert(panel, 1)
-    gbt = MD.fit_gbt(panel, "regression", "target_vol")
+def mixture_components(panel: DataFrame, features: list[str] | None = None, tuned: dict | None = None, **limits) -> DataFrame:
+    """Wide per-row components: p_high, r_low, r_high, gbt, gbt_tuned, ridge, naive."""
+    models = mixture_models(panel, features, tuned, **limits)
     train = panel.where(F.col("split") == "train")
-    ridge = MD.fit_pipeline(MD.regression_estimators(train)["ridge"], train)
-    clip = lambda c: F.greatest(c, F.lit(0.0))
-    parts = [
-        gate.transform(panel).select(*KEYS, "target_vol", vector_to_array("probability")[1].alias("p_high")),
-        lo.transform(panel).select(*KEYS, clip(F.col("prediction")).alias("r_low")),
-        hi.transform(panel).select(*KEYS, clip(F.col("prediction")).alias("r_high")),
-        gbt.transform(panel).select(*KEYS, clip(F.col("prediction")).alias("gbt")),
-        ridge.transform(panel).select(*KEYS, clip(F.col("prediction")).alias("ridge")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, KEYS)  # equi-joins on the row key
-    return out
+    ridge = MD.fit_pipeline(MD.regression_estimators(train)["ridge"], train, features or FEATURE_COLUMNS)
+    out = ridge.transform(panel).withColumnRenamed("prediction", "ridge")
+    for name, column in (("gate", "p_high"), ("low", "r_low"), ("high", "r_high"), ("gbt", "gbt"), ("gbt_tuned", "gbt_tuned")):
+        out = models[name].predict(out, column)
+    clip = lambda c: F.greatest(F.col(c), F.lit(0.0)).alias(c)
+    return out.select(*KEYS, "target_vol", "p_high", *[clip(c) for c in ("r_low", "r_high", "gbt", "gbt_tuned", "ridge")], naive_col().alias("naive"))
 
 
 def ablation(components: DataFrame) -> DataFrame:
@@ -53,8 +56,8 @@ def ablation(components: DataFrame) -> DataFrame:
     variants = {
         "mixture": p * F.col("r_high") + (1 - p) * F.col("r_low"),
         "mixture_hard_gate": F.when(p > 0.5, F.col("r_high")).otherwise(F.col("r_low")),
-        "ensemble_ridge_gbt": 0.5 * (F.col("ridge") + F.col("gbt")),
-        "ridge": F.col("ridge"), "gbt": F.col("gbt"),
+        "ensemble_ridge_gbt": 0.5 * (F.col("ridge") + F.col("gbt_tuned")),
+        "ridge": F.col("ridge"), "gbt": F.col("gbt"), "gbt_tuned": F.col("gbt_tuned"), "naive": F.col("naive"),
         "only_low_expert": F.col("r_low"), "only_high_expert": F.col("r_high"),
     }
     wide = c.select(*KEYS, F.col("target_vol").alias("y_true"), *[v.alias(k) for k, v in variants.items()])

@@ -11,13 +11,8 @@ Mapping notes
   standardised label, so lambda = alpha * sigma_y / n (sigma_y population std).
 * Lasso alpha maps to regParam directly (elasticNetParam = 1).
 * LogReg / LinearSVC C: regParam = 1 / (C * n).
-* Boosted trees: stepSize 0.05, depth 4, min 5 per node, row and column
-  subsampling 0.85 (Spark samples columns per node, not per tree; no L2 leaf
-  penalty).  Early stopping: score every prefix on the validation rows and
-  keep the prefix that ends at the best score before ``patience`` rounds pass
-  without improvement.  Rounds are fitted in growing batches (a longer fit
-  repeats the shorter one's trees, the seed of a tree being its number), so
-  rounds far beyond the stop are never grown.
+* Boosted trees (F13-F15): ``ripplet.operators.boosting``; Spark ML's have no L2 leaf penalty, no column sampling per
+  tree, and cannot go on from a fitted ensemble.
 * Scaling uses the population standard deviation.  Medians of the pooled
   pipeline come from Spark's bounded quantile sketch (rank error 0.1 %).
 """
@@ -28,17 +23,17 @@ import math
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
-                                       LogisticRegression, NaiveBayes, RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import ElementwiseProduct, Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ripplet.operators.boosting import BoostedModel, early_stop_rounds, fit_boosted  # noqa: F401
 from ripplet.operators.features import FEATURE_COLUMNS
 
 SEED = 42
@@ -103,69 +98,12 @@ def classification_estimators(train: DataFrame, label: str = "target_regime") ->
     }
 
 
-def gbt(task: str, label: str, max_iter: int) -> object:
-    """F13 / F14 boosted trees."""
-    kw = dict(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=0.05, maxDepth=4,
-              minInstancesPerNode=5, subsamplingRate=0.85, featureSubsetStrategy="0.85",
-              maxBins=256, seed=SEED, maxMemoryInMB=TREE_MEM_MB)
-    return GBTRegressor(**kw) if task == "regression" else GBTClassifier(**kw)
-
-
-def early_stop_rounds(curve: list[float], patience: int = 30) -> int:
-    """rounds to keep = best prefix before ``patience`` non-improving rounds."""
-    best, best_i = float("inf"), 0
-    for i, v in enumerate(curve):
-        if v < best:
-            best, best_i = v, i
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
-def _prefix(model, rounds: int):
-    """The boosted model made of the first ``rounds`` trees."""
-    j = model._java_obj
-    trees, weights = list(j.trees())[:rounds], list(model.treeWeights)[:rounds]
-    gateway = SparkSession.getActiveSession().sparkContext._gateway
-    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    array = gateway.new_array(kind, len(trees))
-    doubles = gateway.new_array(gateway.jvm.double, len(weights))
-    for i, (t, w) in enumerate(zip(trees, weights)):
-        array[i], doubles[i] = t, w
-    if isinstance(model, GBTRegressionModel):
-        cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(j.uid(), array, doubles, j.numFeatures())
-    else:
-        cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(j.uid(), array, doubles, j.numFeatures(), 2)
-    return type(model)(j.copyValues(cut, j.extractParamMap()))
-
-
-def fit_boosted(train: DataFrame, val: DataFrame, task: str, label: str, max_iter: int = 1000, patience: int = 30,
-                first: int = 100) -> tuple[PipelineModel, list[float]]:
-    """Boosted trees stopped by the patience rule on the validation rows; returns (pipeline, validation loss of
-    every fitted round).  The kept number of rounds is the model's ``getNumTrees``."""
-    prep = fit_preprocessing(train)
-    keep = [label, "features"]
-    tr = prep.transform(train.where(F.col(label).isNotNull())).select(*keep).persist(StorageLevel.DISK_ONLY)
-    va = prep.transform(val.where(F.col(label).isNotNull())).select(*keep).persist(StorageLevel.DISK_ONLY)
-    rounds = min(first, max_iter)
-    while True:
-        booster = gbt(task, label, rounds).fit(tr)
-        curve = [float(x) for x in (booster.evaluateEachIteration(va, "squared") if task == "regression" else booster.evaluateEachIteration(va))]
-        kept = early_stop_rounds(curve, patience)
-        if rounds == max_iter or kept + patience <= rounds:
-            break
-        rounds = min(2 * rounds, max_iter)
-    tr.unpersist()
-    va.unpersist()
-    return PipelineModel(stages=[*prep.stages, _prefix(booster, kept) if kept < rounds else booster]), curve
-
-
-def fit_gbt(panel: DataFrame, task: str, label: str, max_iter: int = 1000) -> PipelineModel:
-    """Boosted trees on the train split, stopped on the val split."""
-    return fit_boosted(panel.where(F.col("split") == "train"), panel.where(F.col("split") == "val"), task, label, max_iter)[0]
-
-
-def predictions_long(model: PipelineModel, panel: DataFrame, name: str, task: str, label: str) -> DataFrame:
+def fit_gbt(panel: DataFrame, task: str, label: str, features: list[str] | None = None, **spec) -> BoostedModel:
+    """Boosted trees on the train split, stopped by the patience rule on the val split."""
+    return fit_boosted(panel, features or FEATURE_COLUMNS, task, label, F.col("split") == "train", F.col("split") == "val", **spec)
+
+
+def predictions_long(model: PipelineModel | BoostedModel, panel: DataFrame, name: str, task: str, label: str) -> DataFrame:
     """Apply a fitted pipeline to every row; long form with a clip at 0 for regression."""
     out = model.transform(panel)
     keys = [F.col("symbol"), F.col("date"), F.col("split"), F.lit(name).alias("model")]
@@ -173,8 +111,10 @@ def predictions_long(model: PipelineModel, panel: DataFrame, name: str, task: st
         pred = F.col("prediction")
         return out.select(*keys, F.col(label).alias("y_true"),
                           F.when(pred.isNotNull(), F.greatest(pred, F.lit(0.0))).alias("y_pred"))
-    score = (vector_to_array("probability")[1] if "probability" in out.columns
-             else vector_to_array("rawPrediction")[1])
+    if isinstance(model, BoostedModel):
+        score = F.col("score")
+    else:
+        score = vector_to_array("probability" if "probability" in out.columns else "rawPrediction")[1]
     return out.select(*keys, F.col(label).alias("label"), score.alias("score"),
                       F.col("prediction").cast("int").alias("pred"))
 

@@ -489,12 +489,12 @@ from ripplet.session import materialize  # noqa: E402
 def _ml_panel(spark, d):
     # Lineage cut: every fit re-reads the written panel, not the raw scan.
     # Rows are spread by a hash of (symbol, date), so a few symbols fill every
-    # core; the number of partitions follows the row count and the order inside
+    # core once there are enough of them; the number of partitions follows the row count and the order inside
     # one is fixed, so Spark ML's per-partition sampling (bagging, subsampling)
     # reproduces across session configs.
     panel = materialize(daily_panel(spark, d), "ml_panel")
-    parts = max(8, -(-panel.count() // 100_000))
-    return panel.repartition(parts, F.xxhash64("symbol", "date")).sortWithinPartitions("symbol", "date")
+    parts = max(2, -(-panel.count() // 50_000))
+    return materialize(panel.repartition(parts, F.xxhash64("symbol", "date")).sortWithinPartitions("symbol", "date"), "ml_rows")
 
 
 def ml_regression(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -614,28 +614,46 @@ SELECT family, symbol, split, model, {O.sql_rnd('rmse')} AS rmse, {O.sql_rnd('ma
 FROM u""")(_master)
 
 # ---------------------------------------------------------------- H search (rows-only)
-from pyspark.ml.regression import LinearRegression as _LR  # noqa: E402
 from ripplet.operators import search as H  # noqa: E402
 
+SEARCH_ROUNDS = 200  # boosting rounds of a candidate (H1); the refit (H8) grows until patience ends it
 
-def _ridge(params):
-    return _LR(elasticNetParam=0.0, regParam=float(params["reg"]), standardization=False,
-               solver="normal", featuresCol="features", labelCol="target_vol")
+
+def _boosted_scores(spark, d):
+    train = materialize(daily_panel(spark, d), "search_panel").where(F.col("split") == "train").drop("split")
+    table = H.cv_table(train, FEATURE_COLUMNS)
+    return lambda cands: H.cv_scores(table, cands, SEARCH_ROUNDS)
+
+
+def _grid_and_random(spark, d) -> dict[str, list]:
+    """24 grid and 20 random candidates, 132 models with their folds, in one run."""
+    asked = {"grid": H.grid_candidates(H.BOOSTED_GRID), "random": H.random_candidates(H.BOOSTED_SPACE, 20)}
+    scores = iter(_boosted_scores(spark, d)([c for cands in asked.values() for c in cands]))
+    return {m: [(c, next(scores)) for c in cands] for m, cands in asked.items()}
 
 
 def _search(spark, d):
-    panel = _ml_panel(spark, d)
-    train = panel.where(F.col("split") == "train").drop("split")
-    ev = lambda p: H.cv_score(train, _ridge, p)
-    grid = H.run_search(spark, "grid", ev, H.grid_candidates({"reg": [1e-4, 1e-3, 1e-2, 1e-1]}))
-    rnd = H.run_search(spark, "random", ev, H.random_candidates({"reg": ("log", 1e-5, 1.0)}, 4))
-    return _r(H.best_so_far(grid.unionByName(rnd)))
+    logs = [H.search_log(spark, m, t) for m, t in _grid_and_random(spark, d).items()]
+    return _r(H.best_so_far(logs[0].unionByName(logs[1])))
 
 
 register("search_best_so_far", None)(_search)
+register("search_tpe", None)(
+    lambda spark, d: _r(H.best_so_far(H.search_log(spark, "tpe", H.tpe_search(_boosted_scores(spark, d), H.BOOSTED_SPACE, n_trials=20)))))
+register("search_genetic", None)(
+    lambda spark, d: _r(H.best_so_far(H.search_log(spark, "genetic", H.genetic_search(_boosted_scores(spark, d), H.BOOSTED_SPACE, pop=8, gens=2)))))
+
+
+def _refit(spark, d):
+    best = {m: min(t, key=lambda x: x[1])[0] for m, t in _grid_and_random(spark, d).items()}
+    return _r(H.refit_best(_ml_panel(spark, d), FEATURE_COLUMNS, best)[1], {"r2": 6})
+
+
+register("search_refit", None)(_refit)
 
 # ---------------------------------------------------------------- L explanation
 from ripplet.operators import explain as L  # noqa: E402
+from ripplet.operators import shap as S  # noqa: E402
 
 _CASES = ["high_hit", "low_hit", "worst_over", "worst_under"]
 register("representative_cases", f"""{_DAILY_PREDS},
@@ -657,16 +675,28 @@ FROM lg WHERE r IS NOT NULL""")(
 
 def _importance(spark, d):
     panel = _ml_panel(spark, d)
-    model = MD.fit_gbt(panel, "regression", "target_vol")
     feats = list(FEATURE_COLUMNS)
-    gain = L.native_importance(model, feats).select(F.lit("gain").alias("method"), "feature",
-                                                    F.col("gain").alias("score"))
-    perm = L.permutation_importance(model, panel.where(F.col("split") == "test"), feats, "target_vol") \
+    model = MD.fit_gbt(panel, "regression", "target_vol", feats)
+    test = panel.where(F.col("split") == "test")
+    gain = L.native_importance(model, spark).select(F.lit("gain").alias("method"), "feature", F.col("gain").alias("score"))
+    perm = L.permutation_importance(model, test, feats, "target_vol") \
             .select(F.lit("permutation").alias("method"), "feature", F.col("importance_mean").alias("score"))
-    scores = materialize(gain.unionByName(perm), "importance_scores")
+    shap = S.shap_importance(S.tree_shap(model, test, ["symbol", "date"]), feats) \
+            .select(F.lit("shap").alias("method"), "feature", F.col("mean_abs_shap").alias("score"))
+    scores = materialize(gain.unionByName(perm).unionByName(shap), "importance_scores")
     return _r(L.combined_importance(scores))
 
 
+def _shap(spark, d):
+    """phi of every test row and feature of the boosted regressor, with the row's base and margin."""
+    panel = _ml_panel(spark, d)
+    model = MD.fit_gbt(panel, "regression", "target_vol")
+    values = S.tree_shap(model, panel.where(F.col("split") == "test"), ["symbol", "date"])
+    name = F.element_at(F.array(*[F.lit(f) for f in FEATURE_COLUMNS]), F.col("j") + 1)
+    return _r(values.select("symbol", "date", "base", "margin", F.posexplode("phi").alias("j", "phi")).withColumn("feature", name).drop("j"))
+
+
+register("tree_shap", None)(_shap)
 register("combined_importance", None)(_importance)
 
 # ---------------------------------------------------------------- M mixture / ensemble / ablation (rows-only)

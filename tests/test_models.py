@@ -79,30 +79,3 @@ def test_patience_rule():
     assert MD.early_stop_rounds([3, 2, 1], 30) == 3
 
 
-@pytest.mark.parametrize("task,label", [("regression", "target_vol"), ("classification", "target_regime")])
-def test_kept_rounds_end_at_the_minimum(panel, task, label):
-    train, val = panel.where("split = 'train'"), panel.where("split = 'val'")
-    model, curve = MD.fit_boosted(train, val, task, label, max_iter=64, patience=5, first=16)
-    kept = model.stages[-1].getNumTrees
-    best = int(np.argmin(curve[:kept + 5])) + 1
-    assert kept == best and (len(curve) == 64 or len(curve) >= kept + 5)
-    # the cut model scores as the full fit does at that round
-    ready = model.transform(val.where(F.col(label).isNotNull()))
-    if task == "regression":
-        mse = ready.agg(F.avg((F.col("prediction") - F.col(label)) ** 2)).first()[0]
-        assert abs(mse - curve[kept - 1]) < 1e-9
-    else:
-        assert ready.where("prediction = target_regime").count() > 0.5 * val.count()
-
-
-def test_registered_boosted_trees_grow_until_patience_ends_them(panel, monkeypatch):
-    asked = []
-
-    def boosted(train, val, task, label, max_iter=1000, *rest):
-        asked.append(max_iter)
-        return [None]
-    monkeypatch.setattr(MD, "fit_boosted", boosted)
-    from ripplet.operators import mixture
-    MD.fit_gbt(panel, "regression", "target_vol")
-    mixture._expert(panel, 1)
-    assert asked == [1000, 1000]
