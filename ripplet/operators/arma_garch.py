@@ -3,7 +3,8 @@
 E4  ARMA(1,1) by Hannan-Rissanen per symbol on train vol_realized:
     (1) long AR(m) by OLS -> innovations e^;  (2) OLS of y_t on
     [1, y_{t-1}, e^_{t-1}] -> (c, phi, theta).  Both are one aggregation of
-    normal equations per symbol (X3).
+    normal equations per symbol (X3).  ``arma11_mle`` goes on from there to the
+    exact likelihood, by scans over candidate grids.
 E5  innovation filter e_t = y_t - c - phi*y_{t-1} - theta*e_{t-1}: an affine
     scan with a = -theta over the whole series (train, val and test, no gap);
     forecast for t+1 made at t: c + phi*y_t + theta*e_t, clipped at 0.
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from ripplet.functions.linalg import gram, solve
 from ripplet.functions.scan import affine_scans
 from ripplet.operators.forecast import KEYS, _long
+from ripplet.session import materialize
 
 LOG_2PI = 1.8378770664093453
 
@@ -53,6 +55,61 @@ def arma11_fit(panel: DataFrame, y: str = "vol_realized", ar_order: int = 10) ->
     return st2.select("symbol", F.col("coef")[0].alias("c"), F.col("coef")[1].alias("phi"), inside.alias("theta"))
 
 
+def arma11_loglik(train: DataFrame, cands: DataFrame) -> DataFrame:
+    """Exact Gaussian log-likelihood of ARMA(1,1) candidates, mean and variance concentrated out: (symbol, cand, phi, theta,
+    mu, sigma2, loglik).  ``train``: (symbol, date, _y, _pos) without gaps; ``cands``: (symbol, cand, phi, theta), a bounded list a symbol.
+
+    The one-step variance ratio r_t of the innovations algorithm is p_{t+1} / p_t with p_t = A + B theta^{2t}, so p_t u_t (u_t
+    the innovation) is an affine scan with the constant factor -theta.  u_t is linear in the mean: one scan of y, one
+    of the constant 1, and sums of their products give the best mean, the variance and the likelihood."""
+    w = Window.partitionBy("symbol", "cand").orderBy("date")
+    d = train.join(cands, "symbol")
+    phi, theta, t = F.col("phi"), F.col("theta"), F.col("_pos").cast("double")
+    th2 = theta * theta
+    r0 = 1.0 + (phi + theta) * (phi + theta) / (1.0 - phi * phi)
+    b = (r0 - 1.0) / (th2 - 1.0)
+    p = lambda k: (1.0 - b) + b * F.pow(th2, t + F.lit(float(k)))
+    d = d.withColumns({"_p": p(0), "_r": p(1) / p(0), "_y1": F.lag("_y", 1).over(w)})
+    first = F.col("_pos") == 0
+    d = affine_scans(d, ["symbol", "cand"], "date", [
+        (-theta, F.when(first, F.col("_y")).otherwise(F.col("_p") * (F.col("_y") - phi * F.col("_y1"))), "_wy"),
+        (-theta, F.when(first, F.lit(1.0)).otherwise(F.col("_p") * (1.0 - phi)), "_w1")])
+    uy, u1, r = F.col("_wy") / F.col("_p"), F.col("_w1") / F.col("_p"), F.col("_r")
+    s = d.groupBy("symbol", "cand", "phi", "theta").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(uy * uy / r).alias("yy"),
+                                                        F.sum(uy * u1 / r).alias("y1"), F.sum(u1 * u1 / r).alias("oo"), F.sum(F.ln(r)).alias("lr"))
+    s2 = (F.col("yy") - F.col("y1") * F.col("y1") / F.col("oo")) / F.col("n")
+    s = s.withColumns({"mu": F.col("y1") / F.col("oo"), "sigma2": s2})
+    ll = -0.5 * F.col("n") * (F.lit(LOG_2PI) + F.ln("sigma2") + 1.0) - 0.5 * F.col("lr")
+    return s.withColumn("loglik", F.when(F.col("sigma2") > 0, ll)).select("symbol", "cand", "phi", "theta", "mu", "sigma2", "loglik")
+
+
+def arma11_mle(panel: DataFrame, y: str = "vol_realized", coarse: int = 9, fine: int = 5, rounds: int = 5, edge: float = 0.995) -> DataFrame:
+    """E4 by likelihood: (symbol, c, phi, theta, sigma2, loglik, loglik_start).  The Hannan-Rissanen estimate and a coarse (phi, theta)
+    grid start; each round then tries a finer grid around the best so far (X2), every symbol in one job."""
+    tr = panel.where((F.col("split") == "train") & F.col(y).isNotNull()).select("symbol", "date", F.col(y).cast("double").alias("_y"))
+    tr = materialize(tr.withColumn("_pos", F.row_number().over(_ord()) - 1), "arma-train")
+    axis = [-edge + 2 * edge * (i + 0.5) / coarse for i in range(coarse)]
+    grid = F.array(*[F.struct(F.lit(a).alias("phi"), F.lit(b).alias("theta")) for a in axis for b in axis])
+    clip = lambda c: F.greatest(F.least(c, F.lit(edge)), F.lit(-edge))
+    start = arma11_fit(panel, y).select("symbol", F.lit(-1).alias("cand"), clip(F.col("phi")).alias("phi"), clip(F.col("theta")).alias("theta"))
+    cands = start.where("phi IS NOT NULL AND theta IS NOT NULL").unionByName(
+        tr.select("symbol").distinct().select("symbol", F.posexplode(grid).alias("cand", "g")).select("symbol", "cand", "g.phi", "g.theta"))
+    best, step = None, 2 * edge / coarse
+    for k in range(rounds + 1):
+        ll = arma11_loglik(tr, cands)
+        win = ll.groupBy("symbol").agg(F.max_by(F.struct("phi", "theta", "mu", "sigma2", "loglik"), F.struct(F.coalesce("loglik", F.lit(float("-inf"))), -F.col("cand"))).alias("w"),
+                                       F.max(F.when(F.col("cand") == -1, F.col("loglik"))).alias("loglik_start"))
+        if best is not None:  # the centre of a round's grid is the best so far, so a round never loses
+            win = win.drop("loglik_start").join(best.select("symbol", "loglik_start"), "symbol")
+        best = materialize(win, "arma-best")
+        if k < rounds:
+            offsets = [step * (2 * i / (fine - 1) - 1) for i in range(fine)]
+            around = F.array(*[F.struct(clip(F.col("w.phi") + F.lit(a)).alias("phi"), clip(F.col("w.theta") + F.lit(b)).alias("theta")) for a in offsets for b in offsets])
+            cands = best.select("symbol", F.posexplode(around).alias("cand", "g")).select("symbol", "cand", "g.phi", "g.theta")
+            step *= 2 / (fine - 1)
+    return best.select("symbol", (F.col("w.mu") * (1.0 - F.col("w.phi"))).alias("c"), "w.phi", "w.theta", "w.sigma2", "w.loglik", "loglik_start")
+
+
 def arma11_forecast(panel: DataFrame, params: DataFrame | None = None, y: str = "vol_realized",
                     align: str = "correct", model: str = "arima_101") -> DataFrame:
     """E5: filtered one-step forecasts for every row, long form."""

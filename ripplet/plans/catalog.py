@@ -66,6 +66,7 @@ register("panel_hourly", _panel_sql(O.hourly_bars_sql()))(
 
 # ---------------------------------------------------------------- E forecasters, I metrics
 from ripplet.operators import forecast as FC  # noqa: E402
+from ripplet.functions import ranks as RK  # noqa: E402
 from ripplet.operators import metrics as M  # noqa: E402
 
 _DAILY_PREDS = O.with_preds(O.daily_bars_sql())
@@ -204,6 +205,21 @@ SELECT symbol, model, split,
 FROM sc2 GROUP BY symbol, model, split""")(
     lambda spark, d: _r(M.roc_auc(daily_cls(spark, d))))
 
+# all symbols in one group: ranks by value buckets and prefix sums, no window over a whole group
+register("roc_auc_pooled", f"""{_CLS}{_SC},
+po AS (SELECT model, split, score, sum(pos) AS pos, sum(neg) AS neg FROM sc GROUP BY ALL),
+sc2 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, split ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM po)
+SELECT model, split, {O.sql_rnd('sum(pos * (nb + 0.5 * neg)) / NULLIF(CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0)')} AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+FROM sc2 GROUP BY model, split""")(
+    lambda spark, d: _r(RK.pooled_roc_auc(daily_cls(spark, d), ("model", "split"))))
+
+register("midranks_pooled", f"""{_CLS}{_SC},
+po AS (SELECT model, score, CAST(sum(pos + neg) AS BIGINT) AS n FROM sc GROUP BY ALL)
+SELECT model, {O.sql_rnd('score')} AS score, n,
+       coalesce(sum(n) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (n + 1) / 2.0 AS midrank FROM po""")(
+    lambda spark, d: _r(RK.pooled_midranks(daily_cls(spark, d).where("label IS NOT NULL AND score IS NOT NULL"), "score", ("model",))))
+
 register("roc_curve", f"""{_CLS}{_SC}
 SELECT symbol, model, split, {O.sql_rnd('score')} AS threshold,
   {O.sql_rnd('sum(neg) OVER (PARTITION BY symbol, model, split ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / NULLIF(CAST(sum(neg) OVER (PARTITION BY symbol, model, split) AS DOUBLE), 0)')} AS fpr,
@@ -556,6 +572,15 @@ def _garch_fit_filter(spark, d):
 register("arma_forecast_summary", None)(_arma)
 register("garch_fit_summary", None)(_garch_fit_filter)
 
+
+def _arma_mle(spark, d):
+    panel = materialize(daily_panel(spark, d), "arma_panel")
+    params = AG.arma11_mle(panel)
+    return _r(FC.summarize(AG.arma11_forecast(panel, params.select("symbol", "c", "phi", "theta"), model="arima_101_mle")).join(params, "symbol"))
+
+
+register("arma_mle_summary", None)(_arma_mle)
+
 # ---------------------------------------------------------------- J8 Q-Q, K4 AUC bootstrap, I7 master table
 from ripplet.functions.special import normal_quantile_sql  # noqa: E402
 
