@@ -7,7 +7,8 @@ with probability 0.997, closer pairs more surely.  Lines that meet are compared
 their code points).  A bucket is not expanded into all pairs: its members are first compared with the bucket's leader, its
 most frequent line (of near copies, usually the original).  After the union-find, only members outside the leader's
 component are compared with members of other components, and only where exact bounds allow a link, so no link between
-different components of a bucket goes untested.
+different components of a bucket goes untested.  That happens inside the bucket's task, which joins components as it goes
+and sends at most one edge for each, so its output grows with the lines, not with their pairs.
 
 Of each component the first line stays (smallest doc_id, then line number; a null doc_id comes last); rows that repeat
 a doc_id are one document, whose equal lines of equal number stay or go together.  Null and empty texts have no lines.
@@ -16,7 +17,6 @@ a doc_id are one document, whose equal lines of equal number stay or go together
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplet.llm.common import BitTable, connected_components, fresh_name
+from ripplet.llm.words import mix
 from ripplet.session import materialize
 
 CHUNK_CHARS = 1 << 20
@@ -142,66 +143,129 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return lines.join(wanted, "key", "left_semi").dropDuplicates(["key"])
 
 
-def jaccard(a: str, b: str, shingle: int, sets: dict | None = None) -> float:
-    """Exact Jaccard similarity of the shingle sets."""
-    def of(x):
-        got = sets.get(x) if sets is not None else None
+_PACKED = 511  # code points below this fit 9 bits with 0 to spare; seven of them are one exact 64-bit code
+
+
+class LineSets:
+    """Exact shingle sets of distinct lines.  Where all code points are small, a shingle packs into one word and a set is a
+    sorted array; sets of other lines are built of strings when they are compared.  ``size`` and ``bits`` (a bitmap of
+    shingle hashes, the same for both kinds) bound similarities from above."""
+
+    def __init__(self, lines: list[str], shingle: int, bits: bool = False):
+        self.lines, self.shingle, self.strings = lines, shingle, {}
+        self.codes: list[np.ndarray | None] = []
+        self.size = np.zeros(len(lines))
+        self.bits = np.zeros((len(lines), PROFILE_BITS // 64), np.uint64) if bits else None
+        at = 0
+        while at < len(lines):
+            part, chars = [], 0
+            while at + len(part) < len(lines) and chars < CHUNK_CHARS:
+                part.append(lines[at + len(part)])
+                chars += len(part[-1])
+            self._fill(part, at)
+            at += len(part)
+
+    def _fill(self, part: list[str], at: int) -> None:
+        k, size = self.shingle, np.array([len(x) for x in part], np.int64)
+        cps = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        cps = np.append(cps, np.zeros(k, np.uint64))
+        start = np.cumsum(size) - size
+        code = np.zeros(len(cps) - k, np.uint64)
+        for j in range(k):
+            code = (code << np.uint64(9)) | cps[j:len(cps) - k + j]
+        packs = k <= 7
+        for i, (s, n) in enumerate(zip(start.tolist(), size.tolist())):
+            own = cps[s:s + n]
+            if not packs or n < k or int(own.max()) > _PACKED:  # a short line is one shingle of its own length
+                self.codes.append(None)
+                self.size[at + i] = len({part[i][x:x + k] for x in range(max(1, n - k + 1))})
+                continue
+            u = np.sort(code[s:s + n - k + 1])
+            u = u[np.append(True, u[1:] != u[:-1])]
+            self.codes.append(u)
+            self.size[at + i] = len(u)
+        if self.bits is not None:
+            h = np.zeros(len(code), np.uint64)
+            for j in range(k):
+                h = h * np.uint64(_BASE) + cps[j:len(cps) - k + j]
+            count = np.maximum(size - k + 1, 1)
+            owner = np.repeat(np.arange(len(part)), count)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
+            full = size[owner] >= k
+            rows = np.zeros((len(part), PROFILE_BITS), bool)
+            rows[owner[full], (mix(h[place[full]]) >> np.uint64(54)).astype(np.int64) % PROFILE_BITS] = True
+            for i in np.flatnonzero(size < k).tolist():
+                rows[i, hash_bit(part[i])] = True
+            self.bits[at:at + len(part)] = np.packbits(rows, axis=1).view(np.uint64)
+
+    def _strings(self, i: int) -> set[str]:
+        got = self.strings.get(i)
         if got is None:
-            got = {x[i:i + shingle] for i in range(max(1, len(x) - shingle + 1))}
-            if sets is not None:
-                if len(sets) > 2000:
-                    sets.clear()
-                sets[x] = got
+            if len(self.strings) > 500:
+                self.strings.clear()
+            x = self.lines[i]
+            got = self.strings[i] = {x[j:j + self.shingle] for j in range(max(1, len(x) - self.shingle + 1))}
         return got
-    x, y = of(a), of(b)
-    both = len(x & y)
-    return both / (len(x) + len(y) - both)
+
+    def jaccard(self, i: int, j: int) -> float:
+        a, b = self.codes[i], self.codes[j]
+        if a is None or b is None:
+            x, y = self._strings(i), self._strings(j)
+            both = len(x & y)
+            return both / (len(x) + len(y) - both)
+        c = np.concatenate((a, b))
+        c.sort()
+        both = int(np.count_nonzero(c[1:] == c[:-1]))
+        return both / (len(c) - both)
+
+
+def hash_bit(line: str) -> int:
+    return hashlib.md5(line.encode("utf-8", "surrogatepass")).digest()[0]
+
+
+def jaccard(a: str, b: str, shingle: int) -> float:
+    """Exact Jaccard similarity of the shingle sets of two lines."""
+    return LineSets([a, b], shingle).jaccard(0, 1)
 
 
 def _similarities(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """The pairs (a, b) with their exact similarity."""
     def run(batches):
-        sets: dict = {}
         for b in batches:
-            sim = [jaccard(x, y, shingle, sets) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sim, pa.float64())], ["a", "b", "sim"])
+            left, right, at = b.column(2).to_pylist(), b.column(3).to_pylist(), 0
+            while at < len(left):
+                number: dict[str, int] = {}
+                pair, chars = [], 0
+                while at + len(pair) < len(left) and chars < CHUNK_CHARS:
+                    x, y = left[at + len(pair)], right[at + len(pair)]
+                    chars += len(x) + len(y)
+                    pair.append((number.setdefault(x, len(number)), number.setdefault(y, len(number))))
+                sets = LineSets(list(number), shingle)
+                sim = pa.array([sets.jaccard(i, j) for i, j in pair], pa.float64())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(pair)), b.column(1).slice(at, len(pair)), sim], ["a", "b", "sim"])
+                at += len(pair)
     full = (pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("la")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b").select("a", "b", "la", "lb"))
     return full.mapInArrow(run, "a binary, b binary, sim double")
 
 
-def _profiles(texts: DataFrame, shingle: int) -> DataFrame:
-    """(key, size, bits): number of different shingles and a bitmap of their hashes."""
-    def run(batches):
-        for b in batches:
-            sizes, maps = [], []
-            for x in b.column(1).to_pylist():
-                shingles = {x[i:i + shingle] for i in range(max(1, len(x) - shingle + 1))}
-                at = np.fromiter((zlib.crc32(y.encode("utf-8", "surrogatepass")) % PROFILE_BITS for y in shingles), np.int64, len(shingles))
-                bits = np.zeros(PROFILE_BITS, np.uint8)
-                bits[at] = 1
-                sizes.append(len(shingles))
-                maps.append(np.packbits(bits).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.array(maps, pa.binary())], ["key", "size", "bits"])
-    return texts.select("key", "line").mapInArrow(run, "key binary, size int, bits binary")
-
-
-def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, block: int = 1000) -> DataFrame:
-    """(a, b): the pairs of a stray and a member of another component in its bucket that may reach the threshold.
-
-    Each bucket is dealt out in cells of about ``block`` strays and ten times as many members, compared by bounds that
-    never lose a link: 1 - Jaccard is a metric, so the distances to the leader must not differ by more than
-    1 - threshold; and a bit of one line's bitmap that the other's lacks is a shingle the other lacks, which bounds
-    the similarity from above.  Only pairs that pass all bounds leave the task."""
+def _cross_links(label: DataFrame, texts: DataFrame, threshold: float, shingle: int, block: int = 1000) -> DataFrame:
+    """(a, b): links between components that meet in a bucket, as a spanning forest of component roots for each cell.
+
+    Each bucket is dealt out in cells of about ``block`` strays and ten times as many members.  A pair of a stray and a
+    member of another component is first held against bounds that never lose a link: 1 - Jaccard is a metric, so the
+    distances to the leader must not differ by more than 1 - threshold; and a bit of one line's bitmap that the other's
+    lacks is a shingle the other lacks, which bounds the similarity from above.  What passes is compared exactly in the
+    task, unless its components were joined there before.  No pair leaves the task: at most one edge a root does."""
     busy = label.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.col("stray").cast("int")).alias("ns")).where("ns > 0")
     rows = label.join(busy, "h").withColumns({"cells": F.ceil(F.col("ns") / block), "shares": F.ceil(F.col("n") / (10 * block))})
-    rows = rows.join(profiles, "key").select("h", "key", "root", "stray", "sim", "size", "bits", "n", "ns", "cells", "shares")
+    rows = rows.join(texts, "key").select("h", "key", "root", "stray", "sim", "line", "n", "ns", "cells", "shares")
     # a cell is drawn by a hash of the key, so no bucket is sorted or numbered as one group
     sb, mb = F.pmod(F.xxhash64("key", F.lit(1)), F.col("cells")), F.pmod(F.xxhash64("key", F.lit(2)), F.col("shares"))
     strays = rows.where("stray").select("h", sb.alias("sb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("mb"),
-                                        "key", "root", "stray", "sim", "size", "bits", "n", "ns")
+                                        "key", "root", "stray", "sim", "line", "n", "ns")
     members = rows.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("sb"), mb.alias("mb"),
-                          "key", "root", "stray", "sim", "size", "bits", "n", "ns")
+                          "key", "root", "stray", "sim", "line", "n", "ns")
 
     # buckets of one cell share a task's group by a hash; the cells of a large bucket stand alone
     packs = max(1, -(-label.count() // PACK_ROWS))
@@ -210,39 +274,49 @@ def _cross_candidates(label: DataFrame, profiles: DataFrame, threshold: float, b
         whole = (F.col("ns") <= block) & (F.col("n") <= 10 * block)
         return df.withColumn("cell", F.when(whole, F.pmod(F.xxhash64("h"), F.lit(packs))).otherwise(F.xxhash64("h", "sb", "mb")))
 
-    def bitmaps(pdf):
-        return np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
-
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": []})
         left, right = left.sort_values("h", kind="stable"), right.sort_values("h", kind="stable")
         home = right["h"].to_numpy()
         begin, finish = (np.searchsorted(home, left["h"].to_numpy(), side=x).tolist() for x in ("left", "right"))
-        lb, rb = bitmaps(left), bitmaps(right)
-        ls, rs = left["size"].to_numpy(float), right["size"].to_numpy(float)
-        lr, rr = left["root"].to_numpy(), right["root"].to_numpy()
+        number: dict[bytes, int] = {}
+        texts: list[str] = []
+        at_line = []
+        for side in (left, right):
+            for k, t in zip(side["key"], side["line"]):
+                if k not in number:
+                    number[k] = len(texts)
+                    texts.append(t)
+            at_line.append(np.array([number[k] for k in side["key"]]))
+        sets = LineSets(texts, shingle, bits=True)
+        bits, size = sets.bits, sets.size
+        ln, rn = at_line
+        roots = sorted(set(left["root"]) | set(right["root"]))
+        place = {r: i for i, r in enumerate(roots)}
+        lr, rr = (np.array([place[r] for r in side["root"]]) for side in (left, right))
         lk, rk = left["key"].to_numpy(), right["key"].to_numpy()
         lsim, rsim, also = left["sim"].to_numpy(float), right["sim"].to_numpy(float), right["stray"].to_numpy(bool)
-        out_a, out_b = [], []
+        group = np.arange(len(roots))  # components joined in this cell
+
         for i in range(len(left)):
-            at = slice(begin[i], finish[i])  # the members of the stray's bucket
-            near = begin[i] + np.flatnonzero((np.abs(rsim[at] - lsim[i]) <= 1 - threshold + 1e-9)
-                                             & (np.minimum(rs[at], ls[i]) >= threshold * np.maximum(rs[at], ls[i]) - 1e-9))
+            at = np.arange(begin[i], finish[i])  # the members of the stray's bucket
+            mine, other = size[ln[i]], size[rn[at]]
+            near = at[(np.abs(rsim[at] - lsim[i]) <= 1 - threshold + 1e-9) & (np.minimum(other, mine) >= threshold * np.maximum(other, mine) - 1e-9)
+                      & (group[rr[at]] != group[lr[i]])]
             if not len(near):
                 continue
-            only_l = np.bitwise_count(lb[i] & ~rb[near]).sum(axis=1)
-            only_r = np.bitwise_count(rb[near] & ~lb[i]).sum(axis=1)
-            common = np.minimum(ls[i] - only_l, rs[near] - only_r)
-            near = near[common >= threshold * (ls[i] + rs[near] - common) - 1e-9]
-            for j in near.tolist():
-                if lr[i] != rr[j] and (not also[j] or lk[i] > rk[j]):
-                    out_a.append(lk[i])
-                    out_b.append(rk[j])
-        return pd.DataFrame({"a": out_a, "b": out_b})
+            lb, rb, other = bits[ln[i]], bits[rn[near]], size[rn[near]]
+            common = np.minimum(mine - np.bitwise_count(lb & ~rb).sum(axis=1), other - np.bitwise_count(rb & ~lb).sum(axis=1))
+            for j in near[common >= threshold * (mine + other - common) - 1e-9].tolist():
+                u, v = group[lr[i]], group[rr[j]]
+                if u != v and (not also[j] or lk[i] > rk[j]) and sets.jaccard(ln[i], rn[j]) >= threshold:
+                    group[group == max(u, v)] = min(u, v)
+        moved = np.flatnonzero(group != np.arange(len(roots)))
+        return pd.DataFrame({"a": [roots[x] for x in moved.tolist()], "b": [roots[x] for x in group[moved].tolist()]})
     strays, members = named(strays).drop("sb", "mb", "n", "ns"), named(members).drop("sb", "mb", "n", "ns")
     members = members.toDF(*members.columns)  # columns of their own, not those that the strays have
-    return strays.groupBy("cell").cogroup(members.groupBy("cell")).applyInPandas(compare, "a binary, b binary").distinct()
+    return strays.groupBy("cell").cogroup(members.groupBy("cell")).applyInPandas(compare, "a binary, b binary")
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
@@ -282,8 +356,7 @@ def line_components(docs: DataFrame, shingle: int = 7, bands: int = 11, rows: in
     named = sims.select(F.col("a").alias("key"), F.col("b").alias("leader"), "sim")
     label = materialize(label.where("key <> leader").join(main, "h").join(named, ["key", "leader"])
                         .withColumn("stray", F.expr("root <> main")), "line-labels")
-    cross = _cross_candidates(label, _profiles(texts, shingle), threshold)
-    more = materialize(_similarities(cross, texts, shingle).where(F.col("sim") >= threshold).select("a", "b"), "line-links")
+    more = materialize(_cross_links(label, texts, threshold, shingle), "line-links")
     if more.isEmpty():
         return lines.select("doc_id", "line_no", "key"), comp
     return lines.select("doc_id", "line_no", "key"), connected_components(links.union(more), "lines")
@@ -294,9 +367,11 @@ def removed_lines(docs: DataFrame, **options) -> DataFrame:
     lines, comp = line_components(docs, **options)
     named = lines.join(comp.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     named = materialize(named.select("root", "doc_id", "line_no"), "line-roots")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")
-    first = named.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    gone = named.join(first, "root").where(~place.eqNullSafe(F.col("first")))
+    # (doc_id, line_no) as one number, which a hash aggregate takes; beyond all of them where the doc_id is null
+    place = F.coalesce(F.col("doc_id").cast("decimal(38,0)") * (1 << 32), F.lit("1" + "0" * 37).cast("decimal(38,0)")) + F.col("line_no")
+    named = named.withColumn("place", place.cast("decimal(38,0)"))
+    first = materialize(named.groupBy("root").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "line-firsts")
+    gone = named.join(first, "root").where("place <> first")
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 
 

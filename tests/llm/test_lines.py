@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from ripplet.llm import lines
+from ripplet.llm.common import local_components
 from ripplet.sources.tables import read_table
 from tests.conftest import SF_SMALL
 
@@ -97,10 +98,31 @@ def test_no_bucket_is_numbered_as_one_group(spark):
     got = lines._buckets(spark.createDataFrame(entries, "key binary, bands array<long>"))
     assert sorted((r.h, bytes(r.key), bytes(r.leader)) for r in got.collect()) == [(7, k, keys[4]) for k in keys] + [(9, k, keys[2]) for k in keys[1:3]]
     label = spark.createDataFrame([(7, k, k if i % 3 else keys[0], i % 3 > 0, 0.9) for i, k in enumerate(keys)], "h long, key binary, root binary, stray boolean, sim double")
-    profiles = spark.createDataFrame([(k, 10, b"\x01" * 128) for k in keys], "key binary, size int, bits binary")
-    cross = lines._cross_candidates(label, profiles, 0.8, block=2)  # many cells
+    # lines 0..14 are near each other, as are 15..29: every cell joins what it holds, and no cell sends more edges than roots
+    texts = spark.createDataFrame([(k, ("a" * 60 if i < 15 else "b" * 60) + "0123456789" + f"{i % 15:x}") for i, k in enumerate(keys)], "key binary, line string")
+    cross = lines._cross_links(label, texts, 0.6, 7, block=2)  # many cells
     root = {k: k if i % 3 else keys[0] for i, k in enumerate(keys)}
-    pairs = [(bytes(r.a), bytes(r.b)) for r in cross.collect()]
-    assert len(pairs) == len(set(pairs)) and {frozenset(p) for p in pairs} == {frozenset((a, b)) for a in keys for b in keys if root[a] != root[b]}
+    edges = [(bytes(r.a), bytes(r.b)) for r in cross.collect()]
+    place = {r: i for i, r in enumerate(sorted(set(root.values())))}
+    p = local_components(len(place), np.array([place[a] for a, _ in edges]), np.array([place[b] for _, b in edges]))
+    group = [p[place[root[k]]] for k in keys]
+    assert len({group[i] for i in range(15) if i % 3}) == 1 == len({group[i] for i in range(15, 30) if i % 3})
+    assert len(edges) <= 20 * 30
     for df in (got, cross):
         assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("alphabet", ["ab ", "abcdefghiñßé .,", "".join(map(chr, range(0x4E00, 0x4E00 + 3000)))])
+def test_shingle_sets_are_exact_and_bounds_hold(alphabet):
+    rng = np.random.default_rng(2)
+    texts = ["a", "abc", "abcdefg", "\x00" * 9] + ["".join(rng.choice(list(alphabet), n)) for n in (3, 7, 8, 40, 300, 1000)]
+    texts += [t[:20] + "x" + t[20:] for t in texts[-3:]]
+
+    def shingles(t):
+        return {t[i:i + 7] for i in range(max(1, len(t) - 6))}
+    sets = lines.LineSets(texts, 7, bits=True)
+    for i, x in enumerate(texts):
+        for j, y in enumerate(texts):
+            a, b = shingles(x), shingles(y)
+            assert sets.jaccard(i, j) == len(a & b) / len(a | b) and sets.size[i] == len(a)
+            assert np.bitwise_count(sets.bits[i] & ~sets.bits[j]).sum() <= len(a - b)
