@@ -55,6 +55,7 @@ class Spec:
     rows: float = 0.85
     columns: float = 0.85
     seed: int = 42
+    pos_weight: float = 1.0  # weight of the train rows of class 1 (G4)
 
 
 @dataclass
@@ -211,11 +212,11 @@ class _Batch:
         self.kept = None if kept.null_count else np.frombuffer(b"".join(kept.to_pylist()), np.float64).reshape(n, models)
 
 
-def _gradients(task: str, y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if task == "regression":
+def _gradients(s: Spec, y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if s.task == "regression":
         return margin - y, np.ones(len(y))
-    p = 1 / (1 + np.exp(-margin))
-    return p - y, np.maximum(p * (1 - p), 1e-16)
+    p, w = 1 / (1 + np.exp(-margin)), np.where(y > 0.5, s.pos_weight, 1.0)
+    return w * (p - y), np.maximum(w * p * (1 - p), 1e-16)
 
 
 def _loss(task: str, y: np.ndarray, margin: np.ndarray) -> np.ndarray:
@@ -278,7 +279,7 @@ def grow_alone(b: _Batch, s: Spec, base: float, bins: int) -> tuple[list[Tree],
         step = len(trees)
         cols = sampled_columns(s, step, x.shape[1])
         rows = np.flatnonzero(train & (_uniform(b.key, s.seed, step) < s.rows) if s.rows < 1 else train)
-        g, h = _gradients(s.task, y[rows], margin[rows])
+        g, h = _gradients(s, y[rows], margin[rows])
         tree, at, xs = Tree.empty(s.depth), np.zeros(len(rows), np.int64), x[rows].astype(np.int64)
         for depth in range(s.depth):
             here = np.flatnonzero(at >= (1 << depth) - 1)
@@ -393,7 +394,7 @@ class _Run:
                     here = at >= first
                     if not here.any():
                         continue
-                    g, h = _gradients(s.task, y[use][here], out[use][here])
+                    g, h = _gradients(s, y[use][here], out[use][here])
                     cell = (((at[here] - first)[:, None] * len(cols[m]) + np.arange(len(cols[m]))) * bins + x[here][:, cols[m]]).ravel()
                     used, cell = np.unique(cell, return_inverse=True)
                     part = np.zeros(len(used), _CELL)

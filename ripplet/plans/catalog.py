@@ -878,7 +878,7 @@ FROM gd JOIN nm ON nm.qid = gd.qid AND nm.rk = gd.rk""")(
 # ---------------------------------------------------------------- G6 model x technique matrix (rows-only)
 def _technique_matrix(spark, d):
     res = materialize(G.balancing_experiment(_ml_panel(spark, d)), "balancing_results")
-    auc = res.groupBy("symbol", "model").pivot("technique", ["none", "class_weight", "undersample_10pct"]) \
+    auc = res.groupBy("symbol", "model").pivot("technique", ["none", "undersample", "class_weight", "smote", "adasyn"]) \
              .agg(F.first("auc"))
     return _r(auc)
 

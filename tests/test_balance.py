@@ -58,3 +58,53 @@ def test_knn_matches_numpy(spark):
         v = np.asarray(x.embedding, float)
         d = sorted((float(np.sqrt(((v - y) ** 2).sum())), i) for i, y in R)[:5]
         assert [rid for _, rid in sorted(got[x.vec_id])] == [i for _, i in d]
+
+
+def test_resampling_happens_in_fit_only(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from ripplet.operators import balance as G
+    rng = np.random.default_rng(4)
+    y = (rng.random(400) < 0.15).astype(int)
+    rows = [(i, float(a + 1.5 * t), float(b - t), int(t)) for i, (a, b, t) in enumerate(zip(rng.normal(size=400), rng.normal(size=400), y))]
+    df = spark.createDataFrame(rows, "id long, f0 double, f1 double, y int")
+    vectors = VectorAssembler(inputCols=["f0", "f1"], outputCol="features")
+    ready = vectors.transform(df)
+    n1, n0 = int(y.sum()), int((1 - y).sum())
+    count = lambda t: {r.y: (r["count"], r.w) for r in G.resample(ready, t, "y", "id").groupBy("y").agg(
+        F.count("*").alias("count"), F.sum("weight").alias("w")).collect()}
+    assert count("none") == {0: (n0, n0), 1: (n1, n1)} and count("smote")[1][0] == n0
+    assert abs(count("adasyn")[1][0] - n0) <= 0.1 * n0
+    assert count("class_weight")[0][0] == n0 and abs(count("class_weight")[0][1] - 200) < 1e-6 > abs(count("class_weight")[1][1] - 200)
+    recall = {}
+    for t in ("none", "smote", "adasyn", "class_weight"):
+        est = LogisticRegression(featuresCol="features", labelCol="y", regParam=0.01)
+        model = Pipeline(stages=[vectors, G.Resampled(est, t, "y", "id")]).fit(df)
+        scored = model.transform(df)
+        assert scored.count() == 400 and type(model.stages[-1]).__name__ == "LogisticRegressionModel"
+        recall[t] = scored.where("y = 1 AND prediction = 1").count() / n1
+    assert min(recall["smote"], recall["adasyn"], recall["class_weight"]) > recall["none"]
+
+
+def test_pivot_join_is_exact_and_visits_few_cells(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 6)) * 20
+    refs = np.concatenate([c + rng.normal(size=(60, 6)) for c in centres] + [np.repeat(centres[:1], 300, axis=0)])  # and a hot group of copies
+    queries = np.concatenate([refs[::25], rng.normal(size=(20, 6)) * 20])
+    frame = lambda x, name: spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], f"{name} long, vec array<double>")
+    for k, block, same in ((5, 4096, False), (5, 40, True), (400, 100, False), (2000, 4096, False)):
+        log = []
+        got = KNN.knn_join(frame(queries, "qid"), frame(refs, "rid"), k, exclude_self=same, block_rows=block, log=log).collect()
+        want = set()
+        for q in range(len(queries)):
+            d = np.sqrt(((refs - queries[q]) ** 2).sum(axis=1))
+            order = [j for j in np.lexsort((np.arange(len(refs)), d)) if not (same and j == q)][:k]
+            want |= {(q, int(j), r + 1) for r, j in enumerate(order)}
+        assert {(r.qid, r.rid, r["rank"]) for r in got} == want
+        if k == 5:
+            size = log[2]
+            pairs = sum(int(size[r.cell]) for visits in log[:2] for r in visits.collect())
+            assert pairs < 0.5 * len(queries) * len(refs)
+    assert KNN.knn_join(frame(queries, "qid"), frame(refs, "rid").limit(0), 3).count() == 0
