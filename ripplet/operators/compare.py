@@ -78,17 +78,22 @@ def bonferroni(tests: DataFrame, alpha: float = 0.05, keys=("symbol",)) -> DataF
                               "significant_bonferroni": F.col("p_value") < (F.lit(alpha) / k)})
 
 
-def _draws(base: DataFrame, part: list[str], n_boot: int, seed: int) -> DataFrame:
-    """(part, b, _idx): ``_n`` index draws with replacement per replicate.  index(b, j) is a hash of (seed, b, j)
-    (X4), so the draw is reproducible and independent of partitioning; every row expands into its own B draws."""
-    return (base.select(*part, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-                .withColumn("_idx", F.expr(index_sql(str(seed), "b", "_pos", "_n"))))
+def _draws(rows: DataFrame, part: list[str], n_boot: int, seed: int) -> DataFrame:
+    """(part, _n, b, _idx): ``_n`` index draws with replacement per replicate.  index(b, j) is a hash of (seed, b, j) (X4), so the
+    draw is reproducible, independent of partitioning, and the same for all models of a series with as many rows:
+    it is made once for them."""
+    return (rows.select(*part, "_pos", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
+                .select(*part, "_n", "b", F.expr(index_sql(str(seed), "b", "_pos", "_n")).alias("_idx")))
 
 
-def _positioned(long: DataFrame, part: list[str], order: str, name: str) -> DataFrame:
-    """Rows of each (series, model) numbered 0..n-1; written once, since draws and drawn rows both read them."""
-    return materialize(long.withColumns({"_pos": F.row_number().over(Window.partitionBy(*part).orderBy(order)) - 1,
-                                         "_n": F.count(F.lit(1)).over(Window.partitionBy(*part))}), name)
+def _positioned(long: DataFrame, part: list[str], order: str, values: list[str], models, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of each (series, model) numbered 0..n-1, and the same as one row per (series, n, position) with a column
+    ``<value>_<i>`` for model number i.  Written once, since draws and drawn rows both read them."""
+    base = materialize(long.withColumns({"_pos": F.row_number().over(Window.partitionBy(*part, "model").orderBy(order)) - 1,
+                                         "_n": F.count(F.lit(1)).over(Window.partitionBy(*part, "model"))}), name)
+    wide = base.groupBy(*part, "_n", "_pos").agg(*[F.max(F.when(F.col("model") == m, F.col(v))).alias(f"{v}_{i}")
+                                                   for i, m in enumerate(models) for v in values])
+    return base, materialize(wide, f"{name}-wide")
 
 
 def _percentile_ci(rep: DataFrame, part: list[str], value: str, alpha: float, *more) -> DataFrame:
@@ -101,14 +106,14 @@ def bootstrap_rmse_ci(wide: DataFrame, models, y: str = "target_vol", n_boot: in
     """K3: percentile bootstrap CI of RMSE per (symbol, model), on the rows that model has.
 
     Replicate b draws n positions with replacement and joins back the squared errors drawn."""
-    part = [*keys, "model"]
+    part, models = [*keys, "model"], list(models)
     long = wide.select(*keys, order, F.inline(F.array(*[
         F.struct(F.lit(m).alias("model"), ((F.col(m) - F.col(y)) ** 2).alias("_e")) for m in models]))).where("_e IS NOT NULL")
-    base = _positioned(long, part, order, "bootstrap_rmse_base")
-    errs = base.select(*part, F.col("_pos").alias("_idx"), "_e")
-    rep = (_draws(base, part, n_boot, seed).join(errs, [*part, "_idx"])
-           .groupBy(*part, "b").agg(F.sqrt(F.avg("_e")).alias("rmse_b")))
-    return base.groupBy(*part).agg(F.sqrt(F.avg("_e")).alias("rmse")).join(_percentile_ci(rep, part, "rmse_b", alpha), part)
+    base, errs = _positioned(long, list(keys), order, ["_e"], models, "bootstrap_rmse_base")
+    drawn = _draws(errs, list(keys), n_boot, seed).join(errs.withColumnRenamed("_pos", "_idx"), [*keys, "_n", "_idx"])
+    rep = drawn.groupBy(*keys, "_n", "b").agg(*[F.sqrt(F.avg(f"_e_{i}")).alias(f"_r{i}") for i in range(len(models))])
+    rep = rep.select(*keys, F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_r{i}").alias("rmse_b")) for i, m in enumerate(models)])))
+    return base.groupBy(*part).agg(F.sqrt(F.avg("_e")).alias("rmse")).join(_percentile_ci(rep.where("rmse_b IS NOT NULL"), part, "rmse_b", alpha), part)
 
 
 #: Cumulative Poisson(1) probabilities P(X <= k), k = 0..15; beyond, less than 1e-13 is left.
@@ -186,11 +191,13 @@ def bootstrap_auc_ci(wide: DataFrame, models, label: str = "target_regime", n_bo
     part = [*keys, "model"]
     long = wide.where(F.col(label).isNotNull()).select(*keys, order, F.col(label).cast("int").alias("_y"), F.inline(F.array(*[
         F.struct(F.lit(m).alias("model"), F.col(m).alias("score")) for m in models]))).where("score IS NOT NULL")
-    base = _positioned(long, part, order, "bootstrap_auc_base")
-    rows = base.select(*part, F.col("_pos").alias("_idx"), "_y", "score")
-    # Multiplicity of every drawn row per replicate, then one row per (replicate, score).
-    mult = _draws(base, part, n_boot, seed).groupBy(*part, "b", "_idx").agg(F.count(F.lit(1)).alias("_w"))
-    c = mult.join(rows, [*part, "_idx"]).groupBy(*part, "b", "score").agg(
+    models = list(models)
+    _, rows = _positioned(long, list(keys), order, ["_y", "score"], models, "bootstrap_auc_base")
+    # Multiplicity of every drawn row per replicate, then one row per (replicate, score) of each model.
+    mult = _draws(rows, list(keys), n_boot, seed).groupBy(*keys, "_n", "b", "_idx").agg(F.count(F.lit(1)).alias("_w"))
+    each = mult.join(rows.withColumnRenamed("_pos", "_idx"), [*keys, "_n", "_idx"]).select(*keys, "b", "_w", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(f"_y_{i}").alias("_y"), F.col(f"score_{i}").alias("score")) for i, m in enumerate(models)])))
+    c = each.where("score IS NOT NULL").groupBy(*part, "b", "score").agg(
         F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col("_y") == 0, F.col("_w")).otherwise(0)).alias("neg"))
     wc = Window.partitionBy(*part, "b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
