@@ -101,19 +101,29 @@ def _percentile_ci(rep: DataFrame, part: list[str], value: str, alpha: float, *m
                                   F.percentile(value, F.lit(1 - alpha / 2)).alias("ci_hi"), F.count(value).alias("n_boot"), *more)
 
 
-def bootstrap_rmse_ci(wide: DataFrame, models, y: str = "target_vol", n_boot: int = 2000,
-                      alpha: float = 0.05, seed: int = 42, keys=("symbol",), order: str = "date") -> DataFrame:
-    """K3: percentile bootstrap CI of RMSE per (symbol, model), on the rows that model has.
+def bootstrap_metric_ci(wide: DataFrame, models, metric, name: str = "value", y: str = "target_vol", n_boot: int = 2000,
+                        alpha: float = 0.05, seed: int = 42, keys=("symbol",), order: str = "date") -> DataFrame:
+    """K3 for any metric: percentile bootstrap CI per (symbol, model), on the rows that model has: (keys, model, ``name``,
+    ci_lo, ci_hi, n_boot).
 
-    Replicate b draws n positions with replacement and joins back the squared errors drawn."""
+    ``metric``: (y_true, y_pred) columns -> an aggregate column, e.g. ``lambda y, p: F.avg(F.abs(p - y))``.  Replicate b draws n
+    positions with replacement and joins back the rows drawn."""
     part, models = [*keys, "model"], list(models)
     long = wide.select(*keys, order, F.inline(F.array(*[
-        F.struct(F.lit(m).alias("model"), ((F.col(m) - F.col(y)) ** 2).alias("_e")) for m in models]))).where("_e IS NOT NULL")
-    base, errs = _positioned(long, list(keys), order, ["_e"], models, "bootstrap_rmse_base")
-    drawn = _draws(errs, list(keys), n_boot, seed).join(errs.withColumnRenamed("_pos", "_idx"), [*keys, "_n", "_idx"])
-    rep = drawn.groupBy(*keys, "_n", "b").agg(*[F.sqrt(F.avg(f"_e_{i}")).alias(f"_r{i}") for i in range(len(models))])
-    rep = rep.select(*keys, F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_r{i}").alias("rmse_b")) for i, m in enumerate(models)])))
-    return base.groupBy(*part).agg(F.sqrt(F.avg("_e")).alias("rmse")).join(_percentile_ci(rep.where("rmse_b IS NOT NULL"), part, "rmse_b", alpha), part)
+        F.struct(F.lit(m).alias("model"), F.col(y).cast("double").alias("_t"), F.col(m).cast("double").alias("_p")) for m in models])))
+    base, rows = _positioned(long.where("_t IS NOT NULL AND _p IS NOT NULL"), list(keys), order, ["_t", "_p"], models, "bootstrap_base")
+    drawn = _draws(rows, list(keys), n_boot, seed).join(rows.withColumnRenamed("_pos", "_idx"), [*keys, "_n", "_idx"])
+    rep = drawn.groupBy(*keys, "_n", "b").agg(*[c for i in range(len(models)) for c in (
+        metric(F.col(f"_t_{i}"), F.col(f"_p_{i}")).alias(f"_r{i}"), F.count(f"_t_{i}").alias(f"_c{i}"))])
+    rep = rep.select(*keys, F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.when(F.col(f"_c{i}") > 0, F.col(f"_r{i}")).alias("_v"))
+                                               for i, m in enumerate(models)])))
+    point = base.groupBy(*part).agg(metric(F.col("_t"), F.col("_p")).alias(name))
+    return point.join(_percentile_ci(rep.where("_v IS NOT NULL"), part, "_v", alpha), part)
+
+
+def bootstrap_rmse_ci(wide: DataFrame, models, **options) -> DataFrame:
+    """K3: percentile bootstrap CI of RMSE per (symbol, model)."""
+    return bootstrap_metric_ci(wide, models, lambda y, p: F.sqrt(F.avg((p - y) * (p - y))), "rmse", **options)
 
 
 #: Cumulative Poisson(1) probabilities P(X <= k), k = 0..15; beyond, less than 1e-13 is left.

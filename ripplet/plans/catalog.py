@@ -375,6 +375,10 @@ SELECT symbol, model, {O.sql_rnd('rmse')} AS rmse, {O.sql_rnd('ci_lo')} AS ci_lo
 FROM pt JOIN ci USING (symbol, model)""")(
     lambda spark, d: _r(K.bootstrap_rmse_ci(daily_wide_test(spark, d), MODELS, n_boot=_B)))
 
+register("bootstrap_mae_ci", REGISTRY["bootstrap_rmse_ci"][1].replace("(y_pred - y_true) * (y_pred - y_true) AS e2", "abs(y_pred - y_true) AS e2")
+         .replace("sqrt(avg(bt.e2))", "avg(bt.e2)").replace("sqrt(avg(e2))", "avg(e2)").replace("rmse", "mae"))(
+    lambda spark, d: _r(K.bootstrap_metric_ci(daily_wide_test(spark, d), MODELS, lambda y, p: F.avg(F.abs(p - y)), "mae", n_boot=_B)))
+
 register("midranks", f"""{_DAILY_PREDS}
 SELECT symbol, model, date, rank() OVER (PARTITION BY symbol, model ORDER BY y_pred)
        + (count(*) OVER (PARTITION BY symbol, model, y_pred) - 1) / 2.0 AS midrank
@@ -542,6 +546,36 @@ def _ml_cls_metrics(spark, d):
 
 register("ml_classification_metrics", None)(_ml_cls_metrics)
 
+
+def _all_models_wide(spark, d, long: DataFrame, value: str) -> tuple[DataFrame, list[str]]:
+    """Test rows with a column for each econometric forecaster and each fitted model."""
+    fitted = materialize(long.where("split = 'test'").select("symbol", "date", "model", value), "fitted_test")
+    names = sorted(r.model for r in fitted.select("model").distinct().collect())
+    wide = fitted.groupBy("symbol", "date").pivot("model", names).agg(F.first(value))
+    return materialize(daily_wide_test(spark, d).join(wide, ["symbol", "date"]), "all_models_wide"), names
+
+
+def _dm_fitted(spark, d):
+    """DM test of every pair of forecasters, fitted models included."""
+    wide, names = _all_models_wide(spark, d, ml_regression(spark, d)[0], "y_pred")
+    return _r(K.bonferroni(K.diebold_mariano(wide, [*MODELS, *names])), {"statistic": 6})
+
+
+register("dm_pairs_fitted", None)(_dm_fitted)
+
+
+def _delong_fitted(spark, d):
+    """DeLong test of every pair of regime classifiers (fitted scores) and forecasters (score = forecast)."""
+    panel = _ml_panel(spark, d)
+    ests = {k: v for k, v in MD.classification_estimators(panel.where(F.col("split") == "train")).items() if k in ("tree", "rf", "gaussian_nb")}
+    long = MD.fit_and_evaluate(panel, ests, "classification", "target_regime")[0].unionByName(
+        MD.predictions_long(MD.fit_gbt(panel, "classification", "target_regime"), panel, "gbt", "classification", "target_regime"))
+    wide, names = _all_models_wide(spark, d, long, "score")
+    return _r(K.bonferroni(K.delong(wide, [*MODELS, *names])), {"statistic": 6})
+
+
+register("delong_pairs_fitted", None)(_delong_fitted)
+
 # ---------------------------------------------------------------- streaming (stream == batch)
 from ripplet.streaming import bars as SB  # noqa: E402
 
@@ -554,6 +588,20 @@ def _stream_bars(spark, d):
 
 register("stream_bars_hourly", REGISTRY["bars_hourly"][1])(_stream_bars)
 
+# statistics merged over micro-batches equal those of the whole table
+from ripplet.streaming import incremental as SI  # noqa: E402
+
+
+def _incremental_nb(spark, d):
+    schema = read_table(spark, d, "embeddings").schema
+    sink = SI.run_incremental_gnb(spark, os.path.join(d, "embeddings.parquet"), schema)
+    return _r(SI.merged_stats(spark, sink).select("class", "j", "n", "mean", "m2"), {"mean": 7, "m2": 6})
+
+
+register("incremental_nb_stats", f"""
+WITH l AS (SELECT label AS class, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+SELECT class, j, count(x) AS n, {O.sql_rnd('avg(x)', 7)} AS mean, {O.sql_rnd('var_pop(x) * count(x)', 6)} AS m2 FROM l GROUP BY class, j""")(_incremental_nb)
+
 # ---------------------------------------------------------------- E4-E7 fitted econometric models (closed-form checks)
 from ripplet.operators import arma_garch as AG  # noqa: E402
 
@@ -638,6 +686,23 @@ SELECT family, symbol, split, model, {O.sql_rnd('rmse')} AS rmse, {O.sql_rnd('ma
                           ORDER BY CASE WHEN family = 'forecast' THEN rmse ELSE -auc END, model) AS rank
 FROM u""")(_master)
 
+register("residuals_vs_prediction", f"""{_DAILY_PREDS}
+SELECT symbol, model, date, {O.sql_rnd('y_pred')} AS y_pred, {O.sql_rnd('y_true - y_pred')} AS e FROM preds WHERE split = 'test'""")(
+    lambda spark, d: _r(J.residuals_vs_prediction(daily_preds(spark, d))))
+
+# D8 valid rows, A2 cleaned range
+from ripplet.operators.splits import valid_rows  # noqa: E402
+from ripplet.sources.bars import clean_range  # noqa: E402
+
+register("valid_row_counts", f"""{_PANEL}
+SELECT symbol, split, count(*) AS n_rows FROM panel WHERE target_vol IS NOT NULL AND target_regime IS NOT NULL GROUP BY ALL""")(
+    lambda spark, d: valid_rows(daily_panel(spark, d), ("target_vol", "target_regime")).groupBy("symbol", "split").agg(F.count(F.lit(1)).alias("n_rows")))
+
+register("bars_clean_range", f"""
+WITH b AS ({O.daily_bars_sql()})
+SELECT {O.select_rounded(BAR_COLS, SIX)} FROM b WHERE close IS NOT NULL AND date BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'""")(
+    lambda spark, d: _r(clean_range(daily_bars_from_lineitem(spark, d), "1994-01-01", "1996-12-31")))
+
 # ---------------------------------------------------------------- H search (rows-only)
 from ripplet.operators import search as H  # noqa: E402
 
