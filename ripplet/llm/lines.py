@@ -29,6 +29,7 @@ from ripplet.llm.words import mix
 from ripplet.session import materialize
 
 CHUNK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 15
 FILTER_BITS = 26
 PROFILE_BITS = 1024
 PACK_ROWS = 20_000
@@ -40,32 +41,55 @@ def _families(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
+def _blocks(lines: list[str]):
+    """Consecutive lines of about BLOCK_CHARS: arrays of that size stay in a core's cache."""
+    at = 0
+    while at < len(lines):
+        stop, chars = at, 0
+        while stop < len(lines) and chars < BLOCK_CHARS:
+            chars += len(lines[stop])
+            stop += 1
+        yield at, lines[at:stop]
+        at = stop
+
+
+def _hashes(cps: np.ndarray, shingle: int, n: int) -> np.ndarray:
+    """Polynomial hash of the ``shingle`` code points from each of the first ``n`` places; ``cps`` holds as many more."""
+    h = np.zeros(n, np.uint64)
+    for j in range(shingle):
+        np.multiply(h, np.uint64(_BASE), out=h)
+        np.add(h, cps[j:j + n], out=h)
+    return h
+
+
+def _code_points(lines: list[str], more: int) -> np.ndarray:
+    cps = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = np.zeros(len(cps) + more, np.uint64)
+    np.add(cps, np.uint64(1), out=out[:len(cps)], casting="unsafe")
+    return out
+
+
 def signatures(lines: list[str], shingle: int, n: int) -> np.ndarray:
     """(len(lines), n) MinHash values of non-empty lines."""
-    size = np.array([len(x) for x in lines], np.int64)
-    cps = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    h = np.zeros(len(cps), np.uint64)
-    for j in range(shingle):  # polynomial hash of the next code points; those beyond the line's end are cut below
-        h = h * np.uint64(_BASE)
-        h[:max(len(cps) - j, 0)] += cps[j:].astype(np.uint64) + np.uint64(1)
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h >> np.uint64(32)).astype(np.uint32)
-    start = np.cumsum(size) - size
-    count = np.maximum(size - shingle + 1, 1)
-    short = np.flatnonzero(size < shingle)
-    for i in short.tolist():  # one shingle: the whole line
-        h[start[i]] = int.from_bytes(hashlib.md5(lines[i].encode("utf-8", "surrogatepass")).digest()[:4], "little")
-    tail = np.repeat(start + count, size)
-    keep = np.arange(len(cps)) < tail
-    h = h[keep]
-    cut = np.cumsum(count) - count
     out = np.empty((len(lines), n), np.uint32)
     a, b = _families(n)
-    v = np.empty_like(h)
-    for k in range(n):
-        np.multiply(h, a[k], out=v)
-        np.add(v, b[k], out=v)
-        out[:, k] = np.minimum.reduceat(v, cut)
+    for at, part in _blocks(lines):
+        size = np.fromiter(map(len, part), np.int64, len(part))
+        total = int(size.sum())
+        h = _hashes(_code_points(part, shingle), shingle, total)  # shingles beyond their line's end are cut below
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h >> np.uint64(32)).astype(np.uint32)
+        start = np.cumsum(size) - size
+        count = np.maximum(size - shingle + 1, 1)
+        for i in np.flatnonzero(size < shingle).tolist():  # one shingle: the whole line
+            h[start[i]] = int.from_bytes(hashlib.md5(part[i].encode("utf-8", "surrogatepass")).digest()[:4], "little")
+        h = h[np.arange(total) < np.repeat(start + count, size)]
+        cut = np.cumsum(count) - count
+        v = np.empty_like(h)
+        for k in range(n):
+            np.multiply(h, a[k], out=v)
+            np.add(v, b[k], out=v)
+            out[at:at + len(part), k] = np.minimum.reduceat(v, cut)
     return out
 
 
@@ -156,19 +180,12 @@ class LineSets:
         self.codes: list[np.ndarray | None] = []
         self.size = np.zeros(len(lines))
         self.bits = np.zeros((len(lines), PROFILE_BITS // 64), np.uint64) if bits else None
-        at = 0
-        while at < len(lines):
-            part, chars = [], 0
-            while at + len(part) < len(lines) and chars < CHUNK_CHARS:
-                part.append(lines[at + len(part)])
-                chars += len(part[-1])
+        for at, part in _blocks(lines):
             self._fill(part, at)
-            at += len(part)
 
     def _fill(self, part: list[str], at: int) -> None:
         k, size = self.shingle, np.array([len(x) for x in part], np.int64)
-        cps = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
-        cps = np.append(cps, np.zeros(k, np.uint64))
+        cps = _code_points(part, k)
         start = np.cumsum(size) - size
         code = np.zeros(len(cps) - k, np.uint64)
         for j in range(k):
@@ -185,9 +202,7 @@ class LineSets:
             self.codes.append(u)
             self.size[at + i] = len(u)
         if self.bits is not None:
-            h = np.zeros(len(code), np.uint64)
-            for j in range(k):
-                h = h * np.uint64(_BASE) + cps[j:len(cps) - k + j]
+            h = _hashes(cps, k, len(code))
             count = np.maximum(size - k + 1, 1)
             owner = np.repeat(np.arange(len(part)), count)
             place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
