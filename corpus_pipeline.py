@@ -27,6 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one, exactly or nearly, go; a document goes if that takes all its text."""
     kept = lines.keep_first_lines(docs)
+    if "n_chars" not in docs.columns:
+        return kept
     return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
