@@ -10,23 +10,24 @@ pass, and others only by collision.  The second pass leaves out the windows whos
 rest into the maximal pieces whose windows share a short anchor, and sends each piece to the bucket of that anchor.
 A chunk sends equal pieces once, and equal pieces are aggregated before matching, so a passage that a third of all documents share is one row.
 
-Matching.  The distinct pieces of a bucket, in the order of their first document, become a run-length index: the
+Matching.  A short anchor with one distinct piece has nothing else to match: all documents after its first lose the piece.
+The other distinct pieces of a bucket, in the order of their first document, become a run-length index: the
 Burrows-Wheeler transform of the collection is kept as runs (starts, symbols, counts) with the text positions at run
 ends as samples.  Streaming the pieces through LF steps, all at once from their last byte to the first, gives the row of
 every window; rows that agree on ``length`` bytes form an interval, for which the index holds the first document.
 A window whose interval starts in an earlier document is a long match (its matching statistic reaches ``length``).
 
 Null and empty texts have no byte.  A null doc_id is no document to compare with: such rows stay whole and mark nothing.
-Rows that repeat a doc_id are one document; their texts are told apart by a hash.  Extra columns are not read.
+Rows that repeat a doc_id are one document; their texts are told apart by a hash.  Extra columns are not read.  A very long
+text is cut into parts that overlap by ``length - 1`` bytes; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ from ripplet.session import materialize
 
 TABLE_BITS = 27  # 16 MB
 ROW_BITS = 25
-BUCKET_BYTES = 1 << 20  # input text per bucket; a bucket holds a few times its shared part
+CHUNK_BYTES = 3 << 19  # text whose anchors are found at once
+BUCKET_BYTES = 1 << 19  # input text per bucket; a bucket holds a few times its shared part
 PACK = 4  # symbols of the first sort key
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _POWERS: list[np.ndarray] = []
@@ -86,6 +88,19 @@ class Anchors:
         return inside[head], inside[last], at[head], h[at[head]], r[head]
 
 
+def bounded_rows(offsets: np.ndarray, length: int, limit: int = CHUNK_BYTES):
+    """(first byte, last byte, offsets inside, first row, bytes of that row before) of bounded parts.  A row longer than
+    ``limit`` is cut into parts that overlap by ``length - 1`` bytes, so each window is in exactly one."""
+    for i, j in row_chunks(offsets, limit):
+        start, stop = int(offsets[i]), int(offsets[j])
+        if j > i + 1 or stop - start <= limit:
+            yield start, stop, offsets[i:j + 1] - start, i, 0
+            continue
+        for at in range(start, max(start + 1, stop - length + 1), limit):
+            end = min(at + limit + length - 1, stop)
+            yield at, end, np.array([0, end - at]), i, at - start
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     """Sorted distinct 32-bit integers as compressed byte planes of their differences."""
     delta = np.diff(values, prepend=np.uint32(0)).astype("<u4")
@@ -224,8 +239,8 @@ def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitT
     def run(batches):
         for b in batches:
             flat, offsets = flat_text(b.column(0))
-            for i, j in row_chunks(offsets):
-                _, _, _, h, row = Anchors(flat[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], length).of(gram)
+            for x, y, inside, _, _ in bounded_rows(offsets, length):
+                _, _, _, h, row = Anchors(flat[x:y], inside, length).of(gram)
                 if not len(h):
                     continue
                 key = h >> np.uint64(32 - part_bits)
@@ -265,20 +280,20 @@ def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram
         for b in batches:
             flat, offsets = flat_text(b.column(1))
             doc, tid = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
-            for i, j in row_chunks(offsets):
-                part = flat[offsets[i]:offsets[j]]
-                anchors = Anchors(part, offsets[i:j + 1] - offsets[i], length)
+            for x, y, inside, i, before in bounded_rows(offsets, length):
+                part = flat[x:y]
+                anchors = Anchors(part, inside, length)
                 first, last, _, h, _ = anchors.of(filter_gram)
                 # a window that another document holds has its long anchor there, too
                 passing = BitTable.test(table, (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
                 start, last, _, h, row = anchors.of(gram, np.repeat(passing, last - first + 1))
                 if not len(start):
                     continue
-                stop, row = last + length, row + i
+                stop, place, row = last + length, start - inside[row] + before, row + i
                 raw = part.tobytes()
                 known: dict[bytes, int] = {}
                 number = np.array([known.setdefault(raw[x:y], len(known)) for x, y in zip(start.tolist(), stop.tolist())])
-                ids = np.array([int.from_bytes(hashlib.md5(s).digest()[:8], "little", signed=True) for s in known], np.int64)
+                ids = np.array([xxhash.xxh3_64_intdigest(s) for s in known], np.uint64).view(np.int64)
                 d = doc[row].astype(np.int64)
                 lo, hi = np.full(len(known), np.iinfo(np.int64).max), np.full(len(known), np.iinfo(np.int64).min)
                 np.minimum.at(lo, number, d)
@@ -288,18 +303,26 @@ def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram
                 strings = list(known)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((h % np.uint64(buckets)).astype(np.int32)), pa.array(ids[number]), pa.array(d), pa.array(tid[row].astype(np.int64)),
-                     pa.array((start - (offsets[row] - offsets[i])).astype(np.int32)),
+                     pa.array(place.astype(np.int32)),
                      pa.array([None if o else strings[k] for k, o in zip(number.tolist(), other.tolist())], pa.binary()),
                      pa.array(lo[number], mask=other), pa.array(hi[number], mask=other)],
                     ["bucket", "id", "doc", "tid", "start", "s", "lo", "hi"])
     return docs.where("doc_id IS NOT NULL").mapInArrow(run, "bucket int, id long, doc long, tid long, start int, s binary, lo long, hi long")
 
 
-def _matches(distinct: DataFrame, length: int) -> DataFrame:
+def _matches(distinct: DataFrame, length: int, gram: int) -> DataFrame:
     """(bucket, id, from, to, first): runs of window offsets of a piece that first occur in document ``first``, where
     some document that has the piece comes later."""
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lo", kind="stable")
+        # an anchor with one distinct piece has no other text to match: later documents lose all of it
+        heads = np.frombuffer(b"".join(x[:length] for x in pdf["s"]), np.uint8)
+        anchor = Anchors(heads, np.arange(len(pdf) + 1) * length, length).of(gram)[3]  # one window a piece
+        alone = ~pd.Series(anchor, index=pdf.index).duplicated(keep=False)
+        whole = pdf[alone & (pdf["lo"] < pdf["hi"])]
+        out = pd.DataFrame({"bucket": key[0], "id": whole["id"], "from": np.int32(0), "to": (whole["s"].map(len) - length).astype(np.int32), "first": whole["lo"]})
+        pdf = pdf[~alone].sort_values("lo", kind="stable")
+        if not len(pdf):
+            return out
         lo, hi, ids = pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["id"].to_numpy()
         string, offset, first = RunLengthIndex(pdf["s"].tolist(), length).stream()
         o = np.lexsort((offset, string))
@@ -307,11 +330,12 @@ def _matches(distinct: DataFrame, length: int) -> DataFrame:
         late = owner < hi[string]
         string, offset, owner = string[late], offset[late], owner[late]
         if not len(string):
-            return pd.DataFrame({"bucket": [], "id": [], "from": [], "to": [], "first": []})
+            return out
         head = np.concatenate(([True], (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1) | (owner[1:] != owner[:-1])))
         at = np.flatnonzero(head)
         last = np.append(at[1:], len(string)) - 1
-        return pd.DataFrame({"bucket": key[0], "id": ids[string[at]], "from": offset[at].astype(np.int32), "to": offset[last].astype(np.int32), "first": owner[at]})
+        found = pd.DataFrame({"bucket": key[0], "id": ids[string[at]], "from": offset[at].astype(np.int32), "to": offset[last].astype(np.int32), "first": owner[at]})
+        return pd.concat([out, found])
     return distinct.groupBy("bucket").applyInPandas(run, "bucket int, id long, `from` int, `to` int, `first` long")
 
 
@@ -332,7 +356,7 @@ def long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
     # dealt out once by bucket: the aggregation of equal pieces and the matching both run in that partitioning
     distinct = (pieces.where("s IS NOT NULL").select("bucket", "id", "s", "lo", "hi").repartition("bucket").groupBy("bucket", "id")
                 .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("s").alias("s")))
-    found = materialize(_matches(distinct, length), "suffix-matches")
+    found = materialize(_matches(distinct, length, gram), "suffix-matches")
     hits = pieces.select("bucket", "id", "doc", "tid", "start").join(found, ["bucket", "id"]).where(F.col("first") < F.col("doc"))
     span = F.struct((F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to") + length).alias("stop"))
     return hits.groupBy("doc", "tid").agg(F.collect_list(span).alias("spans"))

@@ -51,6 +51,22 @@ def test_edges(spark):
     assert got(df, 30) == brute(rows, 30)
 
 
+def test_long_texts_are_cut_without_losing_a_window(spark, monkeypatch):
+    rng = random.Random(11)
+    base = "".join(rng.choice("abcd") for _ in range(1500))
+    rows = [(1, base), (2, base[200:900] + "-" + base[:260]), (3, "q" * 700), (4, "q" * 60 + base[1400:]), (5, base[777:827]), (6, base[777:826])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = list(suffix.bounded_rows(np.array([0, 10, 500, 520]), 50, 1000))
+    assert [(x, y, i, k) for x, y, _, i, k in whole] == [(0, 520, 0, 0)]
+    windows = [k + w for x, y, _, i, k in suffix.bounded_rows(np.array([0, 500]), 50, 120) for w in range(y - x - 49)]
+    assert windows == list(range(451))
+    shared = suffix.row_chunks
+    monkeypatch.setattr(suffix, "row_chunks", lambda offsets, limit=None: shared(offsets, 120))
+    cut = suffix.bounded_rows
+    monkeypatch.setattr(suffix, "bounded_rows", lambda offsets, length: cut(offsets, length, 120))
+    assert got(df) == brute(rows)
+
+
 def test_empty_table(spark):
     assert got(spark.createDataFrame([], "doc_id long, text string")) == []
 
