@@ -8,7 +8,7 @@ equal windows have equal anchors.  A first pass sends the hashes of long anchors
 parts by their leading bits; those that several documents have become a bit table of fixed size, which lets all of them
 pass, and others only by collision.  The second pass leaves out the windows whose long anchor does not pass, cuts the
 rest into the maximal pieces whose windows share a short anchor, and sends each piece to the bucket of that anchor.
-A chunk sends equal pieces once, and equal pieces are aggregated before matching, so a passage that a third of all documents share is one row.
+A group of chunks sends equal pieces once, so a passage that a third of all documents share is one row for each.
 
 Matching.  A short anchor with one distinct piece has nothing else to match: all documents after its first lose the piece.
 The other distinct pieces of a bucket, in the order of their first document, become a run-length index: the
@@ -27,19 +27,22 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplet.llm.common import BitTable, flat_text, row_chunks
+from ripplet.llm.words import mix
 from ripplet.session import materialize
 
 TABLE_BITS = 27  # 16 MB
 ROW_BITS = 25
-CHUNK_BYTES = 3 << 19  # text whose anchors are found at once
-BUCKET_BYTES = 1 << 19  # input text per bucket; a bucket holds a few times its shared part
+CHUNK_BYTES = 1 << 17  # text whose anchors are found at once: arrays of that size stay in a core's cache
+GROUP_BYTES = 1 << 22  # text whose equal anchors and pieces are sent once
+TABLE_HASHES = 3  # bits of an anchor, all in one word of the table
+BUCKET_BYTES = 1 << 18  # input text per bucket; a bucket holds a few times its shared part
 PACK = 4  # symbols of the first sort key
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+_SYMBOLS = np.random.default_rng(20240304).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # of the bytes, in hashes
 _POWERS: list[np.ndarray] = []
 
 
@@ -57,7 +60,7 @@ class Anchors:
     def __init__(self, flat: np.ndarray, offsets: np.ndarray, length: int):
         self.length, self.offsets, n = length, offsets, len(flat)
         power, inverse = _powers(n + 1)
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[:-1])))
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_SYMBOLS[flat] * power[:-1])))
         self.inverse, self.n = inverse, n
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:max(0, n - length + 1)]
         self.inside = np.flatnonzero(np.arange(len(row)) + length <= offsets[row + 1])
@@ -88,6 +91,24 @@ class Anchors:
         return inside[head], inside[last], at[head], h[at[head]], r[head]
 
 
+    def ids(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """64-bit hash of each piece [start, stop)."""
+        return mix((self.sums[stop] - self.sums[start]) * self.inverse[start]).view(np.int64)
+
+
+def even(anchor: np.ndarray) -> np.ndarray:
+    """Anchor hashes, which are minima and so crowd at the low end, dealt out evenly."""
+    return mix(anchor * np.uint64(_BASE))
+
+
+def table_places(anchor: np.ndarray, width: int, bits: int):
+    """Places of ``width``-bit anchors in a table of 2^``bits`` bits: the leading bits name the word, those after them the
+    bits in it."""
+    word = anchor >> (width - bits + 5) << 5
+    for k in range(TABLE_HASHES):
+        yield word | (anchor >> (width - bits - 5 * k)) & 31
+
+
 def bounded_rows(offsets: np.ndarray, length: int, limit: int = CHUNK_BYTES):
     """(first byte, last byte, offsets inside, first row, bytes of that row before) of bounded parts.  A row longer than
     ``limit`` is cut into parts that overlap by ``length - 1`` bytes, so each window is in exactly one."""
@@ -101,6 +122,19 @@ def bounded_rows(offsets: np.ndarray, length: int, limit: int = CHUNK_BYTES):
             yield at, end, np.array([0, end - at]), i, at - start
 
 
+def grouped(parts, limit: int = GROUP_BYTES):
+    """Lists of consecutive bounded parts of about ``limit`` bytes together."""
+    got, size = [], 0
+    for p in parts:
+        got.append(p)
+        size += p[1] - p[0]
+        if size >= limit:
+            yield got
+            got, size = [], 0
+    if got:
+        yield got
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     """Sorted distinct 32-bit integers as compressed byte planes of their differences."""
     delta = np.diff(values, prepend=np.uint32(0)).astype("<u4")
@@ -231,19 +265,33 @@ class RunLengthIndex:
             row, steps = int(self.lf(np.array([row]))[0]), steps + 1
 
 
+def _strings(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, null: np.ndarray, at_once: int = 1 << 14) -> pa.Array:
+    """The pieces [start, stop) of a flat text as a binary column."""
+    size = stop - start
+    end = np.cumsum(size)
+    data = [flat[np.arange(end[k - 1] if k else 0, end[min(k + at_once, len(end)) - 1]) + np.repeat((start - end + size)[k:k + at_once], size[k:k + at_once])]
+            for k in range(0, len(end), at_once)]
+    return pa.Array.from_buffers(pa.binary(), len(end), [pa.py_buffer(np.packbits(~null, bitorder="little")),
+                                                         pa.py_buffer(np.append(0, end).astype(np.int32)), pa.py_buffer(np.concatenate(data))])
+
+
 def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitTable:
     """Bit table of the anchors that several documents have."""
-    part_bits = min(TABLE_BITS - 3, max(4, (total // (4 << 20)).bit_length()))  # parts of a few million anchors at most
+    part_bits = min(TABLE_BITS - 5, max(5, (total // (4 << 20)).bit_length()))  # parts of a few million anchors at most
     share = TABLE_BITS - part_bits  # a part holds a contiguous share of the table
 
     def run(batches):
         for b in batches:
             flat, offsets = flat_text(b.column(0))
-            for x, y, inside, _, _ in bounded_rows(offsets, length):
-                _, _, _, h, row = Anchors(flat[x:y], inside, length).of(gram)
-                if not len(h):
+            for group in grouped(bounded_rows(offsets, length)):
+                hashes, rows = [], []
+                for x, y, inside, i, _ in group:
+                    _, _, _, h, row = Anchors(flat[x:y], inside, length).of(gram)
+                    hashes.append(even(h) >> np.uint64(32 - part_bits))
+                    rows.append((row + i).astype(np.int32))
+                key, row = np.concatenate(hashes), np.concatenate(rows)
+                if not len(key):
                     continue
-                key = h >> np.uint64(32 - part_bits)
                 o = np.argsort(key, kind="stable")
                 key, row = key[o], row[o]
                 head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -264,15 +312,16 @@ def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitT
         v = np.sort(np.concatenate(sets))
         v = np.unique(np.concatenate([v[1:][v[1:] == v[:-1]]] + [x for x, t in zip(sets, pdf["twice"]) if t]))
         bits = np.zeros(1 << share, np.uint8)
-        bits[(v >> np.uint32(32 - share)).astype(np.int64)] = 1
+        for at in table_places(v.astype(np.int64), 32, share):
+            bits[at] = 1
         return pd.DataFrame({"part": [int(key[0])], "segment": [np.packbits(bits, bitorder="little").tobytes()]})
     packed = docs.select("text").mapInArrow(run, "part int, twice boolean, blob binary")
     return BitTable.of_segments(packed.groupBy("part").applyInPandas(shared, "part int, segment binary"), TABLE_BITS)
 
 
 def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram: int, buckets: int) -> DataFrame:
-    """One row per piece of windows whose long anchor passes: bucket, id, doc, tid, start; at its first place in a chunk also s and
-    the smallest and largest doc of the chunk that has it."""
+    """One row per piece of windows whose long anchor passes: bucket, id, doc, tid, start; at its first place in a group of chunks also
+    s and the smallest and largest doc of the group that has it."""
     shared = bits.table
 
     def run(batches):
@@ -280,40 +329,46 @@ def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram
         for b in batches:
             flat, offsets = flat_text(b.column(1))
             doc, tid = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
-            for x, y, inside, i, before in bounded_rows(offsets, length):
-                part = flat[x:y]
-                anchors = Anchors(part, inside, length)
-                first, last, _, h, _ = anchors.of(filter_gram)
-                # a window that another document holds has its long anchor there, too
-                passing = BitTable.test(table, (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
-                start, last, _, h, row = anchors.of(gram, np.repeat(passing, last - first + 1))
-                if not len(start):
+            for group in grouped(bounded_rows(offsets, length)):
+                found = []
+                for x, y, inside, i, before in group:
+                    anchors = Anchors(flat[x:y], inside, length)
+                    first, last, _, h, _ = anchors.of(filter_gram)
+                    # a window that another document holds has its long anchor there, too
+                    passing = np.ones(len(h), bool)
+                    for at in table_places((even(h) >> np.uint64(20)).astype(np.int64), 44, TABLE_BITS):
+                        passing &= BitTable.test(table, at)
+                    start, last, _, h, row = anchors.of(gram, np.repeat(passing, last - first + 1))
+                    stop = last + length
+                    found.append((anchors.ids(start, stop), (h % np.uint64(buckets)).astype(np.int32), row + i, start - inside[row] + before, start + x, stop + x))
+                ids, bucket, row, place, start, stop = (np.concatenate(c) for c in zip(*found))
+                if not len(ids):
                     continue
-                stop, place, row = last + length, start - inside[row] + before, row + i
-                raw = part.tobytes()
-                known: dict[bytes, int] = {}
-                number = np.array([known.setdefault(raw[x:y], len(known)) for x, y in zip(start.tolist(), stop.tolist())])
-                ids = np.array([xxhash.xxh3_64_intdigest(s) for s in known], np.uint64).view(np.int64)
                 d = doc[row].astype(np.int64)
-                lo, hi = np.full(len(known), np.iinfo(np.int64).max), np.full(len(known), np.iinfo(np.int64).min)
-                np.minimum.at(lo, number, d)
-                np.maximum.at(hi, number, d)
-                other = np.ones(len(start), bool)
-                other[np.unique(number, return_index=True)[1]] = False
-                strings = list(known)
+                _, once, number = np.unique(ids, return_index=True, return_inverse=True)
+                o = np.argsort(number, kind="stable")
+                head = np.flatnonzero(np.diff(number[o], prepend=-1))
+                lo, hi = np.minimum.reduceat(d[o], head), np.maximum.reduceat(d[o], head)
+                other = np.ones(len(ids), bool)
+                other[once] = False
+                s = _strings(flat, start, np.where(other, start, stop), other)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((h % np.uint64(buckets)).astype(np.int32)), pa.array(ids[number]), pa.array(d), pa.array(tid[row].astype(np.int64)),
-                     pa.array(place.astype(np.int32)),
-                     pa.array([None if o else strings[k] for k, o in zip(number.tolist(), other.tolist())], pa.binary()),
+                    [pa.array(bucket), pa.array(ids), pa.array(d), pa.array(tid[row].astype(np.int64)), pa.array(place.astype(np.int32)), s,
                      pa.array(lo[number], mask=other), pa.array(hi[number], mask=other)],
                     ["bucket", "id", "doc", "tid", "start", "s", "lo", "hi"])
     return docs.where("doc_id IS NOT NULL").mapInArrow(run, "bucket int, id long, doc long, tid long, start int, s binary, lo long, hi long")
 
 
-def _matches(distinct: DataFrame, length: int, gram: int) -> DataFrame:
+def _matches(pieces: DataFrame, length: int, gram: int) -> DataFrame:
     """(bucket, id, from, to, first): runs of window offsets of a piece that first occur in document ``first``, where
     some document that has the piece comes later."""
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        # equal pieces come once from each group of chunks that has them
+        ids = pdf["id"].to_numpy()
+        o = np.argsort(ids, kind="stable")
+        head = np.flatnonzero(np.concatenate(([True], ids[o][1:] != ids[o][:-1])))
+        lo, hi = np.minimum.reduceat(pdf["lo"].to_numpy()[o], head), np.maximum.reduceat(pdf["hi"].to_numpy()[o], head)
+        pdf = pd.DataFrame({"id": ids[o[head]], "s": pdf["s"].to_numpy()[o[head]], "lo": lo, "hi": hi})
         # an anchor with one distinct piece has no other text to match: later documents lose all of it
         heads = np.frombuffer(b"".join(x[:length] for x in pdf["s"]), np.uint8)
         anchor = Anchors(heads, np.arange(len(pdf) + 1) * length, length).of(gram)[3]  # one window a piece
@@ -336,7 +391,7 @@ def _matches(distinct: DataFrame, length: int, gram: int) -> DataFrame:
         last = np.append(at[1:], len(string)) - 1
         found = pd.DataFrame({"bucket": key[0], "id": ids[string[at]], "from": offset[at].astype(np.int32), "to": offset[last].astype(np.int32), "first": owner[at]})
         return pd.concat([out, found])
-    return distinct.groupBy("bucket").applyInPandas(run, "bucket int, id long, `from` int, `to` int, `first` long")
+    return pieces.groupBy("bucket").applyInPandas(run, "bucket int, id long, `from` int, `to` int, `first` long")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -353,9 +408,7 @@ def long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
     buckets = max(1, -(-total // BUCKET_BYTES))
     bits = _shared_anchors(rows.where("doc_id IS NOT NULL"), length, filter_gram, total)
     pieces = materialize(_pieces(rows, bits, length, gram, filter_gram, buckets), "suffix-pieces", compression="zstd")
-    # dealt out once by bucket: the aggregation of equal pieces and the matching both run in that partitioning
-    distinct = (pieces.where("s IS NOT NULL").select("bucket", "id", "s", "lo", "hi").repartition("bucket").groupBy("bucket", "id")
-                .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("s").alias("s")))
+    distinct = pieces.where("s IS NOT NULL").select("bucket", "id", "s", "lo", "hi")
     found = materialize(_matches(distinct, length, gram), "suffix-matches")
     hits = pieces.select("bucket", "id", "doc", "tid", "start").join(found, ["bucket", "id"]).where(F.col("first") < F.col("doc"))
     span = F.struct((F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to") + length).alias("stop"))
@@ -382,7 +435,7 @@ def cut_long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
     pair = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches):
-        for b in batches:
+        for b in (whole.slice(i, j - i) for whole in batches for i, j in row_chunks(flat_text(whole.column(1))[1])):
             sizes, merged, kept = [], [], []
             texts = b.column(1).cast(pa.binary()).to_pylist()
             for raw, spans in zip(texts, b.column(2).to_pylist()):

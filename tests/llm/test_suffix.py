@@ -93,3 +93,27 @@ def test_index_is_a_bwt():
     for a, b, c in zip(s.tolist(), o.tolist(), first.tolist()):
         w = strings[a][b:b + 8]
         assert c == min(i for i, x in enumerate(strings) if w in x)
+
+
+def test_few_anchors_pass_that_no_other_document_has(spark):
+    # anchors are minima: hashes that crowd at the low end of the table let a third of all others pass
+    rng = np.random.default_rng(8)
+    n, bits = 8_000_000, suffix.TABLE_BITS
+    low = np.min(rng.integers(0, 1 << 63, (n // 20, 17), dtype=np.uint64) * np.uint64(2), axis=1)
+    places = np.stack(list(suffix.table_places((suffix.even(low) >> np.uint64(20)).astype(np.int64), 44, bits)))
+    assert (places >= 0).all() and (places < 1 << bits).all()
+    load = np.bincount(places[0] >> (bits - 6), minlength=64)
+    assert load.max() < 1.1 * load.mean() and load.min() > 0.9 * load.mean()
+
+
+def test_table_holds_the_shared_anchors(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10, texts[0][:1500] + texts[3][500:])]
+    table = suffix._shared_anchors(spark.createDataFrame(rows, "doc_id long, text string"), 50, 34, 21_000).table.value
+    flat = np.frombuffer("".join(texts).encode(), np.uint8)
+    h, row = suffix.Anchors(flat, np.arange(7) * 3000, 50).of(34)[3:]
+    passing = np.ones(len(h), bool)
+    for at in suffix.table_places((suffix.even(h) >> np.uint64(20)).astype(np.int64), 44, suffix.TABLE_BITS):
+        passing &= suffix.BitTable.test(table, at)
+    assert passing[row == 3].mean() > 0.8 and 0.45 < passing[row == 0].mean() < 0.55 and not passing[np.isin(row, [1, 2, 4, 5])].any()
