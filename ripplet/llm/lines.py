@@ -29,10 +29,12 @@ from ripplet.llm.words import mix
 from ripplet.session import materialize
 
 CHUNK_CHARS = 1 << 20
+SCAN_CHARS = 1 << 22
 BLOCK_CHARS = 1 << 15
 FILTER_BITS = 26
 PROFILE_BITS = 1024
 PACK_ROWS = 20_000
+PACK_WORDS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -115,7 +117,7 @@ def _scan(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
             while i < len(b):
                 fresh, ids, numbers, keys, first = {}, [], [], [], []
                 chars = 0
-                while i < len(b) and chars < CHUNK_CHARS:
+                while i < len(b) and chars < SCAN_CHARS:
                     text, doc = b.column(1)[i].as_py() or "", b.column(0)[i].as_py()
                     chars += len(text)
                     for no, line in enumerate(text.split("\n")):
@@ -147,7 +149,7 @@ def _key_filter(keys: DataFrame) -> BitTable:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, line) of the lines named in ``wanted`` (key): a second scan that a bit table thins out before the join."""
+    """(key, line) of the lines named in ``wanted`` (key), and of some others: a second scan that a bit table thins out."""
     bits = _key_filter(wanted).table
 
     def run(batches):
@@ -164,7 +166,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(list(found.values()), pa.binary()), pa.array(list(found), pa.string())], ["key", "line"])
     lines = docs.select("text").mapInArrow(run, "key binary, line string")
-    return lines.join(wanted, "key", "left_semi").dropDuplicates(["key"])
+    return lines.distinct()  # equal keys are equal lines
 
 
 _PACKED = 511  # code points below this fit 9 bits with 0 to spare; seven of them are one exact 64-bit code
@@ -334,25 +336,63 @@ def _cross_links(label: DataFrame, texts: DataFrame, threshold: float, shingle:
     return strays.groupBy("cell").cogroup(members.groupBy("cell")).applyInPandas(compare, "a binary, b binary")
 
 
+def _several(lines: DataFrame) -> BitTable:
+    """Bit table of the bucket keys (by their leading bits) that several lines have, from (key, bands).
+
+    A task packs the keys of many lines, each with 24 bits of its line's hash, as sorted distinct words by their leading
+    bits; one task for each part finds the keys with several lines.  Equal bits of unequal keys only let more pass."""
+    total = lines.count()
+    part_bits = min(FILTER_BITS - 3, max(4, (total // 200_000).bit_length()))  # parts of a few million words at most
+    share = FILTER_BITS - part_bits
+
+    def packed(words):
+        v = np.unique(np.concatenate(words))
+        part = (v >> np.uint64(64 - part_bits)).astype(np.int32)
+        cut = np.flatnonzero(np.diff(part, prepend=-1))
+        blobs = [np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes() for x in np.split(v, cut[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array([len(x) for x in blobs], pa.int32()),
+                                           pa.array([pa.compress(x, "zstd", asbytes=True) for x in blobs], pa.binary())], ["part", "size", "blob"])
+
+    def run(batches):
+        words, n = [], 0
+        for b in batches:
+            h = b.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            line = np.repeat(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), b.column(1).value_lengths().to_numpy(zero_copy_only=False))
+            words.append(h >> np.uint64(24) << np.uint64(24) | line >> np.uint64(40))
+            n += len(h)
+            if n >= PACK_WORDS:
+                yield packed(words)
+                words, n = [], 0
+        if n:
+            yield packed(words)
+
+    def several(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        planes = (np.frombuffer(pa.decompress(b, n, "zstd", asbytes=True), np.uint8).reshape(8, -1) for b, n in zip(pdf["blob"], pdf["size"].tolist()))
+        v = np.unique(np.concatenate([np.cumsum(np.ascontiguousarray(x.T).view(np.uint64).ravel(), dtype=np.uint64) for x in planes])) >> np.uint64(24)
+        v = v[1:][v[1:] == v[:-1]] & np.uint64((1 << (40 - part_bits)) - 1)
+        bits = np.zeros(1 << share, np.uint8)
+        bits[(v >> np.uint64(40 - FILTER_BITS)).astype(np.int64)] = 1
+        return pd.DataFrame({"part": [int(key[0])], "segment": [np.packbits(bits, bitorder="little").tobytes()]})
+    words = lines.select(F.xxhash64("key").alias("line"), "bands").mapInArrow(run, "part int, size int, blob binary")
+    return BitTable.of_segments(words.groupBy("part").applyInPandas(several, "part int, segment binary"), FILTER_BITS)
+
+
 def _buckets(lines: DataFrame) -> DataFrame:
     """(h, key, leader) of the buckets with several lines, from (key, bands) once for each chunk that holds the line.  All
     aggregates are partial before they meet, and the leader is joined back, so no bucket is one task's group."""
     lines = lines.where("bands IS NOT NULL AND size(bands) > 0").select("key", "bands")
-    # most buckets hold one line only: two 64-bit hashes tell, and a bit table thins out the second scan
-    number = F.xxhash64("key")
-    several = materialize(lines.select(F.explode("bands").alias("h"), number.alias("x")).groupBy("h").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-                          .where("lo <> hi").select("h"), "line-several")
-    bits = BitTable.of(several.select(F.col("h").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("at")), FILTER_BITS).table
+    # most buckets hold one line only: a bit table of the others thins out the second scan
+    bits = _several(lines).table
 
     def run(batches):
         for b in batches:
             h = b.column(1).flatten().to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(len(b)), b.column(1).value_lengths().to_numpy(zero_copy_only=False))
-            ok = BitTable.test(bits.value, h & ((1 << FILTER_BITS) - 1))
+            ok = BitTable.test(bits.value, (h.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(h[ok]), b.column(0).take(pa.array(owner[ok])).cast(pa.binary())], ["h", "key"])
     counted = lines.mapInArrow(run, "h long, key binary").groupBy("h", "key").agg(F.count("*").alias("n"))
-    members = materialize(counted.join(several, "h", "left_semi"), "line-members")
-    leaders = members.groupBy("h").agg(F.max(F.struct("n", "key"))["key"].alias("leader"))
+    members = materialize(counted, "line-members")
+    leaders = members.groupBy("h").agg(F.max(F.struct("n", "key"))["key"].alias("leader"), F.count("*").alias("lines")).where("lines > 1").drop("lines")
     return members.join(leaders, "h").select("h", "key", "leader")
 
 
@@ -361,7 +401,7 @@ def line_components(docs: DataFrame, shingle: int = 7, bands: int = 11, rows: in
     rows_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = materialize(_scan(rows_of, shingle, bands, rows), "lines")
     shared = materialize(_buckets(lines), "line-buckets")
-    texts = materialize(_texts(rows_of, shared.select("key").distinct()), "line-texts")
+    texts = materialize(_texts(rows_of, shared.select("key")), "line-texts")
     stars = shared.where("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
     sims = materialize(_similarities(stars, texts, shingle), "line-links")
     links = sims.where(F.col("sim") >= threshold).select("a", "b")
@@ -380,13 +420,23 @@ def line_components(docs: DataFrame, shingle: int = 7, bands: int = 11, rows: in
 def removed_lines(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, removed: sorted line numbers) of the documents that lose lines."""
     lines, comp = line_components(docs, **options)
-    named = lines.join(comp.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    named = materialize(named.select("root", "doc_id", "line_no"), "line-roots")
     # (doc_id, line_no) as one number, which a hash aggregate takes; beyond all of them where the doc_id is null
     place = F.coalesce(F.col("doc_id").cast("decimal(38,0)") * (1 << 32), F.lit("1" + "0" * 37).cast("decimal(38,0)")) + F.col("line_no")
-    named = named.withColumn("place", place.cast("decimal(38,0)"))
-    first = materialize(named.groupBy("root").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "line-firsts")
-    gone = named.join(first, "root").where("place <> first")
+    lines = lines.withColumn("place", place.cast("decimal(38,0)"))
+    # most lines stand once and have no link: what is left of the keys is small
+    linked = comp.select(F.col("id").alias("key"), F.lit(None).cast("decimal(38,0)").alias("place"), F.lit(0).alias("one"), F.lit(1).alias("linked"))
+    keys = (lines.select("key", "place", F.lit(1).alias("one"), F.lit(0).alias("linked")).unionByName(linked).groupBy("key")
+            .agg(F.min("place").alias("first"), F.sum("one").alias("n"), F.max("linked").alias("linked")).where("n > 1 OR linked = 1").drop("linked"))
+    keys = keys.join(comp.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    keys = materialize(keys, "line-roots")
+    first = keys.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    named = materialize(keys.select("key", "root").join(first, "root").select("key", "first"), "line-firsts")
+    bits = BitTable.of(named.select(F.shiftrightunsigned(F.xxhash64("key"), 64 - FILTER_BITS).alias("at")), FILTER_BITS).table
+
+    @F.pandas_udf("boolean")
+    def may_go(hashes: pd.Series) -> pd.Series:
+        return pd.Series(BitTable.test(bits.value, hashes.to_numpy(np.int64)))
+    gone = lines.where(may_go(F.shiftrightunsigned(F.xxhash64("key"), 64 - FILTER_BITS))).join(named, "key").where("place <> first")
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 
 
