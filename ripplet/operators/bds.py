@@ -44,7 +44,8 @@ def block_counts(lo: np.ndarray, hi: np.ndarray, eps: float, before: tuple[int,
         close.append(int((np.triu(part, 1) if same else part).sum()))
         first = max(0, (m - 1) - b0)  # positions of the series with fewer than m - 1 predecessors
         able.append(int(upper[first:].sum()))
-    return close, able, own.sum(axis=1), own.sum(axis=0)
+    own_pairs = own.diagonal() if same else 0  # a position is no partner of itself; where eps is 0 it is not even close
+    return close, able, own.sum(axis=1) - own_pairs, own.sum(axis=0)
 
 
 def bds_test(series: DataFrame, keys: list[str], max_dim: int = 3, block: int = BLOCK) -> DataFrame:
@@ -66,9 +67,9 @@ def bds_test(series: DataFrame, keys: list[str], max_dim: int = 3, block: int =
         close, able, rows, cols = block_counts(np.asarray(left.ys, float), np.asarray(right.ys, float), left.eps if left.eps is not None else np.nan,
                                                (left.before, right.before), left.b == right.b, max_dim)
         head = [getattr(left, k) for k in keys]
-        # a block against itself holds every partner of its rows (itself too, which is no partner)
+        # a block against itself holds every partner of its rows
         if left.b == right.b:
-            out = [(*head, int(left.b), close, able, rows - 1)]
+            out = [(*head, int(left.b), close, able, rows)]
         else:
             out = [(*head, int(left.b), close, able, rows), (*head, int(right.b), [0] * max_dim, [0] * max_dim, cols)]
         return pd.DataFrame(out, columns=[*keys, "b", "close", "able", "deg"])
