@@ -4,9 +4,12 @@ Texts are UTF-8 bytes.  A byte goes if a ``length``-byte string that covers it a
 doc_id; matches never cross documents and are judged on the input.
 
 Where to look.  Of every ``length``-byte window, the smallest hash among its strings of a given length is the anchor, so
-equal windows have equal anchors.  A first pass sends the hashes of long anchors (each chunk an anchor once, packed) to
-parts by their leading bits; those that several documents have become a bit table of fixed size, which lets all of them
-pass, and others only by collision.  The second pass leaves out the windows whose long anchor does not pass, cuts the
+equal windows have equal anchors.  A first pass sends the hashes of long anchors (each group of chunks an anchor once,
+packed) to parts by their leading bits, and a part finds those that several documents have.  Up to ``TABLE_TEXT`` bytes
+of text they become a bit table of fixed size, which lets all of them pass, and others only by collision.  A table of
+fixed size fills up and one that grows does not stay a broadcast, so for more text the groups are written once, each part answers
+every group with a bit for each anchor that it sent, and groups and answers meet by the group's number.
+The second pass leaves out the windows whose long anchor does not pass, cuts the
 rest into the maximal pieces whose windows share a short anchor, and sends each piece to the bucket of that anchor.
 A group of chunks sends equal pieces once, so a passage that a third of all documents share is one row for each.
 
@@ -24,17 +27,22 @@ text is cut into parts that overlap by ``length - 1`` bytes; an empty table give
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplet.llm.common import BitTable, flat_text, row_chunks
 from ripplet.llm.words import mix
-from ripplet.session import materialize
+from ripplet.session import drop_table, materialize
 
 TABLE_BITS = 27  # 16 MB
+TABLE_TEXT = 1 << 27  # text whose shared anchors fill a few hundredths of that table
+PART_TEXT = 1 << 24  # text whose anchors meet in one part where there is no table
 ROW_BITS = 25
 CHUNK_BYTES = 1 << 17  # text whose anchors are found at once: arrays of that size stay in a core's cache
 GROUP_BYTES = 1 << 22  # text whose equal anchors and pieces are sent once
@@ -275,6 +283,44 @@ def _strings(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, null: np.nda
                                                          pa.py_buffer(np.append(0, end).astype(np.int32)), pa.py_buffer(np.concatenate(data))])
 
 
+def anchor_keys(flat: np.ndarray, group, length: int, gram: int, part_bits: int):
+    """Keys of the long anchors of each bounded part of a group, in text order, and the rows they are in.  A key's leading
+    bits name its part, the last 32 tell it from others there."""
+    keys, rows = [], []
+    for x, y, inside, i, _ in group:
+        _, _, _, h, row = Anchors(flat[x:y], inside, length).of(gram)
+        keys.append(even(h) >> np.uint64(32 - part_bits))
+        rows.append((row + i).astype(np.int32))
+    return keys, rows
+
+
+def packed_keys(key: np.ndarray, row: np.ndarray, gid: int) -> pa.RecordBatch:
+    """One row per part: the distinct keys of a group, sorted, and a bit for each that several rows of the group have."""
+    o = np.argsort(key, kind="stable")
+    key, row = key[o], row[o]
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    several = np.minimum.reduceat(row, head) != np.maximum.reduceat(row, head)
+    key = key[head]
+    part, low = (key >> np.uint64(32)).astype(np.int32), key.astype(np.uint32)
+    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    ends = np.append(cut[1:], len(key)).tolist()
+    blob = [pack_sorted(low[x:y]) for x, y in zip(cut.tolist(), ends)]
+    bits = [np.packbits(several[x:y], bitorder="little").tobytes() for x, y in zip(cut.tolist(), ends)]
+    return pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array([gid] * len(cut), pa.int64()), pa.array(blob, pa.binary()), pa.array(bits, pa.binary())],
+                                      ["part", "gid", "blob", "several"])
+
+
+def _bits(blob: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(blob, np.uint8), count=n, bitorder="little").view(bool)
+
+
+def shared_keys(pdf: pd.DataFrame):
+    """The sorted keys of each row of a part, and those among all of them that several documents have."""
+    sets = [unpack_sorted(b) for b in pdf["blob"]]
+    v = np.sort(np.concatenate(sets))
+    return sets, np.unique(np.concatenate([v[1:][v[1:] == v[:-1]]] + [x[_bits(t, len(x))] for x, t in zip(sets, pdf["several"])]))
+
+
 def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitTable:
     """Bit table of the anchors that several documents have."""
     part_bits = min(TABLE_BITS - 5, max(5, (total // (4 << 20)).bit_length()))  # parts of a few million anchors at most
@@ -284,41 +330,110 @@ def _shared_anchors(docs: DataFrame, length: int, gram: int, total: int) -> BitT
         for b in batches:
             flat, offsets = flat_text(b.column(0))
             for group in grouped(bounded_rows(offsets, length)):
-                hashes, rows = [], []
-                for x, y, inside, i, _ in group:
-                    _, _, _, h, row = Anchors(flat[x:y], inside, length).of(gram)
-                    hashes.append(even(h) >> np.uint64(32 - part_bits))
-                    rows.append((row + i).astype(np.int32))
-                key, row = np.concatenate(hashes), np.concatenate(rows)
-                if not len(key):
-                    continue
-                o = np.argsort(key, kind="stable")
-                key, row = key[o], row[o]
-                head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-                several = np.minimum.reduceat(row, head) != np.maximum.reduceat(row, head)
-                key = key[head]
-                for twice in (False, True):
-                    k = key[several == twice]
-                    part, low = (k >> np.uint64(32)).astype(np.int32), k.astype(np.uint32)
-                    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(k) else np.zeros(0, np.int64)
-                    ends = np.append(cut[1:], len(k))
-                    if len(cut):
-                        yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array([twice] * len(cut)),
-                                                          pa.array([pack_sorted(low[x:y]) for x, y in zip(cut.tolist(), ends.tolist())], pa.binary())],
-                                                         ["part", "twice", "blob"])
+                key, row = (np.concatenate(c) for c in anchor_keys(flat, group, length, gram, part_bits))
+                if len(key):
+                    yield packed_keys(key, row, 0)
 
     def shared(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [unpack_sorted(b) for b in pdf["blob"]]
-        v = np.sort(np.concatenate(sets))
-        v = np.unique(np.concatenate([v[1:][v[1:] == v[:-1]]] + [x for x, t in zip(sets, pdf["twice"]) if t]))
+        _, v = shared_keys(pdf)
         bits = np.zeros(1 << share, np.uint8)
         for at in table_places(v.astype(np.int64), 32, share):
             bits[at] = 1
         return pd.DataFrame({"part": [int(key[0])], "segment": [np.packbits(bits, bitorder="little").tobytes()]})
-    packed = docs.select("text").mapInArrow(run, "part int, twice boolean, blob binary")
+    packed = docs.select("text").mapInArrow(run, "part int, gid long, blob binary, several binary")
     return BitTable.of_segments(packed.groupBy("part").applyInPandas(shared, "part int, segment binary"), TABLE_BITS)
 
 
+def pack_group(doc: np.ndarray, tid: np.ndarray, before: np.ndarray, size: np.ndarray, texts: list[np.ndarray]) -> bytes:
+    raw = b"".join([x.astype("<i8").tobytes() for x in (doc, tid, before, size)] + [x.tobytes() for x in texts])
+    return np.array([len(doc), len(raw)], "<i8").tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpack_group(blob: bytes):
+    """(flat text, offsets, doc, tid, bytes of the text before) of a packed group."""
+    n, size = np.frombuffer(blob[:16], "<i8").tolist()
+    raw = pa.decompress(blob[16:], size, "zstd", asbytes=True)
+    doc, tid, before, sizes = np.frombuffer(raw, "<i8", 4 * n).reshape(4, n)
+    return np.frombuffer(raw, np.uint8, offset=32 * n), np.append(0, np.cumsum(sizes)), doc, tid, before
+
+
+def _text_groups(docs: DataFrame, length: int) -> DataFrame:
+    """Groups of bounded rows as (gid, blob).  Their numbers hold for the written table only."""
+    def run(batches):
+        gid, got, held = TaskContext.get().partitionId() << 32, [], 0
+
+        def packed():
+            doc, tid, before, size, texts = zip(*got)
+            return pa.RecordBatch.from_arrays([pa.array([gid], pa.int64()), pa.array([pack_group(*(np.concatenate(c) for c in (doc, tid, before, size)), texts)], pa.binary())],
+                                              ["gid", "blob"])
+        for b in batches:
+            flat, offsets = flat_text(b.column(1))
+            doc, tid = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
+            for x, y, inside, i, before in bounded_rows(offsets, length):
+                n = len(inside) - 1
+                got.append((doc[i:i + n], tid[i:i + n], np.full(n, before), np.diff(inside), flat[x:y]))
+                held += y - x
+                if held >= GROUP_BYTES:
+                    yield packed()
+                    gid, got, held = gid + 1, [], 0
+        if got:
+            yield packed()
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "gid long, blob binary")
+
+
+def group_part_bits(total: int) -> int:
+    return max(5, (total // PART_TEXT).bit_length())
+
+
+def _answers(groups: DataFrame, length: int, gram: int, part_bits: int) -> DataFrame:
+    """(gid, part, blob): a bit for each key that a group sent to a part, in their order, set where several documents have it."""
+    def run(batches):
+        for b in batches:
+            for gid, blob in zip(b.column(0).to_pylist(), b.column(1)):
+                flat, offsets, *_ = unpack_group(blob.as_py())
+                key, row = (np.concatenate(c) for c in anchor_keys(flat, bounded_rows(offsets, length), length, gram, part_bits))
+                if len(key):
+                    yield packed_keys(key, row, gid)
+
+    def answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        sets, v = shared_keys(pdf)
+        bits = [v[np.minimum(np.searchsorted(v, x), len(v) - 1)] == x if len(v) else np.zeros(len(x), bool) for x in sets]
+        return pd.DataFrame({"gid": pdf["gid"], "part": np.int32(key[0]), "blob": [np.packbits(x, bitorder="little").tobytes() for x in bits]})
+    sent = groups.select("gid", "blob").mapInArrow(run, "part int, gid long, blob binary, several binary")
+    return sent.groupBy("part").applyInPandas(answer, "gid long, part int, blob binary")
+
+
+PIECE = "bucket int, id long, doc long, tid long, start int, s binary, lo long, hi long"
+
+
+def group_pieces(flat: np.ndarray, group, doc: np.ndarray, tid: np.ndarray, passes: Callable, length: int, gram: int, filter_gram: int, buckets: int):
+    """Pieces of a group of bounded parts as a record batch, none if it has none; ``passes(number, hashes)`` tells of
+    the long anchors of the group's part of that number whether they pass."""
+    found = []
+    for k, (x, y, inside, i, before) in enumerate(group):
+        anchors = Anchors(flat[x:y], inside, length)
+        first, last, _, h, _ = anchors.of(filter_gram)
+        # a window that another document holds has its long anchor there, too
+        start, last, _, h, row = anchors.of(gram, np.repeat(passes(k, h), last - first + 1))
+        stop = last + length
+        found.append((anchors.ids(start, stop), (h % np.uint64(buckets)).astype(np.int32), row + i, start - inside[row] + np.broadcast_to(before, len(inside) - 1)[row], start + x, stop + x))
+    ids, bucket, row, place, start, stop = (np.concatenate(c) for c in zip(*found))
+    if not len(ids):
+        return None
+    d = doc[row].astype(np.int64)
+    _, once, number = np.unique(ids, return_index=True, return_inverse=True)
+    o = np.argsort(number, kind="stable")
+    head = np.flatnonzero(np.diff(number[o], prepend=-1))
+    lo, hi = np.minimum.reduceat(d[o], head), np.maximum.reduceat(d[o], head)
+    other = np.ones(len(ids), bool)
+    other[once] = False
+    s = _strings(flat, start, np.where(other, start, stop), other)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket), pa.array(ids), pa.array(d), pa.array(tid[row].astype(np.int64)), pa.array(place.astype(np.int32)), s,
+         pa.array(lo[number], mask=other), pa.array(hi[number], mask=other)],
+        ["bucket", "id", "doc", "tid", "start", "s", "lo", "hi"])
+
+
 def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram: int, buckets: int) -> DataFrame:
     """One row per piece of windows whose long anchor passes: bucket, id, doc, tid, start; at its first place in a group of chunks also
     s and the smallest and largest doc of the group that has it."""
@@ -326,37 +441,42 @@ def _pieces(docs: DataFrame, bits: BitTable, length: int, gram: int, filter_gram
 
     def run(batches):
         table = shared.value
+
+        def passes(_, h):
+            passing = np.ones(len(h), bool)
+            for at in table_places((even(h) >> np.uint64(20)).astype(np.int64), 44, TABLE_BITS):
+                passing &= BitTable.test(table, at)
+            return passing
         for b in batches:
             flat, offsets = flat_text(b.column(1))
             doc, tid = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
             for group in grouped(bounded_rows(offsets, length)):
-                found = []
-                for x, y, inside, i, before in group:
-                    anchors = Anchors(flat[x:y], inside, length)
-                    first, last, _, h, _ = anchors.of(filter_gram)
-                    # a window that another document holds has its long anchor there, too
-                    passing = np.ones(len(h), bool)
-                    for at in table_places((even(h) >> np.uint64(20)).astype(np.int64), 44, TABLE_BITS):
-                        passing &= BitTable.test(table, at)
-                    start, last, _, h, row = anchors.of(gram, np.repeat(passing, last - first + 1))
-                    stop = last + length
-                    found.append((anchors.ids(start, stop), (h % np.uint64(buckets)).astype(np.int32), row + i, start - inside[row] + before, start + x, stop + x))
-                ids, bucket, row, place, start, stop = (np.concatenate(c) for c in zip(*found))
-                if not len(ids):
-                    continue
-                d = doc[row].astype(np.int64)
-                _, once, number = np.unique(ids, return_index=True, return_inverse=True)
-                o = np.argsort(number, kind="stable")
-                head = np.flatnonzero(np.diff(number[o], prepend=-1))
-                lo, hi = np.minimum.reduceat(d[o], head), np.maximum.reduceat(d[o], head)
-                other = np.ones(len(ids), bool)
-                other[once] = False
-                s = _strings(flat, start, np.where(other, start, stop), other)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket), pa.array(ids), pa.array(d), pa.array(tid[row].astype(np.int64)), pa.array(place.astype(np.int32)), s,
-                     pa.array(lo[number], mask=other), pa.array(hi[number], mask=other)],
-                    ["bucket", "id", "doc", "tid", "start", "s", "lo", "hi"])
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "bucket int, id long, doc long, tid long, start int, s binary, lo long, hi long")
+                found = group_pieces(flat, group, doc, tid, passes, length, gram, filter_gram, buckets)
+                if found is not None:
+                    yield found
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, PIECE)
+
+
+def _answered_pieces(groups: DataFrame, answers: DataFrame, length: int, gram: int, filter_gram: int, part_bits: int, buckets: int) -> DataFrame:
+    """The rows of ``_pieces``, from written groups and the answers of the parts."""
+    def run(rows: pa.Table) -> pa.Table:
+        part, blobs = rows["part"].to_numpy(), rows["blob"]
+        flat, offsets, doc, tid, before = unpack_group(blobs[int(np.flatnonzero(part < 0)[0])].as_py())
+        group = [(x, y, inside, i, before[i:i + len(inside) - 1] + k) for x, y, inside, i, k in bounded_rows(offsets, length)]
+        keys, _ = anchor_keys(flat, group, length, filter_gram, part_bits)
+        key, of = np.unique(np.concatenate(keys), return_inverse=True)
+        asked, n = np.unique(key >> np.uint64(32), return_counts=True)
+        told = np.argsort(part)[1:]
+        if not np.array_equal(part[told], asked):
+            raise RuntimeError("a part's answer is missing")
+        passing = np.concatenate([_bits(blobs[k].as_py(), c) for k, c in zip(told.tolist(), n.tolist())] + [np.zeros(0, bool)])[of]
+        ends = np.cumsum([len(k) for k in keys])
+        found = group_pieces(flat, group, doc, tid, lambda k, h: passing[ends[k] - len(h):ends[k]], length, gram, filter_gram, buckets)
+        return empty if found is None else pa.Table.from_batches([found])
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    empty = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in PIECE.split(", ")]).empty_table()
+    both = groups.select("gid", F.lit(-1).alias("part"), "blob").unionByName(answers.select("gid", "part", "blob"))
+    return both.groupBy("gid").applyInArrow(run, PIECE)
 
 
 def _matches(pieces: DataFrame, length: int, gram: int) -> DataFrame:
@@ -406,10 +526,18 @@ def long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
     rows = _rows(docs)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    bits = _shared_anchors(rows.where("doc_id IS NOT NULL"), length, filter_gram, total)
-    pieces = materialize(_pieces(rows, bits, length, gram, filter_gram, buckets), "suffix-pieces", compression="zstd")
+    if total <= TABLE_TEXT:
+        bits = _shared_anchors(rows.where("doc_id IS NOT NULL"), length, filter_gram, total)
+        pieces = materialize(_pieces(rows, bits, length, gram, filter_gram, buckets), "suffix-pieces", compression="zstd", release=True)
+    else:
+        part_bits = group_part_bits(total)
+        groups = materialize(_text_groups(rows, length), "suffix-text", compression="uncompressed")
+        answers = materialize(_answers(groups, length, filter_gram, part_bits), "suffix-answers", compression="zstd", release=True)
+        pieces = materialize(_answered_pieces(groups, answers, length, gram, filter_gram, part_bits, buckets), "suffix-pieces", compression="zstd", release=True)
+        drop_table(groups)
+        drop_table(answers)
     distinct = pieces.where("s IS NOT NULL").select("bucket", "id", "s", "lo", "hi")
-    found = materialize(_matches(distinct, length, gram), "suffix-matches")
+    found = materialize(_matches(distinct, length, gram), "suffix-matches", release=True)
     hits = pieces.select("bucket", "id", "doc", "tid", "start").join(found, ["bucket", "id"]).where(F.col("first") < F.col("doc"))
     span = F.struct((F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to") + length).alias("stop"))
     return hits.groupBy("doc", "tid").agg(F.collect_list(span).alias("spans"))
@@ -417,7 +545,7 @@ def long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
 
 def cut_long_matches(docs: DataFrame, length: int = 50) -> DataFrame:
     """One row per input row: doc_id, n_bytes, spans (merged byte spans that went), kept (the remaining bytes)."""
-    found = materialize(long_matches(docs, length), "suffix-spans")
+    found = materialize(long_matches(docs, length), "suffix-spans", release=True)
     at = F.shiftrightunsigned(F.xxhash64("doc", "tid"), 64 - ROW_BITS)
     shared = BitTable.of(found.select(at.alias("at")), ROW_BITS).table
 

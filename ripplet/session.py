@@ -67,11 +67,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None) -> DataFrame:
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None,
+                release: bool = False) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint root and read it back.
 
     Cuts lineage (so a lost executor recomputes from the written table, not
-    from the raw scan) and gives later stages column pruning + pushdown."""
+    from the raw scan) and gives later stages column pruning + pushdown.
+    ``release`` removes the run's shuffle files once the table is written,
+    not whenever the driver happens to collect its garbage."""
     spark = df.sparkSession
     root = checkpoint_root(spark)
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
@@ -80,5 +86,22 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
         w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    kept = spark.conf.get(_RELEASE, "false")
+    if release:
+        spark.conf.set(_RELEASE, "true")
+    try:
+        w.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(_RELEASE, kept)
     return spark.read.parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove a table that ``materialize`` wrote and that nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(folder))
+        if path.getParent().getName() != "tables":
+            raise ValueError(f"{folder} is no table of materialize()")
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

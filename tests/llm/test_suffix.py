@@ -1,5 +1,6 @@
 """Long-match removal against a brute-force version with a dictionary of all windows."""
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -117,3 +118,46 @@ def test_table_holds_the_shared_anchors(spark):
     for at in suffix.table_places((suffix.even(h) >> np.uint64(20)).astype(np.int64), 44, suffix.TABLE_BITS):
         passing &= suffix.BitTable.test(table, at)
     assert passing[row == 3].mean() > 0.8 and 0.45 < passing[row == 0].mean() < 0.55 and not passing[np.isin(row, [1, 2, 4, 5])].any()
+
+
+def test_without_a_table_the_result_is_the_same(spark, monkeypatch):
+    # a table of fixed size fills up: beyond TABLE_TEXT bytes of text the parts answer each group instead
+    monkeypatch.setattr(suffix, "TABLE_TEXT", -1)
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    assert got(docs) == brute([tuple(r) for r in docs.collect()])
+    assert got(spark.createDataFrame([], "doc_id long, text string")) == []
+    test_edges(spark)
+    monkeypatch.setattr(suffix, "GROUP_BYTES", 300)
+    test_edges(spark)
+    test_long_texts_are_cut_without_losing_a_window(spark, monkeypatch)
+
+
+def test_answers_hold_the_shared_anchors_only(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(40, texts[0][500:1000] + texts[7][:300])]
+    rows = suffix._rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    total = sum(len(t) for t in texts) + 800
+    monkeypatch.setattr(suffix, "TABLE_BITS", 8)  # no size of the table matters
+    monkeypatch.setattr(suffix, "GROUP_BYTES", 5000)
+    bits = suffix.group_part_bits(total)
+    groups = suffix.materialize(suffix._text_groups(rows, 50), "test-groups")
+    answers = suffix._answers(groups, 50, 34, bits)
+    pieces = suffix._answered_pieces(groups, answers, 50, 20, 34, bits, 4).toPandas()
+    assert set(pieces["doc"]) == {0, 7, 40}
+    # every window that two texts share is in a piece, at most one anchor's windows more at either end
+    for doc, start, stop in ((0, 500, 1000), (7, 0, 300)):
+        own = pieces[pieces["doc"] == doc].merge(pieces[["id", "s"]].dropna().drop_duplicates("id"), on="id")
+        windows = {p + k for p, s in zip(own["start"], own["s_y"]) for k in range(len(s) - 49)}
+        assert set(range(start, stop - 49)) <= windows <= set(range(max(0, start - 17), stop - 32))
+
+
+def test_intermediate_files_are_given_up(spark):
+    from ripplet import session
+    spark.conf.set(session._RELEASE, "false")
+    kept = session.materialize(spark.range(1000).repartition(4), "test-kept", release=True)
+    assert spark.conf.get(session._RELEASE) == "false" and kept.count() == 1000
+    folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    session.drop_table(kept)
+    assert not os.path.exists(folder)
